@@ -1,0 +1,76 @@
+import pytest
+from conftest import event, image
+from pyspark.errors import AnalysisException
+
+from tidemark import extract_after, infer_schema
+from tidemark.functions import first_message_schema
+
+ROW = image(1, 2, 3, 4, 5)
+IMAGE = "struct<customer_id:bigint,order_id:bigint,price:bigint,product_id:bigint,quantity:bigint>"
+
+
+def kinds(schema):
+    return {f.name: f.dataType.simpleString() for f in schema}
+
+
+def test_fields_of_all_messages(feed_of):
+    schema = infer_schema(feed_of('{"a":1}', '{"b":[1,2.5]}', '{"c":null,"a":2}', '{"a":1.5}', '{"d":true}'))
+    assert kinds(schema) == {"a": "double", "b": "array<double>", "c": "string", "d": "boolean"}
+
+
+def test_changing_types_become_text(feed_of):
+    assert kinds(infer_schema(feed_of('{"a":1}', '{"a":"x"}', '{"a":{"b":1}}'))) == {"a": "string"}
+
+
+def test_what_is_no_object_is_passed_over(feed_of):
+    assert kinds(infer_schema(feed_of(None, "", "{bad", "null", "[1]", "7", '{"op":"c"}'))) == {"op": "string"}
+
+
+def test_nothing_to_infer_from(feed_of):
+    with pytest.raises(ValueError):
+        infer_schema(feed_of(None, "{bad"))
+
+
+def test_a_delete_first_is_no_problem(feed_of):
+    found = kinds(infer_schema(feed_of(event("d", ROW, None, 1))))
+    assert found["after"] == found["before"] == IMAGE
+
+
+def test_images_complete_each_other(feed_of):
+    found = kinds(infer_schema(feed_of('{"before":{"a":1,"b":null},"after":{"a":1.5,"b":true,"c":"x"}}')))
+    assert found["after"] == found["before"] == "struct<a:double,b:boolean,c:string>"
+
+
+def test_odd_field_names(feed_of):
+    schema = infer_schema(feed_of('{"a b":1,"OBJECT":{"VOID":null},"x: VOID":2,"":3}'))
+    assert kinds(schema) == {"a b": "bigint", "OBJECT": "struct<VOID:string>", "x: VOID": "bigint", "": "bigint"}
+
+
+def test_extract(spark, feed_of, tmp_path):
+    feed = feed_of(event("d", ROW, None, 1), event("c", None, ROW, 2), None, "{bad")
+    rows = extract_after(feed, str(tmp_path / "out"))
+    assert dict(rows.dtypes) == dict.fromkeys(["customer_id", "order_id", "price", "product_id", "quantity"], "bigint")
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, written.collect()), key=str) == [(2, 1, 5, 3, 4)] + [(None,) * 5] * 3
+    extract_after(feed, str(tmp_path / "out"))
+    assert written.sparkSession.read.parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_extract_of_nothing(feed_of, tmp_path):
+    with pytest.raises(ValueError, match="no data"):
+        extract_after(feed_of("x").limit(0), str(tmp_path / "out"))
+
+
+def test_extract_without_any_new_image(feed_of, tmp_path):
+    with pytest.raises(ValueError, match="after"):
+        extract_after(feed_of('{"op":"c","after":null}'), str(tmp_path / "out"))
+
+
+def test_first_message_decides_alone(spark, feed_of, tmp_path):
+    """The way that loses what the first message lacks; here both messages look alike."""
+    feed = feed_of(event("c", None, ROW, 1), event("c", None, ROW, 2))
+    assert extract_after(feed, str(tmp_path / "out"), from_first=True).dtypes[0] == ("customer_id", "bigint")
+    with pytest.raises(AnalysisException):
+        extract_after(feed_of(event("d", ROW, None, 1)), str(tmp_path / "out"), from_first=True)
+    with pytest.raises(ValueError):
+        first_message_schema(feed_of(None))

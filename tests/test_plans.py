@@ -1,0 +1,108 @@
+"""What the plans must look like for large inputs."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import decode, fold_changes, latest_per_key, read_log, row_images
+from tidemark.sources import append_log
+
+KEYS = ["order_id", "customer_id"]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def log(spark, feed_of, scenario, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("log") / "log")
+    for day in ("2024-01-01", "2024-01-02"):
+        append_log(decode(feed_of(*scenario), clock=F.lit(day).cast("date")), path)
+    return path
+
+
+def test_only_what_the_images_need_is_read(spark, log):
+    text = plan(row_images(read_log(spark, log)))
+    schema = re.search(r"ReadSchema: (\S+)", text)[1]
+    assert "source" not in schema and "transaction" not in schema
+    assert text.count("FileScan") == 1
+    assert "PushedFilters: [Or(IsNotNull(after),IsNotNull(before))]" in text
+
+
+def test_position_reads_three_source_fields(spark, log):
+    df = row_images(read_log(spark, log), position=True)
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    names = [f.name() for f in scan.requiredSchema().apply("source").dataType().fields()]
+    assert sorted(names) == ["file", "pos", "ts_ms"]
+
+
+def test_one_column_of_the_images_is_read_alone(spark, log):
+    text = plan(row_images(read_log(spark, log)).select("price"))
+    assert "ReadSchema: struct<after:struct<price:int>,before:struct<price:int>>" in text
+
+
+def test_dates_prune_partitions(spark, log):
+    text = plan(read_log(spark, log, since="2024-01-02"))
+    assert re.search(r"PartitionFilters: \[.*date#\d+ >= 2024-01-02", text)
+    assert read_log(spark, log, since="2024-01-02").count() == 7
+    assert read_log(spark, log, until="2024-01-01").count() == 7
+    assert read_log(spark, log).count() == 14
+    assert dict(read_log(spark, log).dtypes)["date"] == "string"
+
+
+def test_ranking_starts_before_the_only_shuffle(spark, log):
+    text = plan(latest_per_key(row_images(read_log(spark, log)), KEYS))
+    assert text.count("Exchange") == 1
+    partial, shuffle = text.index(", Partial"), text.index("Exchange")
+    assert text.index(", Final") < shuffle < partial
+
+
+def test_hot_key_ships_one_row_per_task(spark):
+    """A key with a third of all rows reaches its reducer as one row for each map task."""
+    rows = spark.range(0, 300_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").cast("double").alias("ts_ms")
+    )
+    df = latest_per_key(rows, "k")
+    assert df.count() == 200_001
+    result = df.filter("k = 0").collect()
+    assert [r.ts_ms for r in result] == [299_997.0]
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    shuffled = _metric(execution.executedPlan(), "shuffleRecordsWritten")
+    assert shuffled == 200_000 + 12
+
+
+def _metric(node, name):
+    """Sum of a metric over the final plan."""
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _metric(node.executedPlan(), name)
+    if node.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _metric(node.plan(), name)
+    metrics = node.metrics()
+    own = metrics.apply(name).value() if metrics.contains(name) else 0
+    children = node.children()
+    return own + sum(_metric(children.apply(i), name) for i in range(children.size()))
+
+
+def test_fold_shuffles_each_side_once(spark, log, tmp_path):
+    changes = row_images(read_log(spark, log), position=True)
+    latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    text = plan(fold_changes(base, latest_per_key(changes, KEYS), KEYS))
+    assert "SortMergeJoin" in text
+    # State and changes for the join; the same for the rows with a null in the key.
+    assert text.count("Exchange hashpartitioning") == 4
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_fold_of_a_small_batch_does_not_shuffle_the_state(spark, log, tmp_path):
+    changes = row_images(read_log(spark, log), position=True)
+    latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "base"))
+    latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "new"))
+    base, new = (spark.read.parquet(str(tmp_path / name)) for name in ("base", "new"))
+    text = plan(fold_changes(base, new, KEYS, newest_is_small=True))
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert "NestedLoop" not in text

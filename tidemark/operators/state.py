@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import key_columns
 from .images import has_position, row_images
@@ -58,21 +59,31 @@ def fold_changes(
     schema = existing.unionByName(newest, allowMissingColumns=True).schema
     if not comparable(schema):
         return merge_state(existing, newest, keys, order_by, keep_deletes=True)
+    existing, newest = existing.to(schema), newest.to(schema)
     columns = precedence(schema, keys, order_by)
     columns += [k for k in keys if k not in columns]
-    held = _packed(existing.to(schema), keys, columns, "held")
-    came = _packed(newest.to(schema), keys, columns, "came")
-    same_key = reduce(and_, [F.col(f"held_{i}").eqNullSafe(F.col(f"came_{i}")) for i in range(len(keys))])
+    held, came = _packed(existing, keys, columns, "held"), _packed(newest, keys, columns, "came")
+    pairs = [(F.col(f"held_{i}"), F.col(f"came_{i}")) for i in range(len(keys))]
     # Structs compare field by field with null lowest, which is the order of the ranking window.
     newer = F.greatest("held", "came").alias("row")
     if newest_is_small:
+        same_key = reduce(and_, [h.eqNullSafe(c) for h, c in pairs])
         came = F.broadcast(came)
         updated = held.join(came, same_key, "left").select(newer)
         known = held.drop("held").join(came.drop("came"), same_key, "left_semi")
         added = came.join(F.broadcast(known), same_key, "left_anti").select(F.col("came").alias("row"))
-        rows = updated.unionByName(added)
-    else:
-        rows = held.join(came, same_key, "full_outer").select(newer)
+        return _unpacked(updated.unionByName(added), schema)
+    # Plain equality lets the join use the partitioning ``newest`` already has; rows with a null
+    # in the key, which it cannot match, are merged on the side.
+    same_key = reduce(and_, [h == c for h, c in pairs])
+    whole = [reduce(and_, [F.col(f"{name}_{i}").isNotNull() for i in range(len(keys))]) for name in ("held", "came")]
+    rows = held.filter(whole[0]).join(came.filter(whole[1]), same_key, "full_outer").select(newer)
+    no_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    others = merge_state(existing.filter(no_key), newest.filter(no_key), keys, order_by, keep_deletes=True)
+    return _unpacked(rows, schema).unionByName(others)
+
+
+def _unpacked(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select("row.*").select(*[F.col(f"`{c}`") for c in schema.names])
 
 

@@ -35,6 +35,7 @@ class StateTable:
         self.order_by = order_by
         self.broadcast_limit = broadcast_limit
         self.keep_versions = keep_versions
+        self._sizes: dict[str, int] = {}
 
     # What is there
 
@@ -54,10 +55,10 @@ class StateTable:
 
     def base_bytes(self) -> int:
         version = self.version()
-        return 0 if version is None else files.size_in_bytes(self.spark, self._base(version))
+        return 0 if version is None else self._size(self._base(version))
 
     def pending_bytes(self) -> int:
-        return sum(files.size_in_bytes(self.spark, self._batch(batch)) for batch in self.pending())
+        return sum(self._size(self._batch(batch)) for batch in self.pending())
 
     # Reading
 
@@ -79,7 +80,7 @@ class StateTable:
         newest = latest_per_key(self.spark.read.option("mergeSchema", "true").parquet(*paths), self.keys, self.order_by)
         if base is None:
             return newest
-        small = sum(files.size_in_bytes(self.spark, path) for path in paths) <= self.broadcast_limit
+        small = sum(self._size(path) for path in paths) <= self.broadcast_limit
         return fold_changes(base, newest, self.keys, self.order_by, newest_is_small=small)
 
     # Writing
@@ -137,6 +138,12 @@ class StateTable:
         done = [name for name in names if files.exists(self.spark, f"{root}/{name}/_SUCCESS")]
         return sorted(int(name.removeprefix(prefix)) for name in done)
 
+    def _size(self, path: str) -> int:
+        """Bytes of a committed folder; listed once, since it does not change."""
+        if path not in self._sizes:
+            self._sizes[path] = files.size_in_bytes(self.spark, path)
+        return self._sizes[path]
+
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
         if not files.exists(self.spark, f"{path}/_SUCCESS"):
