@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 
 from tidemark import extract_after, infer_schema
 from tidemark.functions import first_message_schema
+from tidemark.schemas import envelope
 
 ROW = image(1, 2, 3, 4, 5)
 IMAGE = "struct<customer_id:bigint,order_id:bigint,price:bigint,product_id:bigint,quantity:bigint>"
@@ -23,7 +24,7 @@ def test_changing_types_become_text(feed_of):
 
 
 def test_what_is_no_object_is_passed_over(feed_of):
-    assert kinds(infer_schema(feed_of(None, "", "{bad", "null", "[1]", "7", '{"op":"c"}'))) == {"op": "string"}
+    assert kinds(infer_schema(feed_of(None, "", "{bad", "null", "[1]", "7", ' \n\t{"op":"c"}'))) == {"op": "string"}
 
 
 def test_nothing_to_infer_from(feed_of):
@@ -48,12 +49,20 @@ def test_odd_field_names(feed_of):
 
 def test_extract(spark, feed_of, tmp_path):
     feed = feed_of(event("d", ROW, None, 1), event("c", None, ROW, 2), None, "{bad")
-    rows = extract_after(feed, str(tmp_path / "out"))
-    assert dict(rows.dtypes) == dict.fromkeys(["customer_id", "order_id", "price", "product_id", "quantity"], "bigint")
+    extract_after(feed, str(tmp_path / "out"))
     written = spark.read.parquet(str(tmp_path / "out"))
+    assert dict(written.dtypes) == dict.fromkeys(["customer_id", "order_id", "price", "product_id", "quantity"], "bigint")
     assert sorted(map(tuple, written.collect()), key=str) == [(2, 1, 5, 3, 4)] + [(None,) * 5] * 3
     extract_after(feed, str(tmp_path / "out"))
-    assert written.sparkSession.read.parquet(str(tmp_path / "out")).count() == 8
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_extract_with_a_known_schema(spark, feed_of, tmp_path):
+    extract_after(feed_of(event("c", None, ROW, 1), None), str(tmp_path / "out"), envelope())
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert dict(written.dtypes)["price"] == "int" and written.count() == 2
+    with pytest.raises(ValueError, match="no data"):
+        extract_after(feed_of("x").limit(0), str(tmp_path / "out"), envelope())
 
 
 def test_extract_of_nothing(feed_of, tmp_path):
@@ -69,7 +78,8 @@ def test_extract_without_any_new_image(feed_of, tmp_path):
 def test_first_message_decides_alone(spark, feed_of, tmp_path):
     """The way that loses what the first message lacks; here both messages look alike."""
     feed = feed_of(event("c", None, ROW, 1), event("c", None, ROW, 2))
-    assert extract_after(feed, str(tmp_path / "out"), from_first=True).dtypes[0] == ("customer_id", "bigint")
+    extract_after(feed, str(tmp_path / "out"), from_first=True)
+    assert spark.read.parquet(str(tmp_path / "out")).dtypes[0] == ("customer_id", "bigint")
     with pytest.raises(AnalysisException):
         extract_after(feed_of(event("d", ROW, None, 1)), str(tmp_path / "out"), from_first=True)
     with pytest.raises(ValueError):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark import StateTable, decode, latest_per_key, read_log, row_images, run_bronze
 from tidemark.schemas import ORDER_IMAGE, envelope, log_schema
-from tidemark.sources import append_log, check_append, shared_folder
+from tidemark.sources import append_log, check_append, read_if_present, shared_folder
 
 EXPECTED = [(1, 1, 100, 1, 1, "c", 10.0), (2, 2, 100, 2, 200, "u", 1010.3)]
 
@@ -113,6 +113,20 @@ def test_shared_folder(spark):
     assert one != other and one.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_plain_table_taken_over(spark, table, feed_of, scenario, tmp_path):
+    plain, empty = str(tmp_path / "plain"), tmp_path / "empty"
+    empty.mkdir()
+    assert read_if_present(spark, plain) is None and read_if_present(spark, str(empty)) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_if_present(spark, str(tmp_path / "broken"))
+    row_images(decode(feed_of(*scenario[:2]))).write.parquet(plain)
+    table.replace(read_if_present(spark, plain))
+    table.add_changes(changes(feed_of, *scenario), table.next_batch())
+    assert rows_of(table) == EXPECTED
+
+
 # The log
 
 

@@ -30,9 +30,9 @@ def infer_schema(feed: DataFrame, images: tuple[str, str] = ("after", "before"))
     Integers become BIGINT, other numbers DOUBLE, fields that are null everywhere or change type
     become STRING.  The two images describe the same table, so they get the same fields.
     """
-    parsed = feed.select(F.try_parse_json(as_text()).alias("value"))
-    objects = parsed.filter(F.schema_of_variant("value").startswith("OBJECT"))
-    found = objects.select(F.schema_of_variant_agg("value").alias("kind")).first().kind
+    text = as_text()
+    objects = feed.filter(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"))
+    found = objects.select(F.schema_of_variant_agg(F.try_parse_json(text)).alias("kind")).first().kind
     if not found.startswith("OBJECT<"):
         raise ValueError("no JSON object to infer a schema from")
     kinds = {f.name: f.dataType for f in T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))}

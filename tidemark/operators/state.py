@@ -60,8 +60,7 @@ def fold_changes(
     if not comparable(schema):
         return merge_state(existing, newest, keys, order_by, keep_deletes=True)
     existing, newest = existing.to(schema), newest.to(schema)
-    columns = precedence(schema, keys, order_by)
-    columns += [k for k in keys if k not in columns]
+    columns = [c for c in precedence(schema, keys, order_by) if c not in keys]
     held, came = _packed(existing, keys, columns, "held"), _packed(newest, keys, columns, "came")
     pairs = [(F.col(f"held_{i}"), F.col(f"came_{i}")) for i in range(len(keys))]
     # Structs compare field by field with null lowest, which is the order of the ranking window.
@@ -69,25 +68,30 @@ def fold_changes(
     if newest_is_small:
         same_key = reduce(and_, [h.eqNullSafe(c) for h, c in pairs])
         came = F.broadcast(came)
-        updated = held.join(came, same_key, "left").select(newer)
+        updated = held.join(came, same_key, "left").select(*[h for h, _ in pairs], newer)
         known = held.drop("held").join(came.drop("came"), same_key, "left_semi")
-        added = came.join(F.broadcast(known), same_key, "left_anti").select(F.col("came").alias("row"))
-        return _unpacked(updated.unionByName(added), schema)
+        added = came.join(F.broadcast(known), same_key, "left_anti")
+        return _unpacked(updated, keys, schema).unionByName(_unpacked(added, keys, schema))
     # Plain equality lets the join use the partitioning ``newest`` already has; rows with a null
     # in the key, which it cannot match, are merged on the side.
     same_key = reduce(and_, [h == c for h, c in pairs])
-    whole = [reduce(and_, [F.col(f"{name}_{i}").isNotNull() for i in range(len(keys))]) for name in ("held", "came")]
-    rows = held.filter(whole[0]).join(came.filter(whole[1]), same_key, "full_outer").select(newer)
+    whole = [reduce(and_, [pair[side].isNotNull() for pair in pairs]) for side in (0, 1)]
+    joined = held.filter(whole[0]).join(came.filter(whole[1]), same_key, "full_outer")
+    rows = joined.select(*[F.coalesce(h, c) for h, c in pairs], newer)
     no_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
     others = merge_state(existing.filter(no_key), newest.filter(no_key), keys, order_by, keep_deletes=True)
-    return _unpacked(rows, schema).unionByName(others)
+    return _unpacked(rows, keys, schema).unionByName(others)
 
 
-def _unpacked(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    return rows.select("row.*").select(*[F.col(f"`{c}`") for c in schema.names])
+def _unpacked(rows: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
+    """Key columns and the row struct, in that order, back as the columns of ``schema``."""
+    rows = rows.toDF(*[f"_key_{i}" for i in range(len(keys))], "row")
+    columns = {c: F.col("row")[c] for c in schema.names if c not in keys}
+    columns.update({k: F.col(f"_key_{i}") for i, k in enumerate(keys)})
+    return rows.select(*[columns[c].alias(c) for c in schema.names])
 
 
 def _packed(df: DataFrame, keys: list[str], columns: list[str], name: str) -> DataFrame:
-    """The keys under names of their own, and the row as one struct led by its order columns."""
+    """The keys under names of their own, and the other columns as one struct in their order of precedence."""
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name)
     return df.select(*[F.col(f"`{k}`").alias(f"{name}_{i}") for i, k in enumerate(keys)], row)

@@ -30,7 +30,6 @@ from ..schemas import ORDER_IMAGE, envelope, log_schema
 from ..sources import (
     StateTable,
     append_log,
-    append_parquet,
     read_feed,
     read_log,
     require_messages,
@@ -243,14 +242,17 @@ _AFTER_BIGINT = ", ".join(
 
 @check(f"{EVENTS} SELECT {_AFTER_BIGINT} FROM ev")
 def q_extract_after_inferred(spark, sf_dir):
-    return extract_after(feed(spark, sf_dir), shared_folder(spark, "extract"))
+    out = shared_folder(spark, "extract")
+    extract_after(feed(spark, sf_dir), out)
+    return spark.read.parquet(out)
 
 
 @check(f"{EVENTS} SELECT {_AFTER_BIGINT} FROM ev UNION ALL SELECT {_AFTER_BIGINT} FROM ev")
 def q_append_extract(spark, sf_dir):
+    """The job run twice."""
     out = shared_folder(spark, "extract")
-    rows = extract_after(feed(spark, sf_dir), out)
-    append_parquet(rows, out)
+    for _ in range(2):
+        extract_after(feed(spark, sf_dir), out)
     return spark.read.parquet(out)
 
 

@@ -43,16 +43,19 @@ def run_bronze(
     return table.fold()
 
 
-def extract_after(feed: DataFrame, out: str, schema: T.StructType | None = None, from_first: bool = False) -> DataFrame:
-    """Append the ``after`` columns of every message to a Parquet folder; returns the rows added.
+def extract_after(feed: DataFrame, out: str, schema: T.StructType | None = None, from_first: bool = False) -> None:
+    """Append the ``after`` columns of every message to a Parquet folder.
 
-    The feed is read once and landed, and its schema is inferred from all of it unless ``schema``
-    is given.  ``from_first`` lets the first message alone decide.
+    Without a ``schema`` one is inferred from the whole feed, or from its first message alone with
+    ``from_first``.  The feed is landed for that, so that both passes see the same messages.
     """
-    landed = require_messages(land_feed(feed))
-    if from_first:
-        rows = landed.select(decode_json("value", first_message_schema(landed)).alias("value")).select("value.after.*")
+    if schema is not None:
+        rows = extract_images(require_messages(feed), schema)
     else:
-        rows = extract_images(landed, schema or infer_schema(landed))
+        landed = require_messages(land_feed(feed))
+        if from_first:
+            parsed = decode_json("value", first_message_schema(landed))
+            rows = landed.select(parsed.alias("value")).select("value.after.*")
+        else:
+            rows = extract_images(landed, infer_schema(landed))
     append_parquet(rows, out)
-    return rows

@@ -2,7 +2,7 @@
 
 from .feeds import land_feed, read_feed, require_messages, stream_feed, write_feed
 from .files import shared_folder
-from .log import append_log, append_parquet, check_append, check_stream, read_log, stream_log
+from .log import append_log, append_parquet, check_append, check_stream, read_if_present, read_log, stream_log
 from .state_table import StateTable
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "check_stream",
     "land_feed",
     "read_feed",
+    "read_if_present",
     "read_log",
     "require_messages",
     "shared_folder",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +89,19 @@ def _conflict(held: T.DataType, given: T.DataType, at: str = "") -> str | None:
     return None if held == given else f"{at} is {held.simpleString()}, not {given.simpleString()}"
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A plain Parquet table, or None if there is none; any other failure is raised.
+
+    ``StateTable.replace`` takes the result over as a first version.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def append_parquet(df: DataFrame, path: str) -> None:
     """Add the rows to a Parquet folder; a repeated run adds them again."""
     df.write.mode("append").parquet(path)
