@@ -1,11 +1,13 @@
 import json
 import os
+import re
 
 import pytest
 from conftest import event, image
 
 from tidemark import StateTable, current_state, decode, read_log, run_bronze, run_ingest, run_state_stream, stream_feed, stream_log
 from tidemark.__main__ import main
+from tidemark.schemas import state_envelope
 from tidemark.sources import append_log
 from tidemark.sources.feeds import KAFKA_STREAM_OPTIONS
 
@@ -63,7 +65,7 @@ def test_log_of_another_checkpoint_is_refused(spark, place, send, scenario, feed
         append_log(decode(feed_of("{}")), place("log"))
 
 
-@pytest.mark.parametrize("fold_ratio", [0, 0.1, 1e9])
+@pytest.mark.parametrize("fold_ratio", [0, 0.1, None])
 def test_state_stream(spark, place, send, scenario, fold_ratio):
     table = StateTable(spark, place("state"), KEYS)
     arrivals = [scenario[4], scenario[3], None, scenario[2], scenario[0], "{bad", scenario[1], scenario[0]]
@@ -78,7 +80,7 @@ def test_state_stream(spark, place, send, scenario, fold_ratio):
     send(*arrivals[4:])
     run()
     assert rows_of(table) == EXPECTED
-    assert (len(table.pending()) > 0) == (fold_ratio == 1e9)
+    assert (len(table.pending()) > 0) == (fold_ratio is None)
 
 
 def test_replayed_micro_batch(spark, place, send, scenario):
@@ -140,9 +142,39 @@ def test_command_line(spark, place, send, scenario, monkeypatch):
 
 
 def test_command_line_state_and_image(spark, place, feed_of):
-    value = json.dumps(event("c", None, {"id": 1, "name": "x"}, 1.0))
-    feed_of(value).write.parquet(place("feed"))
-    common = ["--root", place("out"), "--table", "people", "--image", "id INT, name STRING", "--available-now"]
-    main(["ingest", "--feed-format", "parquet", "--feed-path", place("feed"), *common])
-    main(["state", "--keys", "id", *common])
-    assert rows_of(StateTable(spark, place("out/bronze/people"), "id")) == [(1, "x", "c", 1.0)]
+    def send(name, ts):
+        value = json.dumps(event("c", None, {"id": 1, "name": name}, ts))
+        feed_of(value).write.mode("append").parquet(place("feed"))
+        main(["ingest", "--feed-format", "parquet", "--feed-path", place("feed"), *common])
+        main(["state", "--keys", "id", "--no-fold", *common])
+
+    where = ["--root", place("out"), "--table", "people"]
+    common = [*where, "--image", "id INT, name STRING", "--available-now"]
+    table = StateTable(spark, place("out/bronze/people"), "id")
+    send("x", 1.0)
+    send("y", 2.0)
+    assert table.version() is None and rows_of(table) == [(1, "y", "c", 2.0)]
+    main(["fold", "--keys", "id", *where])
+    assert table.version() == 2 and rows_of(table) == [(1, "y", "c", 2.0)]
+
+
+def test_fold_while_the_stream_goes_on(spark, place, send, scenario):
+    """Another process folds between the stream's batches."""
+    table = StateTable(spark, place("state"), KEYS)
+    for values in (scenario[4:], scenario[2:4], scenario[:2]):
+        send(*values)
+        events = decode(stream_feed(spark, place("feed")), state_envelope())
+        run_state_stream(events, table, fold_ratio=None, available_now=True).awaitTermination()
+        StateTable(spark, place("state"), KEYS).fold()
+    assert table.pending() == [] and rows_of(table) == EXPECTED
+
+
+def test_state_stream_reads_only_what_it_needs(spark, place, send, scenario):
+    send(*scenario)
+    ingest(spark, place)
+    table = StateTable(spark, place("state"), KEYS)
+    query = run_state_stream(stream_log(spark, place("log")), table, fold_ratio=None, available_now=True)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(True)
+    schema = re.findall(r"ReadSchema: (\S+)", plan)[-1]
+    assert "source:struct<file:string,pos:string,ts_ms:double>" in schema and "transaction" not in schema

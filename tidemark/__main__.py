@@ -23,6 +23,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ingest = jobs.add_parser("ingest", help="stream a feed into the log")
     bronze = jobs.add_parser("bronze", help="bring the state table up to date with the log")
     state = jobs.add_parser("state", help="keep the state table up to date from the log as a stream")
+    fold = jobs.add_parser("fold", help="fold the batches a state stream stored into the table")
     extract = jobs.add_parser("extract", help="append the new row images of a whole feed to a Parquet folder")
 
     for job in (ingest, extract):
@@ -31,17 +32,20 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--feed-format", default="kafka")
         job.add_argument("--feed-path", help="for a feed in files")
         job.add_argument("--feed-option", action="append", default=[], metavar="NAME=VALUE")
-    for job in (ingest, bronze, state):
+    for job in (ingest, bronze, state, fold):
         job.add_argument("--table", default=os.environ.get("TABLE_NAME"), required="TABLE_NAME" not in os.environ)
         job.add_argument("--root", default="../out")
+    for job in (ingest, bronze, state):
         job.add_argument("--log-format", default="parquet", help="parquet or delta")
         job.add_argument("--image", help='columns of the table, as "customer_id INT, order_id INT"')
-    for job in (bronze, state):
+    for job in (bronze, state, fold):
         job.add_argument("--keys", default=os.environ.get("TABLE_KEY"), required="TABLE_KEY" not in os.environ)
+    for job in (bronze, state):
         job.add_argument("--op-from", default="op", choices=["op", "images"])
     for job in (ingest, state):
         job.add_argument("--available-now", action="store_true", help="take what is there and stop")
     bronze.add_argument("--since", help="first ingest date to read; all by default")
+    state.add_argument("--no-fold", action="store_true", help="leave folding to the fold job")
     extract.add_argument("--out", default="output")
     extract.add_argument("--first-message", action="store_true", help="infer the schema from the first message alone")
     return parser.parse_args(argv)
@@ -57,23 +61,34 @@ def main(argv: list[str] | None = None) -> None:
         extract_after(read_feed(*source, **options), args.out, from_first=args.first_message)
         return
 
-    image = T.StructType.fromDDL(args.image) if args.image else ORDER_IMAGE
-    log = f"{args.root}/log/{args.table}"
     if args.job == "ingest":
         checkpoint = f"{args.root}/log/checkpoint_{args.table}"
         feed = stream_feed(*source, **options)
         run_ingest(
-            feed, log, checkpoint, envelope(image), args.log_format, available_now=args.available_now
+            feed, _log(args), checkpoint, envelope(_image(args)), args.log_format, available_now=args.available_now
         ).awaitTermination()
         return
 
     table = StateTable(spark, f"{args.root}/bronze/{args.table}", args.keys)
-    if args.job == "bronze":
+    if args.job == "fold":
+        table.fold()
+    elif args.job == "bronze":
         backups = f"{args.root}/bronze/backup/{args.table}"
-        run_bronze(spark, log, table, backups, None, args.since, log_schema(image), args.log_format, args.op_from)
+        schema = log_schema(_image(args))
+        run_bronze(spark, _log(args), table, backups, None, args.since, schema, args.log_format, args.op_from)
     else:
-        events = stream_log(spark, log, log_schema(image), args.log_format)
-        run_state_stream(events, table, args.op_from, available_now=args.available_now).awaitTermination()
+        events = stream_log(spark, _log(args), log_schema(_image(args)), args.log_format)
+        run_state_stream(
+            events, table, args.op_from, None if args.no_fold else 0.1, args.available_now
+        ).awaitTermination()
+
+
+def _log(args: argparse.Namespace) -> str:
+    return f"{args.root}/log/{args.table}"
+
+
+def _image(args: argparse.Namespace) -> T.StructType:
+    return T.StructType.fromDDL(args.image) if args.image else ORDER_IMAGE
 
 
 if __name__ == "__main__":

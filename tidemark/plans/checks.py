@@ -26,7 +26,7 @@ from ..operators import (
     source_struct,
     to_change_feed,
 )
-from ..schemas import ORDER_IMAGE, envelope, log_schema
+from ..schemas import ORDER_IMAGE, envelope, log_schema, state_envelope
 from ..sources import (
     StateTable,
     append_log,
@@ -286,7 +286,7 @@ def q_current_state(spark, sf_dir):
 
 @check(STATE)
 def q_current_state_from_feed(spark, sf_dir):
-    return current_state(decode(feed(spark, sf_dir)), KEYS)
+    return current_state(decode(feed(spark, sf_dir), state_envelope()), KEYS)
 
 
 @check(LATEST.replace(_LAST_OP, "CASE WHEN updated AND NOT deleted THEN 'u' ELSE 'c' END"))
@@ -476,16 +476,16 @@ def q_stream_ingest(spark, sf_dir):
 @check(STATE)
 def q_stream_state(spark, sf_dir):
     table = new_table(spark, "state", broadcast_limit=0)
-    run_state_stream(decode(feed_stream(spark, sf_dir)), table, available_now=True).awaitTermination()
+    run_state_stream(decode(feed_stream(spark, sf_dir), state_envelope()), table, available_now=True).awaitTermination()
     return table.read()
 
 
 @check(STATE)
 def q_stream_state_from_log(spark, sf_dir):
-    """Feed to log and log to state, each a stream of its own; nothing is folded after the first batch."""
+    """Feed to log and log to state, each a stream of its own, and nothing folded."""
     target, checkpoint = shared_folder(spark, "log"), shared_folder(spark, "checkpoint")
     run_ingest(feed_stream(spark, sf_dir), target, checkpoint, available_now=True).awaitTermination()
     table = new_table(spark, "state")
     events = stream_log(spark, target)
-    run_state_stream(events, table, fold_ratio=100, available_now=True).awaitTermination()
+    run_state_stream(events, table, fold_ratio=None, available_now=True).awaitTermination()
     return table.read()

@@ -14,24 +14,25 @@ def run_state_stream(
     events: DataFrame,
     table: StateTable,
     op_from: str = "op",
-    fold_ratio: float = 0.1,
+    fold_ratio: float | None = 0.1,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Apply each micro-batch of a decoded feed, or of the log, to the table.
 
     A micro-batch costs its own size: its newest row per key is stored next to the state.  The
-    state as a whole is rewritten only when the stored batches reach ``fold_ratio`` of its size.
-    No state store is involved, so neither keys nor lateness are bounded.  Batch numbers come from
-    the checkpoint, which lives with the table; a replayed micro-batch replaces itself.
+    state as a whole is rewritten only when the stored batches reach ``fold_ratio`` of its size;
+    None leaves that to a job of its own that calls ``table.fold()`` meanwhile.  No state store is
+    involved, so neither keys nor lateness are bounded.  Batch numbers come from the checkpoint,
+    which lives with the table; a replayed micro-batch replaces itself.
     """
     checkpoint, first = table.open_checkpoint()
-    position = has_position(events)
+    # Chosen before the sink, so that the stream's own plan reads no more than the images need.
+    images = row_images(events, op_from, position=has_position(events))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        images = row_images(batch, op_from, position)
-        table.add_changes(latest_per_key(images, table.keys, table.order_by), first + batch_id)
-        if table.pending_bytes() >= fold_ratio * table.base_bytes():
+        table.add_changes(latest_per_key(batch, table.keys, table.order_by), first + batch_id)
+        if fold_ratio is not None and table.pending_bytes() >= fold_ratio * table.base_bytes():
             table.fold()
 
-    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = images.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
