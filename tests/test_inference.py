@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import event, image
 from pyspark.errors import AnalysisException
@@ -84,3 +86,12 @@ def test_first_message_decides_alone(spark, feed_of, tmp_path):
         extract_after(feed_of(event("d", ROW, None, 1)), str(tmp_path / "out"), from_first=True)
     with pytest.raises(ValueError):
         first_message_schema(feed_of(None))
+
+
+def test_landed_copy_is_removed(spark, feed_of, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    extract_after(feed_of(event("c", None, ROW, 1)), str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        extract_after(feed_of(None), str(tmp_path / "out"))
+    assert set(os.listdir(root)) == before

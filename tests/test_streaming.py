@@ -178,3 +178,18 @@ def test_state_stream_reads_only_what_it_needs(spark, place, send, scenario):
     plan = query._jsq.explainInternal(True)
     schema = re.findall(r"ReadSchema: (\S+)", plan)[-1]
     assert "source:struct<file:string,pos:string,ts_ms:double>" in schema and "transaction" not in schema
+
+
+def test_running_stream(spark, place, send, scenario):
+    """Not a run to the end but a stream that waits for more."""
+    send(*scenario[:3])
+    feed = stream_feed(spark, place("feed"))
+    query = run_ingest(feed, place("log"), place("checkpoint"), every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+        assert read_log(spark, place("log")).count() == 3
+        send(*scenario[3:])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert read_log(spark, place("log")).count() == 7

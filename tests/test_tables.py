@@ -54,6 +54,24 @@ def test_late_create_does_not_undo_a_delete(spark, tmp_path, feed_of, scenario,
     assert rows_of(table) == EXPECTED
 
 
+def test_small_on_disk_is_not_small_enough(spark, tmp_path):
+    """A batch that compresses well is measured by its text before it is broadcast."""
+    table = StateTable(spark, str(tmp_path / "state"), "k", broadcast_limit=1 << 16)
+    schema = "k bigint, note string, op string, ts_ms double"
+    rows = spark.range(100).selectExpr("id k", "'' note", "'c' op", "1D ts_ms")
+    table.replace(rows)
+
+    def plan():
+        return table.rows()._jdf.queryExecution().executedPlan().toString()
+
+    table.add_changes(spark.createDataFrame([(1, "n", "u", 2.0)], schema), 1)
+    assert "BroadcastHashJoin" in plan() and "SortMergeJoin" not in plan()
+    table.add_changes(spark.range(100).selectExpr("id k", "repeat('x', 100000) note", "'u' op", "2D ts_ms"), 2)
+    assert table.pending_bytes() < 1 << 16
+    assert "SortMergeJoin" in plan() and "BroadcastHashJoin" not in plan()
+    assert table.read().filter("length(note) = 100000").count() == 100
+
+
 def test_repeated_batch(table, feed_of, scenario):
     table.add_changes(changes(feed_of, *scenario[:3]), 0)
     table.add_changes(changes(feed_of, *scenario[:3]), 0)

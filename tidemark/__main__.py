@@ -44,6 +44,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--op-from", default="op", choices=["op", "images"])
     for job in (ingest, state):
         job.add_argument("--available-now", action="store_true", help="take what is there and stop")
+        job.add_argument("--every", help='time between micro-batches, as "1 minute"')
     bronze.add_argument("--since", help="first ingest date to read; all by default")
     state.add_argument("--no-fold", action="store_true", help="leave folding to the fold job")
     extract.add_argument("--out", default="output")
@@ -65,7 +66,13 @@ def main(argv: list[str] | None = None) -> None:
         checkpoint = f"{args.root}/log/checkpoint_{args.table}"
         feed = stream_feed(*source, **options)
         run_ingest(
-            feed, _log(args), checkpoint, envelope(_image(args)), args.log_format, available_now=args.available_now
+            feed,
+            _log(args),
+            checkpoint,
+            envelope(_image(args)),
+            args.log_format,
+            available_now=args.available_now,
+            every=args.every,
         ).awaitTermination()
         return
 
@@ -79,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         events = stream_log(spark, _log(args), log_schema(_image(args)), args.log_format)
         run_state_stream(
-            events, table, args.op_from, None if args.no_fold else 0.1, args.available_now
+            events, table, args.op_from, None if args.no_fold else 0.1, args.available_now, args.every
         ).awaitTermination()
 
 

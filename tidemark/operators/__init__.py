@@ -4,7 +4,7 @@ from .decode import decode, decode_key, extract_images, message_status, only_tab
 from .images import log_position, row_images
 from .latest import latest_per_key
 from .publish import source_struct, to_change_feed
-from .state import current_state, fold_changes, live_rows, merge_state
+from .state import current_state, fold_changes, live_rows, merge_state, text_bytes
 
 __all__ = [
     "current_state",
@@ -20,5 +20,6 @@ __all__ = [
     "only_table",
     "row_images",
     "source_struct",
+    "text_bytes",
     "to_change_feed",
 ]

@@ -83,6 +83,12 @@ def fold_changes(
     return _unpacked(rows, keys, schema).unionByName(others)
 
 
+def text_bytes(df: DataFrame) -> int:
+    """Size of the rows as JSON text: a measure of what a broadcast takes in memory, whatever the compression on disk."""
+    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
 def _unpacked(rows: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
     """Key columns and the row struct, in that order, back as the columns of ``schema``."""
     rows = rows.toDF(*[f"_key_{i}" for i in range(len(keys))], "row")

@@ -24,6 +24,7 @@ from ..operators import (
     message_status,
     row_images,
     source_struct,
+    text_bytes,
     to_change_feed,
 )
 from ..schemas import ORDER_IMAGE, envelope, log_schema, state_envelope
@@ -38,6 +39,7 @@ from ..sources import (
     stream_log,
     write_feed,
 )
+from ..sources.files import exists
 from ..streaming import run_ingest, run_state_stream
 from .jobs import extract_after, run_bronze
 from .order_feed import KEYS, order_feed
@@ -67,7 +69,7 @@ def check(sql: str) -> Callable[[Query], Query]:
 def staged(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Folder that ``write`` filled, once per session."""
     at = (spark.sparkContext.applicationId, sf_dir, name)
-    if at not in _STAGED:
+    if at not in _STAGED or not exists(spark, f"{_STAGED[at]}/_SUCCESS"):
         path = shared_folder(spark, name)
         write(path)
         _STAGED[at] = path
@@ -334,8 +336,7 @@ def q_stale_create_compat(spark, sf_dir):
 def q_fold_broadcast(spark, sf_dir):
     deletes, others = _deletes_and_others(spark, sf_dir)
     small = latest_per_key(deletes, KEYS)
-    # Parquet bytes bound what the table class broadcasts; here the estimate of the plan does.
-    fits = _estimated_bytes(small) <= 64 << 20
+    fits = text_bytes(small) <= 64 << 20
     folded = fold_changes(latest_per_key(others, KEYS), small, KEYS, newest_is_small=fits)
     return live_rows(folded).drop("_position")
 
@@ -352,10 +353,6 @@ def _deletes_and_others(spark, sf_dir):
     return events.filter(F.col("op") == "d"), events.filter(F.col("op") != "d")
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 # Other tables, other keys
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import decode_json, first_message_schema, infer_schema
 from ..operators import extract_images, latest_per_key, merge_state, row_images
 from ..operators.images import has_position
-from ..sources import StateTable, append_parquet, land_feed, read_log, require_messages
+from ..sources import StateTable, append_parquet, landed_feed, read_log, require_messages
 
 
 def run_bronze(
@@ -50,12 +50,13 @@ def extract_after(feed: DataFrame, out: str, schema: T.StructType | None = None,
     ``from_first``.  The feed is landed for that, so that both passes see the same messages.
     """
     if schema is not None:
-        rows = extract_images(require_messages(feed), schema)
-    else:
-        landed = require_messages(land_feed(feed))
+        append_parquet(extract_images(require_messages(feed), schema), out)
+        return
+    with landed_feed(feed) as landed:
+        require_messages(landed)
         if from_first:
             parsed = decode_json("value", first_message_schema(landed))
             rows = landed.select(parsed.alias("value")).select("value.after.*")
         else:
             rows = extract_images(landed, infer_schema(landed))
-    append_parquet(rows, out)
+        append_parquet(rows, out)

@@ -1,6 +1,6 @@
 """Feeds, the change log, and the state table."""
 
-from .feeds import land_feed, read_feed, require_messages, stream_feed, write_feed
+from .feeds import landed_feed, read_feed, require_messages, stream_feed, write_feed
 from .files import shared_folder
 from .log import append_log, append_parquet, check_append, check_stream, read_if_present, read_log, stream_log
 from .state_table import StateTable
@@ -11,7 +11,7 @@ __all__ = [
     "append_parquet",
     "check_append",
     "check_stream",
-    "land_feed",
+    "landed_feed",
     "read_feed",
     "read_if_present",
     "read_log",

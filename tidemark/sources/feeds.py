@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions import as_text
 from ..schemas import feed_schema
-from .files import shared_folder
+from .files import remove, shared_folder
 
 # A stream that starts without a checkpoint replays the whole topic, and goes on where messages have expired.
 KAFKA_STREAM_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -65,8 +68,16 @@ def require_messages(feed: DataFrame) -> DataFrame:
     return feed
 
 
-def land_feed(feed: DataFrame, path: str | None = None) -> DataFrame:
-    """The message texts written once and read back, so that later steps see one and the same feed."""
-    path = path or shared_folder(feed.sparkSession, "feed")
-    feed.select(as_text().alias("value")).write.mode("overwrite").parquet(path)
-    return feed.sparkSession.read.schema("value string").parquet(path)
+@contextmanager
+def landed_feed(feed: DataFrame) -> Iterator[DataFrame]:
+    """The message texts written once and read back, so that several passes see one and the same feed.
+
+    The copy is removed at the end of the block.
+    """
+    spark = feed.sparkSession
+    path = shared_folder(spark, "feed")
+    try:
+        feed.select(as_text().alias("value")).write.parquet(path)
+        yield spark.read.schema("value string").parquet(path)
+    finally:
+        remove(spark, path)

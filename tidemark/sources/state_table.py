@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import key_columns
-from ..operators import fold_changes, latest_per_key, live_rows
+from ..operators import fold_changes, latest_per_key, live_rows, text_bytes
 from . import files
 
 
@@ -18,6 +18,9 @@ class StateTable:
     the newest row per key of batch ``N``.  Deleted rows are kept, so that an event older than the
     delete cannot bring its row back.  Each folder is written once and counts only with its
     ``_SUCCESS`` marker: a failed or repeated write leaves what readers see as it was.
+
+    Stored batches are broadcast to the state when they take no more than ``broadcast_limit`` bytes
+    on disk and four times that as text; larger ones are joined by a shuffle.
     """
 
     def __init__(
@@ -77,10 +80,11 @@ class StateTable:
             return base
         # Batches may differ in columns after the source table changed.
         paths = [self._batch(batch) for batch in pending]
-        newest = latest_per_key(self.spark.read.option("mergeSchema", "true").parquet(*paths), self.keys, self.order_by)
+        changes = self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        newest = latest_per_key(changes, self.keys, self.order_by)
         if base is None:
             return newest
-        small = sum(self._size(path) for path in paths) <= self.broadcast_limit
+        small = self.pending_bytes() <= self.broadcast_limit and text_bytes(changes) <= 4 * self.broadcast_limit
         return fold_changes(base, newest, self.keys, self.order_by, newest_is_small=small)
 
     # Writing

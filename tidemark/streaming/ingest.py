@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import decode
 from ..sources import check_append, check_stream
+from .trigger import triggered
 
 
 def run_ingest(
@@ -18,12 +19,14 @@ def run_ingest(
     fmt: str = "parquet",
     clock: str | Column | None = None,
     available_now: bool = False,
+    every: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Decode the feed and append it to the log, partitioned by ingest date.
 
     Stateless and without a shuffle.  A restart goes on from the checkpoint.  ``available_now``
-    takes what is there and stops.  Columns added to the schema appear in the log from then on.
+    takes what is there and stops; ``every`` (such as "1 minute") spaces the micro-batches and so
+    makes fewer, larger files.  Columns added to the schema appear in the log from then on.
     """
     events = decode(feed, schema, clock)
     if fmt == "parquet":
@@ -38,4 +41,4 @@ def run_ingest(
         .option("checkpointLocation", checkpoint)
         .options(**options)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start(log_path)
+    return triggered(writer, available_now, every).start(log_path)

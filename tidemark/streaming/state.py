@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import latest_per_key, row_images
 from ..operators.images import has_position
 from ..sources import StateTable
+from .trigger import triggered
 
 
 def run_state_stream(
@@ -16,6 +17,7 @@ def run_state_stream(
     op_from: str = "op",
     fold_ratio: float | None = 0.1,
     available_now: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Apply each micro-batch of a decoded feed, or of the log, to the table.
 
@@ -35,4 +37,4 @@ def run_state_stream(
             table.fold()
 
     writer = images.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return triggered(writer, available_now, every).start()
