@@ -5,6 +5,8 @@ import re
 import pytest
 from conftest import event, image
 
+from pyspark.errors import StreamingQueryException
+
 from tidemark import StateTable, current_state, decode, read_log, run_bronze, run_ingest, run_state_stream, stream_feed, stream_log
 from tidemark.__main__ import main
 from tidemark.schemas import state_envelope
@@ -180,6 +182,32 @@ def test_state_stream_reads_only_what_it_needs(spark, place, send, scenario):
     assert "source:struct<file:string,pos:string,ts_ms:double>" in schema and "transaction" not in schema
 
 
+@pytest.mark.parametrize("step", ["add_changes", "fold", "_clean_up"])
+@pytest.mark.parametrize("before", [True, False])
+def test_stream_that_broke_goes_on(spark, place, send, scenario, step, before):
+    """Killed before or after each step of a micro-batch."""
+
+    class Breaking(StateTable):
+        pass
+
+    def fail(self, *args):
+        if not before:
+            getattr(StateTable, step)(self, *args)
+        raise RuntimeError("lost")
+
+    setattr(Breaking, step, fail)
+    send(*scenario[2:])
+    events = decode(stream_feed(spark, place("feed")), state_envelope())
+    sound = StateTable(spark, place("state"), KEYS)
+    run_state_stream(events, sound, fold_ratio=0, available_now=True).awaitTermination()
+    send(*scenario[:2])
+    with pytest.raises(StreamingQueryException):
+        broken = Breaking(spark, place("state"), KEYS)
+        run_state_stream(events, broken, fold_ratio=0, available_now=True).awaitTermination()
+    run_state_stream(events, sound, fold_ratio=0, available_now=True).awaitTermination()
+    assert rows_of(sound) == EXPECTED
+
+
 def test_running_stream(spark, place, send, scenario):
     """Not a run to the end but a stream that waits for more."""
     send(*scenario[:3])
