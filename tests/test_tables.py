@@ -211,3 +211,63 @@ def test_bronze_by_images(spark, feed_of, scenario, tmp_path):
     run_bronze(spark, log, derived, op_from="images")
     assert [r[1] for r in rows_of(literal)] == [1, 2, 3]
     assert [r[1] for r in rows_of(derived)] == [1, 2]
+
+
+# Bucketed versions
+
+
+def test_bucketed_state_is_merged_without_moving(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "state"), "k,m", buckets=6)
+    schema = "k int, m string, op string, ts_ms double, note string"
+    base = [(i, None if i % 5 == 0 else f"m{i % 3}", "c", 1.0, "old") for i in range(500)] + [(None, None, "c", 1.0, "old")]
+    table.replace(spark.createDataFrame(base, schema))
+    came = [(i, None if i % 5 == 0 else f"m{i % 3}", "u", 2.0, "new") for i in range(400, 600)] + [(None, None, "d", 2.0, "")]
+    table.add_changes(spark.createDataFrame(came, schema), table.next_batch())
+    expected = {(k, m): note for k, m, op, ts, note in base + came if op != "d"}
+    del expected[None, None]
+
+    def found():
+        return {(r.k, r.m): r.note for r in table.read().collect()}
+
+    assert found() == expected and table.read().count() == 600
+    text = table.rows()._jdf.queryExecution().executedPlan().toString()
+    above_base = text.split("Bucketed: true")[0].split("SortMergeJoin")[1]
+    assert "Exchange" not in above_base
+    assert table.fold() == 2 and found() == expected
+    names = os.listdir(f"{table.path}/base")
+    assert sorted(names) == ["v=1,n=6", "v=2,n=6"]
+    table.add_changes(spark.createDataFrame(came, schema), 2)
+    assert table.fold() == 3 and found() == expected
+    files = [f for f in os.listdir(f"{table.path}/base/v=3,n=6") if f.startswith("part")]
+    assert len(files) <= 12  # a bucket has one file, and one of rows with a null in the key
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("tidemark")] == []
+
+
+def test_bucket_count_may_change(spark, tmp_path, feed_of, scenario):
+    path = str(tmp_path / "state")
+    for batch, buckets in enumerate([None, 3, 5, 5, None]):
+        table = StateTable(spark, path, "order_id", buckets=buckets)
+        table.add_changes(changes(feed_of, scenario[4 - batch]), batch)
+        table.fold()
+    assert rows_of(StateTable(spark, path, "order_id")) == EXPECTED
+
+
+def test_failed_bucketed_write(spark, tmp_path, feed_of, scenario):
+    table = StateTable(spark, str(tmp_path / "state"), "order_id", buckets=3)
+    table.replace(changes(feed_of, *scenario))
+    broken = table.rows().withColumn("op", F.when(F.col("order_id") == 2, F.raise_error(F.lit("lost"))).otherwise("x"))
+    for _ in range(2):
+        with pytest.raises(PySparkException):
+            table.replace(broken.withColumn("op", F.col("op").cast("string")))
+        assert table.version() == 1 and rows_of(table) == EXPECTED
+    assert table.replace(table.rows()) == 2 and rows_of(table) == EXPECTED
+
+
+def test_column_added_to_a_bucketed_state(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "it's here"), "order_id", buckets=3)
+    old = "order_id int, quantity int, op string, ts_ms double"
+    table.replace(spark.createDataFrame([(1, 1, "c", 1.0), (2, 1, "c", 1.0)], old))
+    wide = "order_id int, quantity bigint, op string, ts_ms double, note string"
+    table.add_changes(spark.createDataFrame([(1, 5 << 40, "u", 2.0, "x")], wide), 1)
+    table.fold()
+    assert {r.order_id: (r.quantity, r.note) for r in table.read().collect()} == {1: (5 << 40, "x"), 2: (1, None)}

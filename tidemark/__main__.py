@@ -40,6 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--image", help='columns of the table, as "customer_id INT, order_id INT"')
     for job in (bronze, state, fold):
         job.add_argument("--keys", default=os.environ.get("TABLE_KEY"), required="TABLE_KEY" not in os.environ)
+        job.add_argument("--buckets", type=int, help="write the state bucketed by the keys, into so many")
     for job in (bronze, state):
         job.add_argument("--op-from", default="op", choices=["op", "images"])
     for job in (ingest, state):
@@ -76,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         ).awaitTermination()
         return
 
-    table = StateTable(spark, f"{args.root}/bronze/{args.table}", args.keys)
+    table = StateTable(spark, f"{args.root}/bronze/{args.table}", args.keys, buckets=args.buckets)
     if args.job == "fold":
         table.fold()
     elif args.job == "bronze":

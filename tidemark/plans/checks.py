@@ -425,6 +425,13 @@ def q_bronze_since(spark, sf_dir):
     return table.read()
 
 
+@check(STATE)
+def q_bronze_bucketed(spark, sf_dir):
+    table = new_table(spark, "state", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    _run_in_two_parts(spark, sf_dir, table, incremental=True)
+    return table.read()
+
+
 @check(f"{STATE} AND placed < TIMESTAMP '{SPLIT}'")
 def q_backup_snapshot(spark, sf_dir):
     backups = shared_folder(spark, "backup")

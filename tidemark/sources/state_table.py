@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ..functions import key_columns
 from ..operators import fold_changes, latest_per_key, live_rows, text_bytes
@@ -19,7 +22,11 @@ class StateTable:
     delete cannot bring its row back.  Each folder is written once and counts only with its
     ``_SUCCESS`` marker: a failed or repeated write leaves what readers see as it was.
 
-    Stored batches are broadcast to the state when they take no more than ``broadcast_limit`` bytes
+    With ``buckets`` the versions are written bucketed by the keys: merging batches then shuffles only
+    the batches, whatever their size, and the state stays where it is.  This needs a database in
+    which tables can be created; they are dropped at once, and the folder is all that stays.
+
+    Without, stored batches are broadcast to the state when they take no more than ``broadcast_limit`` bytes
     on disk and four times that as text; larger ones are joined by a shuffle.
     """
 
@@ -29,6 +36,7 @@ class StateTable:
         path: str,
         keys: str | list[str],
         order_by: str | list[str] = "ts_ms",
+        buckets: int | None = None,
         broadcast_limit: int = 16 << 20,
         keep_versions: int = 2,
     ):
@@ -36,6 +44,7 @@ class StateTable:
         self.path = path.rstrip("/")
         self.keys = key_columns(keys)
         self.order_by = order_by
+        self.buckets = buckets
         self.broadcast_limit = broadcast_limit
         self.keep_versions = keep_versions
         self._sizes: dict[str, int] = {}
@@ -43,25 +52,25 @@ class StateTable:
     # What is there
 
     def versions(self) -> list[int]:
-        return self._committed("base", "v=")
+        return sorted(self._bases())
 
     def version(self) -> int | None:
-        return max(self.versions(), default=None)
+        return max(self._bases(), default=None)
 
     def pending(self) -> list[int]:
         """Batches the newest version does not hold yet."""
         version = self.version() or 0
-        return [batch for batch in self._committed("changes", "b=") if batch >= version]
+        return [batch for batch in self._batches() if batch >= version]
 
     def next_batch(self) -> int:
         return max([self.version() or 0, *[batch + 1 for batch in self.pending()]])
 
     def base_bytes(self) -> int:
-        version = self.version()
-        return 0 if version is None else self._size(self._base(version))
+        bases = self._bases()
+        return self._size(bases[max(bases)]) if bases else 0
 
     def pending_bytes(self) -> int:
-        return sum(self._size(self._batch(batch)) for batch in self.pending())
+        return sum(self._size(self._changes(batch)) for batch in self.pending())
 
     # Reading
 
@@ -74,16 +83,20 @@ class StateTable:
 
     def rows(self) -> DataFrame | None:
         """One row per key, deleted ones included; None if nothing was written yet."""
-        version, pending = self.version(), self.pending()
-        base = None if version is None else self.spark.read.parquet(self._base(version))
+        bases, pending = self._bases(), self.pending()
+        base = self._read(bases[max(bases)]) if bases else None
         if not pending:
             return base
         # Batches may differ in columns after the source table changed.
-        paths = [self._batch(batch) for batch in pending]
+        paths = [self._changes(batch) for batch in pending]
         changes = self.spark.read.option("mergeSchema", "true").parquet(*paths)
         newest = latest_per_key(changes, self.keys, self.order_by)
         if base is None:
             return newest
+        buckets = _buckets(bases[max(bases)])
+        if buckets is not None:
+            newest = newest.repartition(buckets, *[f"`{k}`" for k in self.keys])
+            return fold_changes(base, newest, self.keys, self.order_by)
         small = self.pending_bytes() <= self.broadcast_limit and text_bytes(changes) <= 4 * self.broadcast_limit
         return fold_changes(base, newest, self.keys, self.order_by, newest_is_small=small)
 
@@ -92,21 +105,21 @@ class StateTable:
     def replace(self, rows: DataFrame) -> int:
         """Make ``rows`` (one per key, deletes included) the newest version, in place of all before it."""
         version = max(self.next_batch(), (self.version() or 0) + 1)
-        self._write(rows, self._base(version))
-        self._clean_up()
+        self._write_base(rows, version)
         return version
 
     def add_changes(self, newest: DataFrame, batch: int) -> None:
         """Store the newest row per key of a batch; does nothing if the batch is already folded in."""
         if batch >= (self.version() or 0):
-            self._write(newest, self._batch(batch))
+            self._write(newest.write, self._changes(batch))
 
     def fold(self) -> int | None:
         """Write a version that holds all pending batches; returns the newest version."""
         pending = self.pending()
         if pending:
-            self._write(self.rows(), self._base(max(pending) + 1))
-            self._clean_up()
+            bases = self._bases()
+            in_place = bool(bases) and _buckets(bases[max(bases)]) == self.buckets
+            self._write_base(self.rows(), max(pending) + 1, in_place)
         return self.version()
 
     def backup(self, root: str, day: str | None = None) -> str | None:
@@ -130,17 +143,20 @@ class StateTable:
         first = self.next_batch()
         return self.checkpoint() or (f"{self.path}/checkpoint={first}", first)
 
-    def _base(self, version: int) -> str:
-        return f"{self.path}/base/v={version}"
-
-    def _batch(self, batch: int) -> str:
+    def _changes(self, batch: int) -> str:
         return f"{self.path}/changes/b={batch}"
 
-    def _committed(self, folder: str, prefix: str) -> list[int]:
+    def _batches(self) -> list[int]:
+        return sorted(int(name.removeprefix("b=")) for name in self._committed("changes"))
+
+    def _bases(self) -> dict[int, str]:
+        """Folder of each version; its name ends in the number of buckets, if any."""
+        names = self._committed("base")
+        return {int(name.removeprefix("v=").split(",")[0]): f"{self.path}/base/{name}" for name in names}
+
+    def _committed(self, folder: str) -> list[str]:
         root = f"{self.path}/{folder}"
-        names = [name for name in files.folders(self.spark, root) if name.startswith(prefix)]
-        done = [name for name in names if files.exists(self.spark, f"{root}/{name}/_SUCCESS")]
-        return sorted(int(name.removeprefix(prefix)) for name in done)
+        return [name for name in files.folders(self.spark, root) if files.exists(self.spark, f"{root}/{name}/_SUCCESS")]
 
     def _size(self, path: str) -> int:
         """Bytes of a committed folder; listed once, since it does not change."""
@@ -148,18 +164,63 @@ class StateTable:
             self._sizes[path] = files.size_in_bytes(self.spark, path)
         return self._sizes[path]
 
-    def _write(self, df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").parquet(path)
+    def _read(self, path: str) -> DataFrame:
+        plain = self.spark.read.parquet(path)
+        buckets = _buckets(path)
+        if buckets is None:
+            return plain
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        with self._table_name() as name:
+            self.spark.sql(
+                f"CREATE TABLE {name} ({plain.schema.toDDL()}) USING parquet"
+                f" CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{place}'"
+            )
+            return self.spark.table(name)
+
+    def _write_base(self, rows: DataFrame, version: int, in_place: bool = False) -> None:
+        """Write a version; ``in_place`` says that each task already holds rows of one bucket."""
+        if self.buckets is None:
+            self._write(rows.write, f"{self.path}/base/v={version}")
+        else:
+            if not in_place:
+                rows = rows.repartition(self.buckets, *[f"`{k}`" for k in self.keys])
+            path = f"{self.path}/base/v={version},n={self.buckets}"
+            self._write(rows.write.bucketBy(self.buckets, self.keys), path, as_table=True)
+        self._clean_up()
+
+    def _write(self, writer: DataFrameWriter, path: str, as_table: bool = False) -> None:
+        writer = writer.mode("overwrite").format("parquet")
+        if as_table:
+            with self._table_name() as name:
+                writer.option("path", path).saveAsTable(name)
+        else:
+            writer.save(path)
         if not files.exists(self.spark, f"{path}/_SUCCESS"):
             raise OSError(f"{path} has no _SUCCESS marker; leave mapreduce.fileoutputcommitter.marksuccessfuljobs on")
 
+    @contextmanager
+    def _table_name(self) -> Iterator[str]:
+        """Name for a table over a folder; the entry goes at the end of the block, the folder stays."""
+        name = f"tidemark_{uuid.uuid4().hex}"
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     def _clean_up(self) -> None:
         """Remove versions no reader should be on any more, and the batches folded into them."""
-        versions = self.versions()
-        oldest = versions[-self.keep_versions :][0]
-        for version in versions:
+        bases = self._bases()
+        oldest = sorted(bases)[-self.keep_versions :][0]
+        for version in bases:
             if version < oldest:
-                files.remove(self.spark, self._base(version))
-        for batch in self._committed("changes", "b="):
+                files.remove(self.spark, bases[version])
+        for batch in self._batches():
             if batch < oldest:
-                files.remove(self.spark, self._batch(batch))
+                files.remove(self.spark, self._changes(batch))
+
+
+def _buckets(path: str) -> int | None:
+    """Number of buckets of a version, from the name of its folder."""
+    name = path.rsplit("/", 1)[-1]
+    return int(name.split(",n=")[1]) if ",n=" in name else None
