@@ -13,6 +13,10 @@ from tidemark.sources import append_log, check_append, read_if_present, shared_f
 EXPECTED = [(1, 1, 100, 1, 1, "c", 10.0), (2, 2, 100, 2, 200, "u", 1010.3)]
 
 
+def folder(table):
+    return table.path.removeprefix("file:")
+
+
 def rows_of(table):
     return sorted(map(tuple, table.read().collect()))
 
@@ -92,6 +96,24 @@ def test_new_column_in_a_batch(spark, table):
     assert found == {1: (5, "x"), 2: (1, None)}
 
 
+def test_column_type_changes_between_batches(spark, table):
+    schema = "order_id int, quantity {}, op string, ts_ms double"
+    table.add_changes(spark.createDataFrame([(1, 1, "c", 1.0)], schema.format("int")), 0)
+    table.add_changes(spark.createDataFrame([(2, 5 << 40, "c", 1.0)], schema.format("bigint")), 1)
+    assert {r.order_id: r.quantity for r in table.read().collect()} == {1: 1, 2: 5 << 40}
+    table.fold()
+    table.add_changes(spark.createDataFrame([(1, 2, "u", 2.0)], schema.format("int")), 2)
+    assert {r.order_id: r.quantity for r in table.read().collect()} == {1: 2, 2: 5 << 40}
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_relative_path(spark, tmp_path, feed_of, scenario, buckets):
+    table = StateTable(spark, os.path.relpath(tmp_path / "state"), "order_id", buckets=buckets)
+    table.replace(changes(feed_of, *scenario[:3]))
+    table.add_changes(changes(feed_of, *scenario[3:]), 1)
+    assert rows_of(table) == EXPECTED and os.listdir(tmp_path / "state")
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, table, feed_of, scenario):
     table.replace(changes(feed_of, *scenario))
     broken = table.rows().withColumn("price", F.when(F.col("order_id") == 2, F.raise_error(F.lit("lost"))).otherwise(1))
@@ -110,7 +132,7 @@ def test_old_versions_go(table, feed_of, scenario):
         table.add_changes(changes(feed_of, *scenario), n)
         table.fold()
     assert table.versions() == [3, 4]
-    assert sorted(os.listdir(f"{table.path}/changes")) == ["b=3"]
+    assert sorted(os.listdir(f"{folder(table)}/changes")) == ["b=3"]
 
 
 def test_backup(spark, table, feed_of, scenario, tmp_path):
@@ -234,11 +256,11 @@ def test_bucketed_state_is_merged_without_moving(spark, tmp_path):
     above_base = text.split("Bucketed: true")[0].split("SortMergeJoin")[1]
     assert "Exchange" not in above_base
     assert table.fold() == 2 and found() == expected
-    names = os.listdir(f"{table.path}/base")
+    names = os.listdir(f"{folder(table)}/base")
     assert sorted(names) == ["v=1,n=6", "v=2,n=6"]
     table.add_changes(spark.createDataFrame(came, schema), 2)
     assert table.fold() == 3 and found() == expected
-    files = [f for f in os.listdir(f"{table.path}/base/v=3,n=6") if f.startswith("part")]
+    files = [f for f in os.listdir(f"{folder(table)}/base/v=3,n=6") if f.startswith("part")]
     assert len(files) <= 12  # a bucket has one file, and one of rows with a null in the key
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("tidemark")] == []
 

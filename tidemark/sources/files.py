@@ -26,6 +26,12 @@ def _at(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and from the root."""
+    fs, place = _at(spark, path.rstrip("/"))
+    return place.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, place = _at(spark, path)
     return fs.exists(place)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
@@ -26,8 +27,10 @@ class StateTable:
     the batches, whatever their size, and the state stays where it is.  This needs a database in
     which tables can be created; they are dropped at once, and the folder is all that stays.
 
-    Without, stored batches are broadcast to the state when they take no more than ``broadcast_limit`` bytes
-    on disk and four times that as text; larger ones are joined by a shuffle.
+    Without, stored batches are broadcast to the state when they take no more than ``broadcast_limit``
+    bytes on disk and four times that as text; larger ones are joined by a shuffle.
+
+    One process folds at a time; readers, and a stream that adds batches, may go on meanwhile.
     """
 
     def __init__(
@@ -41,7 +44,7 @@ class StateTable:
         keep_versions: int = 2,
     ):
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.path = files.qualified(spark, path)
         self.keys = key_columns(keys)
         self.order_by = order_by
         self.buckets = buckets
@@ -83,14 +86,16 @@ class StateTable:
 
     def rows(self) -> DataFrame | None:
         """One row per key, deleted ones included; None if nothing was written yet."""
-        bases, pending = self._bases(), self.pending()
+        return self._merged(self.pending())
+
+    def _merged(self, pending: list[int]) -> DataFrame | None:
+        """The newest version with the batches folded in."""
+        bases = self._bases()
         base = self._read(bases[max(bases)]) if bases else None
         if not pending:
             return base
-        # Batches may differ in columns after the source table changed.
-        paths = [self._changes(batch) for batch in pending]
-        changes = self.spark.read.option("mergeSchema", "true").parquet(*paths)
-        newest = latest_per_key(changes, self.keys, self.order_by)
+        changes = self._read_changes(pending)
+        newest = changes if len(pending) == 1 else latest_per_key(changes, self.keys, self.order_by)
         if base is None:
             return newest
         buckets = _buckets(bases[max(bases)])
@@ -109,8 +114,8 @@ class StateTable:
         return version
 
     def add_changes(self, newest: DataFrame, batch: int) -> None:
-        """Store the newest row per key of a batch; does nothing if the batch is already folded in."""
-        if batch >= (self.version() or 0):
+        """Store the newest row per key of a batch; does nothing if that batch is there or folded in already."""
+        if batch >= (self.version() or 0) and batch not in self._batches():
             self._write(newest.write, self._changes(batch))
 
     def fold(self) -> int | None:
@@ -119,7 +124,7 @@ class StateTable:
         if pending:
             bases = self._bases()
             in_place = bool(bases) and _buckets(bases[max(bases)]) == self.buckets
-            self._write_base(self.rows(), max(pending) + 1, in_place)
+            self._write_base(self._merged(pending), max(pending) + 1, in_place)
         return self.version()
 
     def backup(self, root: str, day: str | None = None) -> str | None:
@@ -143,6 +148,8 @@ class StateTable:
         first = self.next_batch()
         return self.checkpoint() or (f"{self.path}/checkpoint={first}", first)
 
+    # Folders
+
     def _changes(self, batch: int) -> str:
         return f"{self.path}/changes/b={batch}"
 
@@ -178,6 +185,18 @@ class StateTable:
             )
             return self.spark.table(name)
 
+    def _read_changes(self, batches: list[int]) -> DataFrame:
+        """Rows of the batches, which may differ in columns after the source table changed."""
+        paths = [self._changes(batch) for batch in batches]
+        try:
+            return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        except Exception as error:  # a bare Java error, without a condition to ask for
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+        # A column changed its type: widen it, batch by batch.
+        one_by_one = [self.spark.read.parquet(path) for path in paths]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_by_one)
+
     def _write_base(self, rows: DataFrame, version: int, in_place: bool = False) -> None:
         """Write a version; ``in_place`` says that each task already holds rows of one bucket."""
         if self.buckets is None:
