@@ -22,6 +22,7 @@ from ..operators import (
     live_rows,
     merge_state,
     message_status,
+    only_table,
     row_images,
     source_struct,
     text_bytes,
@@ -185,11 +186,30 @@ def q_publish_envelope(spark, sf_dir):
     )
 
 
-@check("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'c' op, 1.0::DOUBLE ts_ms FROM customer")
+def customers(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/customer.parquet")
+
+
+def customer_feed(spark, sf_dir) -> DataFrame:
+    rows = customers(spark, sf_dir)
+    return to_change_feed(rows, "c_custkey", "c", F.lit(1.0), source=source_struct(table="customer"))
+
+
+CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'c' op, 1.0::DOUBLE ts_ms FROM customer"
+
+
+@check(CUSTOMERS)
 def q_publish_table(spark, sf_dir):
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    messages = to_change_feed(customers, "c_custkey", "c", F.lit(1.0), source=source_struct(table="customer"))
-    return current_state(decode(messages, envelope(customers.schema)), "c_custkey")
+    log = decode(customer_feed(spark, sf_dir), envelope(customers(spark, sf_dir).schema))
+    return current_state(log, "c_custkey")
+
+
+@check(CUSTOMERS)
+def q_source_table(spark, sf_dir):
+    """One of two tables that share a feed."""
+    both = feed(spark, sf_dir).select("key", "value").unionByName(customer_feed(spark, sf_dir))
+    log = only_table(decode(both, envelope(customers(spark, sf_dir).schema)), "customer")
+    return current_state(log, "c_custkey")
 
 
 # Decoding
@@ -258,6 +278,14 @@ def q_append_extract(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@check("SELECT c_custkey, c_name, c_nationkey::BIGINT c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_extract_first_message(spark, sf_dir):
+    """All messages have the shape of the first."""
+    out = shared_folder(spark, "extract")
+    extract_after(customer_feed(spark, sf_dir), out, from_first=True)
+    return spark.read.parquet(out)
+
+
 @check("SELECT event_id, json_extract(props, '$.k')::BIGINT k FROM events")
 def q_event_props_inferred(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -439,13 +467,14 @@ def q_backup_snapshot(spark, sf_dir):
     return live_rows(spark.read.parquet(f"{backups}/2024-01-02")).drop("_position")
 
 
-@check(
-    f"""{ORDERS.replace("FROM orders", ", left(o_orderpriority, 1)::INT rank FROM orders")}
+WIDE = T.StructType([*ORDER_IMAGE.fields, T.StructField("priority", T.IntegerType())])
+WIDENED = f"""{ORDERS.replace("FROM orders", ", left(o_orderpriority, 1)::INT rank FROM orders")}
     SELECT customer_id, order_id, price, product_id, quantity,
       CASE WHEN placed >= TIMESTAMP '{SPLIT}' THEN rank END::INT AS priority FROM b"""
-)
-def q_schema_evolution(spark, sf_dir):
-    """The source table gains a column; the log gets it without a rewrite."""
+
+
+def _widened_log(spark, sf_dir) -> str:
+    """Log of a table that gains a column after SPLIT."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     columns = {
         "customer_id": F.col("o_custkey").cast("int"),
@@ -456,13 +485,23 @@ def q_schema_evolution(spark, sf_dir):
         "priority": F.left("o_orderpriority", F.lit(1)).cast("int"),
     }
     early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
-    wide = T.StructType([*ORDER_IMAGE.fields, T.StructField("priority", T.IntegerType())])
     source, target, checkpoint = (shared_folder(spark, name) for name in ("feed", "log", "checkpoint"))
-    for image, part in ((ORDER_IMAGE, early), (wide, ~early)):
+    for image, part in ((ORDER_IMAGE, early), (WIDE, ~early)):
         rows = orders.filter(part).select(*[columns[name].alias(name) for name in image.names])
         write_feed(to_change_feed(rows, KEYS, "c", F.lit(0.0)), source)
         run_ingest(stream_feed(spark, source), target, checkpoint, envelope(image), available_now=True).awaitTermination()
-    return read_log(spark, target, log_schema(wide)).select("after.*")
+    return target
+
+
+@check(WIDENED)
+def q_schema_evolution(spark, sf_dir):
+    return read_log(spark, _widened_log(spark, sf_dir), log_schema(WIDE)).select("after.*")
+
+
+@check(WIDENED)
+def q_schema_evolution_merged(spark, sf_dir):
+    """The columns found in the files."""
+    return read_log(spark, _widened_log(spark, sf_dir), merge_schema=True).select("after.*")
 
 
 # Streams
