@@ -1,0 +1,82 @@
+"""Tasks that fail at first, in a session that tries them again."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from tidemark import StateTable, read_log, row_images, run_ingest, run_state_stream, stream_feed, stream_log, to_change_feed
+
+root = sys.argv[1]
+spark = (
+    SparkSession.builder.master("local[3,4]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "3")
+    .config("spark.sql.warehouse.dir", f"{root}/warehouse")
+    .config("spark.checkpoint.dir", f"{root}/work")
+    .getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+
+
+@F.udf("string")
+def flaky(text):
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("executor lost")
+    return text
+
+
+ids = spark.range(0, 3000, 1, 6)
+
+
+def messages(op, ts, quantity):
+    values = {"customer_id": "1", "order_id": "id", "price": "1", "product_id": "1", "quantity": quantity}
+    rows = ids.selectExpr(*[f"{text} AS {name}" for name, text in values.items()])
+    return to_change_feed(rows, "order_id", op, F.lit(ts))
+
+
+messages("c", 1.0, "0").unionAll(messages("u", 2.0, "id % 7")).write.parquet(f"{root}/feed")
+
+stream = stream_feed(spark, f"{root}/feed", maxFilesPerTrigger=5).withColumn("value", flaky("value"))
+run_ingest(stream, f"{root}/log", f"{root}/checkpoint", available_now=True).awaitTermination()
+log = read_log(spark, f"{root}/log")
+assert log.count() == 6000, log.count()
+
+expected = {(i, i % 7) for i in range(3000)}
+
+
+def holds(table):
+    rows = [(r.order_id, r.quantity) for r in table.read().collect()]
+    assert len(rows) == 3000 and set(rows) == expected
+
+
+for buckets in (None, 4):
+    table = StateTable(spark, f"{root}/batch-{buckets}", "order_id", buckets=buckets)
+    table.replace(row_images(log).filter("op = 'c'").withColumn("op", flaky("op")))
+    table.add_changes(row_images(log).filter("op = 'u'").withColumn("op", flaky("op")), table.next_batch())
+    holds(table)
+    table.fold()
+    holds(table)
+
+table = StateTable(spark, f"{root}/stream", "order_id")
+events = stream_log(spark, f"{root}/log", maxFilesPerTrigger=3).withColumn("op", flaky("op"))
+run_state_stream(events, table, available_now=True).awaitTermination()
+holds(table)
+print("all held")
+"""
+
+
+def test_lost_tasks_leave_no_trace(tmp_path):
+    repo = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(tmp_path)],
+        env={**os.environ, "PYTHONPATH": repo},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert "all held" in done.stdout, done.stderr[-3000:]
