@@ -18,19 +18,19 @@ from . import files
 class StateTable:
     """Whole versions of the state, and the change batches that came after the newest version.
 
-    ``base/v=N`` holds one row per key with every batch below ``N`` folded in; ``changes/b=N`` holds
-    the newest row per key of batch ``N``.  Deleted rows are kept, so that an event older than the
-    delete cannot bring its row back.  Each folder is written once and counts only with its
-    ``_SUCCESS`` marker: a failed or repeated write leaves what readers see as it was.
+    ``base/v=N,...`` holds one row per key with every batch below ``N`` folded in; ``changes/b=N,...``
+    holds the newest row per key of batch ``N``.  Deleted rows are kept, so that an event older than
+    the delete cannot bring its row back.  Every write takes a folder of its own, which counts only
+    with its ``_SUCCESS`` marker: a failed, repeated or simultaneous write leaves what readers see as
+    it was.
 
     With ``buckets`` the versions are written bucketed by the keys: merging batches then shuffles only
     the batches, whatever their size, and the state stays where it is.  This needs a database in
     which tables can be created; they are dropped at once, and the folder is all that stays.
 
     Without, stored batches are broadcast to the state when they take no more than ``broadcast_limit``
-    bytes on disk and four times that as text; larger ones are joined by a shuffle.
-
-    One process folds at a time; readers, and a stream that adds batches, may go on meanwhile.
+    bytes on disk and four times that as text; larger ones are joined by a shuffle.  (The text is
+    measured because files may compress well.)
     """
 
     def __init__(
@@ -51,29 +51,31 @@ class StateTable:
         self.broadcast_limit = broadcast_limit
         self.keep_versions = keep_versions
         self._sizes: dict[str, int] = {}
+        self._whole: set[str] = set()
 
     # What is there
 
     def versions(self) -> list[int]:
-        return sorted(self._bases())
+        return sorted(self._committed("base"))
 
     def version(self) -> int | None:
-        return max(self._bases(), default=None)
+        return max(self._committed("base"), default=None)
 
     def pending(self) -> list[int]:
         """Batches the newest version does not hold yet."""
         version = self.version() or 0
-        return [batch for batch in self._batches() if batch >= version]
+        return sorted(batch for batch in self._committed("changes") if batch >= version)
 
     def next_batch(self) -> int:
         return max([self.version() or 0, *[batch + 1 for batch in self.pending()]])
 
     def base_bytes(self) -> int:
-        bases = self._bases()
-        return self._size(bases[max(bases)]) if bases else 0
+        base = self._newest_base()
+        return self._size(base) if base else 0
 
     def pending_bytes(self) -> int:
-        return sum(self._size(self._changes(batch)) for batch in self.pending())
+        changes = self._committed("changes")
+        return sum(self._size(changes[batch]) for batch in self.pending())
 
     # Reading
 
@@ -90,15 +92,15 @@ class StateTable:
 
     def _merged(self, pending: list[int]) -> DataFrame | None:
         """The newest version with the batches folded in."""
-        bases = self._bases()
-        base = self._read(bases[max(bases)]) if bases else None
+        path = self._newest_base()
+        base = self._read(path) if path else None
         if not pending:
             return base
         changes = self._read_changes(pending)
         newest = changes if len(pending) == 1 else latest_per_key(changes, self.keys, self.order_by)
         if base is None:
             return newest
-        buckets = _buckets(bases[max(bases)])
+        buckets = _buckets(path)
         if buckets is not None:
             newest = newest.repartition(buckets, *[f"`{k}`" for k in self.keys])
             return fold_changes(base, newest, self.keys, self.order_by)
@@ -115,15 +117,15 @@ class StateTable:
 
     def add_changes(self, newest: DataFrame, batch: int) -> None:
         """Store the newest row per key of a batch; does nothing if that batch is there or folded in already."""
-        if batch >= (self.version() or 0) and batch not in self._batches():
-            self._write(newest.write, self._changes(batch))
+        if batch >= (self.version() or 0) and batch not in self._committed("changes"):
+            self._write(newest.write, f"{self.path}/changes/b={batch},a={_attempt()}")
 
     def fold(self) -> int | None:
         """Write a version that holds all pending batches; returns the newest version."""
         pending = self.pending()
         if pending:
-            bases = self._bases()
-            in_place = bool(bases) and _buckets(bases[max(bases)]) == self.buckets
+            path = self._newest_base()
+            in_place = path is not None and _buckets(path) == self.buckets
             self._write_base(self._merged(pending), max(pending) + 1, in_place)
         return self.version()
 
@@ -150,20 +152,29 @@ class StateTable:
 
     # Folders
 
-    def _changes(self, batch: int) -> str:
-        return f"{self.path}/changes/b={batch}"
-
-    def _batches(self) -> list[int]:
-        return sorted(int(name.removeprefix("b=")) for name in self._committed("changes"))
-
-    def _bases(self) -> dict[int, str]:
-        """Folder of each version; its name ends in the number of buckets, if any."""
-        names = self._committed("base")
-        return {int(name.removeprefix("v=").split(",")[0]): f"{self.path}/base/{name}" for name in names}
-
-    def _committed(self, folder: str) -> list[str]:
-        root = f"{self.path}/{folder}"
-        return [name for name in files.folders(self.spark, root) if files.exists(self.spark, f"{root}/{name}/_SUCCESS")]
+    def _folders(self, kind: str) -> list[tuple[int, str]]:
+        """Number and path of every version or batch, whole or not, in a fixed order."""
+        root = f"{self.path}/{kind}"
+        names = sorted(files.folders(self.spark, root))
+        return [(int(name.split(",")[0].split("=")[1]), f"{root}/{name}") for name in names]
+
+    def _committed(self, kind: str) -> dict[int, str]:
+        """Path of each number; of several that were written whole, which are equal, always the first."""
+        found: dict[int, str] = {}
+        for number, path in self._folders(kind):
+            if number not in found and self._is_whole(path):
+                found[number] = path
+        return found
+
+    def _is_whole(self, path: str) -> bool:
+        """Whether the folder is committed; asked of the file system until it is."""
+        if path not in self._whole and files.exists(self.spark, f"{path}/_SUCCESS"):
+            self._whole.add(path)
+        return path in self._whole
+
+    def _newest_base(self) -> str | None:
+        bases = self._committed("base")
+        return bases[max(bases)] if bases else None
 
     def _size(self, path: str) -> int:
         """Bytes of a committed folder; listed once, since it does not change."""
@@ -187,7 +198,8 @@ class StateTable:
 
     def _read_changes(self, batches: list[int]) -> DataFrame:
         """Rows of the batches, which may differ in columns after the source table changed."""
-        paths = [self._changes(batch) for batch in batches]
+        changes = self._committed("changes")
+        paths = [changes[batch] for batch in batches]
         try:
             return self.spark.read.option("mergeSchema", "true").parquet(*paths)
         except Exception as error:  # a bare Java error, without a condition to ask for
@@ -199,23 +211,24 @@ class StateTable:
 
     def _write_base(self, rows: DataFrame, version: int, in_place: bool = False) -> None:
         """Write a version; ``in_place`` says that each task already holds rows of one bucket."""
+        path = f"{self.path}/base/v={version},a={_attempt()}"
         if self.buckets is None:
-            self._write(rows.write, f"{self.path}/base/v={version}")
+            self._write(rows.write, path)
         else:
             if not in_place:
                 rows = rows.repartition(self.buckets, *[f"`{k}`" for k in self.keys])
-            path = f"{self.path}/base/v={version},n={self.buckets}"
-            self._write(rows.write.bucketBy(self.buckets, self.keys), path, as_table=True)
+            bucketed = rows.write.bucketBy(self.buckets, self.keys)
+            self._write(bucketed, f"{path},n={self.buckets}", as_table=True)
         self._clean_up()
 
     def _write(self, writer: DataFrameWriter, path: str, as_table: bool = False) -> None:
-        writer = writer.mode("overwrite").format("parquet")
+        writer = writer.format("parquet")
         if as_table:
             with self._table_name() as name:
                 writer.option("path", path).saveAsTable(name)
         else:
             writer.save(path)
-        if not files.exists(self.spark, f"{path}/_SUCCESS"):
+        if not self._is_whole(path):
             raise OSError(f"{path} has no _SUCCESS marker; leave mapreduce.fileoutputcommitter.marksuccessfuljobs on")
 
     @contextmanager
@@ -229,14 +242,15 @@ class StateTable:
 
     def _clean_up(self) -> None:
         """Remove versions no reader should be on any more, and the batches folded into them."""
-        bases = self._bases()
-        oldest = sorted(bases)[-self.keep_versions :][0]
-        for version in bases:
-            if version < oldest:
-                files.remove(self.spark, bases[version])
-        for batch in self._batches():
-            if batch < oldest:
-                files.remove(self.spark, self._changes(batch))
+        oldest = self.versions()[-self.keep_versions :][0]
+        for kind in ("base", "changes"):
+            for number, path in self._folders(kind):
+                if number < oldest:
+                    files.remove(self.spark, path)
+
+
+def _attempt() -> str:
+    return uuid.uuid4().hex[:12]
 
 
 def _buckets(path: str) -> int | None:
