@@ -7,7 +7,17 @@ from conftest import event, image
 
 from pyspark.errors import StreamingQueryException
 
-from tidemark import StateTable, current_state, decode, read_log, run_bronze, run_ingest, run_state_stream, stream_feed, stream_log
+from tidemark import (
+    StateTable,
+    current_state,
+    decode,
+    read_log,
+    run_bronze,
+    run_ingest,
+    run_state_stream,
+    stream_feed,
+    stream_log,
+)
 from tidemark.__main__ import main
 from tidemark.schemas import state_envelope
 from tidemark.sources import append_log

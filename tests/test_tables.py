@@ -87,6 +87,12 @@ def test_repeated_batch(table, feed_of, scenario):
     assert rows_of(table) == EXPECTED
 
 
+def test_deleted_rows_forgotten(table, feed_of, scenario):
+    table.replace(changes(feed_of, *scenario))
+    table.replace(table.rows().filter("op <> 'd' OR ts_ms >= 3000"))
+    assert table.rows().count() == 2 and rows_of(table) == EXPECTED
+
+
 def test_folds_at_the_same_time(spark, table, feed_of, scenario):
     table.replace(changes(feed_of, *scenario[:2]))
     table.add_changes(changes(feed_of, *scenario[2:]), 1)
@@ -256,7 +262,8 @@ def test_bucketed_state_is_merged_without_moving(spark, tmp_path):
     schema = "k int, m string, op string, ts_ms double, note string"
     base = [(i, None if i % 5 == 0 else f"m{i % 3}", "c", 1.0, "old") for i in range(500)] + [(None, None, "c", 1.0, "old")]
     table.replace(spark.createDataFrame(base, schema))
-    came = [(i, None if i % 5 == 0 else f"m{i % 3}", "u", 2.0, "new") for i in range(400, 600)] + [(None, None, "d", 2.0, "")]
+    came = [(i, None if i % 5 == 0 else f"m{i % 3}", "u", 2.0, "new") for i in range(400, 600)]
+    came.append((None, None, "d", 2.0, ""))
     table.add_changes(spark.createDataFrame(came, schema), table.next_batch())
     expected = {(k, m): note for k, m, op, ts, note in base + came if op != "d"}
     del expected[None, None]

@@ -31,9 +31,8 @@ def row_images(log: DataFrame, op_from: str = "op", position: bool = False) -> D
     events of the same ``ts_ms`` are told apart.
     """
     new, old = F.col("after"), F.col("before")
-    fields = [
-        F.when(new.isNotNull(), new[name]).otherwise(old[name]).alias(name) for name in log.schema["after"].dataType.names
-    ]
+    names = log.schema["after"].dataType.names
+    fields = [F.when(new.isNotNull(), new[name]).otherwise(old[name]).alias(name) for name in names]
     if op_from == "images":
         op = F.when(new.isNull(), "d").when(old.isNull(), "c").otherwise("u").alias("op")
     elif op_from == "op":

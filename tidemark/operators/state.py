@@ -84,7 +84,7 @@ def fold_changes(
 
 
 def text_bytes(df: DataFrame) -> int:
-    """Size of the rows as JSON text: a measure of what a broadcast takes in memory, whatever the compression on disk."""
+    """Size of the rows as JSON text: what a broadcast takes in memory, whatever the compression on disk."""
     size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
     return df.agg(F.sum(size)).first()[0] or 0
 

@@ -330,9 +330,7 @@ def q_op_from_images(spark, sf_dir):
     return current_state(log(spark, sf_dir).withColumn("op", F.lit("c")), KEYS, op_from="images")
 
 
-@check(
-    f"""{LATEST} WHERE NOT deleted AND placed >= TIMESTAMP '{SPLIT}'"""
-)
+@check(f"{STATE} AND placed >= TIMESTAMP '{SPLIT}'")
 def q_log_since(spark, sf_dir):
     # Ingested once a year.
     year = F.date_trunc("year", "timestamp")
@@ -351,8 +349,9 @@ def q_merge_incremental(spark, sf_dir):
 
 
 @check(
-    f"""{LATEST.replace(_LAST_OP, "CASE WHEN updated THEN 'u' ELSE 'c' END").replace(
-        _LAST_TS, "t + (CASE WHEN updated THEN 1000 ELSE 0 END)")}"""
+    LATEST.replace(_LAST_OP, "CASE WHEN updated THEN 'u' ELSE 'c' END").replace(
+        _LAST_TS, "t + (CASE WHEN updated THEN 1000 ELSE 0 END)"
+    )
 )
 def q_stale_create_compat(spark, sf_dir):
     deletes, others = _deletes_and_others(spark, sf_dir)
@@ -489,7 +488,8 @@ def _widened_log(spark, sf_dir) -> str:
     for image, part in ((ORDER_IMAGE, early), (WIDE, ~early)):
         rows = orders.filter(part).select(*[columns[name].alias(name) for name in image.names])
         write_feed(to_change_feed(rows, KEYS, "c", F.lit(0.0)), source)
-        run_ingest(stream_feed(spark, source), target, checkpoint, envelope(image), available_now=True).awaitTermination()
+        messages = stream_feed(spark, source)
+        run_ingest(messages, target, checkpoint, envelope(image), available_now=True).awaitTermination()
     return target
 
 

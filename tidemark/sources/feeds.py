@@ -48,7 +48,9 @@ def stream_feed(
     return _loaded(spark.readStream, path, fmt, schema, defaults, options)
 
 
-def _loaded(reader, path: str | None, fmt: str, schema: T.StructType | None, defaults: dict, options: dict) -> DataFrame:
+def _loaded(
+    reader, path: str | None, fmt: str, schema: T.StructType | None, defaults: dict, options: dict
+) -> DataFrame:
     reader = reader.format(fmt).options(**{**defaults, **options})
     if fmt not in ("kafka", "text", "delta"):
         reader = reader.schema(schema or feed_schema())

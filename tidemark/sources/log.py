@@ -40,7 +40,9 @@ def read_log(
     return log
 
 
-def stream_log(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet", **options) -> DataFrame:
+def stream_log(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet", **options
+) -> DataFrame:
     """The log as a stream of the events appended to it."""
     reader = spark.readStream.format(fmt).options(**options)
     return (reader if fmt == "delta" else reader.schema(schema or log_schema())).load(path)
