@@ -1,6 +1,7 @@
 """Run a job.
 
-``spark-submit --py-files tidemark.zip tidemark/__main__.py ingest ...``, or ``python -m tidemark ingest ...``.  Options fall back to the environment variables BOOTSTRAP_SERVERS, TOPIC, TABLE_NAME and TABLE_KEY.
+``spark-submit --py-files tidemark.zip tidemark/__main__.py ingest ...``, or ``python -m tidemark ingest ...``.
+Options fall back to the environment variables BOOTSTRAP_SERVERS, TOPIC, TABLE_NAME and TABLE_KEY.
 """
 
 from __future__ import annotations
