@@ -11,6 +11,7 @@ from tidemark import (
     StateTable,
     current_state,
     decode,
+    read_feed,
     read_log,
     run_bronze,
     run_ingest,
@@ -21,7 +22,6 @@ from tidemark import (
 from tidemark.__main__ import main
 from tidemark.schemas import state_envelope
 from tidemark.sources import append_log
-from tidemark.sources.feeds import KAFKA_STREAM_OPTIONS
 
 KEYS = "order_id,customer_id"
 EXPECTED = [(1, 1, 100, 1, 1, "c", 10.0), (2, 2, 100, 2, 200, "u", 1010.3)]
@@ -134,8 +134,46 @@ def test_stream_goes_on_from_a_batch_built_table(spark, place, send, scenario, f
         run_bronze(spark, place("old"), table)
 
 
-def test_kafka_defaults():
-    assert KAFKA_STREAM_OPTIONS == {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+class Recorder:
+    """Stands in for a session whose Kafka connector is missing here."""
+
+    def __init__(self):
+        self.asked = {}
+
+    read = readStream = property(lambda self: self)
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked.update(options)
+        return self
+
+    def load(self, *path):
+        return self.asked
+
+
+def test_kafka_stream_options():
+    asked = stream_feed(Recorder(), fmt="kafka", servers="a:1,b:2", topic="t", minPartitions=64)
+    assert asked == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "minPartitions": 64,
+    }
+    asked = stream_feed(Recorder(), fmt="kafka", servers="a:1", topic="t", startingOffsets="latest")
+    assert asked["startingOffsets"] == "latest"
+
+
+def test_kafka_batch_options():
+    assert read_feed(Recorder(), fmt="kafka", servers="a:1", topic="t") == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "a:1",
+        "subscribe": "t",
+    }
 
 
 def test_command_line(spark, place, send, scenario, monkeypatch):
