@@ -68,6 +68,14 @@ def test_ingest_and_restart(spark, place, send, scenario):
     assert [name for name in os.listdir(place("log")) if name.startswith("date=")]
 
 
+def test_text_stream(spark, place, feed_of, scenario):
+    feed_of(*[value for value in scenario if value]).select("value").write.text(place("feed"))
+    feed = stream_feed(spark, place("feed"), "text")
+    run_ingest(feed, place("log"), place("checkpoint"), available_now=True).awaitTermination()
+    log = read_log(spark, place("log"))
+    assert sorted(map(tuple, current_state(log, KEYS).collect())) == EXPECTED
+
+
 def test_log_of_another_checkpoint_is_refused(spark, place, send, scenario, feed_of):
     send(*scenario)
     ingest(spark, place)
