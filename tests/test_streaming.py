@@ -227,6 +227,21 @@ def test_fold_while_the_stream_goes_on(spark, place, send, scenario):
     assert table.pending() == [] and rows_of(table) == EXPECTED
 
 
+@pytest.mark.parametrize("fold_ratio", [0, None])
+def test_table_replaced_between_runs_of_its_stream(spark, place, send, scenario, fold_ratio):
+    """The stream's next batch must not pass for one the replacement already holds."""
+    table = StateTable(spark, place("state"), KEYS)
+    for values in (scenario[4:], scenario[2:4], scenario[:2]):
+        send(*values)
+        events = decode(stream_feed(spark, place("feed")), state_envelope())
+        run_state_stream(events, table, fold_ratio=fold_ratio, available_now=True).awaitTermination()
+        for _ in range(2):
+            table.replace(table.rows().filter("op <> 'd' OR ts_ms > 0"))
+    assert table.pending() == [] and rows_of(table) == EXPECTED
+    table.replace(table.rows().filter("op <> 'd'"))
+    assert table.rows().count() == 2 and rows_of(table) == EXPECTED
+
+
 def test_state_stream_reads_only_what_it_needs(spark, place, send, scenario):
     send(*scenario)
     ingest(spark, place)

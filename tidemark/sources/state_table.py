@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -110,9 +111,16 @@ class StateTable:
     # Writing
 
     def replace(self, rows: DataFrame) -> int:
-        """Make ``rows`` (one per key, deletes included) the newest version, in place of all before it."""
-        version = max(self.next_batch(), (self.version() or 0) + 1)
-        self._write_base(rows, version)
+        """Make ``rows`` (one per key, deletes included) the newest version, in place of all before it.
+
+        On a table fed by a stream, do this while the stream is stopped.
+        """
+        version = self.next_batch()
+        if self.checkpoint() is None:
+            version = max(version, (self.version() or 0) + 1)
+        # A stream counts batches on its own, so there the same version may get another revision.
+        base = self._committed("base").get(version)
+        self._write_base(rows, version, revision=0 if base is None else _revision(base) + 1)
         return version
 
     def add_changes(self, newest: DataFrame, batch: int) -> None:
@@ -153,13 +161,14 @@ class StateTable:
     # Folders
 
     def _folders(self, kind: str) -> list[tuple[int, str]]:
-        """Number and path of every version or batch, whole or not, in a fixed order."""
+        """Number and path of every version or batch, whole or not; later revisions first, then by name."""
         root = f"{self.path}/{kind}"
-        names = sorted(files.folders(self.spark, root))
-        return [(int(name.split(",")[0].split("=")[1]), f"{root}/{name}") for name in names]
+        paths = [f"{root}/{name}" for name in sorted(files.folders(self.spark, root))]
+        paths.sort(key=_revision, reverse=True)
+        return [(int(path.rsplit("/", 1)[1].split(",")[0].split("=")[1]), path) for path in paths]
 
     def _committed(self, kind: str) -> dict[int, str]:
-        """Path of each number; of several that were written whole, which are equal, always the first."""
+        """Path of each number; of several written whole, the last revision, whose copies are equal."""
         found: dict[int, str] = {}
         for number, path in self._folders(kind):
             if number not in found and self._is_whole(path):
@@ -209,9 +218,9 @@ class StateTable:
         one_by_one = [self.spark.read.parquet(path) for path in paths]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_by_one)
 
-    def _write_base(self, rows: DataFrame, version: int, in_place: bool = False) -> None:
+    def _write_base(self, rows: DataFrame, version: int, in_place: bool = False, revision: int = 0) -> None:
         """Write a version; ``in_place`` says that each task already holds rows of one bucket."""
-        path = f"{self.path}/base/v={version},a={_attempt()}"
+        path = f"{self.path}/base/v={version},r={revision},a={_attempt()}"
         if self.buckets is None:
             self._write(rows.write, path)
         else:
@@ -253,6 +262,12 @@ def _attempt() -> str:
     return uuid.uuid4().hex[:12]
 
 
+def _revision(path: str) -> int:
+    """Revision of a version, from the name of its folder; 0 for a batch."""
+    found = re.search(r",r=(\d+),", path.rsplit("/", 1)[-1])
+    return int(found[1]) if found else 0
+
+
 def _buckets(path: str) -> int | None:
     """Number of buckets of a version, from the name of its folder."""
     name = path.rsplit("/", 1)[-1]
