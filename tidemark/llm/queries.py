@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode, read_ranks
 from .exact import exact_groups
+from .mixing import mix_counts
 from .shared import table
 
 
@@ -34,9 +35,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_bpe": op7_bpe,
+    "op8_mixing": op8_mixing,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
