@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_folder
 from .bpe import bpe_decode, bpe_encode, read_ranks
 from .exact import exact_groups
 from .mixing import mix_counts
 from .shared import table
+from .warc import read_warc, write_warc
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,22 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        "page_id", "payload_bytes", F.lower(F.hex("digest")).alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+OP4_SQL = """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN last END AS refers_to
+FROM (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM pages)
+"""
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,9 +59,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_warc": op4_warc,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
 }
 ORACLES = {
+    "op4_warc": OP4_SQL,
     "op1_exact_dedup": OP1_SQL,
 }
