@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,7 +195,7 @@ def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], split: str, text: str =
 
 def _bounded(batch: pa.RecordBatch, at: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices whose texts take about ``most`` bytes, or one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(sizes)]
     for a, b in zip(edges, edges[1:]):
