@@ -10,6 +10,7 @@ from ..sources.files import shared_folder
 from .bpe import bpe_decode, bpe_encode, read_ranks
 from .exact import exact_groups
 from .mixing import mix_counts
+from .private import find_private, private_digest
 from .shared import table
 from .warc import read_warc, write_warc
 
@@ -41,6 +42,10 @@ FROM (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM pages)
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_digest(find_private(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +65,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_warc": op4_warc,
+    "op5_pii": op5_pii,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
 }
