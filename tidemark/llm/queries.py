@@ -11,6 +11,7 @@ from .bpe import bpe_decode, bpe_encode, read_ranks
 from .exact import exact_groups
 from .mixing import mix_counts
 from .private import find_private, private_digest
+from .quality import in_fold, train, with_score
 from .shared import table
 from .warc import read_warc, write_warc
 
@@ -62,12 +63,24 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return with_score(docs, model).select(
+        "doc_id",
+        (~in_fold(F.col("doc_id"))).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
+    "op10_quality": op10_quality,
 }
 ORACLES = {
     "op4_warc": OP4_SQL,
