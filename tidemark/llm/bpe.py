@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -27,7 +28,9 @@ from pyspark.sql import types as T
 from .shared import quoted
 
 #: Pieces whose ids a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
+#: Pairs of tokens whose compatibility it remembers.
+PAIRS = 250_000
 #: Tokens that are decoded together.
 DECODED = 1 << 18
 
@@ -49,15 +52,15 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         self.pair: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.prefix: dict[int, int] = {}
         for rank in sorted(self.token):
             self._add(rank)
         for rank in self.token:
             self._shorten(rank)
         self.automaton.make_automaton()
-        self.new: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _add(self, rank: int) -> None:
         """Notes of a token the two it is merged from.
@@ -87,9 +90,12 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both from scratch leaves these two tokens."""
-        known = self.fits.get((left, right))
+        key = left << 32 | right
+        known = self.fits.get(key)
         if known is None:
-            known = self.fits[left, right] = self._compatible(left, right)
+            if len(self.fits) >= PAIRS:
+                self.fits.clear()
+            known = self.fits[key] = self._compatible(left, right)
         return known
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -116,19 +122,14 @@ class Encoder:
         longest: list[int] = [0] * n
         for end, (size, rank) in self.automaton.iter(piece.decode("latin-1")):
             longest[end + 1 - size] = rank
-        size, prefix, fits = self.token, self.prefix, self.fits
+        size, prefix, fits = self.token, self.prefix, self.compatible
         out: list[int] = []
         given_up = set()
         at, rank = 0, longest[0]
         while True:
             end = at + len(size[rank])
             if end not in given_up:
-                ok = True
-                if out:
-                    ok = fits.get((out[-1], rank))
-                    if ok is None:
-                        ok = self.compatible(out[-1], rank)
-                if ok:
+                if not out or fits(out[-1], rank):
                     out.append(rank)
                     if end == n:
                         return tuple(out)
@@ -142,58 +143,91 @@ class Encoder:
                 shorter = prefix.get(rank, rank)
             rank = shorter
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        new, old = self.new, self.old
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of the text; those of frequent pieces are remembered as the bytes of their numbers."""
+        ids, new, old = [], self.new, self.old
         for piece in self.pieces.findall(text):
             got = new.get(piece)
             if got is None:
-                got = old.get(piece) or self.encode_piece(piece.encode())
-                if len(new) >= REMEMBERED:
-                    self.old, self.new = old, new = new, {}
+                got = old.get(piece)
+                if got is None:
+                    got = np.array(self.encode_piece(piece.encode()), np.int32).tobytes()
                 if len(piece) < 64:
+                    if len(new) >= REMEMBERED:
+                        self.old, self.new = old, new = new, {}
                     new[piece] = got
-            ids += got
-        if len(self.fits) > 2 * REMEMBERED:
-            self.fits.clear()
-        return ids
+            ids.append(got)
+        return np.frombuffer(b"".join(ids), np.int32)
 
 
-_made: list[tuple[dict, str, Encoder]] = []
+class Decoder:
+    """Bytes of ids."""
 
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = {rank: token for token, rank in ranks.items()}
+        self.unknown = max(tokens, default=-1) + 1
+        parts = [tokens.get(i, b"") for i in range(self.unknown)]
+        self.size = np.array([len(tokens[i]) if i in tokens else -1 for i in range(self.unknown + 1)], np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(np.maximum(self.size, 0))])[:-1]
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
 
-def _encoder(ranks: dict[bytes, int], split: str) -> Encoder:
-    """The worker's encoder for the vocabulary it was given last."""
-    if not _made or _made[0][0] is not ranks or _made[0][1] != split:
-        _made[:] = [(ranks, split, Encoder(ranks, split))]
-    return _made[0][2]
+    def decode(self, ids: np.ndarray) -> bytes | None:
+        """None if the vocabulary lacks one of the ids."""
+        out = []
+        for k in range(0, len(ids), DECODED):
+            x = ids[k : k + DECODED]
+            x = np.where((x >= 0) & (x < self.unknown), x, self.unknown)
+            n = self.size[x]
+            if (n < 0).any():
+                return None
+            shift = np.repeat(self.begin[x] - np.concatenate([[0], np.cumsum(n)])[:-1], n)
+            out.append(self.data[shift + np.arange(len(shift))].tobytes())
+        return b"".join(out)
 
 
-def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], split: str, text: str = "text", ids: str = "ids") -> DataFrame:
+_made: dict[type, tuple] = {}
+
+
+def _worker_own(kind: type, ranks: dict[bytes, int], *more):
+    """The worker's encoder or decoder for the vocabulary it was given last: its tables take a while to make."""
+    if kind not in _made or _made[kind][0] is not ranks or _made[kind][1] != more:
+        _made[kind] = ranks, more, kind(ranks, *more)
+    return _made[kind][2]
+
+
+def bpe_encode(
+    docs: DataFrame, ranks: dict[bytes, int], split: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with the token ids of every whole text as array<int>, in column ``ids``.
 
-    Null and empty texts have no ids.  A column of that name is replaced.  Nothing is shuffled; the
+    With ``decoded``, a binary column of that name has the bytes that the ids decode to, made in the same pass.
+    Null and empty texts have no ids.  Columns of these names are replaced.  Nothing is shuffled; the
     vocabulary, a fixed table, is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    kept = [c for c in docs.columns if c.lower() != ids.lower()]
+    added = [ids] if decoded is None else [ids, decoded]
+    kept = [c for c in docs.columns if c.lower() not in [a.lower() for a in added]]
     at = docs.columns.index(text)
-    from_text = [docs.columns.index(c) for c in kept]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    from_column = [docs.columns.index(c) for c in kept]
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded or "", T.BinaryType())]
+    schema = T.StructType([docs.schema[c] for c in kept] + fields[: len(added)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, split)
+        encoder = _worker_own(Encoder, shared.value, split)
         for batch in batches:
             for part in _bounded(batch, at):
-                found = [np.array(encoder.encode(x.as_py() or ""), np.int32) for x in part.column(at)]
+                found = [encoder.encode(x.as_py() or "") for x in part.column(at)]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.empty(0, np.int32)])))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in from_text), lists], [*kept, ids])
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.empty(0, np.int32)])))]
+                if decoded is not None:
+                    decoder = _worker_own(Decoder, shared.value)
+                    new.append(pa.array([decoder.decode(x) for x in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in from_column), *new], [*kept, *added])
 
     return docs.mapInArrow(encode, schema)
 
 
-def _bounded(batch: pa.RecordBatch, at: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _bounded(batch: pa.RecordBatch, at: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices whose texts take about ``most`` bytes, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
@@ -208,34 +242,11 @@ def bpe_decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", to: s
 
     No ids, null included, give no bytes; an id that the vocabulary lacks makes the result null.
     """
-    most = max(ranks.values(), default=-1)
-    tokens = {rank: token for token, rank in ranks.items()}
-    parts = [tokens.get(i, b"") for i in range(most + 1)]
-    size = np.array([*map(len, parts), 0], np.int64)
-    size[[i for i in range(most + 1) if i not in tokens]] = -1
-    size[most + 1] = -1
-    begin = np.concatenate([[0], np.cumsum(np.maximum(size, 0))])[:-1]
-    shared = rows.sparkSession.sparkContext.broadcast((size, begin, np.frombuffer(b"".join(parts), np.uint8)))
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("binary")
-    def decode(lists):
-        size, begin, data = shared.value
-        unknown = len(size) - 1
-
-        def bytes_of(own):
-            if own is None or len(own) == 0:
-                return b""
-            out = []
-            for k in range(0, len(own), DECODED):
-                x = np.asarray(own[k : k + DECODED], np.float64)
-                x = np.where((x >= 0) & (x < unknown), x, unknown).astype(np.int64)
-                n = size[x]
-                if (n < 0).any():
-                    return None
-                shift = np.repeat(begin[x] - np.concatenate([[0], np.cumsum(n)])[:-1], n)
-                out.append(data[shift + np.arange(len(shift))].tobytes())
-            return b"".join(out)
-
-        return lists.map(bytes_of)
+    def decode(lists: pd.Series) -> pd.Series:
+        decoder = _worker_own(Decoder, shared.value)
+        return lists.map(lambda own: b"" if own is None else decoder.decode(np.nan_to_num(np.asarray(own, np.float64), nan=-1).astype(np.int64)))
 
     return rows.withColumn(to, decode(quoted(ids)))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import shared_folder
-from .bpe import bpe_decode, bpe_encode, read_ranks
+from .bpe import bpe_encode, read_ranks
 from .exact import exact_groups
 from .mixing import mix_counts
 from .private import find_private, private_digest
@@ -50,8 +50,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe_encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe_decode(encoded, ranks).select(
+    return bpe_encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
