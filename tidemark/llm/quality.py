@@ -34,6 +34,7 @@ _SHAPES = 9
 _CLASS = np.where(np.arange(256) < 128, np.arange(256), 128 + (np.arange(256) >> 3) - 16)
 _CLASSES = 144
 FEATURES = _SHAPES + _CLASSES + PAIRS
+RIDGE = (0.001, 0.01, 0.1)
 
 
 def features(text: Words) -> np.ndarray:
@@ -138,8 +139,11 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(((u + error) / p).min(), 0.05, 0.99))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: float = 1e-3, steps: int = 400) -> Model:
-    """The model of least non-negative risk.  Without any positive or unlabelled text every score is 0.5."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: tuple[float, float, float] = RIDGE, steps: int = 400) -> Model:
+    """The model of least non-negative risk.  Without any positive or unlabelled text every score is 0.5.
+
+    ``ridge`` holds down the weights of shapes, bytes and byte pairs: the finer a feature, the more.
+    """
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.5)
     mean, spread = unlabelled.mean(0, dtype=np.float64), unlabelled.std(0, dtype=np.float64)
@@ -149,12 +153,12 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: float = 1e-3, steps
         return np.hstack([np.clip((x - mean) * scale, -8, 8), np.ones((len(x), 1))])
 
     p, u = ready(positive), ready(unlabelled)
-    keep = np.append(np.full(FEATURES, ridge), 0)
+    keep = np.append(np.repeat(ridge, (_SHAPES, _CLASSES, PAIRS)), 0)
 
     def apart(even: slice) -> np.ndarray:
         a, b = p[even], u[even]
         return _descend(
-            lambda w: -a.T @ _sigmoid(-(a @ w)) / len(a) + b.T @ _sigmoid(b @ w) / len(b) + 10 * keep * w, len(keep), steps // 2
+            lambda w: -a.T @ _sigmoid(-(a @ w)) / len(a) + b.T @ _sigmoid(b @ w) / len(b) + keep * w, len(keep), steps // 2
         )
 
     # the prior is read from scores of texts that their scorer has not seen
