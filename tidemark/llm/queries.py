@@ -10,6 +10,7 @@ from ..sources.files import shared_folder
 from .bpe import bpe_encode, read_ranks
 from .exact import exact_groups
 from .mixing import mix_counts
+from .near import near_groups
 from .private import find_private, private_digest
 from .quality import in_fold, train, with_score
 from .shared import table
@@ -47,6 +48,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_digest(find_private(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +82,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
+    "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op10_quality": op10_quality,
