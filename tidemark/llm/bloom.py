@@ -58,11 +58,11 @@ class Filter:
 
     def __init__(self, spark: SparkSession, words: np.ndarray):
         self.words = words
-        self._shared = spark.sparkContext.broadcast(words)
+        self.shared = spark.sparkContext.broadcast(words)
 
     def may_hold(self, key: Column) -> Column:
         """False only for keys that the filter was not given; null for null."""
-        shared = self._shared
+        shared = self.shared
 
         @F.pandas_udf("boolean")
         def look_up(keys: pd.Series) -> pd.Series:

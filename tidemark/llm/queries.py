@@ -14,6 +14,7 @@ from .near import near_groups
 from .private import find_private, private_digest
 from .quality import in_fold, train, with_score
 from .shared import table
+from .substrings import remove_repeats
 from .warc import read_warc, write_warc
 
 
@@ -28,6 +29,12 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
@@ -80,6 +87,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
     "op6_near_dedup": op6_near_dedup,
