@@ -15,6 +15,7 @@ from .private import find_private, private_digest
 from .quality import in_fold, train, with_score
 from .shared import table
 from .substrings import remove_repeats
+from .vectors import vector_groups
 from .warc import read_warc, write_warc
 
 
@@ -74,6 +75,26 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, min(b) AS component_id, vec_id = min(b) AS kept
+FROM embeddings JOIN reach ON reach.a = vec_id GROUP BY vec_id
+"""
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -93,9 +114,11 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
+    "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
 }
 ORACLES = {
+    "op9_vectors": OP9_SQL,
     "op4_warc": OP4_SQL,
     "op1_exact_dedup": OP1_SQL,
 }
