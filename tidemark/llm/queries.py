@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..sources.files import shared_folder
 from .bpe import bpe_encode, read_ranks
 from .exact import exact_groups
+from .licences import oracle_sql as licence_sql
+from .licences import scan_licences
 from .mixing import mix_counts
 from .near import near_groups
 from .private import find_private, private_digest
@@ -30,6 +32,10 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
@@ -108,6 +114,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_licences": op2_licences,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
@@ -118,6 +125,7 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 ORACLES = {
+    "op2_licences": licence_sql(),
     "op9_vectors": OP9_SQL,
     "op4_warc": OP4_SQL,
     "op1_exact_dedup": OP1_SQL,
