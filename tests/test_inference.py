@@ -49,6 +49,24 @@ def test_odd_field_names(feed_of):
     assert kinds(schema) == {"a b": "bigint", "OBJECT": "struct<VOID:string>", "x: VOID": "bigint", "": "bigint"}
 
 
+def test_integers_beyond_bigint_stay_exact(spark, feed_of, tmp_path):
+    wide = 18446744073709551557
+    schema = infer_schema(feed_of('{"a":1,"b":1,"c":1.5}', '{"a":%d,"b":2,"c":%d}' % (wide, wide)))
+    assert kinds(schema) == {"a": "decimal(38,0)", "b": "bigint", "c": "double"}
+    feed = feed_of('{"after":{"id":%d},"before":{"id":1}}' % wide, '{"after":{"id":5}}')
+    extract_after(feed, str(tmp_path / "out"))
+    assert sorted(int(r.id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [5, wide]
+
+
+def test_repeated_field_names(spark, feed_of):
+    assert kinds(infer_schema(feed_of('{"after":{"a":1,"a":2,"b":2}}')))["after"] == "struct<a:bigint,b:bigint>"
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
+def test_object_in_a_field_name(feed_of):
+    assert kinds(infer_schema(feed_of('{"OBJECT<x":{"a":1}}'))) == {"OBJECT<x": "struct<a:bigint>"}
+
+
 def test_extract(spark, feed_of, tmp_path):
     feed = feed_of(event("d", ROW, None, 1), event("c", None, ROW, 2), None, "{bad")
     extract_after(feed, str(tmp_path / "out"))
@@ -91,7 +109,20 @@ def test_first_message_decides_alone(spark, feed_of, tmp_path):
 def test_landed_copy_is_removed(spark, feed_of, tmp_path):
     root = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(root))
-    extract_after(feed_of(event("c", None, ROW, 1)), str(tmp_path / "out"))
+    extract_after(feed_of(event("c", None, ROW, 1)), str(tmp_path / "out"), land=True)
     with pytest.raises(ValueError):
-        extract_after(feed_of(None), str(tmp_path / "out"))
+        extract_after(feed_of(None), str(tmp_path / "out"), land=True)
     assert set(os.listdir(root)) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_only_a_moving_source_is_copied(feed_of, tmp_path, monkeypatch):
+    def refuse(feed):
+        raise AssertionError("copied")
+
+    monkeypatch.setattr("tidemark.plans.jobs.landed_feed", refuse)
+    feed = feed_of(event("c", None, ROW, 1))
+    extract_after(feed, str(tmp_path / "out"))
+    extract_after(feed, str(tmp_path / "out"), from_first=True)
+    with pytest.raises(AssertionError):
+        extract_after(feed, str(tmp_path / "out"), land=True)

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import decode, fold_changes, latest_per_key, read_log, row_images
+from tidemark import decode, fold_changes, latest_per_key, merge_state, read_log, row_images
 from tidemark.sources import append_log
 
 KEYS = ["order_id", "customer_id"]
@@ -31,11 +31,11 @@ def test_only_what_the_images_need_is_read(spark, log):
     assert "PushedFilters: [Or(IsNotNull(after),IsNotNull(before))]" in text
 
 
-def test_position_reads_three_source_fields(spark, log):
+def test_position_reads_four_source_fields(spark, log):
     df = row_images(read_log(spark, log), position=True)
     scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
     names = [f.name() for f in scan.requiredSchema().apply("source").dataType().fields()]
-    assert sorted(names) == ["file", "pos", "ts_ms"]
+    assert sorted(names) == ["file", "pos", "row", "ts_ms"]
 
 
 def test_one_column_of_the_images_is_read_alone(spark, log):
@@ -87,22 +87,34 @@ def _metric(node, name):
     return own + sum(_metric(children.apply(i), name) for i in range(children.size()))
 
 
-def test_fold_shuffles_each_side_once(spark, log, tmp_path):
+def test_fold_reads_and_shuffles_each_side_once(spark, log, tmp_path):
     changes = row_images(read_log(spark, log), position=True)
     latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "base"))
     base = spark.read.parquet(str(tmp_path / "base"))
-    text = plan(fold_changes(base, latest_per_key(changes, KEYS), KEYS))
-    assert "SortMergeJoin" in text
-    # State and changes for the join; the same for the rows with a null in the key.
-    assert text.count("Exchange hashpartitioning") == 4
-    assert "Cartesian" not in text and "NestedLoop" not in text
+    text = plan(fold_changes(base, changes, KEYS))
+    assert text.count("FileScan") == 2 and text.count("Exchange") == 2 and "Join" not in text
+    # Only the changes are sorted before they move.
+    above = text.split("REPARTITION_BY_COL")[1].split("Exchange")[0]
+    assert "Sort" not in above.split("FileScan")[0]
 
 
-def test_fold_of_a_small_batch_does_not_shuffle_the_state(spark, log, tmp_path):
+def test_sides_that_are_ranked_are_not_shuffled_again(spark, log):
     changes = row_images(read_log(spark, log), position=True)
-    latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "base"))
-    latest_per_key(changes, KEYS).write.parquet(str(tmp_path / "new"))
-    base, new = (spark.read.parquet(str(tmp_path / name)) for name in ("base", "new"))
-    text = plan(fold_changes(base, new, KEYS, newest_is_small=True))
-    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
-    assert "NestedLoop" not in text
+    deletes, others = changes.filter("op = 'd'"), changes.filter("op <> 'd'")
+    text = plan(merge_state(latest_per_key(deletes, KEYS), latest_per_key(others, KEYS), KEYS))
+    assert text.count("FileScan") == 2 and text.count("Exchange") == 2
+    text = plan(fold_changes(latest_per_key(deletes, KEYS), latest_per_key(others, KEYS), KEYS))
+    assert text.count("FileScan") == 2 and text.count("Exchange") <= 3
+
+
+def test_sides_of_very_different_size_meet(spark):
+    """Adaptive execution must not merge the partitions of one side of the union alone."""
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        held = spark.range(40_000).selectExpr("if(id = 7, null, id) k", "'c' op", "1D ts_ms", "uuid() pad")
+        came = spark.range(0, 40_000, 1000).selectExpr("if(id = 7000, null, id) k", "'u' op", "2D ts_ms", "'' pad")
+        folded = fold_changes(held, came, "k")
+        assert folded.count() == 40_000 and folded.filter("op = 'u'").count() == 40
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import current_state, decode, read_feed, to_change_feed, write_feed
 from tidemark.operators import source_struct
-from tidemark.schemas import ORDER_IMAGE
+from tidemark.schemas import ORDER_IMAGE, SOURCE
 
 
 @pytest.fixture(scope="module")
@@ -21,23 +21,11 @@ def test_message_as_a_producer_writes_it(rows):
     assert value["before"] is None and value["transaction"] is None
     assert value["after"] == {"customer_id": 1, "order_id": 2, "price": 3, "product_id": 4, "quantity": 5}
     assert value["op"] == "c" and value["ts_ms"] == 7.5
-    assert value["source"] == {
-        "version": "1.8.1.Final",
-        "connector": "mysql",
-        "name": "fake-db-server1",
-        "ts_ms": 7.5,
-        "snapshot": "false",
-        "db": "inventory",
-        "sequence": None,
-        "table": "orders",
-        "server_id": 223344,
-        "gtid": None,
-        "file": "mysql-bin.000003",
-        "pos": 9,
-        "row": 0,
-        "thread": None,
-        "query": None,
-    }
+    assert value["source"] == {**dict.fromkeys(SOURCE.names), "pos": 9, "ts_ms": 7.5}
+
+
+def test_nothing_is_made_up_about_the_source(rows):
+    assert json.loads(to_change_feed(rows, "order_id", "c", F.lit(1.0)).first().value)["source"] is None
 
 
 def test_delete_carries_the_old_image(rows):

@@ -5,8 +5,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark import current_state, decode, fold_changes, latest_per_key, live_rows, merge_state, row_images
+from tidemark import current_state, decode, fold_changes, latest_per_key, live_rows, merge_state, message_status, row_images
+from tidemark.schemas import envelope
 
 SCHEMA = "case int, k int, m string, qty int, op string, ts_ms double"
 KEYS = ["case", "k", "m"]
@@ -32,7 +34,7 @@ def histories(cases=400, seed=7):
 
 
 def rank(row):
-    """Null lowest, NaN highest; time first, then the rest in column order."""
+    """Null lowest, NaN highest; time first, then deletes, then the rest by name."""
 
     def one(value):
         if value is None:
@@ -42,7 +44,7 @@ def rank(row):
         return (1, value)
 
     _, _, _, qty, op, ts = row
-    return (one(ts), one(qty), one(op))
+    return (one(ts), op == "d", one(op), one(qty))
 
 
 def newest(rows):
@@ -86,16 +88,42 @@ def test_merge(spark, rows):
     assert bag(merge_state(some, others, KEYS).collect()) == bag(live(newest(rows)))
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_fold_equals_merge(spark, rows, small):
+def test_fold_equals_merge(spark, rows):
     rng = random.Random(3)
     mixed = rows[:]
     rng.shuffle(mixed)
     half = len(mixed) // 2
     held, came = frame(spark, newest(mixed[:half])), frame(spark, newest(mixed[half:]))
-    folded = fold_changes(held, came, KEYS, newest_is_small=small)
+    folded = fold_changes(held, came, KEYS)
     assert folded.columns == held.columns
     assert bag(folded.collect()) == bag(newest(rows))
+    assert bag(fold_changes(held, frame(spark, mixed[half:]), KEYS).collect()) == bag(newest(rows))
+
+
+def test_order_of_columns_does_not_decide_ties(spark):
+    one = spark.createDataFrame([(1, 1, 9, "c", 1.0)], "k int, x int, y int, op string, ts_ms double")
+    other = spark.createDataFrame([(9, 2, 1, "c", 1.0)], "k int, x int, y int, op string, ts_ms double").select(
+        F.lit(1).alias("k"), F.lit(1).alias("y"), F.lit(2).alias("x"), "op", "ts_ms"
+    )
+    for a, b in ((one, other), (other, one)):
+        assert [(r.x, r.y) for r in merge_state(a, b, "k").collect()] == [(2, 1)]
+
+
+def test_a_delete_beats_an_update_of_the_same_instant(spark):
+    rows = spark.createDataFrame([(1, "u", 1.0), (1, "d", 1.0), (1, None, 1.0)], "k int, op string, ts_ms double")
+    assert [r.op for r in latest_per_key(rows, "k").collect()] == ["d"]
+
+
+def test_columns_named_like_helpers_survive(spark, feed_of):
+    rows = spark.createDataFrame([(1, 5, "c", 1.0), (1, 7, "u", 2.0)], "k int, _rank int, op string, ts_ms double")
+    assert [r._rank for r in latest_per_key(rows, "k").collect()] == [7]
+    kind = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("_position", T.IntegerType())])
+    log = decode(feed_of('{"after":{"id":1,"_position":3},"op":"c","ts_ms":1}'), envelope(kind))
+    with pytest.raises(ValueError, match="_position"):
+        current_state(log, "id")
+    assert [r._position for r in current_state(log.drop("source"), "id").collect()] == [3]
+    status = message_status(feed_of("{}").withColumn("_parsed", F.lit(1)))
+    assert status.columns == ["key", "value", "timestamp", "_parsed", "status"]
 
 
 @pytest.mark.parametrize("batches", [2, 5])
@@ -115,11 +143,10 @@ def test_replay_changes_nothing(spark, rows):
     assert bag(merge_state(state, frame(spark, rows), KEYS, keep_deletes=True).collect()) == bag(newest(rows))
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_fold_takes_new_columns_and_wider_types(spark, small):
+def test_fold_takes_new_columns_and_wider_types(spark):
     held = spark.createDataFrame([(1, 5, "c", 1.0), (2, 6, "c", 1.0)], "k int, qty int, op string, ts_ms double")
     came = spark.createDataFrame([(2, 7 << 40, "u", 2.0, "new")], "k int, qty bigint, op string, ts_ms double, note string")
-    folded = fold_changes(held, came, "k", newest_is_small=small)
+    folded = fold_changes(held, came, "k")
     assert dict(folded.dtypes)["qty"] == "bigint"
     assert sorted(map(tuple, folded.select("k", "qty", "note").collect())) == [(1, 5, None), (2, 7 << 40, "new")]
 
@@ -153,6 +180,18 @@ def test_binlog_position_decides_ties_as_a_number(feed_of):
     assert [r.quantity for r in current_state(log, "order_id").collect()] == [3]
 
 
+def test_log_files_compare_by_number_and_rows_of_one_event_by_row(feed_of):
+    def event(file, pos, row, quantity):
+        after = '{"customer_id":1,"order_id":1,"price":1,"product_id":1,"quantity":%d}' % quantity
+        source = '{"ts_ms":5,"file":"%s","pos":%d,"row":%d}' % (file, pos, row)
+        return '{"after":%s,"op":"u","ts_ms":5,"source":%s}' % (after, source)
+
+    rollover = feed_of(event("mysql-bin.999999", 900, 0, 7), event("mysql-bin.1000000", 4, 0, 3))
+    assert [r.quantity for r in current_state(decode(rollover), "order_id").collect()] == [3]
+    same_event = feed_of(event("b.1", 4, 10, 3), event("b.1", 4, 9, 8))
+    assert [r.quantity for r in current_state(decode(same_event), "order_id").collect()] == [3]
+
+
 def test_scenario(feed_of, scenario):
     expected = [(1, 1, 100, 1, 1, "c", 10.0), (2, 2, 100, 2, 200, "u", 1010.3)]
     for values in (scenario, scenario[::-1], scenario * 3):

@@ -85,14 +85,14 @@ def test_log_of_another_checkpoint_is_refused(spark, place, send, scenario, feed
         append_log(decode(feed_of("{}")), place("log"))
 
 
-@pytest.mark.parametrize("fold_ratio", [0, 0.1, None])
-def test_state_stream(spark, place, send, scenario, fold_ratio):
+@pytest.mark.parametrize("fold_every", [1, None])
+def test_state_stream(spark, place, send, scenario, fold_every):
     table = StateTable(spark, place("state"), KEYS)
     arrivals = [scenario[4], scenario[3], None, scenario[2], scenario[0], "{bad", scenario[1], scenario[0]]
 
     def run():
         events = decode(stream_feed(spark, place("feed"), maxFilesPerTrigger=2))
-        run_state_stream(events, table, fold_ratio=fold_ratio, available_now=True).awaitTermination()
+        run_state_stream(events, table, fold_every=fold_every, available_now=True).awaitTermination()
 
     send(*arrivals[:4])
     run()
@@ -100,7 +100,7 @@ def test_state_stream(spark, place, send, scenario, fold_ratio):
     send(*arrivals[4:])
     run()
     assert rows_of(table) == EXPECTED
-    assert (len(table.pending()) > 0) == (fold_ratio is None)
+    assert (len(table.pending()) > 0) == (fold_every is None)
 
 
 def test_replayed_micro_batch(spark, place, send, scenario):
@@ -109,7 +109,7 @@ def test_replayed_micro_batch(spark, place, send, scenario):
 
     def run():
         events = decode(stream_feed(spark, place("feed")))
-        run_state_stream(events, table, fold_ratio=0, available_now=True).awaitTermination()
+        run_state_stream(events, table, fold_every=1, available_now=True).awaitTermination()
 
     send(*scenario[:3])
     run()
@@ -172,6 +172,7 @@ def test_kafka_stream_options():
         "failOnDataLoss": "false",
         "minPartitions": 64,
     }
+    assert stream_feed(Recorder(), fmt="kafka", servers="a:1", topic="t", fail_on_data_loss=True)["failOnDataLoss"] == "true"
     asked = stream_feed(Recorder(), fmt="kafka", servers="a:1", topic="t", startingOffsets="latest")
     assert asked["startingOffsets"] == "latest"
 
@@ -199,12 +200,23 @@ def test_command_line(spark, place, send, scenario, monkeypatch):
     assert spark.read.parquet(place("output")).count() == 7
 
 
+def test_command_line_publish(spark, place):
+    spark.createDataFrame([(1, "x"), (2, "y")], "id int, name string").write.parquet(place("rows"))
+    feed = ["--feed-format", "parquet", "--feed-path", place("feed")]
+    main(["publish", "--rows", place("rows"), "--keys", "id", "--source-table", "people", *feed])
+    where = ["--root", place("out"), "--table", "people", "--image", "id INT, name STRING"]
+    main(["ingest", *feed, *where, "--available-now"])
+    main(["bronze", "--keys", "id", *where])
+    rows = StateTable(spark, place("out/bronze/people"), "id").read().select("id", "name", "op").collect()
+    assert sorted(map(tuple, rows)) == [(1, "x", "c"), (2, "y", "c")]
+
+
 def test_command_line_state_and_image(spark, place, feed_of):
     def send(name, ts):
         value = json.dumps(event("c", None, {"id": 1, "name": name}, ts))
         feed_of(value).write.mode("append").parquet(place("feed"))
         main(["ingest", "--feed-format", "parquet", "--feed-path", place("feed"), *common])
-        main(["state", "--keys", "id", "--no-fold", *common])
+        main(["state", "--keys", "id", *common])
 
     where = ["--root", place("out"), "--table", "people"]
     common = [*where, "--image", "id INT, name STRING", "--available-now"]
@@ -222,19 +234,19 @@ def test_fold_while_the_stream_goes_on(spark, place, send, scenario):
     for values in (scenario[4:], scenario[2:4], scenario[:2]):
         send(*values)
         events = decode(stream_feed(spark, place("feed")), state_envelope())
-        run_state_stream(events, table, fold_ratio=None, available_now=True).awaitTermination()
+        run_state_stream(events, table, available_now=True).awaitTermination()
         StateTable(spark, place("state"), KEYS).fold()
     assert table.pending() == [] and rows_of(table) == EXPECTED
 
 
-@pytest.mark.parametrize("fold_ratio", [0, None])
-def test_table_replaced_between_runs_of_its_stream(spark, place, send, scenario, fold_ratio):
+@pytest.mark.parametrize("fold_every", [1, None])
+def test_table_replaced_between_runs_of_its_stream(spark, place, send, scenario, fold_every):
     """The stream's next batch must not pass for one the replacement already holds."""
     table = StateTable(spark, place("state"), KEYS)
     for values in (scenario[4:], scenario[2:4], scenario[:2]):
         send(*values)
         events = decode(stream_feed(spark, place("feed")), state_envelope())
-        run_state_stream(events, table, fold_ratio=fold_ratio, available_now=True).awaitTermination()
+        run_state_stream(events, table, fold_every=fold_every, available_now=True).awaitTermination()
         for _ in range(2):
             table.replace(table.rows().filter("op <> 'd' OR ts_ms > 0"))
     assert table.pending() == [] and rows_of(table) == EXPECTED
@@ -246,11 +258,11 @@ def test_state_stream_reads_only_what_it_needs(spark, place, send, scenario):
     send(*scenario)
     ingest(spark, place)
     table = StateTable(spark, place("state"), KEYS)
-    query = run_state_stream(stream_log(spark, place("log")), table, fold_ratio=None, available_now=True)
+    query = run_state_stream(stream_log(spark, place("log")), table, available_now=True)
     query.awaitTermination()
     plan = query._jsq.explainInternal(True)
     schema = re.findall(r"ReadSchema: (\S+)", plan)[-1]
-    assert "source:struct<file:string,pos:string,ts_ms:double>" in schema and "transaction" not in schema
+    assert "source:struct<file:string,pos:string,row:string,ts_ms:double>" in schema and "transaction" not in schema
 
 
 @pytest.mark.parametrize("step", ["add_changes", "fold", "_clean_up"])
@@ -270,12 +282,12 @@ def test_stream_that_broke_goes_on(spark, place, send, scenario, step, before):
     send(*scenario[2:])
     events = decode(stream_feed(spark, place("feed")), state_envelope())
     sound = StateTable(spark, place("state"), KEYS)
-    run_state_stream(events, sound, fold_ratio=0, available_now=True).awaitTermination()
+    run_state_stream(events, sound, fold_every=1, available_now=True).awaitTermination()
     send(*scenario[:2])
     with pytest.raises(StreamingQueryException):
         broken = Breaking(spark, place("state"), KEYS)
-        run_state_stream(events, broken, fold_ratio=0, available_now=True).awaitTermination()
-    run_state_stream(events, sound, fold_ratio=0, available_now=True).awaitTermination()
+        run_state_stream(events, broken, fold_every=1, available_now=True).awaitTermination()
+    run_state_stream(events, sound, fold_every=1, available_now=True).awaitTermination()
     assert rows_of(sound) == EXPECTED
 
 

@@ -13,7 +13,7 @@ from .operators import (
     row_images,
     to_change_feed,
 )
-from .plans import extract_after, run_bronze
+from .plans import extract_after, publish_table, run_bronze
 from .sources import StateTable, read_feed, read_log, stream_feed, stream_log, write_feed
 from .streaming import run_ingest, run_state_stream
 
@@ -30,6 +30,7 @@ __all__ = [
     "live_rows",
     "merge_state",
     "message_status",
+    "publish_table",
     "read_feed",
     "read_log",
     "row_images",

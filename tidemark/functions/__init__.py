@@ -1,6 +1,6 @@
 """Column functions and schema inference."""
 
-from .columns import as_text, decode_json, encode_json, ingest_date, key_columns
+from .columns import as_text, decode_json, encode_json, free_name, ingest_date, key_columns
 from .inference import first_message_schema, infer_schema
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "decode_json",
     "encode_json",
     "first_message_schema",
+    "free_name",
     "infer_schema",
     "ingest_date",
     "key_columns",

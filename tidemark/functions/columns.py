@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,17 @@ def encode_json(*columns: Column) -> Column:
 
 
 def ingest_date(clock: str | Column | None = None) -> Column:
-    """Day of ``clock`` as yyyy-MM-dd text; without one, the processing day in the session time zone."""
-    if clock is None:
-        clock = F.current_timestamp()
-    return F.date_format(clock, "yyyy-MM-dd")
+    """Day of ``clock`` as yyyy-MM-dd text; the processing day in the session time zone where there is none."""
+    today = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
+    return today if clock is None else F.coalesce(F.date_format(clock, "yyyy-MM-dd"), today)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def key_columns(keys: str | list[str] | tuple[str, ...]) -> list[str]:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import as_text, decode_json, ingest_date
+from ..functions import as_text, decode_json, free_name, ingest_date
 from ..schemas import ORDER_KEY, envelope
 
 
 def decode(feed: DataFrame, schema: T.StructType | None = None, clock: str | Column | None = None) -> DataFrame:
     """Envelope columns plus the ingest ``date``, one row per message.
 
-    Tombstones and malformed messages stay as rows of nulls.  The parsed struct goes through
+    Tombstones and malformed messages stay as rows of nulls; where ``clock`` is null, the date is the
+    processing day.  The parsed struct goes through
     ``inline`` so that operators stacked on top read its fields instead of parsing the text again.
     """
     parsed = decode_json(as_text(), schema or envelope())
@@ -36,12 +40,18 @@ def extract_images(feed: DataFrame, schema: T.StructType, image: str = "after")
 
 
 def message_status(feed: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """``feed`` with a ``status``: ok (has a row image), tombstone (no value) or malformed."""
-    parsed = F.struct(decode_json(as_text(), schema or envelope()).alias("_parsed"))
-    messages = feed.select("*", F.inline(F.array(parsed)))
-    has_image = F.col("_parsed.after").isNotNull() | F.col("_parsed.before").isNotNull()
-    status = F.when(F.col("_parsed").isNull(), "tombstone").when(has_image, "ok").otherwise("malformed")
-    return messages.select(*feed.columns, status.alias("status"))
+    """``feed`` with a ``status``: ok (has a row image), no image (another event), tombstone (no value) or malformed.
+
+    A ``status`` column of the feed is replaced.
+    """
+    schema, name = schema or envelope(), free_name(feed, "_parsed")
+    messages = feed.select("*", F.inline(F.array(F.struct(decode_json(as_text(), schema).alias(name)))))
+    parsed = F.col(name)
+    has_image = parsed["after"].isNotNull() | parsed["before"].isNotNull()
+    says_something = reduce(or_, [parsed[field].isNotNull() for field in schema.names])
+    status = F.when(parsed.isNull(), "tombstone").when(has_image, "ok").when(says_something, "no image")
+    kept = [F.col(f"`{c}`") for c in feed.columns if c.lower() != "status"]
+    return messages.select(*kept, status.otherwise("malformed").alias("status"))
 
 
 def only_table(log: DataFrame, table: str) -> DataFrame:

@@ -6,14 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import SOURCE
 
-def log_position() -> Column:
-    """Place of the event in the source's log; ``pos`` comes as text and must compare as a number."""
-    return F.struct(
+
+def log_position(source: T.StructType = SOURCE) -> Column:
+    """Place of the event in the source's log.
+
+    Files are numbered at the end of their names, and ``pos`` and ``row`` come as text; all three must compare as
+    numbers.  Rows of one log event share ``pos`` and are told apart by ``row``, if the source has it.
+    """
+    file = F.col("source.file")
+    parts = [
         F.col("source.ts_ms").alias("ts_ms"),
-        F.col("source.file").alias("file"),
+        F.regexp_replace(file, "[0-9]+$", "").alias("series"),
+        F.regexp_extract(file, "([0-9]+)$", 1).try_cast("bigint").alias("number"),
+        file.alias("file"),
         F.col("source.pos").try_cast("bigint").alias("pos"),
-    )
+    ]
+    row = F.col("source.row") if "row" in source.names else F.lit(None).cast("string")
+    return F.struct(*parts, row.try_cast("bigint").alias("row"))
 
 
 def has_position(log: DataFrame) -> bool:
@@ -39,5 +50,7 @@ def row_images(log: DataFrame, op_from: str = "op", position: bool = False) -> D
         op = F.col("op")
     else:
         raise ValueError(f"op_from is 'op' or 'images', not {op_from!r}")
-    extra = [log_position().alias("_position")] if position else []
+    if position and "_position" in [name.lower() for name in names]:
+        raise ValueError("a table with a column _position cannot be ranked by position; rename the column")
+    extra = [log_position(log.schema["source"].dataType).alias("_position")] if position else []
     return log.filter(new.isNotNull() | old.isNotNull()).select(*fields, op, "ts_ms", *extra)

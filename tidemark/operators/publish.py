@@ -8,36 +8,18 @@ from pyspark.sql import functions as F
 from ..functions import encode_json, key_columns
 from ..schemas import SOURCE
 
-# What the source metadata of a published event says when the caller gives nothing else.
-SOURCE_DEFAULTS = {
-    "version": "1.8.1.Final",
-    "connector": "mysql",
-    "name": "fake-db-server1",
-    "ts_ms": None,
-    "snapshot": "false",
-    "db": "inventory",
-    "sequence": None,
-    "table": "orders",
-    "server_id": 223344,
-    "gtid": None,
-    "file": "mysql-bin.000003",
-    "pos": None,
-    "row": 0,
-    "thread": None,
-    "query": None,
-}
-
 
 def source_struct(**given: Column | str | int | float | None) -> Column:
-    """Source metadata of an event; ``given`` replaces defaults by field name."""
-    unknown = set(given) - set(SOURCE_DEFAULTS)
+    """Source metadata of an event, null where nothing is given; fields in the order of the schema."""
+    unknown = set(given) - set(SOURCE.names)
     if unknown:
         raise ValueError(f"no such source field: {sorted(unknown)}")
     fields = []
-    for name, value in {**SOURCE_DEFAULTS, **given}.items():
+    for field in SOURCE:
+        value = given.get(field.name)
         if value is None:
-            value = F.lit(None).cast(SOURCE[name].dataType)
-        fields.append((value if isinstance(value, Column) else F.lit(value)).alias(name))
+            value = F.lit(None).cast(field.dataType)
+        fields.append((value if isinstance(value, Column) else F.lit(value)).alias(field.name))
     return F.struct(*fields)
 
 
@@ -56,7 +38,7 @@ def to_change_feed(
 
     ``before`` and ``after`` are struct columns; with neither, all columns of ``rows`` are the new
     image, or the old one where ``op`` is ``"d"``.  The key is taken from whichever image is there.
-    A null ``op`` makes a tombstone: the key without a value.
+    A null ``op`` makes a tombstone: the key without a value.  Without ``source`` its metadata is null.
     """
     if before is None and after is None:
         image = F.struct(*[f"`{c}`" for c in rows.columns])
@@ -71,7 +53,7 @@ def to_change_feed(
     value = encode_json(
         before.alias("before"),
         after.alias("after"),
-        (source_struct() if source is None else source).alias("source"),
+        (F.lit(None).cast(SOURCE) if source is None else source).alias("source"),
         op.alias("op"),
         _column(ts_ms).alias("ts_ms"),
         (F.lit(None).cast("string") if transaction is None else transaction).alias("transaction"),

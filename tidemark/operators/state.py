@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import key_columns
 from .images import has_position, row_images
-from .latest import comparable, latest_per_key, precedence
+from .latest import latest_per_key
 
 
 def live_rows(state: DataFrame) -> DataFrame:
@@ -23,8 +19,9 @@ def current_state(
     log: DataFrame, keys: str | list[str], order_by: str | list[str] = "ts_ms", op_from: str = "op"
 ) -> DataFrame:
     """Live rows of the table a decoded log describes."""
-    images = row_images(log, op_from, position=has_position(log))
-    return live_rows(latest_per_key(images, keys, order_by)).drop("_position")
+    position = has_position(log)
+    state = live_rows(latest_per_key(row_images(log, op_from, position), keys, order_by))
+    return state.drop("_position") if position else state
 
 
 def merge_state(
@@ -44,60 +41,13 @@ def merge_state(
 
 
 def fold_changes(
-    existing: DataFrame,
-    newest: DataFrame,
-    keys: str | list[str],
-    order_by: str | list[str] = "ts_ms",
-    newest_is_small: bool = False,
+    existing: DataFrame, changes: DataFrame, keys: str | list[str], order_by: str | list[str] = "ts_ms"
 ) -> DataFrame:
-    """``merge_state`` with deletes kept, for sides that are both unique on the keys.
+    """``merge_state`` with deletes kept, for an ``existing`` side that is large and unique on the keys.
 
-    Such sides need no ranking, so the large ``existing`` is not sorted for it.  It is shuffled
-    once, or not at all where the caller has checked that ``newest`` fits a broadcast.
+    The changes are ranked first, which leaves them partitioned by key.  The state is shuffled once, unsorted, to the
+    same partitioning, so that the union of both is ranked where it lies.  Each input is read once.
     """
     keys = key_columns(keys)
-    schema = existing.unionByName(newest, allowMissingColumns=True).schema
-    if not comparable(schema):
-        return merge_state(existing, newest, keys, order_by, keep_deletes=True)
-    existing, newest = existing.to(schema), newest.to(schema)
-    columns = [c for c in precedence(schema, keys, order_by) if c not in keys]
-    held, came = _packed(existing, keys, columns, "held"), _packed(newest, keys, columns, "came")
-    pairs = [(F.col(f"held_{i}"), F.col(f"came_{i}")) for i in range(len(keys))]
-    # Structs compare field by field with null lowest, which is the order of the ranking window.
-    newer = F.greatest("held", "came").alias("row")
-    if newest_is_small:
-        same_key = reduce(and_, [h.eqNullSafe(c) for h, c in pairs])
-        came = F.broadcast(came)
-        updated = held.join(came, same_key, "left").select(*[h for h, _ in pairs], newer)
-        known = held.drop("held").join(came.drop("came"), same_key, "left_semi")
-        added = came.join(F.broadcast(known), same_key, "left_anti")
-        return _unpacked(updated, keys, schema).unionByName(_unpacked(added, keys, schema))
-    # Plain equality lets the join use the partitioning ``newest`` already has; rows with a null
-    # in the key, which it cannot match, are merged on the side.
-    same_key = reduce(and_, [h == c for h, c in pairs])
-    whole = [reduce(and_, [pair[side].isNotNull() for pair in pairs]) for side in (0, 1)]
-    joined = held.filter(whole[0]).join(came.filter(whole[1]), same_key, "full_outer")
-    rows = joined.select(*[F.coalesce(h, c) for h, c in pairs], newer)
-    no_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
-    others = merge_state(existing.filter(no_key), newest.filter(no_key), keys, order_by, keep_deletes=True)
-    return _unpacked(rows, keys, schema).unionByName(others)
-
-
-def text_bytes(df: DataFrame) -> int:
-    """Size of the rows as JSON text: what a broadcast takes in memory, whatever the compression on disk."""
-    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
-    return df.agg(F.sum(size)).first()[0] or 0
-
-
-def _unpacked(rows: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
-    """Key columns and the row struct, in that order, back as the columns of ``schema``."""
-    rows = rows.toDF(*[f"_key_{i}" for i in range(len(keys))], "row")
-    columns = {c: F.col("row")[c] for c in schema.names if c not in keys}
-    columns.update({k: F.col(f"_key_{i}") for i, k in enumerate(keys)})
-    return rows.select(*[columns[c].alias(c) for c in schema.names])
-
-
-def _packed(df: DataFrame, keys: list[str], columns: list[str], name: str) -> DataFrame:
-    """The keys under names of their own, and the other columns as one struct in their order of precedence."""
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name)
-    return df.select(*[F.col(f"`{k}`").alias(f"{name}_{i}") for i, k in enumerate(keys)], row)
+    placed = existing.repartition(*[F.col(f"`{k}`") for k in keys])
+    return merge_state(placed, latest_per_key(changes, keys, order_by), keys, order_by, keep_deletes=True)

@@ -25,7 +25,6 @@ from ..operators import (
     only_table,
     row_images,
     source_struct,
-    text_bytes,
     to_change_feed,
 )
 from ..schemas import ORDER_IMAGE, envelope, log_schema, state_envelope
@@ -40,9 +39,9 @@ from ..sources import (
     stream_log,
     write_feed,
 )
-from ..sources.files import exists
+from ..sources.files import exists, remove
 from ..streaming import run_ingest, run_state_stream
-from .jobs import extract_after, run_bronze
+from .jobs import extract_after, publish_table, run_bronze
 from .order_feed import KEYS, order_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +49,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 IMAGE = ORDER_IMAGE.names
+#: Files of the feed in each micro-batch of a stream.
+FILES_PER_BATCH = 2
 _STAGED: dict[tuple[str, str, str], str] = {}
+_MADE: list[str] = []
 
 
 def check(sql: str) -> Callable[[Query], Query]:
@@ -67,11 +69,24 @@ def check(sql: str) -> Callable[[Query], Query]:
 # Inputs derived from the tables
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new shared folder, which ``clean_up`` removes."""
+    _MADE.append(shared_folder(spark, name))
+    return _MADE[-1]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove every folder the queries of this session made; their results cannot be read afterwards."""
+    while _MADE:
+        remove(spark, _MADE.pop())
+    _STAGED.clear()
+
+
 def staged(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Folder that ``write`` filled, once per session."""
     at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _STAGED or not exists(spark, f"{_STAGED[at]}/_SUCCESS"):
-        path = shared_folder(spark, name)
+        path = work_folder(spark, name)
         write(path)
         _STAGED[at] = path
     return _STAGED[at]
@@ -94,10 +109,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as a stream of about four micro-batches."""
-    path = feed_path(spark, sf_dir)
-    files = len(spark.read.parquet(path).inputFiles())
-    return stream_feed(spark, path, maxFilesPerTrigger=max(1, files // 4))
+    """The feed as a stream of several micro-batches."""
+    return stream_feed(spark, feed_path(spark, sf_dir), maxFilesPerTrigger=FILES_PER_BATCH)
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +118,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_table(spark: SparkSession, name: str, **options) -> StateTable:
-    return StateTable(spark, shared_folder(spark, name), KEYS, **options)
+    return StateTable(spark, work_folder(spark, name), KEYS, **options)
 
 
 def both_images(events: DataFrame) -> DataFrame:
@@ -192,7 +205,13 @@ def customers(spark, sf_dir) -> DataFrame:
 
 def customer_feed(spark, sf_dir) -> DataFrame:
     rows = customers(spark, sf_dir)
-    return to_change_feed(rows, "c_custkey", "c", F.lit(1.0), source=source_struct(table="customer"))
+    path = staged(
+        spark,
+        sf_dir,
+        "customers",
+        lambda path: publish_table(rows, "c_custkey", "c", F.lit(1.0), path, source=source_struct(table="customer")),
+    )
+    return read_feed(spark, path, schema=T.StructType.fromDDL("key string, value string"))
 
 
 CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'c' op, 1.0::DOUBLE ts_ms FROM customer"
@@ -264,7 +283,7 @@ _AFTER_BIGINT = ", ".join(
 
 @check(f"{EVENTS} SELECT {_AFTER_BIGINT} FROM ev")
 def q_extract_after_inferred(spark, sf_dir):
-    out = shared_folder(spark, "extract")
+    out = work_folder(spark, "extract")
     extract_after(feed(spark, sf_dir), out)
     return spark.read.parquet(out)
 
@@ -272,7 +291,7 @@ def q_extract_after_inferred(spark, sf_dir):
 @check(f"{EVENTS} SELECT {_AFTER_BIGINT} FROM ev UNION ALL SELECT {_AFTER_BIGINT} FROM ev")
 def q_append_extract(spark, sf_dir):
     """The job run twice."""
-    out = shared_folder(spark, "extract")
+    out = work_folder(spark, "extract")
     for _ in range(2):
         extract_after(feed(spark, sf_dir), out)
     return spark.read.parquet(out)
@@ -281,7 +300,7 @@ def q_append_extract(spark, sf_dir):
 @check("SELECT c_custkey, c_name, c_nationkey::BIGINT c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_extract_first_message(spark, sf_dir):
     """All messages have the shape of the first."""
-    out = shared_folder(spark, "extract")
+    out = work_folder(spark, "extract")
     extract_after(customer_feed(spark, sf_dir), out, from_first=True)
     return spark.read.parquet(out)
 
@@ -361,10 +380,10 @@ def q_stale_create_compat(spark, sf_dir):
 
 @check(STATE)
 def q_fold_broadcast(spark, sf_dir):
+    """A small batch into a larger state; whether anything is broadcast is left to adaptive execution."""
     deletes, others = _deletes_and_others(spark, sf_dir)
     small = latest_per_key(deletes, KEYS)
-    fits = text_bytes(small) <= 64 << 20
-    folded = fold_changes(latest_per_key(others, KEYS), small, KEYS, newest_is_small=fits)
+    folded = fold_changes(latest_per_key(others, KEYS), small, KEYS)
     return live_rows(folded).drop("_position")
 
 
@@ -395,7 +414,7 @@ _LINE_COLUMNS = (
 
 
 def _line_order(*keys: str) -> str:
-    rest = [c.strip() for c in _LINE_COLUMNS.split(",")]
+    rest = sorted(c.strip() for c in _LINE_COLUMNS.split(","))
     rest = [c for c in rest if c != "l_shipdate" and c not in keys]
     return ", ".join(f"{c} DESC NULLS LAST" for c in ["l_shipdate", *rest])
 
@@ -404,7 +423,7 @@ def _line_order(*keys: str) -> str:
     _latest_sql(
         "events",
         "user_id",
-        "ts DESC NULLS LAST, event_id DESC NULLS LAST, event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC",
+        "ts DESC NULLS LAST, event_id DESC NULLS LAST, event_type DESC NULLS LAST, props DESC, value DESC NULLS LAST",
         "event_id, ts, user_id, event_type, value, props",
     )
 )
@@ -429,7 +448,7 @@ def q_lineitem_latest_hot(spark, sf_dir):
 
 def _run_in_two_parts(spark, sf_dir, table: StateTable, backup_root: str | None = None, incremental: bool = False):
     """Bring the table up to date with the orders before SPLIT, then with all of them."""
-    path = shared_folder(spark, "log")
+    path = work_folder(spark, "log")
     early = F.col("timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
     messages = feed(spark, sf_dir)
     append_log(decode(messages.filter(early), clock=F.lit("2024-01-01").cast("date")), path)
@@ -461,7 +480,7 @@ def q_bronze_bucketed(spark, sf_dir):
 
 @check(f"{STATE} AND placed < TIMESTAMP '{SPLIT}'")
 def q_backup_snapshot(spark, sf_dir):
-    backups = shared_folder(spark, "backup")
+    backups = work_folder(spark, "backup")
     _run_in_two_parts(spark, sf_dir, new_table(spark, "state"), backups)
     return live_rows(spark.read.parquet(f"{backups}/2024-01-02")).drop("_position")
 
@@ -484,7 +503,7 @@ def _widened_log(spark, sf_dir) -> str:
         "priority": F.left("o_orderpriority", F.lit(1)).cast("int"),
     }
     early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
-    source, target, checkpoint = (shared_folder(spark, name) for name in ("feed", "log", "checkpoint"))
+    source, target, checkpoint = (work_folder(spark, name) for name in ("feed", "log", "checkpoint"))
     for image, part in ((ORDER_IMAGE, early), (WIDE, ~early)):
         rows = orders.filter(part).select(*[columns[name].alias(name) for name in image.names])
         write_feed(to_change_feed(rows, KEYS, "c", F.lit(0.0)), source)
@@ -510,7 +529,7 @@ def q_schema_evolution_merged(spark, sf_dir):
 @check(DECODED)
 def q_stream_ingest(spark, sf_dir):
     """Run to the end of the feed, then once more from the checkpoint."""
-    target, checkpoint = shared_folder(spark, "log"), shared_folder(spark, "checkpoint")
+    target, checkpoint = work_folder(spark, "log"), work_folder(spark, "checkpoint")
     for _ in range(2):
         run_ingest(feed_stream(spark, sf_dir), target, checkpoint, available_now=True).awaitTermination()
     return both_images(read_log(spark, target))
@@ -518,17 +537,147 @@ def q_stream_ingest(spark, sf_dir):
 
 @check(STATE)
 def q_stream_state(spark, sf_dir):
-    table = new_table(spark, "state", broadcast_limit=0)
-    run_state_stream(decode(feed_stream(spark, sf_dir), state_envelope()), table, available_now=True).awaitTermination()
+    """Folded by the stream itself, after every second micro-batch."""
+    table = new_table(spark, "state")
+    events = decode(feed_stream(spark, sf_dir), state_envelope())
+    run_state_stream(events, table, fold_every=2, available_now=True).awaitTermination()
     return table.read()
 
 
 @check(STATE)
 def q_stream_state_from_log(spark, sf_dir):
     """Feed to log and log to state, each a stream of its own, and nothing folded."""
-    target, checkpoint = shared_folder(spark, "log"), shared_folder(spark, "checkpoint")
+    target, checkpoint = work_folder(spark, "log"), work_folder(spark, "checkpoint")
     run_ingest(feed_stream(spark, sf_dir), target, checkpoint, available_now=True).awaitTermination()
     table = new_table(spark, "state")
     events = stream_log(spark, target)
-    run_state_stream(events, table, fold_ratio=None, available_now=True).awaitTermination()
+    run_state_stream(events, table, available_now=True).awaitTermination()
     return table.read()
+
+
+# Edges: values, keys, codes and times that are missing or do not fit
+
+
+def _order_messages(spark, sf_dir, value: Callable[[], object]) -> DataFrame:
+    """A message of the given text for every order."""
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.lit(None).cast("string").alias("key"), value().alias("value"))
+
+
+def _text(*parts) -> object:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+@check(
+    """SELECT CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 7 END::INT price,
+      o_orderkey::INT order_id, o_custkey::INT customer_id, NULL::INT quantity, 'c' op FROM orders"""
+)
+def q_decode_misfits(spark, sf_dir):
+    """A price that is a fraction, a text or too large, and an unknown field, leave the rest of the row as it is."""
+
+    def value():
+        price = F.element_at(F.array(*map(F.lit, ["10.5", '"7"', "3000000000", "7"])), (F.col("o_orderkey") % 4 + 1).cast("int"))
+        image = _text('{"price":', price, ',"order_id":', F.col("o_orderkey"), ',"customer_id":', F.col("o_custkey"), ',"more":1}')
+        return _text('{"after":', image, ',"op":"c"}')
+
+    events = decode(_order_messages(spark, sf_dir, value))
+    return events.select("after.price", "after.order_id", "after.customer_id", "after.quantity", "op")
+
+
+@check(DECODED)
+def q_decode_binary(spark, sf_dir):
+    """Key and value as the bytes that Kafka delivers."""
+    messages = feed(spark, sf_dir).select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    return both_images(decode(messages))
+
+
+_EDGES = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END::INT customer_id, o_orderkey::INT order_id,
+  CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN 'c' ELSE 'd' END op,
+  CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'NaN'::DOUBLE ELSE epoch_ms(o_orderdate)::DOUBLE END ts_ms FROM orders"""
+
+
+def _edges(spark, sf_dir) -> DataFrame:
+    """Rows with null keys, null ops, and times that are null or no number."""
+    placed = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)").cast("double")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).cast("int").alias("customer_id"),
+        F.col("o_orderkey").cast("int").alias("order_id"),
+        F.when(F.col("o_orderstatus") == "O", "c").when(F.col("o_orderstatus") != "F", "d").alias("op"),
+        F.when(F.col("o_orderkey") % 3 == 1, F.lit(float("nan"))).when(F.col("o_orderkey") % 3 == 2, placed).alias("ts_ms"),
+    )
+
+
+def _edge_sql(key: str, where: str = "TRUE") -> str:
+    return f"""SELECT customer_id, order_id, op, ts_ms FROM (SELECT *, row_number() OVER (PARTITION BY {key}
+      ORDER BY ts_ms DESC NULLS LAST, op IS NOT DISTINCT FROM 'd' DESC, op DESC NULLS LAST, order_id DESC) AS _n
+      FROM ({_EDGES})) WHERE _n = 1 AND {where}"""
+
+
+@check(_edge_sql("customer_id"))
+def q_null_key(spark, sf_dir):
+    """Rows without a key are a key of their own, through a fold as well."""
+    rows = _edges(spark, sf_dir)
+    early = F.col("order_id") % 2 == 0
+    return fold_changes(latest_per_key(rows.filter(early), "customer_id"), rows.filter(~early), "customer_id")
+
+
+@check(_edge_sql("customer_id", "op <> 'd'"))
+def q_null_op(spark, sf_dir):
+    """The newest row counts as live only with an op that is not a delete; a row without one is not live."""
+    rows = _edges(spark, sf_dir)
+    return merge_state(rows.limit(0), rows, "customer_id")
+
+
+@check(
+    f"""SELECT order_id % 100 AS k, max(ts_ms) AS ts_ms, count(*)::BIGINT n FROM (SELECT order_id % 1000 AS order_id, ts_ms
+      FROM (SELECT *, row_number() OVER (PARTITION BY order_id % 1000 ORDER BY ts_ms DESC NULLS LAST) AS _n FROM ({_EDGES}))
+      WHERE _n = 1) GROUP BY 1"""
+)
+def q_ts_null_nan(spark, sf_dir):
+    """A time that is no number is the newest of all, one that is missing the oldest."""
+    rows = _edges(spark, sf_dir).select((F.col("order_id") % 1000).alias("order_id"), "ts_ms")
+    latest = latest_per_key(rows, "order_id")
+    return latest.groupBy((F.col("order_id") % 100).alias("k")).agg(F.max("ts_ms").alias("ts_ms"), F.count("*").alias("n"))
+
+
+@check(
+    """SELECT o_custkey::INT customer_id, o_orderkey::INT order_id FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+      ORDER BY 999990 + o_orderkey % 20 DESC, o_orderkey % 7 DESC, o_orderkey DESC) AS _n FROM orders) WHERE _n = 1"""
+)
+def q_ties_by_position(spark, sf_dir):
+    """Equal times, told apart by the number of the log file (across a rollover to more digits), pos and row."""
+
+    def value():
+        image = _text('{"order_id":', F.col("o_orderkey"), ',"customer_id":', F.col("o_custkey"), "}")
+        file = _text('"mysql-bin.', F.col("o_orderkey") % 20 + 999990, '"')
+        place = _text('{"ts_ms":5,"file":', file, ',"pos":', F.col("o_orderkey") % 7, ',"row":', F.col("o_orderkey"), "}")
+        return _text('{"after":', image, ',"op":"c","ts_ms":5,"source":', place, "}")
+
+    log = decode(_order_messages(spark, sf_dir, value), state_envelope())
+    return current_state(log, "customer_id").select("customer_id", "order_id")
+
+
+@check("SELECT (o_orderkey::DECIMAL(20,0) + 18446744073709500000)::VARCHAR id, o_custkey::BIGINT customer FROM orders")
+def q_extract_wide_integers(spark, sf_dir):
+    """Integers beyond BIGINT come through inference exactly."""
+
+    def value():
+        wide = F.col("o_orderkey").cast("decimal(20,0)") + F.lit("18446744073709500000").cast("decimal(20,0)")
+        return _text('{"op":"c","before":null,"after":{"id":', wide, ',"customer":', F.col("o_custkey"), "}}")
+
+    out = work_folder(spark, "extract")
+    extract_after(_order_messages(spark, sf_dir, value), out)
+    return spark.read.parquet(out).select(F.col("id").cast("string").alias("id"), "customer")
+
+
+@check(
+    f"""{EVENTS} SELECT count(*)::BIGINT n FROM ev WHERE placed >= TIMESTAMP '{SPLIT}'
+      OR kind <> 'malformed' AND order_id % 10 = 0"""
+)
+def q_log_since_without_clock(spark, sf_dir):
+    """Messages without a clock are dated by the day they are processed, and are read with every ``since`` before it."""
+    messages = feed(spark, sf_dir)
+    order_id = F.regexp_extract("key", '"order_id":([0-9]+)', 1).cast("int")
+    clock = F.when(F.col("key").isNull() | (order_id % 10 != 0), F.date_trunc("year", "timestamp"))
+    path = work_folder(spark, "log")
+    append_log(decode(messages, clock=clock), path)
+    return read_log(spark, path, since=SPLIT).agg(F.count("*").alias("n"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import decode_json, first_message_schema, infer_schema
-from ..operators import extract_images, latest_per_key, merge_state, row_images
+from ..functions import as_text, decode_json, first_message_schema, infer_schema
+from ..operators import extract_images, row_images, to_change_feed
 from ..operators.images import has_position
-from ..sources import StateTable, append_parquet, landed_feed, read_log, require_messages
+from ..sources import StateTable, append_parquet, landed_feed, read_log, require_messages, write_feed
 
 
 def run_bronze(
@@ -25,7 +26,8 @@ def run_bronze(
     """Bring a state table up to date with the log; returns the table's new version.
 
     Reads the whole log, or with ``since`` only the ingest dates from then on; the deletes kept in
-    the table make both give the same state.  The state of before is copied to
+    the table make both give the same state.  The changes alone are ranked, and folded into the state in one
+    job.  The state of before is copied to
     ``backup_root/day`` first.  A failed copy stops the job.
     """
     if table.checkpoint():
@@ -34,29 +36,43 @@ def run_bronze(
         table.backup(backup_root, day)
     log = read_log(spark, log_path, schema, fmt, since)
     changes = row_images(log, op_from, position=has_position(log))
-    held = table.rows()
-    if held is None:
-        return table.replace(latest_per_key(changes, table.keys, table.order_by))
-    if since is None:
-        return table.replace(merge_state(held, changes, table.keys, table.order_by, keep_deletes=True))
-    table.add_changes(latest_per_key(changes, table.keys, table.order_by), table.next_batch())
-    return table.fold()
+    return table.apply(changes)
 
 
-def extract_after(feed: DataFrame, out: str, schema: T.StructType | None = None, from_first: bool = False) -> None:
+def extract_after(
+    feed: DataFrame, out: str, schema: T.StructType | None = None, from_first: bool = False, land: bool = False
+) -> None:
     """Append the ``after`` columns of every message to a Parquet folder.
 
     Without a ``schema`` one is inferred from the whole feed, or from its first message alone with
-    ``from_first``.  The feed is landed for that, so that both passes see the same messages.
+    ``from_first``.  A feed in files is read twice for the former: its files were listed once and do not change.  A
+    source that may have moved on by the second pass, such as Kafka, needs ``land``: its messages are
+    written once and both passes read the copy.
     """
+    require_messages(feed)
     if schema is not None:
-        append_parquet(extract_images(require_messages(feed), schema), out)
-        return
-    with landed_feed(feed) as landed:
-        require_messages(landed)
-        if from_first:
-            parsed = decode_json("value", first_message_schema(landed))
-            rows = landed.select(parsed.alias("value")).select("value.after.*")
-        else:
-            rows = extract_images(landed, infer_schema(landed))
-        append_parquet(rows, out)
+        append_parquet(extract_images(feed, schema), out)
+    elif from_first:
+        parsed = decode_json(as_text(), first_message_schema(feed))
+        append_parquet(feed.select(parsed.alias("value")).select("value.after.*"), out)
+    elif land:
+        with landed_feed(feed) as landed:
+            append_parquet(extract_images(landed, infer_schema(landed)), out)
+    else:
+        append_parquet(extract_images(feed, infer_schema(feed)), out)
+
+
+def publish_table(
+    rows: DataFrame,
+    keys: str | list[str],
+    op: str,
+    ts_ms: str | Column | None = None,
+    path: str | None = None,
+    fmt: str = "parquet",
+    source: Column | None = None,
+    **options,
+) -> None:
+    """Publish every row of a table as a change message; ``ts_ms`` is a column, or the time of the job."""
+    if ts_ms is None:
+        ts_ms = F.unix_millis(F.current_timestamp()).cast("double")
+    write_feed(to_change_feed(rows, keys, op, ts_ms, source=source), path, fmt, **options)

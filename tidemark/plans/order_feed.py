@@ -15,6 +15,19 @@ from ..schemas import ORDER_IMAGE
 
 KEYS = ["order_id", "customer_id"]
 
+# What the source metadata of the order events says.
+ORDER_SOURCE = {
+    "version": "1.8.1.Final",
+    "connector": "mysql",
+    "name": "fake-db-server1",
+    "snapshot": "false",
+    "db": "inventory",
+    "table": "orders",
+    "server_id": 223344,
+    "file": "mysql-bin.000003",
+    "row": 0,
+}
+
 
 def _image(added: int = 0) -> Column:
     values = {
@@ -66,10 +79,7 @@ def order_events(orders: DataFrame) -> DataFrame:
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages: ``key``, ``value`` and ``timestamp``."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    if orders.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        # A table of one small file; a large one already comes in enough parts.
-        orders = orders.repartition(spark.sparkContext.defaultParallelism)
-    events = order_events(orders)
+    events = order_events(orders.repartition(spark.sparkContext.defaultParallelism))
     feed = to_change_feed(
         events,
         KEYS,
@@ -77,7 +87,7 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts_ms",
         "before",
         "after",
-        source_struct(ts_ms=F.col("placed"), pos=F.col("pos")),
+        source_struct(**ORDER_SOURCE, ts_ms=F.col("placed"), pos=F.col("pos")),
         keep=("text", "timestamp"),
     )
     broken = F.col("text").isNotNull()

@@ -58,7 +58,7 @@ def state_envelope(image: T.StructType = ORDER_IMAGE) -> T.StructType:
 
     Parsing skips the fields left out, which are most of the text.
     """
-    position = T.StructType([f for f in SOURCE if f.name in ("file", "pos", "ts_ms")])
+    position = T.StructType([f for f in SOURCE if f.name in ("file", "pos", "row", "ts_ms")])
     return T.StructType([f for f in envelope(image, position) if f.name != "transaction"])
 
 

@@ -12,10 +12,6 @@ from ..functions import as_text
 from ..schemas import feed_schema
 from .files import remove, shared_folder
 
-# A stream that starts without a checkpoint replays the whole topic, and goes on where messages have expired.
-KAFKA_STREAM_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
-
-
 def _kafka(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic}
 
@@ -40,11 +36,18 @@ def stream_feed(
     servers: str = "",
     topic: str = "",
     schema: T.StructType | None = None,
+    fail_on_data_loss: bool = False,
     **options,
 ) -> DataFrame:
-    """The feed as a stream.  Limits such as ``maxOffsetsPerTrigger`` and ``minPartitions`` (which
+    """The feed as a stream.
+
+    From Kafka, a stream without a checkpoint replays the whole topic.  Messages that expired before they were
+    read are passed over without a word unless ``fail_on_data_loss`` is set.  Limits such as ``maxOffsetsPerTrigger`` and ``minPartitions`` (which
     splits a hot Kafka partition over several tasks) or ``maxFilesPerTrigger`` go in ``options``."""
-    defaults = {**_kafka(servers, topic), **KAFKA_STREAM_OPTIONS} if fmt == "kafka" else {}
+    defaults = {}
+    if fmt == "kafka":
+        lost = "true" if fail_on_data_loss else "false"
+        defaults = {**_kafka(servers, topic), "startingOffsets": "earliest", "failOnDataLoss": lost}
     return _loaded(spark.readStream, path, fmt, schema, defaults, options)
 
 

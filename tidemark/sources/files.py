@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``.
-
-    Only a local master may go without that setting; a temporary folder of this machine is used then.
-    """
+    """A new folder name under ``spark.checkpoint.dir``, or the folder given to ``setCheckpointDir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -45,9 +39,41 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(place) if entry.isDirectory()]
 
 
-def size_in_bytes(spark: SparkSession, path: str) -> int:
+def modified(spark: SparkSession, path: str) -> int:
+    """When the file was written, in milliseconds."""
+    fs, place = _at(spark, path)
+    return fs.getFileStatus(place).getModificationTime()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, place = _at(spark, path)
+    if not fs.rename(place, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def read_texts(spark: SparkSession, path: str) -> list[str]:
+    """Contents of the files directly under a folder of a few small ones; none if it does not exist."""
+    fs, place = _at(spark, path)
+    if not fs.exists(place):
+        return []
+    texts = []
+    for entry in fs.listStatus(place):
+        stream = fs.open(entry.getPath())
+        try:
+            texts.append(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+    return texts
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; one that is there already is an error."""
     fs, place = _at(spark, path)
-    return fs.getContentSummary(place).getLength()
+    out = fs.create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import log_schema
-from .files import exists, folders
+from .files import exists, folders, read_texts, write_text
 
 
 def read_log(
@@ -22,6 +26,7 @@ def read_log(
 ) -> DataFrame:
     """The log, or the ingest dates from ``since`` to ``until`` (both included), read from those partitions only.
 
+    Rows without a date, which other writers may have left, belong to every range.
     Columns that older files lack read as null.  The default schema is the fixed one; ``merge_schema``
     finds it in the files instead, at the price of opening every one of them.
     """
@@ -34,9 +39,9 @@ def read_log(
     else:
         log = reader.schema(schema or log_schema()).load(path)
     if since is not None:
-        log = log.filter(F.col("date") >= since)
+        log = log.filter((F.col("date") >= since) | F.col("date").isNull())
     if until is not None:
-        log = log.filter(F.col("date") <= until)
+        log = log.filter((F.col("date") <= until) | F.col("date").isNull())
     return log
 
 
@@ -70,17 +75,38 @@ def check_stream(spark: SparkSession, path: str, checkpoint: str) -> None:
 
 
 def check_append(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """ValueError if ``schema`` gives a column another type than the newest date of the log has.
+    """ValueError if ``schema`` gives a column another type than it has anywhere in the log.
 
     New columns and new struct fields are fine: older rows read null there.  Parquet would take
-    the conflicting files too and fail only on reading.
+    the conflicting files too and fail only on reading.  The columns of the whole log are kept in a
+    folder beside its dates, in a small file for each change, so no data is opened.  (A log that
+    has no such folder yet is read for its columns once.)
     """
-    dates = [name for name in folders(spark, path) if name.startswith("date=")]
-    if dates:
-        held = spark.read.option("mergeSchema", "true").parquet(f"{path.rstrip('/')}/{max(dates)}").schema
-        clash = _conflict(held, schema)
-        if clash:
-            raise ValueError(f"cannot append to {path}: {clash}")
+    path = path.rstrip("/")
+    notes = [T.StructType.fromJson(json.loads(text)) for text in read_texts(spark, f"{path}/_columns")]
+    if not notes and any(name.startswith("date=") for name in folders(spark, path)):
+        notes = [spark.read.option("mergeSchema", "true").parquet(path).drop("date").schema]
+        _note(spark, path, notes[0])
+    given = T.StructType([f for f in schema if f.name != "date"])
+    held = reduce(_joined, notes) if notes else T.StructType()
+    clash = _conflict(held, given)
+    if clash:
+        raise ValueError(f"cannot append to {path}: {clash}")
+    if _joined(held, given) != held:
+        _note(spark, path, given)
+
+
+def _note(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    write_text(spark, f"{path}/_columns/{uuid.uuid4().hex}.json", schema.json())
+
+
+def _joined(held: T.DataType, given: T.DataType) -> T.DataType:
+    """``held`` with the fields that only ``given`` has."""
+    if not (isinstance(held, T.StructType) and isinstance(given, T.StructType)):
+        return held
+    new = {f.name: f.dataType for f in given}
+    fields = [T.StructField(f.name, _joined(f.dataType, new.pop(f.name, f.dataType))) for f in held]
+    return T.StructType(fields + [T.StructField(name, kind) for name, kind in new.items()])
 
 
 def _conflict(held: T.DataType, given: T.DataType, at: str = "") -> str | None:
@@ -88,7 +114,7 @@ def _conflict(held: T.DataType, given: T.DataType, at: str = "") -> str | None:
         kinds = {f.name: f.dataType for f in held}
         found = (_conflict(kinds[f.name], f.dataType, f"{at}.{f.name}".lstrip(".")) for f in given if f.name in kinds)
         return next((text for text in found if text), None)
-    return None if held == given else f"{at} is {held.simpleString()}, not {given.simpleString()}"
+    return None if held.simpleString() == given.simpleString() else f"{at} is {held.simpleString()}, not {given.simpleString()}"
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

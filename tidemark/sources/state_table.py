@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import types as T
 
-from ..functions import key_columns
-from ..operators import fold_changes, latest_per_key, live_rows, text_bytes
+from ..functions import ingest_date, key_columns
+from ..operators import fold_changes, latest_per_key, live_rows, merge_state
 from . import files
 
 
@@ -29,9 +30,9 @@ class StateTable:
     the batches, whatever their size, and the state stays where it is.  This needs a database in
     which tables can be created; they are dropped at once, and the folder is all that stays.
 
-    Without, stored batches are broadcast to the state when they take no more than ``broadcast_limit``
-    bytes on disk and four times that as text; larger ones are joined by a shuffle.  (The text is
-    measured because files may compress well.)
+    Without, the state is shuffled once for a merge.
+
+    A version that has been superseded stays for ``retain_hours``, so that whoever reads it can finish.
     """
 
     def __init__(
@@ -41,17 +42,16 @@ class StateTable:
         keys: str | list[str],
         order_by: str | list[str] = "ts_ms",
         buckets: int | None = None,
-        broadcast_limit: int = 16 << 20,
-        keep_versions: int = 2,
+        retain_hours: float = 24.0,
     ):
+        if retain_hours < 0:
+            raise ValueError("retain_hours cannot be negative")
         self.spark = spark
         self.path = files.qualified(spark, path)
         self.keys = key_columns(keys)
         self.order_by = order_by
         self.buckets = buckets
-        self.broadcast_limit = broadcast_limit
-        self.keep_versions = keep_versions
-        self._sizes: dict[str, int] = {}
+        self.retain_hours = retain_hours
         self._whole: set[str] = set()
 
     # What is there
@@ -70,14 +70,6 @@ class StateTable:
     def next_batch(self) -> int:
         return max([self.version() or 0, *[batch + 1 for batch in self.pending()]])
 
-    def base_bytes(self) -> int:
-        base = self._newest_base()
-        return self._size(base) if base else 0
-
-    def pending_bytes(self) -> int:
-        changes = self._committed("changes")
-        return sum(self._size(changes[batch]) for batch in self.pending())
-
     # Reading
 
     def read(self) -> DataFrame:
@@ -91,22 +83,25 @@ class StateTable:
         """One row per key, deleted ones included; None if nothing was written yet."""
         return self._merged(self.pending())
 
-    def _merged(self, pending: list[int]) -> DataFrame | None:
-        """The newest version with the batches folded in."""
+    def _merged(self, pending: list[int], changes: DataFrame | None = None) -> DataFrame | None:
+        """The newest version with the batches, and changes that are not stored, folded in."""
         path = self._newest_base()
         base = self._read(path) if path else None
-        if not pending:
+        came = ([self._read_changes(pending)] if pending else []) + ([] if changes is None else [changes])
+        if not came:
             return base
-        changes = self._read_changes(pending)
-        newest = changes if len(pending) == 1 else latest_per_key(changes, self.keys, self.order_by)
+        came = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), came)
         if base is None:
-            return newest
+            return latest_per_key(came, self.keys, self.order_by)
         buckets = _buckets(path)
-        if buckets is not None:
-            newest = newest.repartition(buckets, *[f"`{k}`" for k in self.keys])
-            return fold_changes(base, newest, self.keys, self.order_by)
-        small = self.pending_bytes() <= self.broadcast_limit and text_bytes(changes) <= 4 * self.broadcast_limit
-        return fold_changes(base, newest, self.keys, self.order_by, newest_is_small=small)
+        if buckets is None:
+            return fold_changes(base, came, self.keys, self.order_by)
+        # Sent to the buckets, ranked there, and merged there.  The changes come first in the union: a table's
+        # columns carry its name, which hides from Spark that both sides are partitioned alike.
+        came = latest_per_key(came.repartition(buckets, *[f"`{k}`" for k in self.keys]), self.keys, self.order_by)
+        merged = merge_state(came, base, self.keys, self.order_by, keep_deletes=True)
+        columns = base.columns + [c for c in merged.columns if c not in base.columns]
+        return merged.select(*[f"`{c}`" for c in columns])
 
     # Writing
 
@@ -115,18 +110,27 @@ class StateTable:
 
         On a table fed by a stream, do this while the stream is stopped.
         """
-        version = self.next_batch()
-        if self.checkpoint() is None:
-            version = max(version, (self.version() or 0) + 1)
+        version = self._next_version()
         # A stream counts batches on its own, so there the same version may get another revision.
         base = self._committed("base").get(version)
-        self._write_base(rows, version, revision=0 if base is None else _revision(base) + 1)
+        self._write_base(_checked(rows), version, revision=0 if base is None else _revision(base) + 1)
+        return version
+
+    def apply(self, changes: DataFrame) -> int:
+        """Fold changes, any number per key, and what is pending into a new version, in one job."""
+        path, version = self._newest_base(), self._next_version()
+        in_place = path is not None and _buckets(path) == self.buckets
+        self._write_base(self._merged(self.pending(), _checked(changes)), version, in_place)
         return version
 
+    def _next_version(self) -> int:
+        version = self.next_batch()
+        return version if self.checkpoint() else max(version, (self.version() or 0) + 1)
+
     def add_changes(self, newest: DataFrame, batch: int) -> None:
         """Store the newest row per key of a batch; does nothing if that batch is there or folded in already."""
         if batch >= (self.version() or 0) and batch not in self._committed("changes"):
-            self._write(newest.write, f"{self.path}/changes/b={batch},a={_attempt()}")
+            self._write(_checked(newest).write, f"{self.path}/changes/b={batch},a={_attempt()}")
 
     def fold(self) -> int | None:
         """Write a version that holds all pending batches; returns the newest version."""
@@ -138,12 +142,25 @@ class StateTable:
         return self.version()
 
     def backup(self, root: str, day: str | None = None) -> str | None:
-        """Copy the state to ``root/day``; a second copy on one day replaces the first."""
+        """Copy the state to ``root/day``, by default today in the session time zone.
+
+        A second copy on one day takes the place of the first once it is whole.
+        """
         rows = self.rows()
         if rows is None:
             return None
-        target = f"{root.rstrip('/')}/{day or datetime.now().strftime('%Y-%m-%d')}"
-        rows.write.mode("overwrite").parquet(target)
+        day = day or self.spark.range(1).select(ingest_date()).first()[0]
+        target = files.qualified(self.spark, f"{root.rstrip('/')}/{day}")
+        attempt, old = (f"{target}.{name}-{_attempt()}" for name in ("new", "old"))
+        try:
+            rows.write.parquet(attempt)
+        except Exception:
+            files.remove(self.spark, attempt)
+            raise
+        if files.exists(self.spark, target):
+            files.rename(self.spark, target, old)
+        files.rename(self.spark, attempt, target)
+        files.remove(self.spark, old)
         return target
 
     # Feeding from a stream
@@ -185,12 +202,6 @@ class StateTable:
         bases = self._committed("base")
         return bases[max(bases)] if bases else None
 
-    def _size(self, path: str) -> int:
-        """Bytes of a committed folder; listed once, since it does not change."""
-        if path not in self._sizes:
-            self._sizes[path] = files.size_in_bytes(self.spark, path)
-        return self._sizes[path]
-
     def _read(self, path: str) -> DataFrame:
         plain = self.spark.read.parquet(path)
         buckets = _buckets(path)
@@ -249,14 +260,34 @@ class StateTable:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def _clean_up(self) -> None:
-        """Remove versions no reader should be on any more, and the batches folded into them."""
-        oldest = self.versions()[-self.keep_versions :][0]
+    def vacuum(self, retain_hours: float | None = None) -> None:
+        """Remove versions superseded longer ago than ``retain_hours``, and the batches folded into them."""
+        hours = self.retain_hours if retain_hours is None else retain_hours
+        since = time.time() * 1000 - hours * 3_600_000
+        bases = sorted(self._committed("base").items())
+        kept = [
+            number
+            for (number, _), (_, newer) in zip(bases, bases[1:])
+            if files.modified(self.spark, f"{newer}/_SUCCESS") > since
+        ]
+        oldest = min(kept + [number for number, _ in bases[-1:]], default=0)
         for kind in ("base", "changes"):
             for number, path in self._folders(kind):
                 if number < oldest:
                     files.remove(self.spark, path)
 
+    def _clean_up(self) -> None:
+        self.vacuum()
+
+
+def _checked(rows: DataFrame) -> DataFrame:
+    """The rows; ValueError if they have a column of their own by the name the log position is stored under."""
+    kinds = {f.name.lower(): f.dataType for f in rows.schema}
+    kind = kinds.get("_position")
+    if kind is not None and not (isinstance(kind, T.StructType) and {"ts_ms", "file", "pos"} <= set(kind.names)):
+        raise ValueError("a state table keeps the log position in _position; rename the column of that name")
+    return rows
+
 
 def _attempt() -> str:
     return uuid.uuid4().hex[:12]

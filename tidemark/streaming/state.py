@@ -15,16 +15,15 @@ def run_state_stream(
     events: DataFrame,
     table: StateTable,
     op_from: str = "op",
-    fold_ratio: float | None = 0.1,
+    fold_every: int | None = None,
     available_now: bool = False,
     every: str | None = None,
 ) -> StreamingQuery:
     """Apply each micro-batch of a decoded feed, or of the log, to the table.
 
     A micro-batch costs its own size: its newest row per key is stored next to the state.  The
-    state as a whole is rewritten only when the stored batches reach ``fold_ratio`` of its size;
-    None leaves that to a job of its own that calls ``table.fold()`` meanwhile.  No state store is
-    involved, so neither keys nor lateness are bounded.  Batch numbers come from the checkpoint,
+    state as a whole is rewritten by a job of its own that calls ``table.fold()`` meanwhile, or after every
+    ``fold_every`` micro-batches.  No state store is involved, so neither keys nor lateness are bounded.  Batch numbers come from the checkpoint,
     which lives with the table; a replayed micro-batch replaces itself.
     """
     checkpoint, first = table.open_checkpoint()
@@ -33,7 +32,7 @@ def run_state_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.add_changes(latest_per_key(batch, table.keys, table.order_by), first + batch_id)
-        if fold_ratio is not None and table.pending_bytes() >= fold_ratio * table.base_bytes():
+        if fold_every and (batch_id + 1) % fold_every == 0:
             table.fold()
 
     writer = images.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
