@@ -9,7 +9,7 @@ lets more keys pass than it must; it never holds back a key it was given.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ CELLS_PER_KEY = 16
 #: Words that are merged together.
 SEGMENT = 1 << 14
 #: Keys that a task gathers before it reports their cells.
-GATHERED = 1 << 20
+GATHERED = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -54,7 +54,10 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 class Filter:
-    """Keys that were seen (or seen twice) at least; others pass too, but seldom."""
+    """Keys that were seen (or seen twice) at least; others pass too, but seldom.
+
+    Code that runs in tasks anyway asks ``holds(filter.shared.value, keys)``, which spares it a second worker.
+    """
 
     def __init__(self, spark: SparkSession, words: np.ndarray):
         self.words = words
@@ -81,10 +84,16 @@ def holds(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def build(keys: DataFrame, rows: int, repeated: bool = False, max_bytes: int = MAX_BYTES) -> Filter:
+def build(
+    keys: DataFrame,
+    rows: int,
+    repeated: bool = False,
+    max_bytes: int = MAX_BYTES,
+    keys_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]] | None = None,
+) -> Filter:
     """The filter of the only column of ``keys`` (long; nulls are left out), about ``rows`` of them.
 
-    With ``repeated`` it holds the keys that occur at least twice: cells count up to two, task by
+    ``keys_of`` instead takes batches of any columns and gives their keys, piece by piece.  With ``repeated`` it holds the keys that occur at least twice: cells count up to two, task by
     task and then by segment, and those set twice stay.  No key leaves its task, only cells do.
     """
     spark = keys.sparkSession
@@ -93,11 +102,12 @@ def build(keys: DataFrame, rows: int, repeated: bool = False, max_bytes: int = M
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            held.append(_numbers(batch.column(0)))
-            n += len(held[-1])
-            if n >= GATHERED:
-                yield from packed(np.concatenate(held))
-                held, n = [], 0
+            for own in keys_of(batch) if keys_of else [_numbers(batch.column(0))]:
+                held.append(own)
+                n += len(own)
+                if n >= GATHERED:
+                    yield from packed(np.concatenate(held))
+                    held, n = [], 0
         if n:
             yield from packed(np.concatenate(held))
 

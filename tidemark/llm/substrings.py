@@ -82,18 +82,13 @@ def _later_copies(keyed: DataFrame) -> DataFrame:
     return stored(later.select("doc", "key").distinct(), "repeat-later")
 
 
-def _without(keyed: DataFrame, later: DataFrame) -> DataFrame:
-    """The rows that are not later copies; only those a Bloom filter takes for one are joined."""
-    chosen = bloom.build(later.select("key"), later.count())
-    maybe = chosen.may_hold(F.col("key"))
-    return keyed.filter(~maybe).unionByName(keyed.filter(maybe).join(later.select("key").distinct(), "key", "left_anti"))
-
-
-def _listed(rows: DataFrame, of_text: Callable[[Words], np.ndarray]) -> DataFrame:
-    """``of_text(words)`` of every text with its doc, as rows (hash, doc)."""
+def _listed(rows: DataFrame, of_text: Callable[[Words], np.ndarray], skipped=None) -> DataFrame:
+    """``of_text(words)`` of every text with its doc, as rows (hash, doc); rows whose key ``skipped`` may hold are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if skipped is not None:
+                batch = batch.filter(pa.array(~holds(skipped.value, batch.column(2).to_numpy())))
             docs, held, n = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), words(batch.column(1))):
                 own = np.unique(of_text(text))
@@ -106,7 +101,14 @@ def _listed(rows: DataFrame, of_text: Callable[[Words], np.ndarray]) -> DataFram
             if n:
                 yield _pair(held, docs)
 
-    return rows.select("doc", "text").mapInArrow(run, "hash long, doc long")
+    return rows.select("doc", "text", "key").mapInArrow(run, "hash long, doc long")
+
+
+def _listed_without(keyed: DataFrame, later: DataFrame, of_text: Callable[[Words], np.ndarray]) -> DataFrame:
+    """``_listed`` for the rows that are not later copies; only those a Bloom filter takes for one are joined."""
+    chosen = bloom.build(later.select("key"), later.count())
+    first = keyed.filter(chosen.may_hold(F.col("key"))).join(later.select("key").distinct(), "key", "left_anti")
+    return _listed(keyed, of_text, chosen.shared).unionByName(_listed(first, of_text))
 
 
 def _pair(held: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
@@ -124,7 +126,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id: str = "doc_id",
     """
     keyed = _keyed(docs, id, text)
     later = _later_copies(keyed)
-    pieces = _listed(_without(keyed, later), lambda text: _pieces(text, window)[0]).select("hash")
+    pieces = _listed_without(keyed, later, lambda text: _pieces(text, window)[0]).select("hash")
     shared = stored(pieces.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-pieces")
     survivors = bloom.build(shared, shared.count())
     words_of_filter = survivors.shared
@@ -177,42 +179,48 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     marks = stored(marks.groupBy("doc").agg(F.collect_list("hash").alias("hashes"), F.collect_list("copy").alias("copies")), "repeat-marks")
     chosen = bloom.build(marks.select("doc"), marks.count())
     keyed = _keyed(docs, id, text)
-    maybe = chosen.may_hold(F.col("doc"))
-    none = F.array().cast("array<bigint>")
-    rows = (
-        keyed.filter(maybe)
+    marked = (
+        keyed.filter(chosen.may_hold(F.col("doc")))
         .join(marks, "doc", "left")
         .select("id", "text", "hashes", F.coalesce(F.array_contains("copies", F.col("key")), F.lit(False)).alias("copy"))
-        .unionByName(keyed.filter(~maybe).select("id", "text", none.alias("hashes"), F.lit(False).alias("copy")))
     )
+    known = chosen.shared
+
+    def clean_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from clean(batch, batch.column(2), batch.column(3).to_pylist())
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def clean_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            hashes, copies = batch.column(2), batch.column(3).to_pylist()
-            start, size = 0, 0
-            for i, text in enumerate(words(batch.column(1))):
-                n = len(text.hashes)
-                full = window_hashes(text.hashes, window)
-                flagged = np.ones(len(full), bool)
-                if len(full) and not copies[i]:
-                    flagged[np.unique(full, return_index=True)[1]] = False
-                    gone = hashes[i].values
-                    if gone is not None and len(gone):
-                        flagged |= np.isin(full, gone.to_numpy().view(np.uint64))
-                keep = ~_covered(flagged, n, window)
-                n_words.append(n)
-                n_removed.append(n - int(keep.sum()))
-                kept.append(joined_words(text, keep))
-                size += len(kept[-1])
-                if size > 8 << 20:
-                    yield _cleaned(batch, start, i + 1, n_words, n_removed, kept)
-                    start, size, n_words, n_removed, kept = i + 1, 0, [], [], []
-            if kept:
-                yield _cleaned(batch, start, batch.num_rows, n_words, n_removed, kept)
-
-    cleaned = rows.mapInArrow(clean, f"id {docs.schema[id].dataType.simpleString()}, n_words long, n_removed long, kept string")
-    return cleaned.withColumnRenamed("id", id)
+            batch = batch.filter(pa.array(~holds(known.value, batch.column(2).to_numpy())))
+            yield from clean(batch, None, None)
+
+    def clean(batch: pa.RecordBatch, hashes, copies) -> Iterator[pa.RecordBatch]:
+        n_words, n_removed, kept = [], [], []
+        start, size = 0, 0
+        for i, text in enumerate(words(batch.column(1))):
+            n = len(text.hashes)
+            full = window_hashes(text.hashes, window)
+            flagged = np.ones(len(full), bool)
+            if len(full) and not (copies and copies[i]):
+                flagged[np.unique(full, return_index=True)[1]] = False
+                gone = hashes[i].values if hashes is not None else None
+                if gone is not None and len(gone):
+                    flagged |= np.isin(full, gone.to_numpy().view(np.uint64))
+            keep = ~_covered(flagged, n, window)
+            n_words.append(n)
+            n_removed.append(n - int(keep.sum()))
+            kept.append(joined_words(text, keep))
+            size += len(kept[-1])
+            if size > 4 << 20:
+                yield _cleaned(batch, start, i + 1, n_words, n_removed, kept)
+                start, size, n_words, n_removed, kept = i + 1, 0, [], [], []
+        if kept:
+            yield _cleaned(batch, start, batch.num_rows, n_words, n_removed, kept)
+
+    schema = f"id {docs.schema[id].dataType.simpleString()}, n_words long, n_removed long, kept string"
+    others = keyed.select("id", "text", "doc").mapInArrow(clean_others, schema)
+    return others.unionByName(marked.mapInArrow(clean_marked, schema)).withColumnRenamed("id", id)
 
 
 def _cleaned(batch: pa.RecordBatch, a: int, b: int, n_words: list, n_removed: list, kept: list) -> pa.RecordBatch:

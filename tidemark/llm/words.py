@@ -16,7 +16,7 @@ import pyarrow as pa
 from .bloom import mixed
 
 #: Bytes of text that are worked on together.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
