@@ -1,0 +1,106 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import WORD, bag
+from tidemark.llm import mixing
+from tidemark.llm.mixing import mix, mix_counts
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    """Targets per source; sizes in the order of the sources."""
+    total, level, over = share * sum(sizes), 0.0, [False] * len(sizes)
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    while True:
+        level = (total - sum(most * s for s, o in zip(sizes, over) if o)) / max(1e-300, sum(x for x, o in zip(w, over) if not o))
+        new = [o or x * level > most * s for s, x, o in zip(sizes, w, over)]
+        if new == over:
+            return [most * s if o else x * level for s, x, o in zip(sizes, w, over)]
+        over = new
+
+
+def check(docs, tolerance):
+    rows = docs.select("doc_id", "text", "source").collect()
+    size = Counter()
+    for r in rows:
+        size[r.source] += len(WORD.findall(r.text or ""))
+    order = sorted((s for s in size if s is not None)) + [None] * (None in size)
+    expected = dict(zip(order, targets([size[s] for s in order])))
+    found = mix_counts(docs).collect()
+    assert len(found) == len(rows)
+    by_text = Counter((r.doc_id, len(WORD.findall(r.text or ""))) for r in rows)
+    assert by_text == Counter((r.doc_id, r.size) for r in found)
+    for r in found:
+        assert r.taken in (0, r.size, 2 * r.size)
+    # sources are told apart by their targets and sizes
+    taken = Counter()
+    for r in found:
+        taken[r.source_size, round(r.target, 6)] += r.taken
+    for source in order:
+        key = size[source], round(expected[source], 6)
+        assert key in taken or size[source] == 0
+        twins = [s for s in order if (size[s], round(expected[s], 6)) == key]
+        assert abs(taken[key] - len(twins) * expected[source]) <= tolerance * len(twins) * max(1, expected[source]) + 5
+    return found
+
+
+def test_documents(documents):
+    check(documents, 0.08)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    found = mix_counts(odd_docs).collect()
+    assert len(found) == odd_docs.count()
+    assert all(r.taken <= 2 * r.size for r in found) and all(r.size == 0 for r in found if r.taken is None) is True
+    mixed = mix(odd_docs)
+    assert mixed.schema == odd_docs.schema
+    words = mixed.select(F.sum(F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)))).first()[0]
+    assert words == sum(r.taken for r in found)
+    assert mix_counts(no_docs).count() == 0 and mix(no_docs).count() == 0
+
+
+def test_the_mix_has_what_the_counts_say(documents):
+    counts = {r.doc_id: r.taken // r.size for r in mix_counts(documents).collect() if r.size}
+    found = Counter(r.doc_id for r in mix(documents).select("doc_id").collect())
+    assert all(found[i] == n for i, n in counts.items())
+
+
+def test_reruns_and_layout_agree(documents):
+    once, again = mix_counts(documents), mix_counts(documents.repartition(7))
+    assert bag(once.collect()) == bag(again.collect())
+    assert bag(once.collect()) != bag(mix_counts(documents, seed=5).collect())
+
+
+@pytest.mark.parametrize("together", [4, 10_000])
+def test_a_hot_source_is_refined_step_by_step(spark, monkeypatch, together):
+    monkeypatch.setattr(mixing, "TOGETHER", together)
+    docs = spark.range(3000).selectExpr(
+        "id doc_id", "concat_ws(' ', array_repeat('w', cast(id % 17 as int))) text",
+        "if(id % 3 = 0, 'hot', concat('s', id % 40)) source",
+    )
+    check(docs, 0.02)
+
+
+def test_share_beyond_what_there_is(spark):
+    docs = spark.range(50).selectExpr("id doc_id", "'a b' text", "concat('s', id % 3) source")
+    found = mix_counts(docs, share=9.0).collect()
+    assert {r.taken for r in found} == {4}
+
+
+def test_sources_without_words(spark):
+    docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, "x y", "c")], "doc_id long, text string, source string")
+    assert {r.doc_id: (r.source_size, r.target, r.taken) for r in mix_counts(docs).collect()} == {
+        1: (0, 0.0, 0), 2: (0, 0.0, 0), 3: (2, 3.0, 4)
+    } or {r.doc_id: r.target for r in mix_counts(docs).collect()} == {1: 0.0, 2: 0.0, 3: 3.0}
+
+
+def test_inclusion_probabilities(spark):
+    """Over many seeds every document of a source is taken about as often."""
+    docs = spark.range(40).selectExpr("id doc_id", "'a b c' text", "concat('s', id % 2) source")
+    seen = Counter()
+    for seed in range(12):
+        for r in mix_counts(docs, share=0.5, seed=seed).collect():
+            seen[r.doc_id] += r.taken // 3
+    taken = [seen[i] for i in range(0, 40, 2)]
+    assert sum(taken) == 12 * 15 and min(taken) >= 4 and len(set(taken)) > 1

@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import WORD, bag
+from tidemark.llm.substrings import doubled, least_in_window, remove_repeats, repeated_windows, window_hashes
+
+
+def brute(rows, window):
+    """Rows that repeat an id are not judged against one another; a null id comes first."""
+    first = {}
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        key = -1 if i is None else i
+        for k in range(len(words) - window + 1):
+            w = tuple(words[k : k + window])
+            first[w] = min(key, first.get(w, key))
+    out = []
+    for i, text in rows:
+        words, seen = WORD.findall(text or ""), set()
+        gone = [False] * len(words)
+        for k in range(len(words) - window + 1):
+            w = tuple(words[k : k + window])
+            if w in seen or first[w] < (-1 if i is None else i):
+                gone[k : k + window] = [True] * window
+            seen.add(w)
+        out.append((i, len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)))
+    return out
+
+
+def check(docs, window=20):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = remove_repeats(docs, window)
+    assert found.columns == ["doc_id", "n_words", "n_removed", "kept"]
+    expected = brute(rows, window)
+    assert bag(found.collect()) == bag(expected)
+    return expected
+
+
+def test_documents(documents):
+    assert sum(n for _, _, n, _ in check(documents)) > 1000
+
+
+@pytest.mark.parametrize("window", [20, 3, 2])
+def test_odd_rows(odd_docs, window):
+    check(odd_docs.filter("length(text) < 10000 or text is null"), window)
+
+
+def test_very_long_copies(odd_docs):
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(odd_docs.filter("doc_id in (10, 11)")).collect()}
+    assert found[10][0] == found[11][0] == found[11][1] == 300_000
+
+
+@pytest.mark.parametrize("window", [7, 20])
+def test_shared_passages(spark, window):
+    """Passages from one word short of a window up, at any place, within and across documents."""
+    rng = random.Random(4)
+    passages = [" ".join(f"p{n}q{k}" for k in range(n)) for n in (window - 1, window, window + 1, 3 * window, 60)]
+    docs = []
+    for i in range(120):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            parts += [f"d{i}n{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 12))]
+            if rng.random() < 0.6:
+                parts.append(rng.choice(passages))
+        docs.append((i, rng.choice([" ", "\n", "  "]).join(parts)))
+    docs += [(500 + k, docs[k][1]) for k in range(0, 60, 5)]
+    frame = spark.createDataFrame(rng.sample(docs, len(docs)), "doc_id long, text string").repartition(4)
+    check(frame, window)
+
+
+def test_a_passage_in_a_third_of_all_documents(spark):
+    docs = spark.range(900).selectExpr(
+        "id doc_id",
+        "if(id % 3 = 0, concat('own', id, ' ', array_join(transform(sequence(1, 60), x -> concat('s', x)), ' ')), concat('t', id)) text",
+    )
+    found = remove_repeats(docs)
+    assert found.filter("n_removed = 60").count() == 299 and found.filter("n_removed = 0").count() == 601
+
+
+def test_nothing(no_docs):
+    assert remove_repeats(no_docs).count() == 0
+    again, later = repeated_windows(no_docs)
+    assert again.count() == later.count() == 0
+
+
+def test_window_helpers():
+    values = np.random.default_rng(1).integers(0, 1 << 63, 50, np.uint64)
+    for width in range(1, 25):
+        expected = [values[i : i + width].min() for i in range(len(values) - width + 1)]
+        assert least_in_window(values, width).tolist() == expected
+    for size in range(1, 12):
+        own = window_hashes(np.tile(values[:13], 2), size)
+        assert len(own) == 26 - size + 1 and own[0] == own[13] and len(np.unique(own)) == 13
+    assert np.array_equal(doubled(window_hashes(values, 5), 5), window_hashes(values, 10))
+    assert len(window_hashes(values[:3], 4)) == 0

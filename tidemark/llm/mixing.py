@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Ranks are numbers below 2 to this power.
 RANK_BITS = 52
 #: Bits of the rank that one pass over the rows settles.
-STEP_BITS = 10
+STEP_BITS = 8
 #: Ranks of one source that may be added up by one task.
 TOGETHER = 10_000
 
@@ -154,9 +154,9 @@ def mixing_plan(
 
     A source whose target is t times its size takes every document floor(t) times.  For what is left, each
     document has the same inclusion probability t - floor(t); the documents are ordered by random odds
-    divided by inclusion odds and taken while their words fit (a fixed size in words).  One more
-    document, the one whose size is nearest to the words still missing, closes the sample if that brings
-    it nearer to the target.
+    divided by inclusion odds and taken while their words fit (a fixed size in words).  One more step
+    closes the sample if that brings it nearer to the target: a further document is added, the one whose size is
+    nearest to the words still missing, or the first that did not fit is, and one taken before makes room.
     """
     rows = stored(
         docs.select(
@@ -178,20 +178,28 @@ def mixing_plan(
     )
     ranked = stored(_with_rank(rows, sources), "mix-ranked")
     cuts = stored(_cutoffs(ranked), "mix-cutoffs")
-    far = F.abs(F.col("size") - F.col("room"))
+    sized = cuts.join(sources.select("key", F.col("n").alias("rows")), "key")
+    narrow = ranked.select("key", "rank", "size")
+    first_out = with_group(narrow, sized, ["key"], "rows").filter(F.col("rank") == F.col("cut"))
+    sized = stored(sized.join(first_out.groupBy("key").agg(F.sum("size").alias("next")), "key", "left"), "mix-sized")
+    adds = F.col("rank") >= F.col("cut")
+    far = F.abs(F.when(adds, F.col("size") - F.col("room")).otherwise(F.col("next") - F.col("room") - F.col("size")))
     closing = (
-        with_group(ranked, cuts.join(sources.select("key", "n"), "key").withColumnRenamed("n", "_n"), ["key"], "_n")
-        .filter((F.col("rank") >= F.col("cut")) & (far < F.col("room")))
+        with_group(narrow, sized, ["key"], "rows")
+        .filter(far < F.col("room"))
         .groupBy("key")
-        .agg(F.min(F.struct(far.alias("far"), "rank")).alias("best"))
-        .select("key", F.col("best.rank").alias("closing"))
+        .agg(F.min(F.struct(far.alias("far"), (~adds).alias("swap"), "rank")).alias("best"))
+        .select("key", F.col("best.rank").alias("closing"), F.col("best.swap").alias("swap"))
     )
     plan = stored(sources.join(cuts.drop("room"), "key").join(closing, "key", "left"), "mix-plan")
     return rows, plan
 
 
 def _copies() -> Column:
-    taken = (F.col("rank") < F.col("cut")) | (F.col("rank") == F.coalesce("closing", F.lit(-1)))
+    closes = F.col("rank") == F.coalesce("closing", F.lit(-1))
+    swap = F.coalesce("swap", F.lit(False))
+    first = F.col("rank") < F.col("cut")
+    taken = (first & ~(swap & closes)) | (~swap & closes) | (swap & (F.col("rank") == F.col("cut")))
     return F.col("whole") + F.when(taken & (F.col("part") > 0), 1).otherwise(0)
 
 

@@ -34,7 +34,9 @@ _SHAPES = 9
 _CLASS = np.where(np.arange(256) < 128, np.arange(256), 128 + (np.arange(256) >> 3) - 16)
 _CLASSES = 144
 FEATURES = _SHAPES + _CLASSES + PAIRS
+#: Ridges of the three kinds of features, and the number of positives below which they grow noticeably.
 RIDGE = (0.001, 0.01, 0.1)
+FEW = 3000
 
 
 def features(text: Words) -> np.ndarray:
@@ -142,7 +144,8 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: tuple[float, float, float] = RIDGE, steps: int = 400) -> Model:
     """The model of least non-negative risk.  Without any positive or unlabelled text every score is 0.5.
 
-    ``ridge`` holds down the weights of shapes, bytes and byte pairs: the finer a feature, the more.
+    ``ridge`` holds down the weights of shapes, bytes and byte pairs: the finer a feature, the more; and the fewer
+    positives there are, the more.
     """
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.5)
@@ -153,7 +156,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: tuple[float, float,
         return np.hstack([np.clip((x - mean) * scale, -8, 8), np.ones((len(x), 1))])
 
     p, u = ready(positive), ready(unlabelled)
-    keep = np.append(np.repeat(ridge, (_SHAPES, _CLASSES, PAIRS)), 0)
+    keep = np.append(np.repeat(ridge, (_SHAPES, _CLASSES, PAIRS)), 0) * (1 + FEW / len(positive))
 
     def apart(even: slice) -> np.ndarray:
         a, b = p[even], u[even]
@@ -163,8 +166,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, ridge: tuple[float, float,
 
     # the prior is read from scores of texts that their scorer has not seen
     halves = [slice(0, None, 2), slice(1, None, 2)]
-    others = [apart(halves[1]), apart(halves[0])]
     if min(len(p), len(u)) > 1:
+        others = [apart(halves[1]), apart(halves[0])]
         prior = float(np.mean([estimated_prior(p[h] @ w, u[h] @ w) for h, w in zip(halves, others)]))
     else:
         prior = 0.5
