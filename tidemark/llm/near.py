@@ -18,13 +18,13 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
 from .bloom import mixed
-from .components import components
-from .shared import free, quoted, stored, with_group
+from .components import components, forest
+from .shared import free, quoted, short_batches, stored, with_group
 from .words import combined, words
 
 #: Bands, and registers in each: 0.8 in common and all 40 bands missed has a chance of about 1e-7.
@@ -34,9 +34,10 @@ REGISTERS = BANDS * ROWS
 BASE, RATE = 1.001, 20.0
 TOP = (1 << 16) - 1
 #: Five standard deviations of the estimate at the threshold.
-MARGIN = 0.14
-#: Members of a bucket that are compared with one another by one task.
+MARGIN = 0.12
+#: Members of a bucket, and elements of their sets, that meet those of another block in one task.
 BLOCK = 512
+ELEMENTS = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -112,6 +113,7 @@ class Prepared(NamedTuple):
 
 def prepare(docs: DataFrame, id: str, text: str, size: int) -> Prepared:
     """Sets and sketches of all documents; ``key`` names one row of each class, whose text has its set."""
+    short_batches(docs.sparkSession)
     keyed = docs.select(
         quoted(text).alias("text"), quoted(id).cast("long").alias("id"), F.xxhash64(quoted(id), quoted(text)).alias("key")
     )
@@ -147,18 +149,24 @@ def _members(classes: DataFrame) -> DataFrame:
     The keys of all bands go through a Bloom filter first, and only those it has seen twice are shuffled.
     """
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for k in range(0, batch.num_rows, 2048):
+            yield band_keys(_registers(batch.column(1)[k : k + 2048].to_pylist())).ravel()
+
+    sketches = classes.select("c", "sketch")
+    twice = bloom.build(sketches, classes.count() * BANDS, repeated=True, keys_of=keys).shared
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = batch.column(0).to_numpy(zero_copy_only=False)
-            for k in range(0, len(c), 2048):
-                bands = band_keys(_registers(batch.column(1)[k : k + 2048].to_pylist()))
+            c, at = batch.column(0).to_numpy(zero_copy_only=False), 0
+            for bands in keys(batch):
+                found = np.flatnonzero(bloom.holds(twice.value, bands))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bands.ravel().view(np.int64)), pa.array(np.repeat(c[k : k + 2048], BANDS))], ["band", "c"]
+                    [pa.array(bands[found].view(np.int64)), pa.array(c[at + found // BANDS])], ["band", "c"]
                 )
+                at += len(bands) // BANDS
 
-    bands = classes.select("c", "sketch").mapInArrow(keys, "band long, c long")
-    twice = bloom.build(bands.select("band"), classes.count() * BANDS, repeated=True)
-    maybe = stored(bands.filter(twice.may_hold(F.col("band"))), "near-bands")
+    maybe = stored(sketches.mapInArrow(repeated, "band long, c long"), "near-bands")
     buckets = stored(
         maybe.groupBy("band").agg(F.min("c").alias("hub"), F.count("*").alias("size")).filter("size > 1"), "near-buckets"
     )
@@ -187,19 +195,19 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return both.mapInPandas(estimate, "a long, b long")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """c and its full set for the classes of the pairs, made from one document of each.
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, id: str, text: str, size: int) -> DataFrame:
+    """c and its full set for the classes in ``nodes``, made from one document of each.
 
     Only documents that a Bloom filter takes for one of those are read word by word.
     """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     wanted = stored(classes.join(nodes, "c").select("c", "key", "k1", "k2"), "near-wanted")
-    chosen = bloom.build(wanted.select("key"), wanted.count())
+    chosen = bloom.build(wanted.select("key"), wanted.count()).shared
     keyed = docs.select(quoted(text).alias("text"), F.xxhash64(quoted(id), quoted(text)).alias("key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
+            batch = batch.filter(pa.array(bloom.holds(chosen.value, batch.column(1).to_numpy())))
             for key, text in zip(batch.column(1).to_pylist(), words(batch.column(0), fold=True)):
                 if key not in seen:  # rows that repeat id and text
                     seen.add(key)
@@ -208,7 +216,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id: str, text:
                     values = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own.view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([int(k1)]), values], ["key", "k1", "own"])
 
-    found = keyed.filter(chosen.may_hold(F.col("key"))).mapInArrow(sets, "key long, k1 long, own array<long>")
+    found = keyed.mapInArrow(sets, "key long, k1 long, own array<long>")
     return stored(found.join(wanted, ["key", "k1"]).select("c", "own").dropDuplicates(["c"]), "near-sets")
 
 
@@ -225,45 +233,115 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of a bucket that no links connect yet, without those already tested.
+def _across(docs: DataFrame, members: DataFrame, classes: DataFrame, labels: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Links between members of a bucket that no links connect yet.
 
-    Buckets whose members are one component have nothing to add.  The others are compared in blocks against
-    blocks, on the sketches, and only likely pairs of different components come out.
+    The hubs have been compared with all others.  Buckets whose other members are one component have nothing to
+    add.  In the rest a first pass on the sketches finds the members that have a likely partner of another
+    component; these meet once more with their full sets.  Pairs live within a task, in the first
+    bucket that they share; what comes out are members and links.
     """
-    labelled = members.join(labels, members.c == labels.node, "left").select("band", "c", "size", F.coalesce("root", "c").alias("label"))
+    others = members.filter("c <> hub").drop("hub", "size")
+    labelled = others.join(labels, others.c == labels.node, "left").select("band", "c", F.coalesce("root", "c").alias("label"))
     labelled = stored(labelled, "near-labelled")
-    mixed_buckets = (
-        labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("size"))
+    apart = (
+        labelled.groupBy("band")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("size"))
         .filter("least < most")
         .select("band", "size")
     )
-    rest = with_group(labelled.drop("size"), stored(mixed_buckets, "near-mixed"), ["band"], "size")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    rest = with_group(labelled, stored(apart, "near-apart"), ["band"], "size")
+    rest = rest.join(classes.select("c", "n", "sketch"), "c")
+    asked = _met(rest, F.ceil(F.col("size") / BLOCK), percent, None).distinct()
+    asked = stored(asked.select(F.col("a").alias("band"), F.col("b").alias("c")), "near-asked")
+    sets = _sets(docs, classes, asked.select("c").distinct(), id, text, size)
+    known = asked.join(labels, asked.c == labels.node, "left").select("band", "c", F.coalesce("root", "c").alias("label"))
+    known = stored(known.join(classes.select("c", "n", "sketch"), "c"), "near-known")
+    totals = known.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
+    full = with_group(known, stored(totals, "near-totals"), ["band"], "size").join(sets, "c")
+    return _met(full, F.ceil(F.greatest(F.col("size") / BLOCK, F.col("elements") / ELEMENTS)), percent, "own")
+
+
+def _met(rows: DataFrame, blocks: Column, percent: int, own: str | None) -> DataFrame:
+    """Every two members of a bucket meet in one task, which has two of the bucket's blocks.
+
+    Without sets, (band, c) of those with a likely partner; with the column ``own`` of full sets, the links.
+    """
+    placed = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("band", "c", "label", "block", other).select(
-        "band", "c", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    columns = ["band", "c", "label", "n", "sketch", *([own] if own else [])]
+    placed = placed.select(*columns, "block", other).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *columns[1:]
     )
-    own = classes.select("c", "n", "sketch")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = group.i.iloc[0], group.j.iloc[0]
-        rows, others = (group[group.block == k] for k in (i, j))
-        x, y = _registers(rows.sketch), _registers(others.sketch)
-        b, label_b, n_b = others.c.to_numpy(), others.label.to_numpy(), others.n.to_numpy(float)
-        out = []
-        for a, label, n_a, registers in zip(rows.c, rows.label, rows.n, x):
-            at = np.flatnonzero((label_b != label) & ((b > a) | (i != j)))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held)
+            keys = [rows.column(k).to_numpy() for k in range(3)]
+            starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+            yield from _compared(rows, starts, percent)
+            held = rows.slice(int(starts[-1])).to_batches()  # the last group may go on
+        if held:
+            rows = pa.Table.from_batches(held)
+            yield from _compared(rows, np.array([0, rows.num_rows]), percent)
+
+    ordered = placed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
+def _compared(rows: pa.Table, edges: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """What ``_met`` asks for, of each group of rows but the last one, which ``edges`` ends."""
+    if not edges[-1]:
+        return
+    rows = rows.slice(0, int(edges[-1])).combine_chunks()
+    band, i, j, block, c, label, n = (rows.column(k).to_numpy() for k in range(7))
+    sketches = _registers(rows.column(7).to_pylist())
+    bands = band_keys(sketches).view(np.int64)
+    sets = rows.column(8) if rows.num_columns > 8 else None
+    threshold = percent / 100
+    least = int(REGISTERS * (threshold - MARGIN - 0.05))
+    for a, b in zip(edges[:-1], edges[1:]):
+        across = i[a] != j[a]
+        other = np.arange(a, b)[block[a:b] == j[a]]
+        pairs = []
+        for k in np.arange(a, b)[block[a:b] == i[a]]:
+            at = other[(label[other] != label[k]) & (across | (other > k))]
             if len(at):
-                theirs = y[at]
-                n = np.full(len(at), float(n_a))
-                near = likeliest((registers > theirs).sum(1), (registers < theirs).sum(1), n, n_b[at])
-                out += [(min(a, o), max(a, o)) for o in b[at[near >= threshold - MARGIN]]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    found = placed.join(own, "c").groupBy("band", "i", "j").applyInPandas(compare, "a long, b long").distinct()
-    return stored(found.join(tested, ["a", "b"], "left_anti"), "near-across")
+                at = at[(bands[at] == bands[k]).argmax(1) == (bands[k] == band[k]).argmax()]
+                at = at[(sketches[at] == sketches[k]).sum(1) >= least]
+                pairs.append(np.stack([np.full(len(at), k), at]))
+        if not pairs:
+            continue
+        x, y = np.concatenate(pairs, 1)
+        likely = []
+        for k in range(0, len(x), 4096):
+            p, q = x[k : k + 4096], y[k : k + 4096]
+            larger, smaller = (sketches[p] > sketches[q]).sum(1), (sketches[p] < sketches[q]).sum(1)
+            likely.append(likeliest(larger, smaller, n[p].astype(float), n[q].astype(float)) >= threshold - MARGIN)
+        keep = np.concatenate([*likely, np.empty(0, bool)])
+        x, y = x[keep], y[keep]
+        if sets is None:
+            found = np.unique(np.concatenate([x, y]))
+            yield _pairs(band[found], c[found])
+        elif len(x):
+            yield _pairs(*_verified(x, y, c, sets, percent))
+
+
+def _verified(x: np.ndarray, y: np.ndarray, c: np.ndarray, sets: pa.ChunkedArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the pairs whose full sets are alike enough."""
+    own = {int(k): sets[int(k)].values.to_numpy() for k in np.unique(np.concatenate([x, y]))}
+    linked = np.zeros(len(x), bool)
+    for k, (p, q) in enumerate(zip(x.tolist(), y.tolist())):
+        one, two = own[p], own[q]
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        linked[k] = 100 * both >= percent * (len(one) + len(two) - both)
+    return forest(c[x[linked]], c[y[linked]])
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _groups(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
@@ -275,9 +353,9 @@ def _groups(docs: DataFrame, id: str, text: str, size: int, percent: int) -> Dat
         members.filter("c <> hub").select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct(), "near-stars"
     )
     likely = stored(_likely(stars, classes, threshold), "near-likely")
-    links = stored(_linked(likely, _sets(docs, classes, likely, id, text, size), percent), "near-links")
-    across = _across(members, classes, components(links), stars, threshold)
-    more = _linked(across, _sets(docs, classes, across, id, text, size), percent)
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    links = stored(_linked(likely, _sets(docs, classes, nodes, id, text, size), percent), "near-links")
+    more = _across(docs, members, classes, components(links), id, text, size, percent)
     labels = components(links.unionByName(stored(more, "near-more")))
 
     joined = classes.join(labels, classes.c == labels.node, "left").select(
