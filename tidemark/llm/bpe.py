@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import quoted
+from .shared import quoted, short_batches
 
 #: Pieces whose ids a worker remembers, in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Pairs of tokens whose compatibility it remembers.
-PAIRS = 250_000
+PAIRS = 200_000
 #: Tokens that are decoded together.
 DECODED = 1 << 18
 
@@ -204,6 +204,7 @@ def bpe_encode(
     Null and empty texts have no ids.  Columns of these names are replaced.  Nothing is shuffled; the
     vocabulary, a fixed table, is broadcast.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     added = [ids] if decoded is None else [ids, decoded]
     kept = [c for c in docs.columns if c.lower() not in [a.lower() for a in added]]
@@ -223,6 +224,7 @@ def bpe_encode(
                     decoder = _worker_own(Decoder, shared.value)
                     new.append(pa.array([decoder.decode(x) for x in found], pa.binary()))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in from_column), *new], [*kept, *added])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(encode, schema)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bloom import mixed
-from .shared import free, quoted
+from .shared import free, quoted, short_batches
 from .words import Words, words
 
 #: Texts of either kind that the model is fitted on, at most.
@@ -75,6 +75,7 @@ def _features_of(rows: DataFrame) -> np.ndarray:
             found = [features(text).tobytes() for text in words(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["features"])
 
+    short_batches(rows.sparkSession)
     got = rows.mapInArrow(make, "features binary").collect()
     return np.array([np.frombuffer(r[0], np.float32) for r in got], np.float32).reshape(len(got), FEATURES)
 
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score for every whole text, null and empty ones included; a column of that name is replaced."""
+    short_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c.lower() != score.lower()]
     from_column, at = [docs.columns.index(c) for c in kept], docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -9,12 +9,26 @@ from ..sources.files import remove, shared_folder
 
 #: At most so many groups hold more than this share of the rows each, so they may be broadcast.
 HOT_GROUPS = 1000
+#: Files of a stored table for each core of the cluster, at most; many small ones cost more than they help.
+FILES_PER_CORE = 4
+#: Spark's own sizes of a batch for Python, and the ones set in their place: whole texts are large rows.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Bound what the JVM and a Python worker hold of a table of texts at once, unless the session has its own sizes."""
+    for name, (own, shorter) in BATCHES.items():
+        if spark.conf.get(name, own) == own:
+            spark.conf.set(name, shorter)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the folder all executors share and read from there.
 
@@ -27,6 +41,7 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``stored``, with the folder, for tables that are dropped before the query ends."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import bloom
 from .bloom import holds
 from .exact import text_hash
-from .shared import quoted, stored, with_group
+from .shared import quoted, short_batches, stored, with_group
 from .words import Words, combined, words
 
 WINDOW = 20
@@ -124,6 +124,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id: str = "doc_id",
     go into a Bloom filter of bounded size, which lets their windows through to level 2 (and, when it is too
     small, more of them, which level 2 then drops).  Level 2 groups window hashes exactly.
     """
+    short_batches(docs.sparkSession)
     keyed = _keyed(docs, id, text)
     later = _later_copies(keyed)
     pieces = _listed_without(keyed, later, lambda text: _pieces(text, window)[0]).select("hash")

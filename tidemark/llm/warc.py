@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bloom
-from .shared import free, quoted, stored, with_group
+from .shared import free, quoted, short_batches, stored, with_group
 
 #: Content of a frame, before compression, from which on it is closed.
 FRAME_BYTES = 1 << 20
@@ -204,6 +204,7 @@ def write_warc(
     A null html is an empty payload; a null url is written as ``urn:none``, a null id as none at all.  An
     empty table gives a folder without bundles.  Other columns are not read.
     """
+    short_batches(pages.sparkSession)
     planned = revisit_plan(pages.select(quoted(id), quoted(url), quoted(html)), id, html, least).select(
         quoted(id).cast("long").alias("id"), quoted(url).cast("string").alias("url"),
         payload(quoted(html)).alias("body"), "digest", F.col("refers_to").cast("long").alias("refers_to"),
