@@ -50,7 +50,7 @@ def test_memory_is_bounded(monkeypatch):
     own = Encoder(RANKS, public_tokenizers.PATTERN)
     text = " ".join(f"word{i}xyz{i % 7}" for i in range(200))
     assert own.encode(text).tolist() == KNOWN.encode_ordinary(text)
-    assert len(own.new) <= 3 and len(own.fits) <= 5
+    assert len(own.known) <= 3 and len(own.known.old) <= 3 and len(own.fits) <= 5
 
 
 def test_tables(odd_docs, no_docs, documents):

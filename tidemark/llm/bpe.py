@@ -13,6 +13,7 @@ as the Latin-1 characters of the same numbers.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -59,8 +60,7 @@ class Encoder:
         for rank in self.token:
             self._shorten(rank)
         self.automaton.make_automaton()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = _Known(self)
 
     def _add(self, rank: int) -> None:
         """Notes of a token the two it is merged from.
@@ -144,20 +144,28 @@ class Encoder:
             rank = shorter
 
     def encode(self, text: str) -> np.ndarray:
-        """The ids of the text; those of frequent pieces are remembered as the bytes of their numbers."""
-        ids, new, old = [], self.new, self.old
-        for piece in self.pieces.findall(text):
-            got = new.get(piece)
-            if got is None:
-                got = old.get(piece)
-                if got is None:
-                    got = np.array(self.encode_piece(piece.encode()), np.int32).tobytes()
-                if len(piece) < 64:
-                    if len(new) >= REMEMBERED:
-                        self.old, self.new = old, new = new, {}
-                    new[piece] = got
-            ids.append(got)
-        return np.frombuffer(b"".join(ids), np.int32)
+        """The ids of the text."""
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces.findall(text))), np.int32)
+
+
+class _Known(dict):
+    """Ids of the pieces met lately, as the bytes of their numbers, in two generations."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("i", self.encoder.encode_piece(piece.encode())).tobytes()
+        if len(piece) < 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Decoder:
