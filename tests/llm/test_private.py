@@ -137,3 +137,19 @@ def test_more_terms_than_are_broadcast(docs_of, monkeypatch):
 )
 def test_sanitised_text(docs_of, text, clean):
     assert sanitised(find_private(docs_of(text))).first().sanitised == clean
+
+
+def spanned(found):
+    return {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind in ("general", "removed")] for r in found.collect()}
+
+
+def test_terms_of_two_lines_and_of_neighbouring_lines(docs_of):
+    noise = [f"hello line {k} of other things about topic{k % 9}" for k in range(1000)]
+    twice = [f"hello Zanzibar wrote from zed@example.com about topic{k}" for k in range(2)]
+    before = [f"hello topic{k}\nfrom Quixote\nqui@example.com\nbye" for k in range(3)]
+    copied = ["hello topic1\nUlysses once\nuly@example.com\nbye"] * 6
+    once = ["hello Penelope at pen@example.com"]
+    found = spanned(find_private(docs_of(*noise, *twice, *before, *copied, *once)))
+    assert all("Zanzibar" in found[k] for k in (1000, 1001))
+    assert all("Quixote" in found[k] for k in (1002, 1003, 1004))
+    assert all(found[k] == [] for k in range(1005, 1012))

@@ -1,16 +1,22 @@
 """Personal data: fixed patterns, and terms that reveal the protected values by their co-occurrence.
 
 All of it is DataFrame functions.  A protected value e is an address, number or card that a pattern found.
-Its contexts are the lines that hold it, over the whole corpus.  With n lines in all, of which n(e) hold e,
-n(t) the term t and n(e, t) both, the information e would disclose is IC(e) = log2(n / n(e)) and
-what t discloses of it is PMI(e, t) = log2(n(e, t) n / (n(e) n(t))).  Where PMI reaches a share of IC, the term
-all but names the value: it is generalised, and beyond a second share removed, in the
-documents that hold e.  Only terms that stand beside e in several different lines count, so copies
-of one text are no evidence.
+Its contexts are the lines that hold it and their neighbours, over the whole corpus.  With n lines in all, of which
+n(e) are in a context of e, n(t) hold the term t and n(e, t) are both, the information e would disclose is
+IC(e) = log2(n / n(e)) and what t discloses of it is PMI(e, t) = log2(n(e, t) n / (n(e) n(t))).  Where PMI reaches a
+share of IC, the term all but names the value: it is generalised, and beyond a second share
+removed, in the documents that hold e.
+
+Every term in a context is judged, and chance must be an unlikely reason: of all pairs of a value and a word of the
+corpus, fewer than ``CHANCE`` in all may be expected to meet as often if words fell on lines at random.  Here copies
+are no evidence: lines count once for each two neighbours they stand between, and those that hold a
+value once in all.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = r"[\p{L}\p{N}]+"
 #: Terms are broadcast up to this number, and otherwise joined with counts of all words.
 BROADCAST_TERMS = 50_000
+#: Pairs of values and words that may be expected to pass by chance, by Chernoff's bound.
+CHANCE = 0.05
 
 # The patterns allow what their plain forms allow.  Possessive quantifiers keep Java from recursing over long
 # runs, and the look-behinds from trying every start within a run that cannot match: a match starts where
@@ -92,17 +100,13 @@ def _is_kind(kind: str):
 
 
 def find_matches(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: row, id, lines, matched and, where something matched, text, matches and gaps."""
+    """One row per row of ``docs``: row, id, text, matched and, where something matched, matches and gaps."""
     body = F.coalesce(quoted(text), F.lit(""))
     found = docs.select(quoted(id).alias("id"), body.alias("text")).withColumn("row", F.monotonically_increasing_id())
     found = found.withColumns({f"{k}_match": _matches(F.col("text"), k) for k in KINDS})
     found = found.withColumns({f"{k}_gap": _gaps(F.col("text"), k, F.col(f"{k}_match")) for k in KINDS})
     matched = F.exists(F.array(*[F.size(f"{k}_match") for k in KINDS]), lambda n: n > 0)
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    return stored(
-        found.withColumn("matched", matched).withColumn("lines", lines).withColumn("text", F.when(F.col("matched"), F.col("text"))),
-        "private-matches",
-    )
+    return stored(found.withColumn("matched", matched), "private-matches")
 
 
 def base_spans(found: DataFrame) -> DataFrame:
@@ -140,57 +144,66 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def disclosing_terms(
-    docs: DataFrame, found: DataFrame, text: str = "text", least_lines: int = 3, generalise: float = 0.8, remove: float = 0.95
-) -> DataFrame:
+def _values(line: Column) -> Column:
+    """The different valid values of a line, each with its kind; all of them have a digit or an @."""
+    none = F.array().cast("array<string>")
+    found = F.flatten(F.array(*[F.transform(F.filter(_matches(line, k), _VALID[k]), _named(k)) for k in KINDS]))
+    return F.when(line.rlike("[@0-9]"), F.array_distinct(found)).otherwise(none)
+
+
+def _lines(found: DataFrame) -> DataFrame:
+    """line, around (a hash of its neighbours, 0 where the line holds a value) and the values in all three."""
+    none = F.array().cast("array<string>")
+    end = F.lit("\n")  # stands before the first line and after the last
+
+    def placed(line: Column, i: Column) -> Column:
+        own, before, after = (F.coalesce(F.get("held", k), none) for k in (i, i - 1, i + 1))
+        around = F.xxhash64(F.coalesce(F.get("lines", i - 1), end), F.coalesce(F.get("lines", i + 1), end))
+        values = F.array_sort(F.array_distinct(F.concat(own, before, after)))
+        return F.struct(line.alias("line"), F.when(F.size(own) > 0, F.lit(0)).otherwise(around).alias("around"), values.alias("values"))
+
+    return (
+        found.select("matched", F.split("text", "\n").alias("lines"))
+        .withColumn("held", F.when(F.col("matched"), F.transform("lines", _values)))
+        .select(F.explode(F.transform("lines", placed)).alias("of"))
+        .select("of.line", "of.around", "of.values")
+    )
+
+
+def disclosing_terms(found: DataFrame, least_lines: int = 1, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """Terms and what they reveal: value, term, action (general or removed).
 
-    A term is judged if it stands beside the value in at least ``least_lines`` different lines.  Its own frequency
-    is counted over all lines of all documents.
+    Every term in a context of a value is judged, by the lines of all documents.  ``least_lines`` asks for so many
+    different lines with both besides.
     """
-    values = F.flatten(
-        F.array(
-            *[
-                F.transform(F.filter(_matches(F.col("line"), k), _VALID[k]), _named(k))
-                for k in KINDS
-            ]
-        )
-    )
-    lines = (
-        found.filter("matched")
-        .select(F.explode(F.split("text", "\n")).alias("line"))
-        .withColumn("values", F.array_distinct(values))
-        .filter(F.size("values") > 0)
+    contexts = stored(
+        _lines(found.filter("matched")).filter(F.size("values") > 0).groupBy("line", "around", "values").agg(F.count("*").alias("n")),
+        "private-lines",
     )
-    beside = stored(
-        lines.groupBy(F.xxhash64("line").alias("hash"), "line", "values").agg(F.count("*").alias("n")), "private-lines"
-    )
-    per_value = beside.select(F.explode("values").alias("value"), "n").groupBy("value").agg(F.sum("n").alias("n_value"))
+    beside = contexts.select(F.explode("values").alias("value"), F.xxhash64("line", "around").alias("unit"), "line", "n")
+    per_value = beside.groupBy("value").agg(F.sum("n").alias("n_value"), F.count_distinct("unit").alias("value_lines"))
+    per_value = stored(per_value, "private-values")
     pairs = (
-        beside.select(F.explode("values").alias("value"), _terms(F.col("line")).alias("terms"), "n")
-        .select("value", F.explode("terms").alias("term"), "n")
+        beside.select("value", "unit", "n", F.explode(_terms(F.col("line"))).alias("term"))
         .groupBy("value", "term")
-        .agg(F.sum("n").alias("n_both"), F.count("*").alias("different"))
-        .filter(F.col("different") >= least_lines)
-    )
-    pairs = stored(pairs, "private-pairs")
-    terms = stored(pairs.select("term").distinct(), "private-terms")
-    words = docs.select(F.explode(F.split(F.coalesce(quoted(text), F.lit("")), "\n")).alias("line")).select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))).alias("term")
+        .agg(F.sum("n").alias("n_both"), F.count_distinct("unit").alias("both_lines"))
     )
-    n = terms.count()
-    if n <= BROADCAST_TERMS:
-        words = words.join(F.broadcast(terms), "term", "left_semi") if n else words.limit(0)
-        per_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    else:
-        per_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
-    all_lines = found.agg(F.sum("lines")).first()[0] or 0
-    total = F.lit(float(all_lines))
+    # the empty term stands for the line itself
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))
+    words = _lines(found).groupBy("line", "around").agg(F.count("*").alias("n")).select(F.explode(F.array_append(terms, "")).alias("term"), "n")
+    per_term = stored(words.groupBy("term").agg(F.sum("n").alias("n_term"), F.count("*").alias("term_lines")), "private-terms")
+    whole = per_term.filter("term = ''").first()
+    total, lines = (F.lit(float(k)) for k in (whole[1:] if whole else (0, 0)))
+    unlikely = math.log(max(per_value.count() * (per_term.count() - 1), 1) / CHANCE)
+    chance, both = F.col("value_lines") / lines, F.col("both_lines") / F.col("term_lines")
+    apart = F.when(both < 1, (1 - both) * F.ln((1 - both) / (1 - chance))).otherwise(0.0)
     told = F.log2(F.col("n_both") * total / (F.col("n_value") * F.col("n_term")))
     share = told / F.nullif(F.log2(total / F.col("n_value")), F.lit(0.0))
     return (
-        pairs.join(per_term, "term")
+        pairs.filter(F.col("both_lines") >= least_lines)
+        .join(per_term, "term")
         .join(per_value, "value")
+        .filter((both > chance) & (F.col("term_lines") * (both * F.ln(both / chance) + apart) >= unlikely))
         .withColumn("share", share)
         .filter(F.col("share") >= generalise)
         .select("value", "term", F.when(F.col("share") >= remove, "removed").otherwise("general").alias("action"))
@@ -236,7 +249,7 @@ def find_private(docs: DataFrame, id: str = "doc_id", text: str = "text", **thre
     """
     found = find_matches(docs, id, text)
     base = stored(base_spans(found), "private-base")
-    told = stored(disclosing_terms(docs, found, text, **thresholds), "private-told")
+    told = stored(disclosing_terms(found, **thresholds), "private-told")
     fields = ["row", "order", "kind", "start", "end"]
     spans = base.select(*fields).unionByName(term_spans(found, base, told).select(*fields))
     entry = F.struct("order", "kind", "start", "end")
