@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import bag
 from tidemark.llm.private import find_private, private_digest, sanitised
+from tidemark.llm.queries import op5_pii
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -153,3 +154,20 @@ def test_terms_of_two_lines_and_of_neighbouring_lines(docs_of):
     assert all("Zanzibar" in found[k] for k in (1000, 1001))
     assert all("Quixote" in found[k] for k in (1002, 1003, 1004))
     assert all(found[k] == [] for k in range(1005, 1012))
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_terms_everywhere(docs_of, monkeypatch, broadcast):
+    monkeypatch.setattr("tidemark.llm.private.BROADCAST_TERMS", broadcast)
+    found = find_private(docs_of(*corpus(), "Nothing said by Zanzibar here", "Zanzibar at 1.2.3.4"), everywhere=True)
+    rows = {r.doc_id: r for r in sanitised(found).collect()}
+    assert [(s.kind in ("general", "removed"), s.start, s.end) for s in rows[310].spans] == [(True, 16, 24)]
+    assert "Zanzibar" not in rows[310].sanitised and rows[310].sanitised.startswith("Nothing said by ")
+    assert len(rows[311].base_spans) == 1 and len(rows[311].spans) == 2
+    assert all(rows[k].spans == [] for k in range(300))
+
+
+def test_query_covers_documents_without_the_value(spark, docs_of, tmp_path):
+    docs_of(*corpus(), "Nothing said by Zanzibar here").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.spans for r in op5_pii(spark, str(tmp_path)).collect()}
+    assert found[310].endswith(":16:24") and all(found[k] == "" for k in range(300))

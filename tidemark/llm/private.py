@@ -5,7 +5,7 @@ Its contexts are the lines that hold it and their neighbours, over the whole cor
 n(e) are in a context of e, n(t) hold the term t and n(e, t) are both, the information e would disclose is
 IC(e) = log2(n / n(e)) and what t discloses of it is PMI(e, t) = log2(n(e, t) n / (n(e) n(t))).  Where PMI reaches a
 share of IC, the term all but names the value: it is generalised, and beyond a second share
-removed, in the documents that hold e.
+removed, in the documents that hold e or, if asked for, wherever it stands.
 
 Every term in a context is judged, and chance must be an unlikely reason: of all pairs of a value and a word of the
 corpus, fewer than ``CHANCE`` in all may be expected to meet as often if words fell on lines at random.  Here copies
@@ -25,7 +25,7 @@ from .shared import free, quoted, stored
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"[\p{L}\p{N}]+"
-#: Terms are broadcast up to this number, and otherwise joined with counts of all words.
+#: Terms that disclose are broadcast up to this number, and otherwise joined with the words of all documents.
 BROADCAST_TERMS = 50_000
 #: Pairs of values and words that may be expected to pass by chance, by Chernoff's bound.
 CHANCE = 0.05
@@ -210,24 +210,38 @@ def disclosing_terms(found: DataFrame, least_lines: int = 1, generalise: float =
     )
 
 
-def term_spans(found: DataFrame, base: DataFrame, told: DataFrame) -> DataFrame:
-    """Where documents that hold a value have terms that reveal it, outside the base spans."""
-    held = base.select("row", F.concat_ws(":", "kind", "value").alias("value")).distinct()
-    wanted = held.join(told, "value").groupBy("row", "term").agg(F.max("action").alias("action"))
+def _anywhere(found: DataFrame, told: DataFrame) -> DataFrame:
+    """row, term and action wherever a document has a term that discloses any value, the strictest action for each."""
+    terms = stored(told.groupBy("term").agg(F.max("action").alias("action")), "private-anywhere")
+    own = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    words = found.select("row", F.explode(own).alias("term"))
+    return words.join(F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms, "term")
+
+
+def term_spans(found: DataFrame, base: DataFrame, told: DataFrame, everywhere: bool = False) -> DataFrame:
+    """Where documents have terms that reveal a value they hold, or any value, outside the base spans."""
+    if everywhere:
+        wanted = stored(_anywhere(found, told), "private-wanted")
+    else:
+        held = base.select("row", F.concat_ws(":", "kind", "value").alias("value")).distinct()
+        wanted = held.join(told, "value").groupBy("row", "term").agg(F.max("action").alias("action"))
     texts = found.select("row", "text").join(wanted.select("row").distinct(), "row")
     match = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    # zipped before they are exploded: what stands beside a generator is made again for every word
+    gap = F.transform(F.split("text", TERM, -1), F.length)
     size = F.length("word")
     until = F.sum(F.col("gap") + size).over(Window.partitionBy("row").orderBy("at"))
     words = (
-        texts.select("row", F.transform(F.split("text", TERM, -1), F.length).alias("gap"), F.posexplode(match).alias("at", "word"))
-        .withColumn("gap", F.element_at("gap", F.col("at") + 1))
+        texts.select("row", F.posexplode(F.arrays_zip(gap.alias("gap"), match.alias("word"))).alias("at", "of"))
+        .select("row", "at", "of.gap", "of.word")
         .select("row", F.lower("word").alias("term"), (until - size).cast("long").alias("start"), until.cast("long").alias("end"))
     )
     taken = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
-    clear = ~F.exists("taken", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    overlap = F.exists("taken", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    clear = ~F.coalesce(overlap, F.lit(False))
     return (
         words.join(wanted, ["row", "term"])
-        .join(taken, "row")
+        .join(taken, "row", "left")
         .filter(clear)
         .select("row", F.when(F.col("action") == "general", len(KINDS)).otherwise(len(KINDS) + 1).alias("order"), F.col("action").alias("kind"), "start", "end")
     )
@@ -239,25 +253,27 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def find_private(docs: DataFrame, id: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
+def find_private(docs: DataFrame, id: str = "doc_id", text: str = "text", everywhere: bool = False, **thresholds) -> DataFrame:
     """One row per row of ``docs``: id, text, base_spans and spans (arrays of order, kind, start, end).
 
-    Texts come only with rows that a pattern matched.  Both arrays are sorted by kind as listed and then
-    start; spans has the base spans and those of terms, of kinds general and removed.  A null text counts as empty
-    and has no spans; rows that repeat an id are each judged by their own text, and an empty table gives
-    an empty result.  ``thresholds`` are those of ``disclosing_terms``.
+    Texts come only with rows that a pattern matched or that have spans.  Both arrays are sorted by kind as listed
+    and then start; spans has the base spans and those of terms, of kinds general and removed.  Terms go in the
+    documents that hold a value they disclose; with ``everywhere`` they go in all documents, as there the
+    term alone tells the value.  A null text counts as empty and has no spans; rows that repeat an id are each
+    judged by their own text, and an empty table gives an empty result.  ``thresholds`` are those of
+    ``disclosing_terms``.
     """
     found = find_matches(docs, id, text)
     base = stored(base_spans(found), "private-base")
     told = stored(disclosing_terms(found, **thresholds), "private-told")
     fields = ["row", "order", "kind", "start", "end"]
-    spans = base.select(*fields).unionByName(term_spans(found, base, told).select(*fields))
+    spans = base.select(*fields).unionByName(term_spans(found, base, told, everywhere).select(*fields))
     entry = F.struct("order", "kind", "start", "end")
     per_row = spans.groupBy("row").agg(F.sort_array(F.collect_list(entry)).alias("spans"))
     none = F.array().cast("array<struct<order:int,kind:string,start:bigint,end:bigint>>")
-    rows = found.filter("matched").join(per_row, "row", "left").select("id", "text", F.coalesce("spans", none).alias("spans"))
-    rows = rows.unionByName(found.filter("NOT matched").select("id", F.lit(None).cast("string").alias("text"), none.alias("spans")))
-    return rows.select(
+    shown = F.when(F.col("matched") | F.col("spans").isNotNull(), F.col("text")).alias("text")
+    rows = found.select("row", "id", "text", "matched").join(per_row, "row", "left")
+    return rows.select(F.col("id"), shown, F.coalesce("spans", none).alias("spans")).select(
         quoted("id").alias(id), "text", F.filter("spans", lambda s: s["order"] < len(KINDS)).alias("base_spans"), "spans"
     )
 

@@ -59,7 +59,7 @@ FROM (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM pages)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return private_digest(find_private(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return private_digest(find_private(table(spark, sf_dir, "documents").select("doc_id", "text"), everywhere=True))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
