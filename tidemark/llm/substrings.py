@@ -1,11 +1,12 @@
 """Substring dedup: words go that a window of words covers which also starts earlier in the corpus.
 
-Windows are looked for level by level, each twice as long as the one before.  At half the window's length only
+Windows are looked for on two levels, at half their length and in full.  At half the window's length only
 the least hash in every window is looked at: a window that repeats has the same least half-length piece
 wherever it stands.  Windows whose piece occurs in one document alone are done with; the others are looked
-up at full length, and so on for as long as a caller asks for longer repeats and any are left.
+up at full length.
 
-Exact copies are settled by their hash before that, so their windows are never listed.
+Exact copies are settled by their hash before that, so their pieces are not counted; windows of theirs that others
+share are listed again at full length.
 """
 
 from __future__ import annotations
