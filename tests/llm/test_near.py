@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pytest
@@ -175,3 +176,12 @@ def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
     nodes, roots = forest(np.array([3, 5, 9]), np.array([5, 3, 9]))
     assert list(zip(nodes, roots)) == [(5, 3)]
+
+
+def test_margin_drops_a_borderline_pair_once_in_ten_million():
+    equal = np.arange(near.REGISTERS + 1)
+    larger = (near.REGISTERS - equal) // 2
+    size = np.full(len(equal), 1000.0)
+    kept = likeliest(larger, near.REGISTERS - equal - larger, size, size) >= 0.8 - near.MARGIN
+    chance = [comb(near.REGISTERS, int(k)) * 0.8**k * 0.2 ** (near.REGISTERS - k) for k in equal[~kept]]
+    assert sum(chance) < 1e-7

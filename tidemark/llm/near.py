@@ -33,8 +33,8 @@ REGISTERS = BANDS * ROWS
 #: Base and rate of the registers.
 BASE, RATE = 1.001, 20.0
 TOP = (1 << 16) - 1
-#: Five standard deviations of the estimate at the threshold.
-MARGIN = 0.12
+#: Six standard deviations of the estimate at the threshold.
+MARGIN = 0.17
 #: Members of a bucket, and elements of their sets, that meet those of another block in one task.
 BLOCK = 512
 ELEMENTS = 1 << 20
