@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from tests.change_events import event, image  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -43,20 +45,6 @@ def feed_of(spark):
     return make
 
 
-def image(order, customer, product, quantity, price):
-    return {
-        "order_id": order,
-        "customer_id": customer,
-        "product_id": product,
-        "quantity": quantity,
-        "price": price,
-    }
-
-
-def event(op, before, after, ts, **source):
-    return {"before": before, "after": after, "source": source or None, "op": op, "ts_ms": ts, "transaction": None}
-
-
 @pytest.fixture(scope="session")
 def scenario():
     """Create 1, 2 and 3, update 2, delete 3; then a tombstone and a text that is not JSON."""

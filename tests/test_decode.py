@@ -1,5 +1,5 @@
 import pytest
-from conftest import event, image
+from tests.change_events import event, image
 from pyspark.sql import functions as F
 
 from tidemark import decode, decode_key, key_columns, message_status, row_images

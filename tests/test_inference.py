@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import event, image
+from tests.change_events import event, image
 from pyspark.errors import AnalysisException
 
 from tidemark import extract_after, infer_schema

@@ -3,7 +3,7 @@ import os
 import re
 
 import pytest
-from conftest import event, image
+from tests.change_events import event, image
 
 from pyspark.errors import StreamingQueryException
 
