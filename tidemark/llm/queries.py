@@ -7,14 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import shared_folder
+from . import sql
 from .bpe import bpe_encode, read_ranks
+from .clustering import cluster_report
 from .exact import exact_groups
+from .html import extract_text
 from .licences import oracle_sql as licence_sql
 from .licences import scan_licences
 from .mixing import mix_counts
 from .near import near_groups
 from .private import find_private, private_digest
 from .quality import in_fold, train, with_score
+from .resampling import importance_resample
 from .shared import table
 from .substrings import remove_repeats
 from .vectors import vector_groups
@@ -112,6 +116,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranked = importance_resample(docs, table(spark, sf_dir, "benchmark"), n=1)
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_licences": op2_licences,
@@ -123,10 +141,15 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
+    "op11_resampling": op11_resampling,
+    "op12_html": op12_html,
+    "op13_clustering": op13_clustering,
 }
 ORACLES = {
     "op2_licences": licence_sql(),
     "op9_vectors": OP9_SQL,
     "op4_warc": OP4_SQL,
     "op1_exact_dedup": OP1_SQL,
+    "op11_resampling": sql.RESAMPLING,
+    "op13_clustering": sql.clustering(),
 }

@@ -9,8 +9,10 @@ from ..sources.files import remove, shared_folder
 
 #: At most so many groups hold more than this share of the rows each, so they may be broadcast.
 HOT_GROUPS = 1000
-#: Files of a stored table for each core of the cluster, at most; many small ones cost more than they help.
+#: Files of a stored table for each core of the cluster, at most, while the table is small; many small ones cost more than they help.
 FILES_PER_CORE = 4
+#: Bytes of a table, by Spark's estimate, for each file beyond that.
+FILE_BYTES = 128 << 20
 #: Spark's own sizes of a batch for Python, and the ones set in their place: whole texts are large rows.
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
@@ -41,11 +43,16 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``stored``, with the folder, for tables that are dropped before the query ends."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
+    df = df.coalesce(max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, estimated_bytes(df) // FILE_BYTES))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What Spark expects the rows to take, cut at what a number of files can be."""
+    return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), FILE_BYTES << 24)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         remove(spark, path)
