@@ -26,6 +26,10 @@ ODD_TEXTS = [
 ]
 
 
+#: The two texts of 1,024 letters that hash alike under every polynomial with an odd base modulo a power of two.
+THUE_MORSE = ["".join("ab"[i.bit_count() % 2 ^ turned] for i in range(1024)) for turned in (0, 1)]
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Null ids, repeated rows, null columns, and columns named like the operators' own."""

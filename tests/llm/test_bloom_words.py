@@ -5,10 +5,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import LONG, ODD_TEXTS, WORD
+from tests.llm.conftest import LONG, ODD_TEXTS, THUE_MORSE, WORD
 from tidemark.llm import bloom, words as words_module
 from tidemark.llm.shared import free, with_group
-from tidemark.llm.words import words
+from tidemark.llm.words import run_digests, words
 
 
 def split(text):
@@ -91,3 +91,15 @@ def test_groups_hot_and_cold(spark):
 def test_free_names(spark):
     df = spark.range(1).select(F.lit(1).alias("KEY"), F.lit(1).alias("_key"))
     assert free(df, "key", "other") == ["__key", "other"]
+
+
+def test_words_that_polynomials_take_for_equal():
+    check([*THUE_MORSE, " ".join(THUE_MORSE), *(t[:k] for t in THUE_MORSE for k in (7, 8, 9, 16, 17, 255, 256, 257, 264))])
+
+
+def test_digests_are_of_the_words_themselves():
+    one, two = words(pa.array(["A  b\tc d", "x a b C d"]))
+    assert run_digests(one, np.arange(2), 3) != run_digests(two, np.arange(1, 3), 3)
+    assert run_digests(one, np.arange(2), 3, fold=True) == run_digests(two, np.arange(1, 3), 3, fold=True)
+    (joined, apart) = words(pa.array(["ab c", "a bc"]))
+    assert run_digests(joined, np.arange(1), 2) != run_digests(apart, np.arange(1), 2)

@@ -5,7 +5,7 @@ from math import comb
 import numpy as np
 import pytest
 
-from tests.llm.conftest import WORD, bag
+from tests.llm.conftest import THUE_MORSE, WORD, bag
 from tidemark.llm import near
 from tidemark.llm.components import components, forest
 from tidemark.llm.near import band_keys, likeliest, merged, near_dedup, near_groups, sketch
@@ -102,16 +102,48 @@ def test_a_large_group_of_near_copies_and_outsiders(spark, monkeypatch):
     assert max(Counter(c for _, _, c, _ in expected).values()) >= 120
 
 
+def test_words_of_equal_polynomial_hash_are_not_equal(docs_of):
+    check(docs_of(*THUE_MORSE, *(f"{t} x {t}" for t in THUE_MORSE), THUE_MORSE[0].upper()), 2)
+
+
 def test_rows_that_stay(odd_docs, documents, no_docs):
     for docs in (odd_docs, documents):
         left = near_dedup(docs, size=2)
         assert left.schema == docs.schema
         rows = [(r.doc_id, r.text) for r in docs.collect()]
-        kept = [row for row, (*_, stays) in zip(rows, brute(rows, 2)) if stays]
-        assert bag((r.doc_id, r.text) for r in left.collect()) == bag(kept)
+        with_words = [(i, t) for i, t in rows if shingle_set(t, 2)]
+        without = [(i, t) for i, t in rows if not shingle_set(t, 2)]
+        numbered = [(10**9 if i is None else i, t) for i, t in with_words]
+        least = {c for *_, c, _ in brute(numbered, 2)}
+        got = [(10**9 if r.doc_id is None else r.doc_id, r.text) for r in left.collect()]
+        assert bag(x for x in got if shingle_set(x[1], 2)) == bag({(i, t) for i, t in numbered if i in least} & set(got)) and {
+            i for i, t in got if shingle_set(t, 2)
+        } == least
+        assert bag((None if i == 10**9 else i, t) for i, t in got if not shingle_set(t, 2)) == bag(without)
     assert near_groups(no_docs).count() == 0 and near_dedup(no_docs).count() == 0
 
 
+def test_one_row_stays_of_null_ids_and_of_repeated_ones(spark):
+    a, b = words(*range(40)), words(*range(41))
+    rows = [(None, a), (None, b), (7, words(*range(100, 140))), (7, words(*range(100, 141))), (7, words(*range(100, 141))), (9, words(*range(100, 140))), (None, None)]
+    left = near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), size=2).collect()
+    assert sorted(str(r.doc_id) for r in left) == ["7", "None", "None"]
+
+
+def test_few_jobs_with_many_partitions(spark, documents):
+    """One job for each filter, whatever the number of shuffle partitions."""
+    spark.conf.set("spark.sql.shuffle.partitions", 211)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("near-jobs", "jobs of near dedup")
+        near_dedup(documents).count()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("near-jobs")) < 150
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # Sketches
 
 

@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tests.llm.conftest import WORD, bag
-from tidemark.llm.substrings import doubled, least_in_window, remove_repeats, repeated_windows, window_hashes
+from tests.llm.conftest import THUE_MORSE, WORD, bag
+from tidemark.llm.substrings import _first_ones, doubled, least_in_window, levels, remove_repeats, repeat_levels, repeated_windows, window_hashes
+from tidemark.llm.words import words
 
 
 def brute(rows, window):
@@ -95,3 +97,42 @@ def test_window_helpers():
         assert len(own) == 26 - size + 1 and own[0] == own[13] and len(np.unique(own)) == 13
     assert np.array_equal(doubled(window_hashes(values, 5), 5), window_hashes(values, 10))
     assert len(window_hashes(values[:3], 4)) == 0
+
+
+def test_words_of_equal_polynomial_hash_are_not_equal(docs_of):
+    front = " ".join(f"w{i}" for i in range(19))
+    docs = docs_of(*(f"{front} {t}" for t in THUE_MORSE), " ".join(f"{front} {t}" for t in THUE_MORSE), f"{front} {THUE_MORSE[0]}")
+    assert [n for _, _, n, _ in sorted(check(docs))] == [0, 0, 40, 20]
+
+
+def test_windows_of_equal_hash_are_told_apart_by_their_words():
+    (text,) = words(pa.array(["a b c a b d a b c x b c"]))
+    alike = text._replace(hashes=np.zeros(len(text.hashes), np.uint64))
+    assert _first_ones(alike, np.arange(11), 2).tolist() == [True, True, True, False, True, True, False, False, True, True, False]
+
+
+def test_levels_by_brute_force(spark):
+    """Different sequences of 5, 10, 20, 40 words in two documents or more, of those whose halves are, until there are none."""
+    rng = random.Random(8)
+    passages = [" ".join(f"p{n}q{k}" for k in range(n)) for n in (4, 5, 9, 10, 11, 25, 47)]
+    texts = [" ".join(f"d{i}n{k} " + rng.choice(passages) for k in range(4)) for i in range(60)] + [None, "", "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    expected, length = [], 5
+    while not expected or expected[-1][1]:
+        held = [{tuple(w[i : i + length]) for i in range(len(w) - length + 1)} for w in (WORD.findall(t or "") for t in texts)]
+        expected.append((length, sum(sum(x in h for h in held) > 1 for x in set().union(*held))))
+        length *= 2
+    assert repeat_levels(docs) == expected and [n for n, _ in expected] == [5, 10, 20, 40, 80]
+
+
+def test_survivors_of_each_level(spark):
+    """A passage of 15 words is shared at 5 and at 10 and not at 20."""
+    same = " ".join(f"s{k}" for k in range(15))
+    texts = [" ".join(f"d{i}a{k}" for k in range(20)) + f" {same} " + " ".join(f"d{i}b{k}" for k in range(20)) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    counted = []
+    again, _ = repeated_windows(docs, counted=counted)
+    assert again.count() == 0 and [n for n, _ in counted] == [5, 10] and 0 < counted[0][1] <= 11 and 0 < counted[1][1] <= 6
+    apart = docs.selectExpr("doc_id", "replace(text, 's', concat('s', doc_id)) text")
+    assert repeated_windows(apart, counted=counted)[0].count() == 0 and counted[2:] == [(5, 0)]
+    assert levels(20) == [5, 10, 20] and levels(50) == [25, 50] and levels(7) == [3, 7] and levels(1) == [1]

@@ -91,3 +91,12 @@ def test_nothing_and_what_stays(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (3, [0.0, 1.0], 1)], "vec_id long, embedding array<float>, label int")
     left = vector_dedup(rows)
     assert left.schema == rows.schema and sorted(r.vec_id for r in left.collect()) == [1, 3]
+
+
+def test_rows_that_repeat_an_id_are_told_apart(spark):
+    rows = [(3, [1.0, 0.0], 1), (5, [1.0, 0.01], 1), (5, [0.0, 1.0], 1), (5, [1.0, 0.0], None), (None, [1.0, 0.0], 2), (None, [1.0, 0.0], 2)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, key string").repartition(3)
+    left = vector_dedup(df)
+    assert left.schema == df.schema
+    assert bag(tuple(r)[:3] for r in left.collect()) == bag([rows[0], *rows[2:]])
+    assert vector_dedup(df.limit(0)).count() == 0

@@ -6,7 +6,7 @@ import zstandard
 from pyspark.errors import PySparkException
 
 from tests.llm.conftest import bag
-from tidemark.llm.warc import Bundle, BundleReader, parse_record, read_index, read_warc, record, write_warc
+from tidemark.llm.warc import Bundle, BundleReader, parse_record, read_index, read_warc, record, revisit_plan, write_warc
 from tidemark.sources import shared_folder
 
 BIG = "<p>" + "x" * 1200 + "</p>"
@@ -117,3 +117,10 @@ def test_a_changed_payload_is_noticed(spark):
         out.write(bundle.file())
     with pytest.raises(PySparkException, match="does not have its digest"):
         read_warc(spark, path).collect()
+
+
+def test_columns_by_the_names_of_the_plan(spark):
+    pages = spark.createDataFrame([(1, "u", BIG, "d", 7), (2, "u", BIG, "d", 8)], "page_id long, url string, html string, digest string, refers_to int")
+    found = revisit_plan(pages)
+    assert found.columns == [*pages.columns, "_digest", "_refers_to"]
+    assert sorted((r.page_id, r.digest, r._refers_to) for r in found.collect()) == [(1, "d", 2), (2, "d", None)]

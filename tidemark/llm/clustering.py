@@ -36,6 +36,7 @@ from .shared import drop, quoted, short_batches, stored, stored_at
 BLOCK = 4096
 #: Greatest component, so that a squared distance of 64 of them fits 64 bits.
 LARGEST = 1 << 27
+TOO_LARGE = f"a component beyond {LARGEST} in whole numbers: squared distances would not fit 64 bits"
 #: Allows for rounding of bounds, which are doubles.
 SLACK = 1e-9
 _BLOCK = "ids binary, known binary, vectors binary, own binary, upper binary, lower binary"
@@ -115,7 +116,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
                 part = batch.iloc[a : a + BLOCK]
                 vectors = np.array(part.numbers.tolist(), np.float64)
                 if np.abs(vectors).max() > LARGEST:
-                    raise ValueError(f"a component beyond {LARGEST} in whole numbers: squared distances would not fit 64 bits")
+                    raise ValueError(TOO_LARGE)
                 known = part.id.notna().to_numpy()
                 n = len(part)
                 yield pd.DataFrame(
@@ -206,7 +207,13 @@ def _start(rows: DataFrame, k: int, seed: int, size: int) -> list[list[int]]:
     """The ``k`` vectors of smallest hash of ``seed:id``, in that order."""
     named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))
     hashed = rows.withColumn("hash", F.sha2(named.cast("binary"), 256))
-    return [[int(x) for x in r.numbers] for r in hashed.orderBy("hash", "numbers").limit(k).collect()]
+    return [[_whole(x) for x in r.numbers] for r in hashed.orderBy("hash", "numbers").limit(k).collect()]
+
+
+def _whole(x: float) -> int:
+    if abs(x) > LARGEST:
+        raise ValueError(TOO_LARGE)
+    return int(x)
 
 
 def cluster(

@@ -7,7 +7,8 @@ registers of alike sets are equal about as often as their Jaccard similarity say
 
 Documents whose registers agree in one band at least are compared: the similarity most likely to give the
 numbers of larger, smaller and equal registers, the sizes of both sets being known, must come near the
-threshold, and then the full sets decide.  Documents with equal sets are one class from the start.
+threshold, and then the full sets decide, of digests of the shingles' own words.  Documents with equal sets are one
+class from the start.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from . import bloom
 from .bloom import mixed
 from .components import components, forest
 from .shared import free, quoted, short_batches, stored, with_group
-from .words import combined, words
+from .words import Words, combined, run_digests, words
 
 #: Bands, and registers in each: 0.8 in common and all 40 bands missed has a chance of about 1e-7.
 BANDS, ROWS = 40, 5
@@ -37,6 +38,8 @@ TOP = (1 << 16) - 1
 MARGIN = 0.17
 #: Members of a bucket, and elements of their sets, that meet those of another block in one task.
 BLOCK = 512
+#: Sets of so few shingles are told apart by a digest of the shingles, larger ones by two sums of hashes.
+FEW = 64
 ELEMENTS = 1 << 20
 
 _rng = np.random.default_rng(20240229)
@@ -56,6 +59,25 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(out)
 
 
+def exact_shingles(text: Words, size: int) -> np.ndarray:
+    """``shingles`` by a digest of each shingle's words, for the sets that decide."""
+    if not len(text.hashes):
+        return np.empty(0, np.int64)
+    n = max(len(text.hashes) - size + 1, 1)
+    found = run_digests(text, np.arange(n), min(size, len(text.hashes)), fold=True, bytes_of=8)
+    return np.unique(np.frombuffer(b"".join(found), np.int64))
+
+
+def _sums(own: np.ndarray, text: Words, size: int) -> tuple[int, int]:
+    """What equal sets have in common, as two 64-bit numbers."""
+    one = mixed(own).sum(dtype=np.uint64)
+    if len(own) <= FEW:
+        two = mixed(exact_shingles(text, size).view(np.uint64)).sum(dtype=np.uint64)
+    else:
+        two = mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+    return int(one.view(np.int64)), int(two.view(np.int64))
+
+
 def sketch(own: np.ndarray) -> np.ndarray:
     """The registers of a set of hashes."""
     low = np.full(REGISTERS, np.iinfo(np.uint32).max, np.uint32)
@@ -124,10 +146,11 @@ def prepare(docs: DataFrame, id: str, text: str, size: int) -> Prepared:
             for text in words(batch.column(0), fold=True):
                 own = shingles(text.hashes, size)
                 n.append(len(own))
-                k1.append(mixed(own).sum(dtype=np.uint64))
-                k2.append(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+                one, two = _sums(own, text, size)
+                k1.append(one)
+                k2.append(two)
                 held.append(sketch(own).tobytes() if len(own) else None)
-            sums = [pa.array(np.array(k, np.uint64).view(np.int64)) for k in (k1, k2)]
+            sums = [pa.array(k, pa.int64()) for k in (k1, k2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(n, pa.int64()), *sums, pa.array(held, pa.binary())],
                 ["id", "key", "n", "k1", "k2", "sketch"],
@@ -154,7 +177,7 @@ def _members(classes: DataFrame) -> DataFrame:
             yield band_keys(_registers(batch.column(1)[k : k + 2048].to_pylist())).ravel()
 
     sketches = classes.select("c", "sketch")
-    twice = bloom.build(sketches, classes.count() * BANDS, repeated=True, keys_of=keys).shared
+    twice = bloom.build(sketches, classes.count() * BANDS, repeated=True, keys_of=keys).shared  # freed below
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,6 +190,7 @@ def _members(classes: DataFrame) -> DataFrame:
                 at += len(bands) // BANDS
 
     maybe = stored(sketches.mapInArrow(repeated, "band long, c long"), "near-bands")
+    twice.destroy()
     buckets = stored(
         maybe.groupBy("band").agg(F.min("c").alias("hub"), F.count("*").alias("size")).filter("size > 1"), "near-buckets"
     )
@@ -211,26 +235,48 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, id: str, text:
             for key, text in zip(batch.column(1).to_pylist(), words(batch.column(0), fold=True)):
                 if key not in seen:  # rows that repeat id and text
                     seen.add(key)
-                    own = shingles(text.hashes, size)
-                    k1 = mixed(own).sum(dtype=np.uint64).view(np.int64)
-                    values = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own.view(np.int64)))
+                    k1 = mixed(shingles(text.hashes, size)).sum(dtype=np.uint64).view(np.int64)
+                    own = exact_shingles(text, size)
+                    values = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own))
                     yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([int(k1)]), values], ["key", "k1", "own"])
 
     found = keyed.mapInArrow(sets, "key long, k1 long, own array<long>")
-    return stored(found.join(wanted, ["key", "k1"]).select("c", "own").dropDuplicates(["c"]), "near-sets")
+    out = stored(found.join(wanted, ["key", "k1"]).select("c", "own").dropDuplicates(["c"]), "near-sets")
+    chosen.destroy()
+    return out
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``percent`` of their union in common."""
-    one, two = (sets.select(F.col("c").alias(k), F.col("own").alias(f"of_{k}")) for k in "ab")
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sizes"))
-        .filter(F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * percent)
-        .select("a", "b")
+    """The pairs whose full sets have ``percent`` of their union in common.
+
+    The pairs of a hub ``a`` are dealt to parts of at most about ``BLOCK``, each of which gets the hub's set once, in front.
+    """
+    degree = stored(pairs.groupBy("a").agg(F.count("*").alias("degree")).withColumn("parts", F.ceil(F.col("degree") / BLOCK).cast("int")), "near-degrees")
+    heads = degree.join(sets, degree.a == sets.c).select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "own"
     )
+    dealt = with_group(pairs, degree, ["a"], "degree").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
+    rows = heads.unionByName(dealt.join(sets, dealt.b == sets.c).select("a", "part", "b", "own"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for batch in batches:
+            found = []
+            for k, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                own = batch.column(3)[k].values.to_numpy()
+                if b is None:
+                    head = own
+                elif _alike(head, own, percent):
+                    found.append((a, b))
+            yield _pairs(np.array([a for a, _ in found], np.int64), np.array([b for _, b in found], np.int64))
+
+    ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
+def _alike(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
 
 
 def _across(docs: DataFrame, members: DataFrame, classes: DataFrame, labels: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
@@ -334,9 +380,7 @@ def _verified(x: np.ndarray, y: np.ndarray, c: np.ndarray, sets: pa.ChunkedArray
     own = {int(k): sets[int(k)].values.to_numpy() for k in np.unique(np.concatenate([x, y]))}
     linked = np.zeros(len(x), bool)
     for k, (p, q) in enumerate(zip(x.tolist(), y.tolist())):
-        one, two = own[p], own[q]
-        both = len(np.intersect1d(one, two, assume_unique=True))
-        linked[k] = 100 * both >= percent * (len(one) + len(two) - both)
+        linked[k] = _alike(own[p], own[q], percent)
     return forest(c[x[linked]], c[y[linked]])
 
 
@@ -345,7 +389,7 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _groups(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
-    """id, key, n, component_id for every row."""
+    """id, key, n, component_id for every row, and root, which all rows of a group share (null without words)."""
     threshold = percent / 100
     rows, classes = prepare(docs, id, text, size)
     members = _members(classes)
@@ -363,10 +407,10 @@ def _groups(docs: DataFrame, id: str, text: str, size: int, percent: int) -> Dat
     )
     joined = stored(joined, "near-components")
     roots = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_classes"))
-    per_class = with_group(joined, stored(roots, "near-roots"), ["root"], "n_classes").select("k1", "k2", "n_rows", "component_id")
+    per_class = with_group(joined, stored(roots, "near-roots"), ["root"], "n_classes").select("k1", "k2", "n_rows", "component_id", "root")
     grouped = with_group(rows.filter("n > 0"), stored(per_class, "near-per-class"), ["k1", "k2"], "n_rows")
-    alone = rows.filter("n = 0").select("id", "key", "n", F.col("id").alias("component_id"))
-    return grouped.select("id", "key", "n", "component_id").unionByName(alone)
+    alone = rows.filter("n = 0").select("id", "key", "n", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("root"))
+    return grouped.select("id", "key", "n", "component_id", "root").unionByName(alone)
 
 
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -387,14 +431,23 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size: i
 
 
 def near_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: those that ``near_groups`` keeps.
+    """The rows of ``docs`` that stay: one of each group, by the links of ``near_groups``, and all without words.
 
-    A Bloom filter of the rows that go lets others pass straight through; what it may hold is joined with them.
+    The row with the smallest id stays, a null id being larger than any other; of rows that repeat it, that of the
+    smallest hash of id and text, once.  A Bloom filter of the rows that go lets others pass straight through; what it
+    may hold is joined with them.
     """
     (key,) = free(docs, "key")
-    gone = _groups(docs.select(quoted(id), quoted(text)), id, text, size, percent).filter(~F.col("id").eqNullSafe(F.col("component_id")))
-    gone = stored(gone.select(F.col("key").alias(key)).distinct(), "near-gone")
-    chosen = bloom.build(gone, gone.count())
+    rows = stored(_groups(docs.select(quoted(id), quoted(text)), id, text, size, percent).filter("n > 0").select("id", "key", "root"), "near-roots-of-rows")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    best = rows.groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("size")).select("root", F.col("best.key").alias("best"), "size")
+    tagged = with_group(rows, stored(best, "near-best"), ["root"], "size")
+    tags = tagged.groupBy("key").agg(F.max(F.col("key") != F.col("best")).alias("goes"), F.count("*").alias("times")).filter("goes OR times > 1")
+    tags = stored(tags.select(F.col("key").alias(key), "goes"), "near-gone")
+    chosen = bloom.build(tags.select(key), tags.count())
     marked = docs.withColumn(key, F.xxhash64(quoted(id), quoted(text)))
     known = chosen.may_hold(quoted(key))
-    return marked.filter(~known).unionByName(marked.filter(known).join(gone, key, "left_anti")).drop(key)
+    asked = marked.filter(known)
+    once = asked.join(tags.filter("NOT goes").select(key), key, "left_semi").dropDuplicates([key])
+    others = asked.join(tags.select(key), key, "left_anti")
+    return marked.filter(~known).unionByName(others.select(*marked.columns)).unionByName(once.select(*marked.columns)).drop(key)

@@ -101,7 +101,10 @@ def frequent(texts: DataFrame, n: int, size: int = VOCABULARY) -> tuple[list[byt
                     if n > 1:
                         held[1].update(map(b" ".join, zip(own[a : a + STEP], own[a + 1 : a + 1 + STEP])))
                     held = [_trimmed(x, COUNTED // 4) if len(x) > COUNTED else x for x in held]
-        rows = [(k, *x) for k, counts in enumerate(held) for x in counts.most_common(size) if len(x[0]) <= LONGEST]
+        rows = []
+        for k, counts in enumerate(held):
+            short = Counter({key: times for key, times in counts.items() if len(key) <= LONGEST})
+            rows += [(k, *x) for x in short.most_common(size)]
         kind, key, times = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(kind, pa.int32()), pa.array(key, pa.binary()), pa.array(times, pa.int64())], ["kind", "key", "times"]

@@ -9,6 +9,8 @@ from ..sources.files import remove, shared_folder
 
 #: At most so many groups hold more than this share of the rows each, so they may be broadcast.
 HOT_GROUPS = 1000
+#: A group of at most so many rows is no burden for a task.
+HOT_ROWS = 1000
 #: Files of a stored table for each core of the cluster, at most, while the table is small; many small ones cost more than they help.
 FILES_PER_CORE = 4
 #: Bytes of a table, by Spark's estimate, for each file beyond that.
@@ -79,9 +81,13 @@ def with_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str) ->
 
     ``groups`` has one row per key and in ``size`` the number of its rows.  Groups above a
     thousandth of all rows are fewer than a thousand, whatever the input; they are broadcast, so
-    that no task gets all rows of one.  The others are joined by key.
+    that no task gets all rows of one.  The others, and all where the largest has no more than a thousand rows, are
+    joined by key.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = quoted(size) > total / HOT_GROUPS
+    total, most = groups.agg(F.sum(size), F.max(size)).first()
+    least = max((total or 0) / HOT_GROUPS, HOT_ROWS)
+    if (most or 0) <= least:
+        return rows.join(groups, key)
+    hot = quoted(size) > least
     often, seldom = F.broadcast(groups.filter(hot)), groups.filter(~hot)
     return rows.join(often, key).unionByName(rows.join(often, key, "left_anti").join(seldom, key))

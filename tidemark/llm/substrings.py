@@ -1,9 +1,10 @@
 """Substring dedup: words go that a window of words covers which also starts earlier in the corpus.
 
-Windows are looked for on two levels, at half their length and in full.  At half the window's length only
-the least hash in every window is looked at: a window that repeats has the same least half-length piece
-wherever it stands.  Windows whose piece occurs in one document alone are done with; the others are looked
-up at full length.
+Windows are looked for level by level: at 5 words, 10 words and so on, each length twice the one before, up to the
+window's own.  On each level only the least hash of its length in every window is looked at: a window
+that repeats has the same least piece wherever it stands.  Windows whose piece occurs in one document alone
+are done with; those that survive are extended to twice the length, until none survives or the length is
+reached.  Hashes only choose candidates; at full length the words themselves decide.
 
 Exact copies are settled by their hash before that, so their pieces are not counted; windows of theirs that others
 share are listed again at full length.
@@ -22,9 +23,11 @@ from . import bloom
 from .bloom import holds
 from .exact import text_hash
 from .shared import quoted, short_batches, stored, with_group
-from .words import Words, combined, words
+from .words import Words, combined, joined_words, run_digests, words
 
 WINDOW = 20
+#: Length of the first level's pieces, at least.
+LEAST = 5
 #: Stands for a null id: such rows come before all others and are not judged against one another.
 _FIRST = -(1 << 63)
 
@@ -55,13 +58,29 @@ def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def _pieces(text: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window the least hash of its half-length pieces, and its own hash."""
-    half = window_hashes(text.hashes, window // 2)
-    if len(text.hashes) < window:
-        return half[:0], half[:0]
-    least = least_in_window(half, window - window // 2 + 1)
-    return least, window_hashes(text.hashes, window)
+def levels(window: int, least: int = LEAST) -> list[int]:
+    """Lengths that double up to the window's, from the smallest that is not below ``least``."""
+    out = [window]
+    while out[0] % 2 == 0 and out[0] // 2 >= least:
+        out.insert(0, out[0] // 2)
+    if len(out) == 1 and window > 1:
+        out.insert(0, window // 2)
+    return out
+
+
+def _standing(text: Words, lengths: list[int], survivors: list[np.ndarray], window: int) -> np.ndarray:
+    """Places of the windows whose least pieces of all ``lengths`` are among the survivors of those."""
+    places = np.arange(max(len(text.hashes) - window + 1, 0))
+    for length, alive in zip(lengths, survivors):
+        if not len(places):
+            break
+        places = places[holds(alive, _least(text, length, window)[places])]
+    return places
+
+
+def _least(text: Words, length: int, window: int) -> np.ndarray:
+    """Per window the least hash of its pieces of that length."""
+    return least_in_window(window_hashes(text.hashes, length), window - length + 1)
 
 
 def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -84,63 +103,141 @@ def _later_copies(keyed: DataFrame) -> DataFrame:
 
 
 def _listed(rows: DataFrame, of_text: Callable[[Words], np.ndarray], skipped=None) -> DataFrame:
-    """``of_text(words)`` of every text with its doc, as rows (hash, doc); rows whose key ``skipped`` may hold are left out."""
+    """``of_text(words)`` of every text, each hash once a text; rows whose key ``skipped`` may hold are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if skipped is not None:
                 batch = batch.filter(pa.array(~holds(skipped.value, batch.column(2).to_numpy())))
-            docs, held, n = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), words(batch.column(1))):
-                own = np.unique(of_text(text))
-                held.append(own)
-                docs.append(np.full(len(own), doc, np.int64))
-                n += len(own)
+            held, n = [], 0
+            for text in words(batch.column(1)):
+                held.append(np.unique(of_text(text)))
+                n += len(held[-1])
                 if n > 1 << 17:
-                    yield _pair(held, docs)
-                    docs, held, n = [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], ["hash"])
+                    held, n = [], 0
             if n:
-                yield _pair(held, docs)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], ["hash"])
 
-    return rows.select("doc", "text", "key").mapInArrow(run, "hash long, doc long")
+    return rows.select("doc", "text", "key").mapInArrow(run, "hash long")
 
 
-def _listed_without(keyed: DataFrame, later: DataFrame, of_text: Callable[[Words], np.ndarray]) -> DataFrame:
-    """``_listed`` for the rows that are not later copies; only those a Bloom filter takes for one are joined."""
-    chosen = bloom.build(later.select("key"), later.count())
+def _listed_without(keyed: DataFrame, later: DataFrame, chosen: bloom.Filter, of_text: Callable[[Words], np.ndarray]) -> DataFrame:
+    """``_listed`` for the rows that are not later copies; only those that the filter of these may hold are joined."""
     first = keyed.filter(chosen.may_hold(F.col("key"))).join(later.select("key").distinct(), "key", "left_anti")
-    return _listed(keyed, of_text, chosen.shared).unionByName(_listed(first, of_text))
-
-
-def _pair(held: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(held).view(np.int64)), pa.array(np.concatenate(docs))], ["hash", "doc"]
-    )
+    return _listed(keyed, of_text, chosen.shared).unionByName(_listed(first.select(*keyed.columns), of_text))
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc, hash) of the windows that start earlier in another document, and the later copies (doc, key).
+def _windows(keyed: DataFrame, standing: Callable[[Words], np.ndarray], window: int) -> DataFrame:
+    """(digest, doc, key, place) of the windows still standing, each word sequence once a text, at its first place."""
 
-    Level 1 counts the least half-length pieces of all windows by document.  Those of two documents or more
-    go into a Bloom filter of bounded size, which lets their windows through to level 2 (and, when it is too
-    small, more of them, which level 2 then drops).  Level 2 groups window hashes exactly.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), words(batch.column(1))):
+                places = standing(text)
+                if len(places):
+                    places = places[_first_ones(text, places, window)]
+                for a in range(0, len(places), 1 << 16):
+                    own = places[a : a + (1 << 16)]
+                    digests = pa.array(run_digests(text, own, window), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [digests, pa.array(np.full(len(own), doc)), pa.array(np.full(len(own), key)), pa.array(own.astype(np.int32))],
+                        ["digest", "doc", "key", "place"],
+                    )
+
+    return keyed.select("doc", "text", "key").mapInArrow(run, "digest binary, doc long, key long, place int")
+
+
+def _first_ones(text: Words, places: np.ndarray, window: int) -> np.ndarray:
+    """Which of the windows are the first of their word sequence in the text; equal hashes are looked at word by word."""
+    full = window_hashes(text.hashes, window)[places]
+    first = np.zeros(len(places), bool)
+    _, at, group = np.unique(full, return_index=True, return_inverse=True)
+    first[at] = True
+    again = np.flatnonzero(~first)
+    if len(again):
+        leaders = at[np.unique(group[again])]
+        seen = set(run_digests(text, places[leaders], window))
+        for k, digest in zip(again, run_digests(text, places[again], window)):
+            if digest not in seen:
+                seen.add(digest)
+                first[k] = True
+    return first
+
+
+def repeated_windows(
+    docs: DataFrame, window: int = WINDOW, id: str = "doc_id", text: str = "text", least: int = LEAST, counted: list | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(key, place) of the windows that start earlier in another document, and the later copies (doc, key).
+
+    ``key`` is a hash of id and text.  Each level counts, for the windows still standing, their least pieces of
+    its length by document; those of two documents or more go into a Bloom filter of bounded size, and windows whose
+    piece it holds stand for the next length, twice as long.  (When it is too small more of them do.)  At full
+    length the windows' own words are compared, by digest.  The loop ends early once no piece is shared.
+    ``counted``, if given, gets (length, number of shared pieces) of each level.
     """
     short_batches(docs.sparkSession)
     keyed = _keyed(docs, id, text)
     later = _later_copies(keyed)
-    pieces = _listed_without(keyed, later, lambda text: _pieces(text, window)[0]).select("hash")
-    shared = stored(pieces.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-pieces")
-    survivors = bloom.build(shared, shared.count())
-    words_of_filter = survivors.shared
+    copies = bloom.build(later.select("key"), later.count())
+    lengths, alive = levels(window, least), []
+
+    def at_level(k: int) -> tuple[Callable[[Words], np.ndarray], Callable[[Words], np.ndarray]]:
+        known, length = [one.shared for one in alive[:k]], lengths[k]
+
+        def standing(text: Words) -> np.ndarray:
+            return _standing(text, lengths, [one.value for one in known], window)
+
+        def pieces(text: Words) -> np.ndarray:
+            places = standing(text)
+            return _least(text, length, window)[places] if len(places) else text.hashes[:0]
+
+        return standing, pieces
+
+    for k, length in enumerate(lengths[:-1]):
+        pieces = _listed_without(keyed, later, copies, at_level(k)[1])
+        shared = stored(pieces.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-pieces")
+        many = shared.count()
+        if counted is not None:
+            counted.append((length, many))
+        alive.append(bloom.build(shared, many))
+        if not many:
+            break
+    if len(alive) == len(lengths) - 1 and (not alive or many):
+        windows = stored(_windows(keyed, at_level(len(lengths) - 1)[0], window), "repeat-windows")
+    else:
+        windows = keyed.sparkSession.createDataFrame([], "digest binary, doc long, key long, place int")
+    groups = windows.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = with_group(windows, stored(groups, "repeat-groups"), ["digest"], "n").filter("doc > first")
+    again = stored(again.select("key", "place").distinct(), "repeat-again")
+    for one in [copies, *alive]:
+        one.destroy()
+    return again, later
+
+
+def repeat_levels(docs: DataFrame, least: int = LEAST, id: str = "doc_id", text: str = "text") -> list[tuple[int, int]]:
+    """How many different word sequences of ``least`` words, twice as many and so on occur in two documents or more.
+
+    Each length looks only at windows whose halves are both shared at the length before; the loop ends at the first
+    length without any.  Null and empty texts have no windows; rows of one text count as documents of their own.
+    """
+    short_batches(docs.sparkSession)
+    rows, length, found, alive = _keyed(docs, id, text), least, [], None
+    while True:
 
-    def candidates(text: Words) -> np.ndarray:
-        least, full = _pieces(text, window)
-        return full[holds(words_of_filter.value, least)] if len(least) else full
+        def pieces(text: Words, length: int = length, alive=alive) -> np.ndarray:
+            full = window_hashes(text.hashes, length)
+            if alive is None or not len(full):
+                return full
+            half = holds(alive.value, window_hashes(text.hashes, length // 2))
+            return full[half[: len(full)] & half[length // 2 :]]
 
-    windows = stored(_listed(keyed, candidates), "repeat-windows")
-    groups = windows.groupBy("hash").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    again = with_group(windows, stored(groups, "repeat-groups"), ["hash"], "n").filter("doc > first")
-    return again.select("doc", "hash"), later
+        shared = stored(_listed(rows, pieces).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-level")
+        many = shared.count()
+        found.append((length, many))
+        if not many:
+            return found
+        alive, length = bloom.build(shared, many).shared, length * 2
 
 
 def _covered(flagged: np.ndarray, n: int, window: int) -> np.ndarray:
@@ -151,18 +248,6 @@ def _covered(flagged: np.ndarray, n: int, window: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def joined_words(text: Words, keep: np.ndarray) -> bytes:
-    """The chosen words with one space between them."""
-    starts, sizes = text.starts[keep], (text.ends - text.starts)[keep] + 1
-    if not len(starts):
-        return b""
-    ends = np.cumsum(sizes)
-    places = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
-    out = text.data[np.minimum(places, len(text.data) - 1)]
-    out[ends - 1] = 0x20
-    return out[:-1].tobytes()
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept (the words that stay, joined by one space).
 
@@ -171,21 +256,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
     windows are judged on the input.  Null and empty texts have no words, shorter ones no window.  Rows that
     repeat an id are not judged against one another; a null id comes before all others.
 
-    The hashes that go are gathered per document, whose number of words bounds them.  Documents that a Bloom
+    The places that go are gathered per row, whose number of words bounds them.  Rows that a Bloom
     filter knows to have none pass straight through; within-document repeats are found where the text is.
     """
     again, later = repeated_windows(docs, window, id, text)
-    marks = again.select("doc", "hash", F.lit(None).cast("long").alias("copy")).unionByName(
-        later.select("doc", F.lit(None).cast("long").alias("hash"), F.col("key").alias("copy"))
+    marks = again.select("key", "place", F.lit(False).alias("copy")).unionByName(
+        later.select("key", F.lit(None).cast("int").alias("place"), F.lit(True).alias("copy"))
     )
-    marks = stored(marks.groupBy("doc").agg(F.collect_list("hash").alias("hashes"), F.collect_list("copy").alias("copies")), "repeat-marks")
-    chosen = bloom.build(marks.select("doc"), marks.count())
+    marks = stored(marks.groupBy("key").agg(F.collect_list("place").alias("places"), F.max("copy").alias("copy")), "repeat-marks")
+    chosen = bloom.build(marks.select("key"), marks.count())
     keyed = _keyed(docs, id, text)
-    marked = (
-        keyed.filter(chosen.may_hold(F.col("doc")))
-        .join(marks, "doc", "left")
-        .select("id", "text", "hashes", F.coalesce(F.array_contains("copies", F.col("key")), F.lit(False)).alias("copy"))
-    )
+    marked = keyed.filter(chosen.may_hold(F.col("key"))).join(marks, "key", "left").select("id", "text", "places", F.coalesce("copy", F.lit(False)).alias("copy"))
     known = chosen.shared
 
     def clean_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,18 +278,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
             batch = batch.filter(pa.array(~holds(known.value, batch.column(2).to_numpy())))
             yield from clean(batch, None, None)
 
-    def clean(batch: pa.RecordBatch, hashes, copies) -> Iterator[pa.RecordBatch]:
+    def clean(batch: pa.RecordBatch, places, copies) -> Iterator[pa.RecordBatch]:
         n_words, n_removed, kept = [], [], []
         start, size = 0, 0
         for i, text in enumerate(words(batch.column(1))):
             n = len(text.hashes)
-            full = window_hashes(text.hashes, window)
-            flagged = np.ones(len(full), bool)
-            if len(full) and not (copies and copies[i]):
-                flagged[np.unique(full, return_index=True)[1]] = False
-                gone = hashes[i].values if hashes is not None else None
-                if gone is not None and len(gone):
-                    flagged |= np.isin(full, gone.to_numpy().view(np.uint64))
+            flagged = np.ones(max(n - window + 1, 0), bool)
+            if len(flagged) and not (copies and copies[i]):
+                flagged = ~_first_ones(text, np.arange(len(flagged)), window)
+                if places is not None and places[i].is_valid:
+                    flagged[places[i].values.to_numpy()] = True
             keep = ~_covered(flagged, n, window)
             n_words.append(n)
             n_removed.append(n - int(keep.sum()))
@@ -221,7 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id: str = "doc_id", te
             yield _cleaned(batch, start, batch.num_rows, n_words, n_removed, kept)
 
     schema = f"id {docs.schema[id].dataType.simpleString()}, n_words long, n_removed long, kept string"
-    others = keyed.select("id", "text", "doc").mapInArrow(clean_others, schema)
+    others = keyed.select("id", "text", "key").mapInArrow(clean_others, schema)
     return others.unionByName(marked.mapInArrow(clean_marked, schema)).withColumnRenamed("id", id)
 
 

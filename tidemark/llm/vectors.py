@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, forest
-from .shared import quoted, stored, with_group
+from .shared import free, quoted, stored, with_group
 
 #: Vectors that the axes are fitted on, at most; any axes give the same links.
 SAMPLE = 10_000
@@ -189,10 +189,18 @@ def vector_groups(
     Vectors are compared if their labels are equal and they have as many components, and linked if their
     cosine in double precision reaches the threshold.  Null labels, null, empty and zero vectors and those with null or
     non-finite components are linked with nothing.  Equal vectors are one class, compared once and
-    counted as often as they occur.  A null id is reachable but never the smallest.
+    counted as often as they occur.  A null id is reachable but never the smallest, and a group of null ids has a null
+    component_id.  Rows that repeat an id are rows of their own, and are all kept where they have the smallest.  An empty
+    table gives an empty result.  Other columns are not looked at.
     """
+    return _grouped(rows, threshold, id, vector, label).drop("key").withColumnRenamed("id", id)
+
+
+def _grouped(rows: DataFrame, threshold: float, id: str, vector: str, label: str) -> DataFrame:
+    """id, n_links, component_id, kept, and key, a hash of id, vector and label."""
     spark = rows.sparkSession
-    own = rows.select(quoted(id).alias("id"), quoted(vector).alias("vector"), quoted(label).alias("label"))
+    key = F.xxhash64(quoted(id), quoted(vector), quoted(label)).alias("key")
+    own = rows.select(quoted(id).alias("id"), quoted(vector).alias("vector"), quoted(label).alias("label"), key)
     valid = _valid(F.col("vector"), F.col("label"))
     good = own.filter(valid)
     classes = stored(
@@ -217,14 +225,16 @@ def vector_groups(
     )
     roots = stored(known.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_classes")), "vector-roots")
     per_class = with_group(known, roots, ["root"], "n_classes").select("label", "vector", "mult", "n_links", "component_id")
-    grouped = with_group(good, stored(per_class, "vector-per-class"), ["label", "vector"], "mult").select("id", "n_links", "component_id")
-    alone = own.filter(~valid).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    grouped = with_group(good, stored(per_class, "vector-per-class"), ["label", "vector"], "mult").select("id", "n_links", "component_id", "key")
+    alone = own.filter(~valid).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), "key")
     return grouped.unionByName(alone).select(
-        quoted("id").alias(id), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+        "id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "key"
     )
 
 
 def vector_dedup(rows: DataFrame, threshold: float = 0.98, id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """The rows that stay: those that ``vector_groups`` keeps."""
-    gone = vector_groups(rows, threshold, id, vector, label).filter("NOT kept").select(quoted(id)).distinct()
-    return rows.join(stored(gone, "vector-gone"), id, "left_anti").select(*[quoted(c) for c in rows.columns])
+    """The rows that stay, whole: those that ``vector_groups`` keeps, told apart by id, vector and label."""
+    (key,) = free(rows, "key")
+    gone = _grouped(rows.select(quoted(id), quoted(vector), quoted(label)), threshold, id, vector, label).filter("NOT kept")
+    gone = stored(gone.select(F.col("key").alias(key)).distinct(), "vector-gone")
+    return rows.withColumn(key, F.xxhash64(quoted(id), quoted(vector), quoted(label))).join(gone, key, "left_anti").drop(key)

@@ -161,6 +161,8 @@ class BundleReader:
 def revisit_plan(pages: DataFrame, id: str = "page_id", html: str = "html", least: int = LEAST_REVISITED) -> DataFrame:
     """``pages`` with digest (SHA-1, 20 bytes) and refers_to, the id of the response with the same payload.
 
+    Where ``pages`` has columns of these names the new ones get underscores in front, as ``free`` deals them.
+
     Of equal payloads of ``least`` bytes or more the largest id is the response; of rows that repeat this id
     all are.  A null id is smaller than any other.  Payloads that a Bloom filter has not seen twice
     are responses and stay where they are; only the others are joined with their groups.
@@ -186,7 +188,7 @@ def revisit_plan(pages: DataFrame, id: str = "page_id", html: str = "html", leas
     grouped = with_group(marked.filter(quoted(asked)), groups, [digest], size)
     other = F.when(~quoted(key).eqNullSafe(quoted(id)), quoted(key))
     grouped = grouped.withColumn(refers_to, other).select(*pages.columns, digest, asked, refers_to)
-    return alone.unionByName(grouped).drop(asked).withColumnsRenamed({digest: "digest", refers_to: "refers_to"})
+    return alone.unionByName(grouped).drop(asked)
 
 
 def write_warc(
@@ -205,9 +207,11 @@ def write_warc(
     empty table gives a folder without bundles.  Other columns are not read.
     """
     short_batches(pages.sparkSession)
-    planned = revisit_plan(pages.select(quoted(id), quoted(url), quoted(html)), id, html, least).select(
+    pages = pages.select(quoted(id), quoted(url), quoted(html))
+    digest, refers_to = free(pages, "digest", "refers_to")
+    planned = revisit_plan(pages, id, html, least).select(
         quoted(id).cast("long").alias("id"), quoted(url).cast("string").alias("url"),
-        payload(quoted(html)).alias("body"), "digest", F.col("refers_to").cast("long").alias("refers_to"),
+        payload(quoted(html)).alias("body"), quoted(digest).alias("digest"), quoted(refers_to).cast("long").alias("refers_to"),
     )
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

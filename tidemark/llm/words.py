@@ -1,13 +1,14 @@
 """Words of whole texts as 64-bit hashes, found on the bytes of Arrow columns without a Python loop per word.
 
 A word is a longest run of bytes other than the space and the control characters from tab to carriage
-return.  Its hash is a sum over its bytes of a random number for the byte times a power of an odd number for
-its place, modulo 2 to the 64, and then mixed; sums over a whole buffer give those of all its words.
+return.  Its hash starts from its length and takes in eight bytes at a time, mixed after each; long words get a
+BLAKE2 digest.  Hashes choose what is compared; where words decide, callers compare digests of the words themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -17,22 +18,32 @@ from .bloom import mixed
 
 #: Bytes of text that are worked on together.
 CHUNK = 1 << 19
+#: Bytes from which a word is digested by itself.
+LONG_WORD = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_VALUE = np.where(_SPACE, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64) * _ODD))
-_FOLDED = _VALUE.copy()
-_FOLDED[65:91] = _VALUE[97:123]
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWER, _INVERSE = _powers(_ODD, CHUNK), _powers(_UNDO, CHUNK)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Keeps the first so many of eight bytes.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))  # the eight bytes from every place on
+    out = mixed((eight[starts] & _FIRST[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _ODD))
+    at = 8
+    longer = np.flatnonzero(size > at)
+    while len(longer) and at < LONG_WORD:
+        part = eight[starts[longer] + at] & _FIRST[np.minimum(size[longer] - at, 8)]
+        out[longer] = mixed(out[longer] * _ODD ^ part)
+        at += 8
+        longer = longer[size[longer] > at]
+    for k in longer:
+        out[k] = int.from_bytes(blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def combined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -72,9 +83,7 @@ def _found(data: np.ndarray, edges: np.ndarray, fold: bool) -> tuple[np.ndarray,
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     if not len(starts):
         return starts, ends, np.empty(0, np.uint64)
-    power, inverse = (_POWER, _INVERSE) if len(data) <= CHUNK else (_powers(_ODD, len(data)), _powers(_UNDO, len(data)))
-    sums = np.add.reduceat((_FOLDED if fold else _VALUE)[data] * power[: len(data)], starts)
-    return starts, ends, mixed(sums * inverse[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, _hashes(_LOWER[data] if fold else data, starts, ends)
 
 
 def _long(data: np.ndarray, fold: bool) -> Words:
@@ -112,3 +121,25 @@ def words(column: pa.Array, fold: bool = False) -> Iterator[Words]:
             for i, j, k in zip(at, at[1:], range(until - row)):
                 yield Words(hashes[i:j], starts[i:j] - edges[k], ends[i:j] - edges[k], own[edges[k] : edges[k + 1]])
         row = until
+
+
+def joined_words(text: Words, keep: np.ndarray) -> bytes:
+    """The chosen words with one space between them."""
+    starts, sizes = text.starts[keep], (text.ends - text.starts)[keep] + 1
+    if not len(starts):
+        return b""
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
+    out = text.data[np.minimum(places, len(text.data) - 1)]
+    out[ends - 1] = 0x20
+    return out[:-1].tobytes()
+
+
+def run_digests(text: Words, places: np.ndarray, size: int, fold: bool = False, bytes_of: int = 16) -> list[bytes]:
+    """For the ``size`` words from each place on a digest of the words themselves: equal ones are taken for equal words."""
+    joined = joined_words(text, np.ones(len(text.hashes), bool))
+    joined = joined.lower() if fold else joined  # of bytes: A-Z alone
+    ends = np.cumsum(text.ends - text.starts + 1)
+    starts = ends - (text.ends - text.starts + 1)
+    first, last = starts[places].tolist(), (ends[np.minimum(places + size, len(ends)) - 1] - 1).tolist()
+    return [blake2b(joined[a:b], digest_size=bytes_of).digest() for a, b in zip(first, last)]
