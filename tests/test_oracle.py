@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
-from tidemark.plans import checks
+from tidemark.plans import change_checks, checks
 
 DUCK_TYPES = {
     "int": "INTEGER",
@@ -42,7 +42,7 @@ def bag(pdf):
 
 
 def test_every_query_has_sql():
-    assert checks.QUERIES.keys() == checks.ORACLES.keys()
+    assert checks.QUERIES is change_checks.QUERIES and checks.QUERIES.keys() == checks.ORACLES.keys()
     assert checks.QUERIES.keys() <= contract.queries().keys()
 
 

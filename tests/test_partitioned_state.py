@@ -1,0 +1,138 @@
+import os
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tidemark import PartitionedState, state_changes
+from tidemark.sources import files
+
+SCHEMA = "id long, v int, op string, ts_ms double"
+
+
+def folders(table):
+    root = table.path.removeprefix("file:")
+    return {f"{w}/{p}" for w in os.listdir(f"{root}/data") for p in os.listdir(f"{root}/data/{w}") if p.startswith("part=")}
+
+
+def state(rows):
+    """Newest row per key; of equal times the delete, then the larger op and value."""
+    best = {}
+    for i, v, op, ts in rows:
+        key = (ts is not None, ts or 0, op == "d", op, v)
+        if i not in best or key > best[i][0]:
+            best[i] = key, (i, v, op, ts)
+    return sorted((r for _, r in best.values()), key=repr)
+
+
+def test_random_histories(spark, tmp_path):
+    """Any events in any batches, with null keys, late events and deletes; a table opened anew each time."""
+    rng = random.Random(6)
+    events = [
+        (rng.choice([None, *range(60)]), rng.randint(0, 5), rng.choice("cud"), rng.choice([None, *map(float, range(20))])) for _ in range(400)
+    ]
+    seen = []
+    for k in range(0, 400, 80):
+        seen += events[k : k + 80]
+        table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=7)
+        table.merge(spark.createDataFrame(events[k : k + 80], SCHEMA).repartition(3))
+        assert sorted(map(tuple, table.rows().collect()), key=repr) == state(seen)
+    assert table.versions() == [0, 1, 2, 3, 4] and table.read().count() == sum(r[2] != "d" for r in state(seen))
+
+
+def test_a_small_batch_rewrites_its_parts_alone(spark, sf_dir, tmp_path):
+    """A thousandth of the orders changes; all other folders stay, byte for byte, and are not read."""
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    rows = orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("int").alias("v"), F.lit("c").alias("op"), F.lit(1.0).alias("ts_ms"))
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=64)
+    assert table.merge(rows) == list(range(64))
+    before, many = folders(table), rows.count()
+    some = rows.orderBy(F.xxhash64("id")).limit(many // 1000).withColumn("op", F.lit("u")).withColumn("ts_ms", F.lit(2.0)).cache()
+    touched = table.merge(some)
+    assert 0 < len(touched) <= some.count() == 15
+    assert len(folders(table) - before) == len(touched) and before <= folders(table)
+    assert table.read().count() == many and table.read().filter("op = 'u'").count() == 15
+    table.vacuum(0)
+    assert len(folders(table)) == 64 and table.versions() == [1] and table.read().count() == many
+
+
+def test_one_shuffle_of_the_touched_parts(spark, tmp_path):
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=4)
+    table.merge(spark.range(100).selectExpr("id", "1 v", "'c' op", "1D ts_ms"))
+    root = table.path.removeprefix("file:")
+    for write in os.listdir(f"{root}/data"):
+        for part in os.listdir(f"{root}/data/{write}"):
+            if part.startswith("part="):
+                assert len([f for f in os.listdir(f"{root}/data/{write}/{part}") if f.endswith(".parquet")]) == 1
+
+
+def test_nothing_to_merge(spark, tmp_path):
+    table = PartitionedState(spark, str(tmp_path / "t"), "id")
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.rows() is None and table.merge(spark.createDataFrame([], SCHEMA)) == [] and table.versions() == []
+    with pytest.raises(FileNotFoundError):
+        table.read_version(3)
+    with pytest.raises(ValueError):
+        PartitionedState(spark, str(tmp_path / "u"), "id", parts=0)
+    with pytest.raises(ValueError, match="column part"):
+        table.merge(spark.createDataFrame([(1, 1, "c", 1.0)], "id long, part int, op string, ts_ms double"))
+
+
+def test_columns_come_and_widen(spark, tmp_path):
+    """A new column and a wider one, in a batch that touches one part of two."""
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=2)
+    table.merge(spark.createDataFrame([(k, k, "c", 1.0) for k in range(10)], "id int, v int, op string, ts_ms double"))
+    table.merge(spark.createDataFrame([(3, 5_000_000_000, "x", "u", 2.0)], "id int, v long, w string, op string, ts_ms double"))
+    found = {r.id: (r.v, r.w, r.op) for r in table.read().collect()}
+    assert found[3] == (5_000_000_000, "x", "u") and found[4] == (4, None, "c") and len(found) == 10
+    table.merge(spark.createDataFrame([(4, 1, "c", 3.0)], "id int, v int, op string, ts_ms double"))
+    assert {r.id: (r.v, r.w) for r in table.read().collect()}[3] == (5_000_000_000, "x") and dict(table.read().dtypes)["v"] == "bigint"
+
+
+def test_a_failed_merge_leaves_no_trace(spark, tmp_path):
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=3)
+    table.merge(spark.range(20).selectExpr("id", "1 v", "'c' op", "1D ts_ms"))
+    before = folders(table)
+    broken = spark.range(5).selectExpr("id", "CAST(raise_error('no') AS int) v", "'u' op", "2D ts_ms")
+    with pytest.raises(PySparkException):
+        table.merge(broken)
+    assert folders(table) == before and table.version() == 0 and table.read().filter("op = 'c'").count() == 20
+    assert not files.folders(spark, f"{table.path}/staged")
+
+
+def test_of_two_merges_at_once_one_fails(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id", "1 v", "'c' op", "1D ts_ms")
+    table, other = (PartitionedState(spark, str(tmp_path / "t"), "id", parts=3) for _ in range(2))
+    table.merge(rows)
+    commit = table._commit
+
+    def late(*args):
+        other.merge(rows.limit(1).selectExpr("id", "2 v", "'u' op", "2D ts_ms"))
+        commit(*args)
+
+    table._commit = late
+    with pytest.raises(RuntimeError, match="another merge"):
+        table.merge(rows.selectExpr("id", "3 v", "'u' op", "3D ts_ms"))
+    assert table.versions() == [0, 1] and {r.v for r in table.read().collect()} == {1, 2}
+
+
+def test_a_version_file_that_was_never_finished(spark, tmp_path):
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=3)
+    rows = spark.range(20).selectExpr("id", "1 v", "'c' op", "1D ts_ms")
+    table.merge(rows)
+    files.write_text(spark, f"{table.path}/versions/v=1.json", '{"parts": 3, "wri')
+    assert table.versions() == [0]
+    table.merge(rows.selectExpr("id", "2 v", "'u' op", "2D ts_ms"))
+    assert table.versions() == [0, 2] and table.read().filter("v = 2").count() == 20
+
+
+def test_versions_can_be_compared(spark, tmp_path):
+    table = PartitionedState(spark, str(tmp_path / "t"), "id", parts=3)
+    table.merge(spark.createDataFrame([(1, 1, "c", 1.0), (2, 1, "c", 1.0), (None, 1, "c", 1.0)], SCHEMA))
+    table.merge(spark.createDataFrame([(1, 2, "u", 2.0), (2, 1, "d", 2.0), (3, 1, "c", 2.0), (None, 5, "u", 2.0)], SCHEMA))
+    found = state_changes(table.read_version(0), table.read_version(1), "id").collect()
+    assert sorted((r.op, r.before and r.before.v, r.after and r.after.v, r.ts_ms) for r in found) == [
+        ("c", None, 1, 2.0), ("d", 1, None, 2.0), ("u", 1, 2, 2.0), ("u", 1, 5, 2.0)
+    ]

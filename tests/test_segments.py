@@ -1,0 +1,104 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tests.change_events import event, image
+from tidemark import current_state, decode, read_log, run_ingest
+from tidemark.sources import append_segment, expire_segments, read_segments, stream_segments
+
+
+@pytest.fixture
+def place(tmp_path):
+    return {name: str(tmp_path / name) for name in ("feed", "log", "checkpoint", "progress", "out")}
+
+
+def some(feed_of, *numbers):
+    return feed_of(*(event("c", None, image(n, 1, 1, 1, 1), float(n)) for n in numbers))
+
+
+def ran(spark, place, **options):
+    run_ingest(stream_segments(spark, place["feed"], **options), place["log"], place["checkpoint"], available_now=True).awaitTermination()
+    return sorted(r.id for r in read_log(spark, place["log"]).select(F.col("after.order_id").alias("id")).collect())
+
+
+def test_segments_in_order_and_restart(spark, place, feed_of):
+    for n in range(3):
+        assert append_segment(some(feed_of, 10 * n, 10 * n + 1), place["feed"]) == n
+    assert ran(spark, place) == [0, 1, 10, 11, 20, 21]
+    assert ran(spark, place) == [0, 1, 10, 11, 20, 21]
+    append_segment(some(feed_of, 30), place["feed"])
+    assert ran(spark, place) == [0, 1, 10, 11, 20, 21, 30]
+    assert read_segments(spark, place["feed"]).count() == 7
+
+
+def test_expired_segments_are_passed_over(spark, place, feed_of):
+    append_segment(some(feed_of, 0), place["feed"])
+    assert ran(spark, place) == [0]
+    for n in (1, 2, 3):
+        append_segment(some(feed_of, n), place["feed"])
+    assert expire_segments(spark, place["feed"], keep=2) == [0, 1]
+    assert ran(spark, place) == [0, 2, 3]
+
+
+def test_or_fail_the_stream(spark, place, feed_of):
+    append_segment(some(feed_of, 0), place["feed"])
+    assert ran(spark, place, fail_on_data_loss=True) == [0]
+    for n in (1, 2, 3):
+        append_segment(some(feed_of, n), place["feed"])
+    expire_segments(spark, place["feed"], keep=2)
+    with pytest.raises(StreamingQueryException, match="segments 1 to 1 .* expired before they were read"):
+        ran(spark, place, fail_on_data_loss=True)
+    # nothing was skipped: with the segment's loss accepted the stream goes on
+    assert ran(spark, place) == [0, 2, 3]
+
+
+def test_a_new_stream_starts_at_the_oldest_segment_or_at_the_end(spark, place, feed_of):
+    for n in range(4):
+        append_segment(some(feed_of, n), place["feed"])
+    expire_segments(spark, place["feed"], keep=2)
+    assert ran(spark, place, fail_on_data_loss=True) == [2, 3]
+    late = stream_segments(spark, place["feed"], startingOffsets="latest")
+    query = late.writeStream.format("parquet").option("checkpointLocation", place["checkpoint"] + "2").start(place["out"])
+    query.processAllAvailable()
+    append_segment(some(feed_of, 9), place["feed"])
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.schema("value string").parquet(place["out"]).count() == 1
+
+
+def test_segments_of_a_batch_are_limited(spark, place, feed_of):
+    for n in range(9):
+        append_segment(some(feed_of, n), place["feed"])
+    sizes = []
+
+    def batches(stop_after=None):
+        source = stream_segments(spark, place["feed"], max_segments=2, progress=place["progress"])
+        query = source.writeStream.foreachBatch(lambda rows, _: sizes.append(rows.count())).option("checkpointLocation", place["checkpoint"]).start()
+        query.processAllAvailable()
+        query.stop()
+
+    batches()
+    assert sizes == [2, 2, 2, 2, 1]
+    for n in range(9, 20):
+        append_segment(some(feed_of, n), place["feed"])
+    batches()
+    assert sum(sizes) == 20 and max(sizes) <= 6
+    with pytest.raises(Exception, match="progress folder"):
+        spark.readStream.format("segments").options(path=place["feed"], maxSegmentsPerTrigger="2").load().writeStream.format("noop").option(
+            "checkpointLocation", place["checkpoint"] + "3"
+        ).start().processAllAvailable()
+
+
+def test_an_empty_feed_and_one_that_begins(spark, place, feed_of):
+    from pathlib import Path
+
+    Path(place["feed"]).mkdir()
+    query = (
+        stream_segments(spark, place["feed"]).writeStream.format("parquet").option("checkpointLocation", place["checkpoint"]).start(place["out"])
+    )
+    query.processAllAvailable()
+    append_segment(some(feed_of, 1, 2), place["feed"])
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.schema("value string").parquet(place["out"]).count() == 2
+    assert expire_segments(spark, place["feed"], keep=0) == []

@@ -11,13 +11,15 @@ from .operators import (
     merge_state,
     message_status,
     row_images,
+    state_changes,
     to_change_feed,
 )
-from .plans import extract_after, publish_table, run_bronze
-from .sources import StateTable, read_feed, read_log, stream_feed, stream_log, write_feed
+from .plans import extract_after, publish_changes, publish_table, run_bronze
+from .sources import PartitionedState, StateTable, read_feed, read_log, stream_feed, stream_log, write_feed
 from .streaming import run_ingest, run_state_stream
 
 __all__ = [
+    "PartitionedState",
     "StateTable",
     "current_state",
     "decode",
@@ -30,6 +32,7 @@ __all__ = [
     "live_rows",
     "merge_state",
     "message_status",
+    "publish_changes",
     "publish_table",
     "read_feed",
     "read_log",
@@ -37,6 +40,7 @@ __all__ = [
     "run_bronze",
     "run_ingest",
     "run_state_stream",
+    "state_changes",
     "stream_feed",
     "stream_log",
     "to_change_feed",

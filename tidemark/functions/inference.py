@@ -38,17 +38,18 @@ def infer_schema(feed: DataFrame, images: tuple[str, str] = ("after", "before"))
     for that, other numbers DOUBLE, fields that are null everywhere or change type STRING.  The two images
     describe the same table, so they get the same fields.
     """
+    return plain_schema(found_schema(feed, images))
+
+
+def found_schema(feed: DataFrame, images: tuple[str, str] = ("after", "before")) -> T.StructType:
+    """The types of ``infer_schema`` before columns are made of them, which those of more messages can be merged into."""
     text = as_text()
     objects = feed.filter(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"))
     with _repeated_names(feed.sparkSession):
         found = objects.select(F.schema_of_variant_agg(F.try_parse_json(text)).alias("kind")).first().kind
     if not found.startswith("OBJECT<"):
         raise ValueError("no JSON object to infer a schema from")
-    kinds = {f.name: f.dataType for f in T.DataType.fromDDL(_as_struct(found))}
-    shapes = [kinds[name] for name in images if isinstance(kinds.get(name), T.StructType)]
-    if shapes:
-        kinds.update(dict.fromkeys(images, reduce(_wider, shapes)))
-    return _plain(T.StructType([T.StructField(name, kinds[name]) for name in sorted(kinds)]))
+    return _alike(T.DataType.fromDDL(_as_struct(found)), images)
 
 
 @contextmanager
@@ -63,6 +64,25 @@ def _repeated_names(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def wider_schema(one: T.StructType, other: T.StructType, images: tuple[str, str] = ("after", "before")) -> T.StructType:
+    """Types of the messages of two feeds together, each as ``found_schema`` gives it."""
+    return _alike(_wider(one, other), images)
+
+
+def _alike(kind: T.StructType, images: tuple[str, str]) -> T.StructType:
+    """Fields by name, both images with the same ones."""
+    kinds = {f.name: f.dataType for f in kind}
+    shapes = [kinds[name] for name in images if isinstance(kinds.get(name), T.StructType)]
+    if shapes:
+        kinds.update(dict.fromkeys(images, reduce(_wider, shapes)))
+    return T.StructType([T.StructField(name, kinds[name]) for name in sorted(kinds)])
+
+
+def plain_schema(kind: T.StructType) -> T.StructType:
+    """The types that columns get: STRING where nothing but null was found, and one kind of wide integer."""
+    return _plain(kind)
+
+
 def _as_struct(kind: str) -> str:
     """The type with OBJECT as STRUCT, but for field names, which stand in backquotes where they hold such text."""
     return re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], kind)

@@ -1,6 +1,8 @@
 """DataFrame-to-DataFrame operators; all are lazy."""
 
-from .decode import decode, decode_key, extract_images, message_status, only_table
+from .decode import decode, decode_key, decode_with_status, extract_images, late_field, message_status, only_table
+from .difference import state_changes
+from .distinct import distinct_events
 from .images import log_position, row_images
 from .latest import latest_per_key
 from .publish import source_struct, to_change_feed
@@ -10,8 +12,11 @@ __all__ = [
     "current_state",
     "decode",
     "decode_key",
+    "decode_with_status",
+    "distinct_events",
     "extract_images",
     "fold_changes",
+    "late_field",
     "latest_per_key",
     "live_rows",
     "log_position",
@@ -20,5 +25,6 @@ __all__ = [
     "only_table",
     "row_images",
     "source_struct",
+    "state_changes",
     "to_change_feed",
 ]

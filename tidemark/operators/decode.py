@@ -13,15 +13,25 @@ from ..functions import as_text, decode_json, free_name, ingest_date
 from ..schemas import ORDER_KEY, envelope
 
 
-def decode(feed: DataFrame, schema: T.StructType | None = None, clock: str | Column | None = None) -> DataFrame:
+def decode(
+    feed: DataFrame, schema: T.StructType | None = None, clock: str | Column | None = None, raw: str | None = None
+) -> DataFrame:
     """Envelope columns plus the ingest ``date``, one row per message.
 
     Tombstones and malformed messages stay as rows of nulls; where ``clock`` is null, the date is the
     processing day.  The parsed struct goes through
-    ``inline`` so that operators stacked on top read its fields instead of parsing the text again.
+    ``inline`` so that operators stacked on top read its fields instead of parsing the text again.  ``raw`` names a
+    VARIANT column for the whole message, from which ``late_field`` reads what the schema lacks.
     """
     parsed = decode_json(as_text(), schema or envelope())
-    return feed.select(F.inline(F.array(parsed)), ingest_date(clock).alias("date"))
+    whole = [F.try_parse_json(as_text()).alias(raw)] if raw else []
+    return feed.select(F.inline(F.array(parsed)), *whole, ingest_date(clock).alias("date"))
+
+
+def late_field(path: str, kind: str, raw: str = "raw") -> Column:
+    """A field of the whole messages that ``decode(raw=...)`` kept, as ``after.discount``; null where it is missing or does not fit."""
+    steps = "".join(f".{part}" if part.isidentifier() else f"['{part}']" for part in path.split("."))
+    return F.try_variant_get(F.col(f"`{raw}`"), f"${steps}", kind)
 
 
 def decode_key(feed: DataFrame, schema: T.StructType = ORDER_KEY) -> DataFrame:
@@ -46,12 +56,23 @@ def message_status(feed: DataFrame, schema: T.StructType | None = None) -> DataF
     """
     schema, name = schema or envelope(), free_name(feed, "_parsed")
     messages = feed.select("*", F.inline(F.array(F.struct(decode_json(as_text(), schema).alias(name)))))
-    parsed = F.col(name)
+    kept = [F.col(f"`{c}`") for c in feed.columns if c.lower() != "status"]
+    return messages.select(*kept, _status(F.col(name), schema).alias("status"))
+
+
+def decode_with_status(feed: DataFrame, schema: T.StructType | None = None, clock: str | Column | None = None) -> DataFrame:
+    """``key`` and ``value`` as text, ``status`` as ``message_status`` has it, the ``event`` as one struct and its ``date``; parsed once."""
+    schema = schema or envelope()
+    parsed = F.inline(F.array(F.struct(decode_json(as_text(), schema).alias("event"))))
+    messages = feed.select(as_text("key").alias("key"), as_text().alias("value"), ingest_date(clock).alias("date"), parsed)
+    return messages.withColumn("status", _status(F.col("event"), schema))
+
+
+def _status(parsed: Column, schema: T.StructType) -> Column:
     has_image = parsed["after"].isNotNull() | parsed["before"].isNotNull()
     says_something = reduce(or_, [parsed[field].isNotNull() for field in schema.names])
     status = F.when(parsed.isNull(), "tombstone").when(has_image, "ok").when(says_something, "no image")
-    kept = [F.col(f"`{c}`") for c in feed.columns if c.lower() != "status"]
-    return messages.select(*kept, status.otherwise("malformed").alias("status"))
+    return status.otherwise("malformed")
 
 
 def only_table(log: DataFrame, table: str) -> DataFrame:

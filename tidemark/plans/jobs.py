@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import as_text, decode_json, first_message_schema, infer_schema
-from ..operators import extract_images, row_images, to_change_feed
+from ..operators import extract_images, row_images, state_changes, to_change_feed
 from ..operators.images import has_position
 from ..sources import StateTable, append_parquet, landed_feed, read_log, require_messages, write_feed
 
@@ -76,3 +76,21 @@ def publish_table(
     if ts_ms is None:
         ts_ms = F.unix_millis(F.current_timestamp()).cast("double")
     write_feed(to_change_feed(rows, keys, op, ts_ms, source=source), path, fmt, **options)
+
+
+def publish_changes(
+    old: DataFrame,
+    new: DataFrame,
+    keys: str | list[str],
+    path: str | None = None,
+    fmt: str = "parquet",
+    source: Column | None = None,
+    at: str | Column | None = None,
+    **options,
+) -> None:
+    """Publish the creates, updates and deletes that turn the state ``old`` into ``new``, each with both its images.
+
+    The states are two versions of a state table, or any two that ``state_changes`` takes.
+    """
+    changes = state_changes(old, new, keys, at)
+    write_feed(to_change_feed(changes, keys, F.col("op"), "ts_ms", "before", "after", source), path, fmt, **options)

@@ -39,6 +39,14 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(place) if entry.isDirectory()]
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``; none if it does not exist."""
+    fs, place = _at(spark, path)
+    if not fs.exists(place):
+        return []
+    return [entry.getPath().getName() for entry in fs.listStatus(place) if entry.isFile()]
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When the file was written, in milliseconds."""
     fs, place = _at(spark, path)
@@ -53,17 +61,17 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
 
 def read_texts(spark: SparkSession, path: str) -> list[str]:
     """Contents of the files directly under a folder of a few small ones; none if it does not exist."""
+    return [read_text(spark, f"{path}/{name}") for name in names(spark, path)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
     fs, place = _at(spark, path)
-    if not fs.exists(place):
-        return []
-    texts = []
-    for entry in fs.listStatus(place):
-        stream = fs.open(entry.getPath())
-        try:
-            texts.append(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-    return texts
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

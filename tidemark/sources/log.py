@@ -37,7 +37,10 @@ def read_log(
         log = reader.option("mergeSchema", "true").load(path)
         log = log.withColumn("date", F.col("date").cast("string")) if "date" in log.columns else log
     else:
-        log = reader.schema(schema or log_schema()).load(path)
+        schema = schema or log_schema()
+        log = reader.schema(schema).load(path)
+        if len(log.columns) > len(schema):  # folders of micro-batches
+            log = log.select(*[f"`{c}`" for c in schema.names])
     if since is not None:
         log = log.filter((F.col("date") >= since) | F.col("date").isNull())
     if until is not None:
@@ -75,15 +78,17 @@ def check_stream(spark: SparkSession, path: str, checkpoint: str) -> None:
 
 
 def check_append(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """ValueError if ``schema`` gives a column another type than it has anywhere in the log.
+    """ValueError if ``schema`` gives a column a type that cannot hold what it has anywhere in the log.
 
-    New columns and new struct fields are fine: older rows read null there.  Parquet would take
-    the conflicting files too and fail only on reading.  The columns of the whole log are kept in a
+    New columns and new struct fields are fine: older rows read null there.  So are wider numbers (INT, then BIGINT, then
+    DECIMAL): ``noted_schema`` has the widest type of every column, with which Parquet reads the narrower files exactly.
+    Any other change of type is refused, a narrower number too.  Parquet would take
+    the conflicting files and fail only on reading.  The columns of the whole log are kept in a
     folder beside its dates, in a small file for each change, so no data is opened.  (A log that
     has no such folder yet is read for its columns once.)
     """
     path = path.rstrip("/")
-    notes = [T.StructType.fromJson(json.loads(text)) for text in read_texts(spark, f"{path}/_columns")]
+    notes = _notes(spark, path)
     if not notes and any(name.startswith("date=") for name in folders(spark, path)):
         notes = [spark.read.option("mergeSchema", "true").parquet(path).drop("date").schema]
         _note(spark, path, notes[0])
@@ -96,14 +101,26 @@ def check_append(spark: SparkSession, path: str, schema: T.StructType) -> None:
         _note(spark, path, given)
 
 
+def noted_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The columns of the whole log in their widest types, and its ``date``, to be given to ``read_log``."""
+    notes = _notes(spark, path.rstrip("/"))
+    if not notes:
+        raise ValueError(f"{path} has no notes of its columns")
+    return T.StructType([*reduce(_joined, notes).fields, T.StructField("date", T.StringType())])
+
+
+def _notes(spark: SparkSession, path: str) -> list[T.StructType]:
+    return [T.StructType.fromJson(json.loads(text)) for text in read_texts(spark, f"{path}/_columns")]
+
+
 def _note(spark: SparkSession, path: str, schema: T.StructType) -> None:
     write_text(spark, f"{path}/_columns/{uuid.uuid4().hex}.json", schema.json())
 
 
 def _joined(held: T.DataType, given: T.DataType) -> T.DataType:
-    """``held`` with the fields that only ``given`` has."""
+    """``held`` with the fields that only ``given`` has, and the wider of two numbers."""
     if not (isinstance(held, T.StructType) and isinstance(given, T.StructType)):
-        return held
+        return given if _widens(held, given) else held
     new = {f.name: f.dataType for f in given}
     fields = [T.StructField(f.name, _joined(f.dataType, new.pop(f.name, f.dataType))) for f in held]
     return T.StructType(fields + [T.StructField(name, kind) for name, kind in new.items()])
@@ -114,7 +131,21 @@ def _conflict(held: T.DataType, given: T.DataType, at: str = "") -> str | None:
         kinds = {f.name: f.dataType for f in held}
         found = (_conflict(kinds[f.name], f.dataType, f"{at}.{f.name}".lstrip(".")) for f in given if f.name in kinds)
         return next((text for text in found if text), None)
-    return None if held.simpleString() == given.simpleString() else f"{at} is {held.simpleString()}, not {given.simpleString()}"
+    same = held.simpleString() == given.simpleString()
+    return None if same or _widens(held, given) else f"{at} is {held.simpleString()}, not {given.simpleString()}"
+
+
+def _widens(held: T.DataType, given: T.DataType) -> bool:
+    """Whether Parquet files of ``held`` can be read exactly as ``given``, a wider type."""
+    whole = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+    if isinstance(given, T.DecimalType):
+        if isinstance(held, T.DecimalType):
+            return held != given and given.scale >= held.scale and given.precision - given.scale >= held.precision - held.scale
+        digits = {T.ByteType(): 10, T.ShortType(): 10, T.IntegerType(): 10, T.LongType(): 20}.get(held)
+        return digits is not None and given.precision - given.scale >= digits
+    if held in whole and given in whole:
+        return whole.index(given) > whole.index(held)
+    return isinstance(held, T.FloatType) and isinstance(given, T.DoubleType)
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
@@ -9,7 +10,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ingest_date, key_columns
@@ -83,14 +85,24 @@ class StateTable:
         """One row per key, deleted ones included; None if nothing was written yet."""
         return self._merged(self.pending())
 
+    def read_version(self, version: int) -> DataFrame:
+        """All rows of a version that is still kept, without batches that came later."""
+        bases = self._committed("base")
+        if version not in bases:
+            raise FileNotFoundError(f"no version {version} at {self.path}")
+        return self._read(bases[version])
+
     def _merged(self, pending: list[int], changes: DataFrame | None = None) -> DataFrame | None:
         """The newest version with the batches, and changes that are not stored, folded in."""
         path = self._newest_base()
         base = self._read(path) if path else None
+        since = _watermark(path) if path else None
         came = ([self._read_changes(pending)] if pending else []) + ([] if changes is None else [changes])
         if not came:
             return base
         came = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), came)
+        if since is not None:
+            came = came.filter(self._not_before(since))
         if base is None:
             return latest_per_key(came, self.keys, self.order_by)
         buckets = _buckets(path)
@@ -116,11 +128,11 @@ class StateTable:
         self._write_base(_checked(rows), version, revision=0 if base is None else _revision(base) + 1)
         return version
 
-    def apply(self, changes: DataFrame) -> int:
+    def apply(self, changes: DataFrame, forget_before: float | None = None) -> int:
         """Fold changes, any number per key, and what is pending into a new version, in one job."""
         path, version = self._newest_base(), self._next_version()
         in_place = path is not None and _buckets(path) == self.buckets
-        self._write_base(self._merged(self.pending(), _checked(changes)), version, in_place)
+        self._write_base(self._merged(self.pending(), _checked(changes)), version, in_place, forget_before=forget_before)
         return version
 
     def _next_version(self) -> int:
@@ -132,15 +144,34 @@ class StateTable:
         if batch >= (self.version() or 0) and batch not in self._committed("changes"):
             self._write(_checked(newest).write, f"{self.path}/changes/b={batch},a={_attempt()}")
 
-    def fold(self) -> int | None:
-        """Write a version that holds all pending batches; returns the newest version."""
-        pending = self.pending()
+    def fold(self, forget_before: float | None = None) -> int | None:
+        """Write a version that holds all pending batches; returns the newest version.
+
+        With ``forget_before``, a value of the column that orders events, deletes older than it are dropped.  It
+        becomes the table's watermark, which never goes back: events older than it that still arrive, or that have no
+        time, are passed over from then on, so none of them can bring a forgotten row back.  A stream may feed the
+        table meanwhile.
+        """
+        pending, path = self.pending(), self._newest_base()
+        further = forget_before is not None and path is not None and forget_before > (self.watermark() or float("-inf"))
         if pending:
-            path = self._newest_base()
             in_place = path is not None and _buckets(path) == self.buckets
-            self._write_base(self._merged(pending), max(pending) + 1, in_place)
+            self._write_base(self._merged(pending), max(pending) + 1, in_place, forget_before=forget_before)
+        elif further:
+            in_place = _buckets(path) == self.buckets
+            self._write_base(self._read(path), self.version(), in_place, _revision(path) + 1, forget_before)
         return self.version()
 
+    def watermark(self) -> float | None:
+        """The time before which events are passed over; None while nothing was forgotten."""
+        path = self._newest_base()
+        return _watermark(path) if path else None
+
+    def _not_before(self, since: float) -> Column:
+        """Events as new as the watermark; NaN is newest, and one without a time oldest."""
+        first = self.order_by if isinstance(self.order_by, str) else self.order_by[0]
+        return F.coalesce(F.col(f"`{first}`") >= since, F.lit(False))
+
     def backup(self, root: str, day: str | None = None) -> str | None:
         """Copy the state to ``root/day``, by default today in the session time zone.
 
@@ -203,15 +234,18 @@ class StateTable:
         return bases[max(bases)] if bases else None
 
     def _read(self, path: str) -> DataFrame:
-        plain = self.spark.read.parquet(path)
         buckets = _buckets(path)
         if buckets is None:
-            return plain
+            return self.spark.read.parquet(path)
+        if files.exists(self.spark, f"{path}/_columns.json"):
+            schema = T.StructType.fromJson(json.loads(files.read_text(self.spark, f"{path}/_columns.json")))
+        else:
+            schema = self.spark.read.parquet(path).schema
         keys = ", ".join(f"`{k}`" for k in self.keys)
         place = path.replace("\\", "\\\\").replace("'", "\\'")
         with self._table_name() as name:
             self.spark.sql(
-                f"CREATE TABLE {name} ({plain.schema.toDDL()}) USING parquet"
+                f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet"
                 f" CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{place}'"
             )
             return self.spark.table(name)
@@ -229,16 +263,26 @@ class StateTable:
         one_by_one = [self.spark.read.parquet(path) for path in paths]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_by_one)
 
-    def _write_base(self, rows: DataFrame, version: int, in_place: bool = False, revision: int = 0) -> None:
+    def _write_base(
+        self, rows: DataFrame, version: int, in_place: bool = False, revision: int = 0, forget_before: float | None = None
+    ) -> None:
         """Write a version; ``in_place`` says that each task already holds rows of one bucket."""
         path = f"{self.path}/base/v={version},r={revision},a={_attempt()}"
+        marks = [m for m in (self.watermark(), forget_before) if m is not None]
+        if marks:
+            since = float(max(marks))
+            rows = rows.filter(~F.col("op").eqNullSafe("d") | self._not_before(since))
+            path += f",w={since!r}"
         if self.buckets is None:
             self._write(rows.write, path)
         else:
             if not in_place:
                 rows = rows.repartition(self.buckets, *[f"`{k}`" for k in self.keys])
             bucketed = rows.write.bucketBy(self.buckets, self.keys)
-            self._write(bucketed, f"{path},n={self.buckets}", as_table=True)
+            path += f",n={self.buckets}"
+            self._write(bucketed, path, as_table=True)
+            # buckets without rows have no file that tells the columns
+            files.write_text(self.spark, f"{path}/_columns.json", rows.schema.json())
         self._clean_up()
 
     def _write(self, writer: DataFrameWriter, path: str, as_table: bool = False) -> None:
@@ -299,6 +343,12 @@ def _revision(path: str) -> int:
     return int(found[1]) if found else 0
 
 
+def _watermark(path: str) -> float | None:
+    """Watermark of a version, from the name of its folder."""
+    found = re.search(r",w=([^,]+)", path.rsplit("/", 1)[-1])
+    return float(found[1]) if found else None
+
+
 def _buckets(path: str) -> int | None:
     """Number of buckets of a version, from the name of its folder."""
     name = path.rsplit("/", 1)[-1]
