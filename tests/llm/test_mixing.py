@@ -95,12 +95,95 @@ def test_sources_without_words(spark):
     } or {r.doc_id: r.target for r in mix_counts(docs).collect()} == {1: 0.0, 2: 0.0, 3: 3.0}
 
 
+def expected_copies(sizes, target, power=0.5, most=2.0):
+    """Copies on average, of documents of one source by their sizes."""
+    w, over = [max(x, 1) ** power for x in sizes], [False] * len(sizes)
+    while True:
+        free = sum(a * x for a, x, o in zip(w, sizes, over) if not o)
+        if not free:
+            return [most] * len(sizes)
+        level = (target - sum(most * x for x, o in zip(sizes, over) if o)) / free
+        new = [o or a * level > most for a, o in zip(w, over)]
+        if new == over:
+            return [min(most, a * level) for a in w]
+        over = new
+
+
+def brute_copies(rows, target):
+    """Of rows (size, chance): certain copies, then the order of the quotients of odds while the words fit, then one exchange."""
+    expected = expected_copies([s for s, _ in rows], target)
+    copies = [int(e) for e in expected]
+    room = max(target - sum(c * s for c, (s, _) in zip(copies, rows)), 0)
+    odds = {}
+    for i, (e, (_, u)) in enumerate(zip(expected, rows)):
+        part = e - int(e)
+        if part > 0:
+            a = u * (1 - part)
+            odds[i] = min(int(a / (a + part * (1 - u)) * 2**52), 2**52 - 1)
+    order = sorted(odds, key=odds.get)
+    taken, left = [], order
+    for _ in range(mixing.TURNS):
+        whole, behind, passed = room, left, []
+        if room <= mixing.NEAR * target:
+            break
+        for k, i in enumerate(behind):
+            if rows[i][0] > whole:
+                passed.append(i)  # larger than all there is room for at the turn's start
+            elif rows[i][0] > room:
+                left = behind[k:]
+                break
+            else:
+                taken.append(i)
+                room -= rows[i][0]
+        else:
+            left = []
+    left = [i for i in order if i not in taken]
+    for _ in range(mixing.CLOSINGS):
+        taken, left = ([i for i in order if (i in taken) == here] for here in (True, False))
+        outs, ins = ({0: None} | {rows[i][0]: i for i in own if rows[i][0]} for own in (taken, left[::-1]))
+        _, o, i = min((abs(room + o - i), o, i) for o in outs for i in ins)
+        taken = [k for k in taken if k != outs[o]] + [ins[i]] * (ins[i] is not None)
+        room += o - i
+    for i in taken:
+        copies[i] += 1
+    return copies
+
+
+@pytest.mark.parametrize("share", [0.4, 1.5, 1.9])
+def test_taken_by_brute_force(spark, share):
+    docs = spark.range(600).selectExpr(
+        "id doc_id", "concat_ws(' ', array_repeat('w', cast(pow(id % 23, 2) as int))) text", "if(id % 3 = 0, 'hot', concat('s', id % 4)) source"
+    )
+    rows = docs.select("doc_id", "source", "text", mixing._chance(F.col("doc_id"), F.col("text"), 20240229).alias("u")).collect()
+    found = {r.doc_id: r for r in mix_counts(docs, share=share).collect()}
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        sizes = [len(WORD.findall(r.text)) for r in own]
+        copies = brute_copies([(n, r.u) for n, r in zip(sizes, own)], found[own[0].doc_id].target)
+        assert [found[r.doc_id].taken for r in own] == [c * n for c, n in zip(copies, sizes)]
+
+
 def test_inclusion_probabilities(spark):
-    """Over many seeds every document of a source is taken about as often."""
-    docs = spark.range(40).selectExpr("id doc_id", "'a b c' text", "concat('s', id % 2) source")
-    seen = Counter()
-    for seed in range(12):
-        for r in mix_counts(docs, share=0.5, seed=seed).collect():
-            seen[r.doc_id] += r.taken // 3
-    taken = [seen[i] for i in range(0, 40, 2)]
-    assert sum(taken) == 12 * 15 and min(taken) >= 4 and len(set(taken)) > 1
+    """Over many seeds a document of nine times the words is taken about three times as often, and never twice in one draw."""
+    docs = spark.range(1600).selectExpr("id doc_id", "concat_ws(' ', array_repeat('w', if(id % 4 < 2, 9, 81))) text", "concat('s', id % 2) source")
+    seen, runs = Counter(), 2
+    for seed in range(runs):
+        for r in mix_counts(docs, share=0.3, seed=seed).collect():
+            assert r.taken in (0, r.size)
+            seen[r.doc_id] += r.taken // r.size
+    for source in (0, 1):
+        small, large = ([seen[i] / runs for i in range(1600) if i % 2 == source and (i % 4 < 2) == few] for few in (True, False))
+        a, b = expected_copies([9] * 400 + [81] * 400, _target(docs, source))[::799]
+        assert abs(b / a - 3) < 1e-9 and abs(sum(small) / 400 - a) < 0.05 and abs(sum(large) / 400 - b) < 0.05
+        assert len(set(large)) > 1
+
+
+def _target(docs, source):
+    return next(r.target for r in mix_counts(docs, share=0.3).collect() if r.doc_id % 2 == source)
+
+
+def test_equal_probabilities_by_a_power_of_zero(spark):
+    docs = spark.range(40).selectExpr("id doc_id", "concat_ws(' ', array_repeat('w', cast(id % 5 + 1 as int))) text", "'a' source")
+    _, plan = mixing.mixing_plan(docs, share=1.5, power=0.0)
+    (row,) = plan.collect()
+    assert abs(row.level - 1.5) < 1e-9

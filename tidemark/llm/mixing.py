@@ -1,4 +1,10 @@
-"""Mixing sources to target weights by Pareto order sampling."""
+"""Mixing sources to target weights by Pareto order sampling.
+
+A source that is to give so many words takes each of its documents an expected number of times that rises with the
+document's size, up to a most.  The whole part of that number are certain copies; what is left is the probability of
+one more copy, different for different documents.  These are drawn by Pareto order sampling: documents are
+ranked by random odds divided by inclusion odds and taken in that order while their words fit.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +24,13 @@ RANK_BITS = 52
 STEP_BITS = 8
 #: Ranks of one source that may be added up by one task.
 TOGETHER = 10_000
+#: How often a source's order is gone through for documents that fit, and the share of its target from which what is
+#: missing is worth another turn: only where a single document is a large part of the target.
+TURNS, NEAR = 3, 0.02
+#: Exchanges that bring a sample nearer to its target, at most.
+CLOSINGS = 2
+#: Expected copies rise with this power of a document's words.
+POWER = 0.5
 
 
 def _source_key(source: Column) -> Column:
@@ -77,16 +90,58 @@ def _weight_at(position: Column, weights: Sequence[float]) -> Column:
     return out
 
 
+def _expected(level: Column, power: Column, most: Column) -> Column:
+    """How often a document is taken on average; one without words counts as one word."""
+    return F.least(level * F.pow(F.greatest("size", F.lit(1)).cast("double"), power), most)
+
+
+def source_levels(sizes: DataFrame, targets: DataFrame, power: float = POWER, most: float = 2.0) -> DataFrame:
+    """key and level, with which the documents' expected copies add up to the words of their source's target.
+
+    ``sizes`` has a row per source and size of a document (key, size, n).  Documents that would be taken more than
+    ``most`` times are held there and the others' level rises, until no more of them are over.
+    """
+    held = stored(sizes.join(targets.select("key", "target"), "key"), "mix-sizes")
+    weight = F.pow(F.greatest("size", F.lit(1)).cast("double"), F.lit(power))
+    level, before = held.select("key").distinct().withColumn("level", F.lit(0.0)), -1
+    while True:
+        over = F.coalesce(weight * F.col("level") > most, F.lit(True))
+        words = F.col("size") * F.col("n")
+        sums = stored(
+            held.join(level, "key")
+            .groupBy("key")
+            .agg(
+                F.max("target").alias("target"),
+                F.sum(F.when(over, words * most).otherwise(0.0)).alias("full"),
+                F.sum(F.when(over, 0.0).otherwise(weight * words)).alias("free"),
+                F.sum(F.when(over, 1).otherwise(0)).alias("n_over"),
+            ),
+            "mix-levels",
+        )
+        level = sums.select("key", ((F.col("target") - F.col("full")) / F.nullif(F.col("free"), F.lit(0.0))).alias("level"))
+        now = sums.agg(F.sum("n_over")).first()[0]
+        if now is None or now == before:
+            return level.select("key", F.coalesce("level", F.lit(float(1 << 60))).alias("level"))
+        before = now
+
+
 def _with_rank(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Rows with their source's figures and, in ``rank``, their random odds divided by the inclusion odds.
+    """Rows with their source's figures, their certain copies and the probability of one more, and their rank.
 
-    The quotient q is kept as q / (1 + q), which orders alike and lies between 0 and 1.
+    The rank is the random odds divided by the inclusion odds.  The quotient q is kept as q / (1 + q), which
+    orders alike and lies between 0 and 1; rows that have no part of a copy left have no rank.
     """
+    rows = with_group(rows, sources, ["key"], "n")
     part = F.col("part")
     odds = F.col("chance") * (1 - part)
     place = odds / (odds + part * (1 - F.col("chance")))
     rank = F.least(F.floor(place * float(1 << RANK_BITS)), F.lit((1 << RANK_BITS) - 1)).cast("long")
-    return with_group(rows, sources, ["key"], "n").withColumn("rank", rank)
+    return (
+        rows.withColumn("expected", _expected(F.col("level"), F.col("power"), F.col("most")))
+        .withColumn("whole", F.floor("expected").cast("long"))
+        .withColumn("part", F.col("expected") - F.col("whole"))
+        .withColumn("rank", F.when(part > 0, rank))
+    )
 
 
 def _cutoffs(ranked: DataFrame) -> DataFrame:
@@ -140,23 +195,53 @@ def _cutoffs(ranked: DataFrame) -> DataFrame:
     return found.unionByName(last)
 
 
+def _closing(drawn: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Per source the ranks that leave and join the sample, so that its words come nearest to the target, and the words missing then.
+
+    At most one document of each: of all sizes in the sample and outside it, with none as a size of 0, the two that
+    make up best for the words still missing, the smaller ones on a tie.  Of a size the last in the sample leaves and
+    the first outside joins.  Documents are counted by size first, so a source brings no more rows than it has sizes.
+    """
+    sizes = drawn.filter("size > 0").groupBy("key", "size", "first").agg(
+        F.max("rank").alias("last"), F.min("rank").alias("next"), F.max("room").alias("room")
+    )
+    none = F.lit(None).cast("long")
+    outs = sizes.filter("first").select("key", (F.col("room") + F.col("size")).alias("at"), F.struct("size", F.col("last").alias("rank")).alias("out"))
+    outs = outs.unionByName(cuts.select("key", F.col("room").alias("at"), F.struct(F.lit(0).cast("long").alias("size"), none.alias("rank")).alias("out")))
+    ins = sizes.filter("NOT first").select("key", F.col("size").cast("double").alias("at"), F.struct("size", F.col("next").alias("rank")).alias("joins"))
+    ins = ins.unionByName(cuts.select("key", F.lit(0.0).alias("at"), F.struct(F.lit(0).cast("long").alias("size"), none.alias("rank")).alias("joins")))
+    order = Window.partitionBy("key").orderBy("at")
+    below = F.last("joins", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    above = F.first("joins", ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    pairs = outs.unionByName(ins, allowMissingColumns=True).withColumns({"below": below, "above": above}).filter("out IS NOT NULL")
+    each = pairs.select("key", "at", "out", F.explode(F.array("below", "above")).alias("joins")).filter("joins IS NOT NULL")
+    choice = F.struct(
+        F.abs(F.col("at") - F.col("joins.size")).alias("far"), F.col("out.size").alias("o"), F.col("joins.size").alias("i"),
+        F.col("out.rank").alias("leaves"), F.col("joins.rank").alias("joins"),
+    )
+    best = each.select("key", choice.alias("best"), (F.col("at") - F.col("joins.size")).alias("now"))
+    return best.groupBy("key").agg(F.min_by(F.struct("best", "now"), "best").alias("of")).select("key", "of.best.leaves", "of.best.joins", "of.now")
+
+
 def mixing_plan(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 20240229,
+    power: float = POWER,
     id: str = "doc_id",
     text: str = "text",
     source: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
     """The rows (id, key, size, chance) and per source what decides how often each is taken.
 
-    A source whose target is t times its size takes every document floor(t) times.  For what is left, each
-    document has the same inclusion probability t - floor(t); the documents are ordered by random odds
-    divided by inclusion odds and taken while their words fit (a fixed size in words).  One more step
-    closes the sample if that brings it nearer to the target: a further document is added, the one whose size is
-    nearest to the words still missing, or the first that did not fit is, and one taken before makes room.
+    A document of s words is expected to be taken ``level * s ** power`` times, ``most`` at most, where its source's
+    level is such that the words add up to the target.  The whole part of it are certain copies, the rest the
+    probability of one more; the documents are ordered by random odds divided by inclusion odds and taken while
+    their words fit (a fixed size in words).  Where one does not fit, those behind it that do are taken in turn, ``TURNS``
+    times in all, while more than ``NEAR`` of the target is missing.  ``CLOSINGS`` more steps close the sample where that brings it nearer to the target: one document
+    joins it, one leaves, or both.
     """
     rows = stored(
         docs.select(
@@ -167,40 +252,51 @@ def mixing_plan(
         ),
         "mix-rows",
     )
-    t = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    whole = F.floor(t).cast("long")
+    targets = stored(source_targets(rows, weights, share, most), "mix-targets")
+    sizes = stored(rows.groupBy("key", "size").agg(F.count("*").alias("n")), "mix-by-size")
+    levels = source_levels(sizes, targets, power, most)
+    certain = sizes.join(levels, "key").groupBy("key").agg(
+        F.max("level").alias("level"), F.sum(F.floor(_expected(F.col("level"), F.lit(float(power)), F.lit(float(most)))) * F.col("size") * F.col("n")).alias("certain")
+    )
     sources = stored(
-        source_targets(rows, weights, share, most)
-        .withColumn("whole", whole)
-        .withColumn("part", t - whole)
-        .withColumn("rest", F.col("target") - whole * F.col("source_size")),
-        "mix-targets",
+        targets.join(certain, "key").select(
+            "key", "source_size", "n", "target", "level", F.lit(float(power)).alias("power"), F.lit(float(most)).alias("most"),
+            F.greatest(F.col("target") - F.col("certain"), F.lit(0.0)).alias("rest"),
+        ),
+        "mix-sources",
     )
-    ranked = stored(_with_rank(rows, sources), "mix-ranked")
-    cuts = stored(_cutoffs(ranked), "mix-cutoffs")
-    sized = cuts.join(sources.select("key", F.col("n").alias("rows")), "key")
+    ranked = stored(_with_rank(rows, sources).filter("rank IS NOT NULL"), "mix-ranked")
     narrow = ranked.select("key", "rank", "size")
-    first_out = with_group(narrow, sized, ["key"], "rows").filter(F.col("rank") == F.col("cut"))
-    sized = stored(sized.join(first_out.groupBy("key").agg(F.sum("size").alias("next")), "key", "left"), "mix-sized")
-    adds = F.col("rank") >= F.col("cut")
-    far = F.abs(F.when(adds, F.col("size") - F.col("room")).otherwise(F.col("next") - F.col("room") - F.col("size")))
-    closing = (
-        with_group(narrow, sized, ["key"], "rows")
-        .filter(far < F.col("room"))
-        .groupBy("key")
-        .agg(F.min(F.struct(far.alias("far"), (~adds).alias("swap"), "rank")).alias("best"))
-        .select("key", F.col("best.rank").alias("closing"), F.col("best.swap").alias("swap"))
-    )
-    plan = stored(sources.join(cuts.drop("room"), "key").join(closing, "key", "left"), "mix-plan")
+    step = "array<struct<from:bigint,until:bigint,room:double>>"
+    drawn = sources.select("key", F.col("n").alias("rows"), F.lit(0).cast("long").alias("from"), F.col("rest").alias("room"), F.array().cast(step).alias("steps"), (F.col("target") * NEAR).alias("enough"))
+    for _ in range(TURNS):
+        fits = (F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")) & (F.col("room") > F.col("enough"))
+        left = with_group(narrow, stored(drawn, "mix-drawn"), ["key"], "rows").filter(fits)
+        cuts = _cutoffs(left.select("key", "rank", "size", F.col("room").alias("rest"))).withColumnRenamed("room", "now")
+        until = F.coalesce("cut", "from")
+        done = F.struct("from", until.alias("until"), "room")
+        drawn = drawn.join(stored(cuts, "mix-cutoffs"), "key", "left").select(
+            "key", "rows", "enough", until.alias("from"), F.coalesce("now", "room").alias("room"), F.concat("steps", F.array(done)).cast(step).alias("steps")
+        )
+    drawn = stored(drawn.withColumn("swapped", F.array().cast("array<bigint>")), "mix-drawn")
+    for _ in range(CLOSINGS):
+        closing = _closing(with_group(narrow, drawn, ["key"], "rows").withColumn("first", _drawn()), drawn.select("key", "room"))
+        swapped = F.concat("swapped", F.array_compact(F.array("leaves", "joins")))
+        drawn = drawn.join(closing, "key", "left").select("key", "rows", "steps", F.coalesce(swapped, "swapped").alias("swapped"), F.coalesce("now", "room").alias("room"))
+        drawn = stored(drawn, "mix-drawn")
+    plan = stored(sources.join(drawn.select("key", "steps", "swapped"), "key"), "mix-plan")
     return rows, plan
 
 
+def _drawn() -> Column:
+    """Whether a ranked row was taken in one of the turns, turned over as often as it was swapped afterwards."""
+    rank, size = F.col("rank"), F.col("size")
+    taken = F.exists("steps", lambda s: (rank >= s["from"]) & (rank < s["until"]) & (size <= s["room"]))
+    return taken != (F.size(F.filter("swapped", lambda x: x == rank)) % 2 == 1)
+
+
 def _copies() -> Column:
-    closes = F.col("rank") == F.coalesce("closing", F.lit(-1))
-    swap = F.coalesce("swap", F.lit(False))
-    first = F.col("rank") < F.col("cut")
-    taken = (first & ~(swap & closes)) | (~swap & closes) | (swap & (F.col("rank") == F.col("cut")))
-    return F.col("whole") + F.when(taken & (F.col("part") > 0), 1).otherwise(0)
+    return F.col("whole") + F.when(F.col("rank").isNotNull() & _drawn(), 1).otherwise(0)
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
@@ -226,7 +322,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     _, plan = mixing_plan(docs, **options)
     whole_row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
     rows = docs.select(
-        whole_row, _source_key(quoted(source)).alias("key"), _chance(quoted(id), quoted(text), seed).alias("chance")
+        whole_row, _source_key(quoted(source)).alias("key"), _size(quoted(text)).alias("size"), _chance(quoted(id), quoted(text), seed).alias("chance")
     )
     taken = _with_rank(rows, plan).withColumn("copies", _copies().cast("int")).filter("copies > 0")
     return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
