@@ -171,3 +171,73 @@ def test_query_covers_documents_without_the_value(spark, docs_of, tmp_path):
     docs_of(*corpus(), "Nothing said by Zanzibar here").write.parquet(f"{tmp_path}/documents.parquet")
     found = {r.doc_id: r.spans for r in op5_pii(spark, str(tmp_path)).collect()}
     assert found[310].endswith(":16:24") and all(found[k] == "" for k in range(300))
+
+
+def plain_spans(rows, everywhere, generalise=0.8, remove=0.95, least=2):
+    """All spans of (id, text) rows by the definition, as ``private_digest`` writes them."""
+    import math
+    from collections import Counter, defaultdict
+
+    def without(line):
+        for pattern in PLAIN.values():
+            line = re.sub(pattern, " ", line, flags=re.ASCII)
+        return set(re.findall(r"[^\W_]+", line.lower()))
+
+    def values(text):
+        plain = {"email": str.lower, "ip": str, "card": lambda m: re.sub("[^0-9]", "", m), "phone": lambda m: re.sub("[^0-9]", "", m)}
+        return {f"{k}:{plain[k](text[a:b])}" for k, a, b in brute(text)}
+
+    n_term, n_value, n_both, units, total = Counter(), Counter(), Counter(), defaultdict(set), 0
+    for _, text in rows:
+        lines = (text or "").split("\n")
+        held = [values(line) for line in lines]
+        for k, line in enumerate(lines):
+            total += 1
+            n_term.update(set(re.findall(r"[^\W_]+", line.lower())))
+            around = None if held[k] else (lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None)
+            for value in held[k].union(*held[max(k - 1, 0) : k], *held[k + 1 : k + 2]):
+                n_value[value] += 1
+                for term in without(line):
+                    n_both[value, term] += 1
+                    units[value, term].add((line, around))
+    told = defaultdict(dict)
+    for (value, term), n in n_both.items():
+        known = math.log2(total / n_value[value])
+        if len(units[value, term]) >= least and known:
+            share = math.log2(n * total / (n_value[value] * n_term[term])) / known
+            if share >= generalise:
+                told[value][term] = "removed" if share >= remove else "general"
+    out = []
+    for i, text in rows:
+        text = text or ""
+        base, wanted = brute(text), {}
+        for value, terms in told.items():
+            if everywhere or value in {f"{k}:{v}" for k, v in ((x.split(":", 1)) for x in values(text))}:
+                for term, action in terms.items():
+                    wanted[term] = max(action, wanted.get(term, ""))
+        own = [(wanted[m[0].lower()], *m.span()) for m in re.finditer(r"[^\W_]+", text) if m[0].lower() in wanted]
+        own = [s for s in own if not any(a < s[2] and b > s[1] for _, a, b in base)]
+        spans = base + sorted(s for s in own if s[0] == "general") + sorted(s for s in own if s[0] == "removed")
+        out.append((i, ",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
+    return out
+
+
+@pytest.mark.parametrize("everywhere", [False, True])
+def test_spans_by_brute_force(spark, docs_of, everywhere):
+    quux = [f"Quuxley wrote to quux@example.com about item{k}" for k in range(2)] + ["Quuxley alone in the hall"]
+    zan = ["ask zanzibarovich at zed@example.com now", "thing\nzanzibarovich again\nzed@example.com", "Zanzibarovich is gone, ZANZIBAROVICH!"]
+    noise = [f"line {k} of other things about item{k % 40}" for k in range(200)]
+    docs = docs_of(*corpus(), *quux, *zan, *noise, None, "", "1.2.3.4 Zanzibar\n1.2.3.4")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = private_digest(find_private(docs, everywhere=everywhere)).select("doc_id", "spans")
+    expected = plain_spans(rows, everywhere)
+    assert bag(found.collect()) == bag(expected)
+    texts = {text[int(a) : int(b)] for (_, text), (_, spans) in zip(rows, expected) for _, a, b in (s.split(":") for s in spans.split(",") if s)}
+    assert {"Quuxley", "zanzibarovich", "Zanzibar"} <= texts
+
+
+def test_spans_of_documents_by_brute_force(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect() if (r.text or "").isascii()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = private_digest(find_private(docs, everywhere=True)).select("doc_id", "spans")
+    assert bag(found.collect()) == bag(plain_spans(rows, True))

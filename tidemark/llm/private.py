@@ -7,16 +7,12 @@ IC(e) = log2(n / n(e)) and what t discloses of it is PMI(e, t) = log2(n(e, t) n
 share of IC, the term all but names the value: it is generalised, and beyond a second share
 removed, in the documents that hold e or, if asked for, wherever it stands.
 
-Every term in a context is judged, and chance must be an unlikely reason: of all pairs of a value and a word of the
-corpus, fewer than ``CHANCE`` in all may be expected to meet as often if words fell on lines at random.  Here copies
-are no evidence: lines count once for each two neighbours they stand between, and those that hold a
-value once in all.
+Every term in a context is judged by these thresholds alone.  What meets a value in a single line, in whatever number of
+copies, is no co-occurrence of the corpus but one text: ``least_lines`` asks for two different ones.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,9 +22,7 @@ from .shared import free, quoted, stored
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"[\p{L}\p{N}]+"
 #: Terms that disclose are broadcast up to this number, and otherwise joined with the words of all documents.
-BROADCAST_TERMS = 50_000
-#: Pairs of values and words that may be expected to pass by chance, by Chernoff's bound.
-CHANCE = 0.05
+BROADCAST_TERMS = 200_000
 
 # The patterns allow what their plain forms allow.  Possessive quantifiers keep Java from recursing over long
 # runs, and the look-behinds from trying every start within a run that cannot match: a match starts where
@@ -170,40 +164,39 @@ def _lines(found: DataFrame) -> DataFrame:
     )
 
 
-def disclosing_terms(found: DataFrame, least_lines: int = 1, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+def _term_lines(found: DataFrame) -> DataFrame:
+    """term and the number of lines that hold it, over all documents; the empty term stands for the line itself."""
+    line = found.select(F.explode(F.split("text", "\n")).alias("line"))
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))
+    return line.select(F.explode(F.array_append(terms, "")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+
+
+def disclosing_terms(found: DataFrame, least_lines: int = 2, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """Terms and what they reveal: value, term, action (general or removed).
 
-    Every term in a context of a value is judged, by the lines of all documents.  ``least_lines`` asks for so many
-    different lines with both besides.
+    Every term in a context of a value is judged that meets it in ``least_lines`` different lines.  Lines differ in their
+    text or in their neighbours; those that hold a value themselves, in their text alone.
     """
     contexts = stored(
         _lines(found.filter("matched")).filter(F.size("values") > 0).groupBy("line", "around", "values").agg(F.count("*").alias("n")),
         "private-lines",
     )
     beside = contexts.select(F.explode("values").alias("value"), F.xxhash64("line", "around").alias("unit"), "line", "n")
-    per_value = beside.groupBy("value").agg(F.sum("n").alias("n_value"), F.count_distinct("unit").alias("value_lines"))
-    per_value = stored(per_value, "private-values")
+    per_value = stored(beside.groupBy("value").agg(F.sum("n").alias("n_value")), "private-values")
     pairs = (
         beside.select("value", "unit", "n", F.explode(_terms(F.col("line"))).alias("term"))
         .groupBy("value", "term")
         .agg(F.sum("n").alias("n_both"), F.count_distinct("unit").alias("both_lines"))
+        .filter(F.col("both_lines") >= least_lines)
     )
-    # the empty term stands for the line itself
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))
-    words = _lines(found).groupBy("line", "around").agg(F.count("*").alias("n")).select(F.explode(F.array_append(terms, "")).alias("term"), "n")
-    per_term = stored(words.groupBy("term").agg(F.sum("n").alias("n_term"), F.count("*").alias("term_lines")), "private-terms")
+    per_term = stored(_term_lines(found), "private-terms")
     whole = per_term.filter("term = ''").first()
-    total, lines = (F.lit(float(k)) for k in (whole[1:] if whole else (0, 0)))
-    unlikely = math.log(max(per_value.count() * (per_term.count() - 1), 1) / CHANCE)
-    chance, both = F.col("value_lines") / lines, F.col("both_lines") / F.col("term_lines")
-    apart = F.when(both < 1, (1 - both) * F.ln((1 - both) / (1 - chance))).otherwise(0.0)
+    total = F.lit(float(whole.n_term if whole else 0))
     told = F.log2(F.col("n_both") * total / (F.col("n_value") * F.col("n_term")))
     share = told / F.nullif(F.log2(total / F.col("n_value")), F.lit(0.0))
     return (
-        pairs.filter(F.col("both_lines") >= least_lines)
-        .join(per_term, "term")
+        pairs.join(per_term, "term")
         .join(per_value, "value")
-        .filter((both > chance) & (F.col("term_lines") * (both * F.ln(both / chance) + apart) >= unlikely))
         .withColumn("share", share)
         .filter(F.col("share") >= generalise)
         .select("value", "term", F.when(F.col("share") >= remove, "removed").otherwise("general").alias("action"))
@@ -225,26 +218,26 @@ def term_spans(found: DataFrame, base: DataFrame, told: DataFrame, everywhere: b
     else:
         held = base.select("row", F.concat_ws(":", "kind", "value").alias("value")).distinct()
         wanted = held.join(told, "value").groupBy("row", "term").agg(F.max("action").alias("action"))
-    texts = found.select("row", "text").join(wanted.select("row").distinct(), "row")
-    match = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
-    # zipped before they are exploded: what stands beside a generator is made again for every word
-    gap = F.transform(F.split("text", TERM, -1), F.length)
-    size = F.length("word")
-    until = F.sum(F.col("gap") + size).over(Window.partitionBy("row").orderBy("at"))
-    words = (
-        texts.select("row", F.posexplode(F.arrays_zip(gap.alias("gap"), match.alias("word"))).alias("at", "of"))
-        .select("row", "at", "of.gap", "of.word")
-        .select("row", F.lower("word").alias("term"), (until - size).cast("long").alias("start"), until.cast("long").alias("end"))
-    )
+    entry = "array<struct<order:int,kind:string,start:bigint,end:bigint>>"
+    per_row = wanted.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("wanted"))
     taken = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
-    overlap = F.exists("taken", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    clear = ~F.coalesce(overlap, F.lit(False))
-    return (
-        words.join(wanted, ["row", "term"])
-        .join(taken, "row", "left")
-        .filter(clear)
-        .select("row", F.when(F.col("action") == "general", len(KINDS)).otherwise(len(KINDS) + 1).alias("order"), F.col("action").alias("kind"), "start", "end")
-    )
+    gaps = F.transform(F.split("text", TERM, -1), F.length).alias("gap")
+    words = F.arrays_zip(gaps, F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("word"))
+    texts = found.select("row", "text").join(per_row, "row").join(taken, "row", "left").select("row", "wanted", "taken", words.alias("words"))
+
+    def step(done: Column, x: Column) -> Column:
+        """One word further: where it ends, and the spans with that of the word if it is wanted."""
+        start = done["at"] + x["gap"]
+        end = start + F.coalesce(F.length(x["word"]), F.lit(0))
+        action = F.try_element_at("wanted", F.lower(x["word"]))
+        order = F.when(action == "general", len(KINDS)).otherwise(len(KINDS) + 1)
+        span = F.struct(order.cast("int").alias("order"), action.alias("kind"), start.alias("start"), end.alias("end"))
+        hit = action.isNotNull() & ~F.coalesce(F.exists("taken", lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(False))
+        return F.struct(end.alias("at"), F.when(hit, F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).cast(entry).alias("spans"))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(entry).alias("spans"))
+    spans = F.aggregate("words", start, step, lambda done: done["spans"])
+    return texts.select("row", F.explode(spans).alias("of")).select("row", "of.order", "of.kind", "of.start", "of.end")
 
 
 def _joined(spans: Column) -> Column:
