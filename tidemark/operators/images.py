@@ -16,10 +16,11 @@ def log_position(source: T.StructType = SOURCE) -> Column:
     numbers.  Rows of one log event share ``pos`` and are told apart by ``row``, if the source has it.
     """
     file = F.col("source.file")
+    series = F.rtrim(file, F.lit("0123456789"))
     parts = [
         F.col("source.ts_ms").alias("ts_ms"),
-        F.regexp_replace(file, "[0-9]+$", "").alias("series"),
-        F.regexp_extract(file, "([0-9]+)$", 1).try_cast("bigint").alias("number"),
+        series.alias("series"),
+        F.substring(file, F.length(series) + 1, F.length(file)).try_cast("bigint").alias("number"),
         file.alias("file"),
         F.col("source.pos").try_cast("bigint").alias("pos"),
     ]
