@@ -100,3 +100,23 @@ def test_rows_that_repeat_an_id_are_told_apart(spark):
     assert left.schema == df.schema
     assert bag(tuple(r)[:3] for r in left.collect()) == bag([rows[0], *rows[2:]])
     assert vector_dedup(df.limit(0)).count() == 0
+
+
+def test_blocks_meet_by_cell(spark):
+    """Every two blocks whose boxes are near enough meet once, and no others."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(120):
+        at = rng.uniform(-1, 1, vectors.BOX)
+        side = rng.choice([0.01, 0.1, 0.5], vectors.BOX)
+        rows.append((k, str(k % 2), 64, (at - side).tolist(), (at + side).tolist()))
+    blocks = spark.createDataFrame(rows, "block long, label string, size int, low array<double>, high array<double>")
+    for threshold in (0.98, 0.5, 0.9999):
+        found = [(r.i, r.j) for r in vectors._tiles(blocks, threshold).collect()]
+        expected = set()
+        for a, la, _, low_a, high_a in rows:
+            for b, lb, _, low_b, high_b in rows[a:]:
+                gaps = np.maximum(np.maximum(np.array(low_b) - high_a, np.array(low_a) - high_b), 0)
+                if la == lb and (gaps**2).sum() <= 2 * (1 - threshold) + 1e-9:
+                    expected.add((a, b))
+        assert len(found) == len(set(found)) and set(found) == expected

@@ -1,7 +1,8 @@
 """Near-duplicate vectors by tiled comparison along principal axes.
 
 Unit vectors are turned onto their principal axes, so that the leading coordinates carry most of a product.
-Sorted by label and first coordinate they are cut into blocks; blocks whose boxes on the leading axes lie
+Sorted by label, strip of the first coordinate and second coordinate they are cut into blocks; blocks meet in the
+cells of a grid over these two axes, and those whose boxes on the leading axes lie
 too far apart are not compared.  Within a tile of two blocks the leading axes are multiplied first: what
 the remaining ones can add is at most the product of the remaining norms, and a pair that cannot reach the
 threshold with it is dropped before the next axes are read.
@@ -30,6 +31,8 @@ BLOCK = 1024
 STRIPE = 128
 #: Leading axes whose boxes decide which blocks meet.
 BOX = 4
+#: Least width of a cell on the first two axes.
+CELL = 0.05
 #: Axes that are read at a time.
 STEP = 16
 #: Allows for rounding where a bound drops a pair; the links are decided on the given numbers.
@@ -63,19 +66,27 @@ def _turned(raw: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
     return units @ axes[raw.shape[1]] if raw.shape[1] in axes else units
 
 
-def _blocks(classes: DataFrame, axes, kind: str) -> DataFrame:
-    """Packed blocks: block, label, size, n, box_low, box_high, c, mult, vectors."""
+def _cell(threshold: float) -> float:
+    """Width of a cell: unit vectors that reach the threshold are no further apart on any axis, or it is the least width."""
+    return max((2 * (1 - threshold)) ** 0.5, CELL)
+
+
+def _blocks(classes: DataFrame, axes, kind: str, threshold: float) -> DataFrame:
+    """Packed blocks: block, label, size, low and high (the box on the leading axes), c, mult, vectors."""
+    width = _cell(threshold)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for size, part in batch.groupby(batch.vector.map(len)):
                 raw = np.array(part.vector.tolist(), kind)
                 packed = [row.tobytes() for row in raw]
+                turned = _turned(raw, axes.value)
+                strip = np.floor(turned[:, 0] / width).astype(np.int32)
                 yield pd.DataFrame(
-                    {"c": part.c, "label": part.label, "mult": part["mult"], "size": size, "first": _turned(raw, axes.value)[:, 0], "packed": packed}
+                    {"c": part.c, "label": part.label, "mult": part["mult"], "size": size, "strip": strip, "second": turned[:, min(1, size - 1)], "packed": packed}
                 )
 
-    schema = "c long, label string, mult long, size int, first double, packed binary"
+    schema = "c long, label string, mult long, size int, strip int, second double, packed binary"
     placed = stored(classes.select("c", F.col("label").cast("string").alias("label"), "mult", "vector").mapInPandas(place, schema), "vector-places")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,15 +118,31 @@ def _blocks(classes: DataFrame, axes, kind: str) -> DataFrame:
             }
         )
 
-    ordered = placed.repartitionByRange("label", "size", "first").sortWithinPartitions("label", "size", "first")
+    order = ["label", "size", "strip", "second"]
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     packed = ordered.mapInPandas(pack, "label string, size int, low array<double>, high array<double>, c binary, mult binary, vectors binary")
     return stored(packed.withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
 
 
 def _tiles(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (i, j) of blocks, i <= j, that may hold a link: their boxes are as near as unit vectors must be."""
+    """Pairs (i, j) of blocks, i <= j, that may hold a link: their boxes are as near as unit vectors must be.
+
+    Blocks are listed in the cells of the first two axes that their boxes touch, one of the two widened by the distance
+    allowed, and joined by cell, so that a frequent label does not bring all pairs of its blocks together.  A pair is
+    taken in the first cell that both are in.
+    """
+    width, reach = _cell(threshold), (2 * (1 - threshold)) ** 0.5 + SLACK
     box = blocks.select("block", "label", "size", "low", "high")
-    one, two = (box.select("label", "size", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high")]) for k in "ij")
+
+    def listed(k: str, more: float) -> DataFrame:
+        named = box.select("label", "size", *[F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high")])
+        for axis in (0, 1):
+            first = F.floor((F.col(f"low_{k}")[axis] - more) / width).cast("int")
+            last = F.floor((F.col(f"high_{k}")[axis] + more) / width).cast("int")
+            named = named.withColumn(f"from_{axis}_{k}", first).withColumn(f"cell_{axis}", F.explode(F.sequence(first, last)))
+        return named
+
+    one, two = listed("i", reach), listed("j", 0.0)
     apart = F.lit(0.0)
     for k in range(BOX):
         gap = F.greatest(
@@ -123,7 +150,9 @@ def _tiles(blocks: DataFrame, threshold: float) -> DataFrame:
         )
         apart = apart + gap * gap
     near = (F.col("block_i") <= F.col("block_j")) & (apart <= 2 * (1 - threshold) + SLACK)
-    return one.join(two, ["label", "size"]).filter(near).select(F.col("block_i").alias("i"), F.col("block_j").alias("j"))
+    for axis in (0, 1):
+        near = near & (F.col(f"cell_{axis}") == F.greatest(F.col(f"from_{axis}_i"), F.col(f"from_{axis}_j")))
+    return one.join(two, ["label", "size", "cell_0", "cell_1"]).filter(near).select(F.col("block_i").alias("i"), F.col("block_j").alias("j"))
 
 
 def near_pairs(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +243,7 @@ def _grouped(rows: DataFrame, threshold: float, id: str, vector: str, label: str
         classes = classes.withColumn("vector", F.col("vector").cast("array<double>"))
         good = good.withColumn("vector", F.col("vector").cast("array<double>"))
     axes = spark.sparkContext.broadcast(_axes(classes))
-    links = stored(_links(_blocks(classes, axes, kind), axes, kind, threshold), "vector-links")
+    links = stored(_links(_blocks(classes, axes, kind, threshold), axes, kind, threshold), "vector-links")
     labels = components(links.filter("b IS NOT NULL").select("a", "b"))
     counts = links.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("others"))
     known = stored(
