@@ -68,6 +68,16 @@ def test_filter_of_repeated_keys(spark):
     assert {r.k for r in twice.collect()} <= found and len(found) < 800
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_reports_merged_in_shares(spark, monkeypatch, repeated):
+    """The same filter, whether a segment's reports are merged by one task or by several first."""
+    keys = spark.range(0, 40_000, 1, 9).select(F.xxhash64(F.col("id") % 30_000).alias("k"))
+    whole = bloom.build(keys, 40_000, repeated=repeated)
+    monkeypatch.setattr(bloom, "TOGETHER", 1 << 13)
+    shared = bloom.build(keys, 40_000, repeated=repeated)
+    assert np.array_equal(whole.words, shared.words) and whole.words.any()
+
+
 def test_filter_of_nothing_and_nulls(spark):
     nothing = bloom.build(spark.createDataFrame([], "k long"), 0)
     rows = spark.createDataFrame([(None,), (1,)], "k long")

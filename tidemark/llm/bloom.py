@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ MAX_BYTES = 64 << 20
 CELLS_PER_KEY = 16
 #: Words that are merged together.
 SEGMENT = 1 << 14
+#: Cells that one task merges, about.
+TOGETHER = 1 << 26
 #: Keys that a task gathers before it reports their cells.
 GATHERED = 1 << 18
 
@@ -63,6 +66,10 @@ class Filter:
         self.words = words
         self.shared = spark.sparkContext.broadcast(words)
 
+    def destroy(self) -> None:
+        """Frees the filter on all executors, once nothing that asks it will run again."""
+        self.shared.destroy()
+
     def may_hold(self, key: Column) -> Column:
         """False only for keys that the filter was not given; null for null."""
         shared = self.shared
@@ -93,11 +100,15 @@ def build(
 ) -> Filter:
     """The filter of the only column of ``keys`` (long; nulls are left out), about ``rows`` of them.
 
-    ``keys_of`` instead takes batches of any columns and gives their keys, piece by piece.  With ``repeated`` it holds the keys that occur at least twice: cells count up to two, task by
-    task and then by segment, and those set twice stay.  No key leaves its task, only cells do.
+    ``keys_of`` instead takes batches of any columns and gives their keys, piece by piece.  With ``repeated`` it holds
+    the keys that occur at least twice: cells count up to two, task by task and then by segment, and those set twice
+    stay.  No key leaves its task, only cells do.  Where a segment has very many, shares of its reports are merged
+    first, so that no task gets all of them.
     """
     spark = keys.sparkSession
     words = int(min(max(rows * CELLS_PER_KEY // 64, 64), max_bytes // 8))
+    segments = -(-words // SEGMENT)
+    salts = max(1, -(-4 * rows // (segments * TOGETHER)))
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -118,25 +129,42 @@ def build(
         at = np.flatnonzero(np.diff(segment, prepend=-1))
         for a, b in zip(at, [*at[1:], len(segment)]):
             steps = np.diff(code[a:b], prepend=np.uint32(0)).astype(np.uint32)
+            salt = TaskContext.get().partitionId() % salts
             yield pa.RecordBatch.from_arrays(
-                [pa.array([segment[a]], pa.int32()), pa.array([zlib.compress(steps.tobytes(), 1)], pa.binary())],
-                ["segment", "cells"],
+                [pa.array([segment[a]], pa.int32()), pa.array([salt], pa.int32()), pa.array([zlib.compress(steps.tobytes(), 1)], pa.binary())],
+                ["segment", "salt", "cells"],
             )
 
-    def merged(parts: pd.DataFrame) -> pd.DataFrame:
+    def counted(parts: pd.DataFrame) -> np.ndarray:
         seen = np.zeros(64 * SEGMENT, np.uint8)
         for part in parts.cells:
             code = np.cumsum(np.frombuffer(zlib.decompress(part), np.uint32), dtype=np.uint32)
             seen[code >> 1] = np.minimum(seen[code >> 1] + 1 + (code & 1), 2).astype(np.uint8)
-        plane = np.packbits(seen > repeated, bitorder="little").tobytes()
-        return pd.DataFrame({"segment": [int(parts.segment.iloc[0])], "plane": [zlib.compress(plane, 1)]})
-
-    planes = (
-        keys.mapInArrow(report, "segment int, cells binary")
-        .groupBy("segment")
-        .applyInPandas(merged, "segment int, plane binary")
-    )
-    out = np.zeros(-(-words // SEGMENT) * SEGMENT, np.uint64)
-    for segment, plane in planes.toLocalIterator():
+        return seen
+
+    def plane(parts: pd.DataFrame, seen: np.ndarray) -> pd.DataFrame:
+        bits = np.packbits(seen > repeated, bitorder="little").tobytes()
+        return pd.DataFrame({"segment": [int(parts.segment.iloc[0])], "plane": [zlib.compress(bits, 1)]})
+
+    def merged(parts: pd.DataFrame) -> pd.DataFrame:
+        return plane(parts, counted(parts))
+
+    def share(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"segment": [int(parts.segment.iloc[0])], "seen": [zlib.compress(counted(parts).tobytes(), 1)]})
+
+    def joined(parts: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(64 * SEGMENT, np.uint8)
+        for part in parts.seen:
+            seen = np.minimum(seen + np.frombuffer(zlib.decompress(part), np.uint8), 2)
+        return plane(parts, seen)
+
+    reports = keys.mapInArrow(report, "segment int, salt int, cells binary")
+    if salts > 1:
+        shares = reports.repartition(segments * salts, "segment", "salt").groupBy("segment", "salt").applyInPandas(share, "segment int, seen binary")
+        planes = shares.repartition(segments, "segment").groupBy("segment").applyInPandas(joined, "segment int, plane binary")
+    else:
+        planes = reports.repartition(segments, "segment").groupBy("segment").applyInPandas(merged, "segment int, plane binary")
+    out = np.zeros(segments * SEGMENT, np.uint64)
+    for segment, plane in planes.collect():  # one job; ``max_bytes`` at most
         out[segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(zlib.decompress(plane), np.uint64)
     return Filter(spark, out[:words].copy())
