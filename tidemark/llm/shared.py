@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
     "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
 }
+#: Folders of the tables stored by this process that may still be there.
+_MADE: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +49,22 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As ``stored``, with the folder, for tables that are dropped before the query ends."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    _MADE.append(path)
     df = df.coalesce(max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, estimated_bytes(df) // FILE_BYTES))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, stored; the tables that it stored on the way are removed then."""
+    before = len(_MADE)
+    df = make()
+    out, path = stored_at(df, name)
+    drop(df.sparkSession, *(other for other in _MADE[before:] if other != path))
+    _MADE[before:] = [path]
+    return out
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """What Spark expects the rows to take, cut at what a number of files can be."""
     return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), FILE_BYTES << 24)
