@@ -10,7 +10,7 @@ from tidemark.llm.exact import exact_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.near import near_dedup
 from tidemark.llm.quality import keep_good, train
-from tidemark.llm.shared import stored, table
+from tidemark.llm.shared import stored_alone, table
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written before the next reads them."""
+    """All stages over ``documents``; each one's rows are written before the next reads them, and what led to them is removed."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = stored_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
