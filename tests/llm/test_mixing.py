@@ -138,7 +138,9 @@ def brute_copies(rows, target):
         else:
             left = []
     left = [i for i in order if i not in taken]
-    for _ in range(mixing.CLOSINGS):
+    for turn in range(mixing.CLOSINGS):
+        if turn and abs(room) <= mixing.NEAR * target:
+            break
         taken, left = ([i for i in order if (i in taken) == here] for here in (True, False))
         outs, ins = ({0: None} | {rows[i][0]: i for i in own if rows[i][0]} for own in (taken, left[::-1]))
         _, o, i = min((abs(room + o - i), o, i) for o in outs for i in ins)

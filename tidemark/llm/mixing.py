@@ -240,8 +240,8 @@ def mixing_plan(
     level is such that the words add up to the target.  The whole part of it are certain copies, the rest the
     probability of one more; the documents are ordered by random odds divided by inclusion odds and taken while
     their words fit (a fixed size in words).  Where one does not fit, those behind it that do are taken in turn, ``TURNS``
-    times in all, while more than ``NEAR`` of the target is missing.  ``CLOSINGS`` more steps close the sample where that brings it nearer to the target: one document
-    joins it, one leaves, or both.
+    times in all, while more than ``NEAR`` of the target is missing.  Then one document joins the sample, one leaves, or both do, where that brings it nearer
+    to the target, ``CLOSINGS`` times at most while it is not within ``NEAR`` of it.
     """
     rows = stored(
         docs.select(
@@ -269,9 +269,13 @@ def mixing_plan(
     narrow = ranked.select("key", "rank", "size")
     step = "array<struct<from:bigint,until:bigint,room:double>>"
     drawn = sources.select("key", F.col("n").alias("rows"), F.lit(0).cast("long").alias("from"), F.col("rest").alias("room"), F.array().cast(step).alias("steps"), (F.col("target") * NEAR).alias("enough"))
-    for _ in range(TURNS):
-        fits = (F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")) & (F.col("room") > F.col("enough"))
-        left = with_group(narrow, stored(drawn, "mix-drawn"), ["key"], "rows").filter(fits)
+    for turn in range(TURNS):
+        drawn = stored(drawn, "mix-drawn")
+        open_ = drawn.filter("room > enough")
+        if turn and open_.isEmpty():
+            break
+        fits = (F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room"))
+        left = with_group(narrow, open_, ["key"], "rows").filter(fits)
         cuts = _cutoffs(left.select("key", "rank", "size", F.col("room").alias("rest"))).withColumnRenamed("room", "now")
         until = F.coalesce("cut", "from")
         done = F.struct("from", until.alias("until"), "room")
@@ -279,10 +283,13 @@ def mixing_plan(
             "key", "rows", "enough", until.alias("from"), F.coalesce("now", "room").alias("room"), F.concat("steps", F.array(done)).cast(step).alias("steps")
         )
     drawn = stored(drawn.withColumn("swapped", F.array().cast("array<bigint>")), "mix-drawn")
-    for _ in range(CLOSINGS):
-        closing = _closing(with_group(narrow, drawn, ["key"], "rows").withColumn("first", _drawn()), drawn.select("key", "room"))
+    for turn in range(CLOSINGS):
+        open_ = drawn.filter(F.abs("room") > F.col("enough")) if turn else drawn
+        if turn and open_.isEmpty():
+            break
+        closing = _closing(with_group(narrow, open_, ["key"], "rows").withColumn("first", _drawn()), open_.select("key", "room"))
         swapped = F.concat("swapped", F.array_compact(F.array("leaves", "joins")))
-        drawn = drawn.join(closing, "key", "left").select("key", "rows", "steps", F.coalesce(swapped, "swapped").alias("swapped"), F.coalesce("now", "room").alias("room"))
+        drawn = drawn.join(closing, "key", "left").select("key", "rows", "enough", "steps", F.coalesce(swapped, "swapped").alias("swapped"), F.coalesce("now", "room").alias("room"))
         drawn = stored(drawn, "mix-drawn")
     plan = stored(sources.join(drawn.select("key", "steps", "swapped"), "key"), "mix-plan")
     return rows, plan
