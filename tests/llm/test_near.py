@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import THUE_MORSE, WORD, bag
+from tidemark.llm import components as component_module
 from tidemark.llm import near
 from tidemark.llm.components import components, forest
 from tidemark.llm.near import band_keys, likeliest, merged, near_dedup, near_groups, sketch
@@ -184,7 +185,10 @@ def test_merged_sketch_is_that_of_the_union():
 # Components
 
 
-def test_components(spark):
+@pytest.mark.parametrize("together", [0, 50, 1 << 20])
+def test_components(spark, monkeypatch, together):
+    """All links in turns over all executors, the last of them in one task, or all of them there."""
+    monkeypatch.setattr(component_module, "TOGETHER", together)
     rng = np.random.default_rng(3)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))]
     links += [(1000 + k, 1001 + k) for k in range(60)] + [(2000, 2000 + k) for k in range(1, 300)] + [(5, 5), (7000, 7000)]

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from .shared import drop, stored_at, with_group
 
 
+#: Links that one task takes, 16 bytes each.
+TOGETHER = 1 << 20
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every node of the links but one per component, and the least node of its component."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -39,12 +43,20 @@ def _locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
+def _all_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links of a task, cut down to a forest."""
+    held = [tuple(np.asarray(column.to_numpy(zero_copy_only=False), np.int64) for column in batch.columns) for batch in batches]
+    if held:
+        a, b = forest(*(np.concatenate(x) for x in zip(*held)))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node that has a link: the least node it is connected to, itself included.
 
     ``links`` has two columns of longs.  Star contraction: in turns, every node hands its larger neighbours,
     then its smaller ones, to the least of them, until nothing changes.  The rounds grow with the
-    logarithm of the longest path.  Each round is written, and a node with very many neighbours
+    logarithm of the longest path; once no more than ``TOGETHER`` links are left, one task settles them.  Each round is written, and a node with very many neighbours
     gets the same treatment as any hot key.  Links of a node with itself make it a node.
     """
     spark = links.sparkSession
@@ -57,6 +69,11 @@ def components(links: DataFrame) -> DataFrame:
         if state[0] == 0 or state == before:
             break
         before = state
+        if state[0] <= TOGETHER:
+            last_path = path
+            pairs, path = stored_at(pairs.repartition(1).mapInArrow(_all_at_once, "a long, b long"), "components")
+            drop(spark, last_path)
+            break
         # larger neighbours go to the least neighbour or the node itself
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
