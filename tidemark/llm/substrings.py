@@ -6,8 +6,7 @@ that repeats has the same least piece wherever it stands.  Windows whose piece o
 are done with; those that survive are extended to twice the length, until none survives or the length is
 reached.  Hashes only choose candidates; at full length the words themselves decide.
 
-Exact copies are settled by their hash before that, so their pieces are not counted; windows of theirs that others
-share are listed again at full length.
+Exact copies are settled by their hash before that, so neither their pieces nor their windows are listed.
 """
 
 from __future__ import annotations
@@ -68,14 +67,11 @@ def levels(window: int, least: int = LEAST) -> list[int]:
     return out
 
 
-def _standing(text: Words, lengths: list[int], survivors: list[np.ndarray], window: int) -> np.ndarray:
-    """Places of the windows whose least pieces of all ``lengths`` are among the survivors of those."""
-    places = np.arange(max(len(text.hashes) - window + 1, 0))
-    for length, alive in zip(lengths, survivors):
-        if not len(places):
-            break
-        places = places[holds(alive, _least(text, length, window)[places])]
-    return places
+def _standing(text: Words, length: int, survivors: np.ndarray | None, window: int) -> np.ndarray:
+    """Places of the windows whose least piece of that length is among the survivors; all at the first level."""
+    if survivors is None or len(text.hashes) < window:
+        return np.arange(max(len(text.hashes) - window + 1, 0))
+    return np.flatnonzero(holds(survivors, _least(text, length, window)))
 
 
 def _least(text: Words, length: int, window: int) -> np.ndarray:
@@ -122,23 +118,25 @@ def _listed(rows: DataFrame, of_text: Callable[[Words], np.ndarray], skipped=Non
     return rows.select("doc", "text", "key").mapInArrow(run, "hash long")
 
 
-def _listed_without(keyed: DataFrame, later: DataFrame, chosen: bloom.Filter, of_text: Callable[[Words], np.ndarray]) -> DataFrame:
-    """``_listed`` for the rows that are not later copies; only those that the filter of these may hold are joined."""
+def _without(keyed: DataFrame, later: DataFrame, chosen: bloom.Filter, listing: Callable) -> DataFrame:
+    """``listing(rows, skipped)`` of the rows that are not later copies; only those that the filter of these may hold are joined."""
     first = keyed.filter(chosen.may_hold(F.col("key"))).join(later.select("key").distinct(), "key", "left_anti")
-    return _listed(keyed, of_text, chosen.shared).unionByName(_listed(first.select(*keyed.columns), of_text))
+    return listing(keyed, chosen.shared).unionByName(listing(first.select(*keyed.columns), None))
 
 
-def _windows(keyed: DataFrame, standing: Callable[[Words], np.ndarray], window: int) -> DataFrame:
+def _windows(keyed: DataFrame, standing: Callable[[Words], np.ndarray], window: int, skipped=None) -> DataFrame:
     """(digest, doc, key, place) of the windows still standing, each word sequence once a text, at its first place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if skipped is not None:
+                batch = batch.filter(pa.array(~holds(skipped.value, batch.column(2).to_numpy())))
             for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), words(batch.column(1))):
                 places = standing(text)
                 if len(places):
                     places = places[_first_ones(text, places, window)]
-                for a in range(0, len(places), 1 << 16):
-                    own = places[a : a + (1 << 16)]
+                for a in range(0, len(places), 1 << 14):
+                    own = places[a : a + (1 << 14)]
                     digests = pa.array(run_digests(text, own, window), pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [digests, pa.array(np.full(len(own), doc)), pa.array(np.full(len(own), key)), pa.array(own.astype(np.int32))],
@@ -151,12 +149,12 @@ def _windows(keyed: DataFrame, standing: Callable[[Words], np.ndarray], window:
 def _first_ones(text: Words, places: np.ndarray, window: int) -> np.ndarray:
     """Which of the windows are the first of their word sequence in the text; equal hashes are looked at word by word."""
     full = window_hashes(text.hashes, window)[places]
+    different, at = np.unique(full, return_index=True)
     first = np.zeros(len(places), bool)
-    _, at, group = np.unique(full, return_index=True, return_inverse=True)
     first[at] = True
-    again = np.flatnonzero(~first)
-    if len(again):
-        leaders = at[np.unique(group[again])]
+    if len(at) < len(full):
+        again = np.flatnonzero(~first)
+        leaders = at[np.unique(np.searchsorted(different, full[again]))]
         seen = set(run_digests(text, places[leaders], window))
         for k, digest in zip(again, run_digests(text, places[again], window)):
             if digest not in seen:
@@ -180,13 +178,13 @@ def repeated_windows(
     keyed = _keyed(docs, id, text)
     later = _later_copies(keyed)
     copies = bloom.build(later.select("key"), later.count())
-    lengths, alive = levels(window, least), []
+    lengths, alive, many = levels(window, least), None, 1
 
-    def at_level(k: int) -> tuple[Callable[[Words], np.ndarray], Callable[[Words], np.ndarray]]:
-        known, length = [one.shared for one in alive[:k]], lengths[k]
+    def at_level(length: int) -> tuple[Callable[[Words], np.ndarray], Callable[[Words], np.ndarray]]:
+        known, before = alive.shared if alive else None, length // 2
 
         def standing(text: Words) -> np.ndarray:
-            return _standing(text, lengths, [one.value for one in known], window)
+            return _standing(text, before, known.value if known else None, window)
 
         def pieces(text: Words) -> np.ndarray:
             places = standing(text)
@@ -194,24 +192,30 @@ def repeated_windows(
 
         return standing, pieces
 
-    for k, length in enumerate(lengths[:-1]):
-        pieces = _listed_without(keyed, later, copies, at_level(k)[1])
+    for length in lengths[:-1]:
+        of_text = at_level(length)[1]
+        pieces = _without(keyed, later, copies, lambda rows, skipped, of_text=of_text: _listed(rows, of_text, skipped))
         shared = stored(pieces.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-pieces")
-        many = shared.count()
+        many, last = shared.count(), alive
         if counted is not None:
             counted.append((length, many))
-        alive.append(bloom.build(shared, many))
+        if last:
+            last.destroy()
+        alive = bloom.build(shared, many)
         if not many:
             break
-    if len(alive) == len(lengths) - 1 and (not alive or many):
-        windows = stored(_windows(keyed, at_level(len(lengths) - 1)[0], window), "repeat-windows")
+    if many:
+        standing = at_level(window)[0]
+        # later copies go as a whole: their windows are those of the first copy
+        windows = stored(_without(keyed, later, copies, lambda rows, skipped: _windows(rows, standing, window, skipped)), "repeat-windows")
     else:
         windows = keyed.sparkSession.createDataFrame([], "digest binary, doc long, key long, place int")
     groups = windows.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = with_group(windows, stored(groups, "repeat-groups"), ["digest"], "n").filter("doc > first")
     again = stored(again.select("key", "place").distinct(), "repeat-again")
-    for one in [copies, *alive]:
-        one.destroy()
+    for one in (copies, alive):
+        if one:
+            one.destroy()
     return again, later
 
 
