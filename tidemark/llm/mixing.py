@@ -98,31 +98,19 @@ def _expected(level: Column, power: Column, most: Column) -> Column:
 def source_levels(sizes: DataFrame, targets: DataFrame, power: float = POWER, most: float = 2.0) -> DataFrame:
     """key and level, with which the documents' expected copies add up to the words of their source's target.
 
-    ``sizes`` has a row per source and size of a document (key, size, n).  Documents that would be taken more than
-    ``most`` times are held there and the others' level rises, until no more of them are over.
+    ``sizes`` has a row per source and size of a document (key, size, n).  The largest documents are held at ``most``
+    copies, as few sizes of them as will do: from the largest size down, the first whose documents are not over with the
+    level that all larger ones being held would give is the level's.
     """
-    held = stored(sizes.join(targets.select("key", "target"), "key"), "mix-sizes")
     weight = F.pow(F.greatest("size", F.lit(1)).cast("double"), F.lit(power))
-    level, before = held.select("key").distinct().withColumn("level", F.lit(0.0)), -1
-    while True:
-        over = F.coalesce(weight * F.col("level") > most, F.lit(True))
-        words = F.col("size") * F.col("n")
-        sums = stored(
-            held.join(level, "key")
-            .groupBy("key")
-            .agg(
-                F.max("target").alias("target"),
-                F.sum(F.when(over, words * most).otherwise(0.0)).alias("full"),
-                F.sum(F.when(over, 0.0).otherwise(weight * words)).alias("free"),
-                F.sum(F.when(over, 1).otherwise(0)).alias("n_over"),
-            ),
-            "mix-levels",
-        )
-        level = sums.select("key", ((F.col("target") - F.col("full")) / F.nullif(F.col("free"), F.lit(0.0))).alias("level"))
-        now = sums.agg(F.sum("n_over")).first()[0]
-        if now is None or now == before:
-            return level.select("key", F.coalesce("level", F.lit(float(1 << 60))).alias("level"))
-        before = now
+    words = (F.col("size") * F.col("n")).cast("double")
+    down = Window.partitionBy("key").orderBy(F.col("size").desc())
+    full = F.coalesce(F.sum(words).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) * most
+    free = F.sum(weight * words).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    level = (F.col("target") - full) / F.nullif(free, F.lit(0.0))
+    each = sizes.join(targets.select("key", "target"), "key").select("key", "size", level.alias("level"), weight.alias("weight"))
+    fits = F.when(F.col("level") * F.col("weight") <= most, F.struct("size", "level"))
+    return each.groupBy("key").agg(F.coalesce(F.max(fits)["level"], F.lit(float(1 << 60))).alias("level"))
 
 
 def _with_rank(rows: DataFrame, sources: DataFrame) -> DataFrame:
