@@ -11,7 +11,7 @@ from tests.change_events import event, image
 from tidemark import StateTable, decode, latest_per_key, read_log, row_images, run_ingest, stream_feed, write_feed
 from tidemark.operators import distinct_events, late_field
 from tidemark.schemas import envelope, log_schema
-from tidemark.sources import append_log, check_append, noted_schema, read_history, write_history
+from tidemark.sources import append_log, check_append, noted_schema, read_feed, read_history, write_history
 from tidemark.streaming import read_inferred, run_inferring_ingest, run_split_ingest
 from tidemark.streaming import ingest as ingest_module
 
@@ -110,6 +110,15 @@ def test_a_micro_batch_that_breaks_between_its_two_writes(spark, place, feed_of,
 # Fields and types
 
 
+def test_cores_share_the_files_of_a_feed(spark, place):
+    """One file of 24 MB: no task gets more than a few row groups of it."""
+    texts = spark.range(24).select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.col("id"))
+    noise = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(k), "part"), 512) for k in range(8)])
+    write_feed(texts.withColumn("part", F.explode(F.sequence(F.lit(1), F.lit(1000)))).select("key", noise.alias("value"), "timestamp").coalesce(1), place["feed"])
+    rows = [n for n in read_feed(spark, place["feed"]).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()]
+    assert sum(rows) == 24_000 and max(rows) < 18_000
+
+
 def test_late_fields(spark, feed_of):
     log = decode(feed_of({"op": "c", "x": {"y z": 5, "w": "7"}}, {"op": "c", "x": 3}, "{bad", None), raw="raw")
     found = log.select(late_field("x.y z", "int"), late_field("x.w", "int"), late_field("x.w", "string"), late_field("x", "string")).collect()
