@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +111,22 @@ def test_a_micro_batch_that_breaks_between_its_two_writes(spark, place, feed_of,
 # Fields and types
 
 
+def test_events_are_held_without_their_texts(spark, feed_of, place, monkeypatch):
+    held, persist = [], DataFrame.persist
+
+    def spy(df, *args):
+        held.extend(df.select("status", "key", "value").collect())
+        return persist(df, *args)
+
+    monkeypatch.setattr(DataFrame, "persist", spy)
+    write_feed(feed_of(event("c", None, image(1, 1, 1, 1, 1), 1.0), None, "{bad"), place["feed"])
+    run_split_ingest(stream_feed(spark, place["feed"]), place["log"], place["rejects"], place["checkpoint"], available_now=True).awaitTermination()
+    assert sorted((r.status, r.value) for r in held if r.value) == [("malformed", "{bad")]
+    assert sorted(r.status for r in held) == ["malformed", "ok", "tombstone"]
+    assert read_log(spark, place["log"]).count() == 1
+    assert {(r.status, r.value) for r in spark.read.parquet(place["rejects"]).collect()} == {("tombstone", None), ("malformed", "{bad")}
+
+
 def test_cores_share_the_files_of_a_feed(spark, place):
     """One file of 24 MB: no task gets more than a few row groups of it."""
     texts = spark.range(24).select(F.lit(None).cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.col("id"))

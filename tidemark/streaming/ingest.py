@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -90,7 +91,7 @@ def run_split_ingest(
     Tombstones and messages that are not JSON objects of the schema are rejects, all others events.  Each micro-batch is a
     folder by its number in both places, ``batch=N/date=...``, which counts once it is whole: a micro-batch that broke
     between the two writes, or after them, is run again by Spark and writes only what is missing.  It is parsed once and
-    held by the executors meanwhile.  A log of this kind belongs to one checkpoint; ``read_log`` reads it.
+    held by the executors meanwhile, without the texts of events.  A log of this kind belongs to one checkpoint; ``read_log`` reads it.
     """
     spark = feed.sparkSession
     messages = decode_with_status(feed, schema, clock)
@@ -98,15 +99,15 @@ def run_split_ingest(
     check_append(spark, log_path, messages.select("event.*").schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        rejected = batch.status.isin("tombstone", "malformed")
+        rejected = F.col("status").isin("tombstone", "malformed")
+        held = batch.withColumns({text: F.when(rejected, F.col(text)) for text in ("key", "value")}).persist()
         try:
-            for path, rows in ((log_path, batch.filter(~rejected).select("event.*", "date")), (rejects_path, batch.filter(rejected).drop("event"))):
+            for path, rows in ((log_path, held.filter(~rejected).select("event.*", "date")), (rejects_path, held.filter(rejected).drop("event"))):
                 target = f"{path.rstrip('/')}/batch={batch_id}"
                 if not exists(spark, f"{target}/_SUCCESS"):
                     rows.write.mode("overwrite").partitionBy("date").parquet(target)
         finally:
-            batch.unpersist()
+            held.unpersist()
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, available_now, every).start()
