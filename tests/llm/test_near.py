@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tests.llm.conftest import THUE_MORSE, WORD, bag
 from tidemark.llm import components as component_module
@@ -103,6 +104,31 @@ def test_a_large_group_of_near_copies_and_outsiders(spark, monkeypatch):
     assert max(Counter(c for _, _, c, _ in expected).values()) >= 120
 
 
+@pytest.mark.parametrize("copies", [200, 800])
+def test_a_large_component_meets_only_the_others(spark, monkeypatch, copies):
+    """Rows for the blocks grow with a group, not with its square; few blocks of others meet all of its members."""
+    monkeypatch.setattr(near, "BLOCK", 16)
+    per_label = spark.createDataFrame([(1, 5, copies, 0), *((1, 100 + k, 1, 0) for k in range(12)), (2, 5, 40, 0)], "band long, label long, n_rows long, elements long")
+    (bucket,) = near._blocks(per_label).collect()
+    assert (bucket.band, bucket.size, bucket.most) == (1, copies + 12, 5)
+    assert (bucket.mains, bucket.rests) == (-(-copies // 16), 1)
+    (even,) = near._blocks(spark.createDataFrame([(3, k, 1, 0) for k in range(50)], "band long, label long, n_rows long, elements long")).collect()
+    assert (even.mains, even.rests) == (0, 4)
+    sketches = [near.sketch(np.arange(k, k + 3, dtype=np.uint64)).tobytes() for k in range(copies + 12)]
+    rows = [(1, k, 5 if k < copies else 100 + k, 3, sketches[k], 5, bucket.mains, bucket.rests) for k in range(copies + 12)]
+    made = spark.createDataFrame(rows, "band long, c long, label long, n long, sketch binary, most long, mains int, rests int")
+    plan, met = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda df, *by: plan.append(df.collect()) or met(df, *by))
+    near._met(made, 80, None)
+    held = [(r.i, r.j, r.block, r.c) for r in plan[0]]
+    assert len(held) == copies + 12 * (bucket.mains + 1)
+    meet = {}
+    for i, j, block, c in held:
+        meet.setdefault((i, j), set()).add(c)
+    others = set(range(copies, copies + 12))
+    assert all(others <= own for own in meet.values()) and set().union(*meet.values()) == set(range(copies + 12))
+
+
 def test_words_of_equal_polynomial_hash_are_not_equal(docs_of):
     check(docs_of(*THUE_MORSE, *(f"{t} x {t}" for t in THUE_MORSE), THUE_MORSE[0].upper()), 2)
 

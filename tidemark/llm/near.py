@@ -290,31 +290,54 @@ def _across(docs: DataFrame, members: DataFrame, classes: DataFrame, labels: Dat
     others = members.filter("c <> hub").drop("hub", "size")
     labelled = others.join(labels, others.c == labels.node, "left").select("band", "c", F.coalesce("root", "c").alias("label"))
     labelled = stored(labelled, "near-labelled")
-    apart = (
-        labelled.groupBy("band")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("size"))
-        .filter("least < most")
-        .select("band", "size")
-    )
-    rest = with_group(labelled, stored(apart, "near-apart"), ["band"], "size")
+    apart = labelled.groupBy("band", "label").agg(F.count("*").alias("n_rows"), F.lit(0).alias("elements"))
+    rest = with_group(labelled, stored(_blocks(apart), "near-apart"), ["band"], "size")
     rest = rest.join(classes.select("c", "n", "sketch"), "c")
-    asked = _met(rest, F.ceil(F.col("size") / BLOCK), percent, None).distinct()
+    asked = _met(rest, percent, None).distinct()
     asked = stored(asked.select(F.col("a").alias("band"), F.col("b").alias("c")), "near-asked")
     sets = _sets(docs, classes, asked.select("c").distinct(), id, text, size)
     known = asked.join(labels, asked.c == labels.node, "left").select("band", "c", F.coalesce("root", "c").alias("label"))
     known = stored(known.join(classes.select("c", "n", "sketch"), "c"), "near-known")
-    totals = known.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
-    full = with_group(known, stored(totals, "near-totals"), ["band"], "size").join(sets, "c")
-    return _met(full, F.ceil(F.greatest(F.col("size") / BLOCK, F.col("elements") / ELEMENTS)), percent, "own")
+    totals = known.groupBy("band", "label").agg(F.count("*").alias("n_rows"), F.sum("n").alias("elements"))
+    full = with_group(known, stored(_blocks(totals), "near-totals"), ["band"], "size").join(sets, "c")
+    return _met(full, percent, "own")
+
+
+def _blocks(per_label: DataFrame) -> DataFrame:
+    """band, size, most, mains, rests for the buckets of two labels or more, from the rows and elements of each label.
+
+    The members of a bucket's largest component, ``most``, have nothing to find among themselves: where it takes fewer rows,
+    they are dealt to ``mains`` blocks that meet the ``rests`` blocks of the other members only.  Otherwise there are
+    no main blocks and all meet all.
+    """
+
+    def blocks(rows: Column, elements: Column) -> Column:
+        return F.ceil(F.greatest(rows / BLOCK, elements / ELEMENTS)).cast("int")
+
+    top = F.max(F.struct("n_rows", "label", "elements")).alias("top")
+    buckets = per_label.groupBy("band").agg(top, F.sum("n_rows").alias("size"), F.sum("elements").alias("all")).filter("size > top.n_rows")
+    others = F.col("size") - F.col("top.n_rows")
+    counted = buckets.select(
+        "band", "size", F.col("top.label").alias("most"), F.col("top.n_rows").alias("n_most"), others.alias("n_others"),
+        blocks(F.col("top.n_rows"), F.col("top.elements")).alias("mains"),
+        blocks(others, F.col("all") - F.col("top.elements")).alias("rests"),
+        blocks(F.col("size"), F.col("all")).alias("blocks"),
+    )
+    fewer = F.expr("n_most * rests + n_others * (mains + rests) < size * blocks")
+    return counted.select(
+        "band", "size", "most", F.when(fewer, F.col("mains")).otherwise(0).alias("mains"), F.when(fewer, F.col("rests")).otherwise(F.col("blocks")).alias("rests")
+    )
 
 
-def _met(rows: DataFrame, blocks: Column, percent: int, own: str | None) -> DataFrame:
-    """Every two members of a bucket meet in one task, which has two of the bucket's blocks.
+def _met(rows: DataFrame, percent: int, own: str | None) -> DataFrame:
+    """Every two members of a bucket and of different labels meet in one task, which has two of the bucket's blocks.
 
     Without sets, (band, c) of those with a likely partner; with the column ``own`` of full sets, the links.
     """
-    placed = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    main, mains, rests = (F.col("mains") > 0) & (F.col("label") == F.col("most")), F.col("mains"), F.col("rests")
+    at = F.xxhash64("c")
+    placed = rows.withColumn("block", F.when(main, F.pmod(at, F.greatest(mains, F.lit(1)))).otherwise(mains + F.pmod(at, rests)).cast("int"))
+    other = F.explode(F.sequence(F.when(main, mains).otherwise(0), mains + rests - 1)).alias("other")
     columns = ["band", "c", "label", "n", "sketch", *([own] if own else [])]
     placed = placed.select(*columns, "block", other).select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *columns[1:]
