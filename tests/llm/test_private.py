@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import bag
+from tidemark.llm import private
 from tidemark.llm.private import find_private, private_digest, sanitised
 from tidemark.llm.queries import op5_pii
 
@@ -236,6 +237,19 @@ def test_spans_by_brute_force(spark, docs_of, everywhere):
     assert {"Quuxley", "zanzibarovich", "Zanzibar"} <= texts
 
 
+@pytest.mark.parametrize("short", [0, 60, 1 << 16])
+def test_only_long_texts_meet_their_terms_by_row(docs_of, monkeypatch, short):
+    texts = [*corpus(), "Nothing said by Zanzibar here", "Zanzibar at 1.2.3.4", "so many other words " * 5 + "Zanzibar 1.2.3.4 ZANZIBAR"]
+    expected = {(r.doc_id, r.spans) for r in private_digest(find_private(docs_of(*texts), everywhere=True)).collect()}
+    shuffled, by_row = [], private._spans_by_row
+    monkeypatch.setattr(private, "SHORT_TEXT", short)
+    monkeypatch.setattr(private, "_spans_by_row", lambda found, wanted: shuffled.extend(found.collect()) or by_row(found, wanted))
+    found = private_digest(find_private(docs_of(*texts), everywhere=True)).collect()
+    assert sorted(r.text for r in shuffled) == sorted(t for t in texts if len(t) > short)
+    assert {(r.doc_id, r.spans) for r in found} == expected
+    assert any("removed" in r.spans or "general" in r.spans for r in found)
+
+
 def test_spans_of_documents_by_brute_force(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.collect() if (r.text or "").isascii()]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

@@ -23,6 +23,8 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = r"[\p{L}\p{N}]+"
 #: Terms that disclose are broadcast up to this number, and otherwise joined with the words of all documents.
 BROADCAST_TERMS = 200_000
+#: Texts of up to so many characters are searched for each of their terms that discloses, where they are.
+SHORT_TEXT = 1 << 16
 
 # The patterns allow what their plain forms allow.  Possessive quantifiers keep Java from recursing over long
 # runs, and the look-behinds from trying every start within a run that cannot match: a match starts where
@@ -203,27 +205,15 @@ def disclosing_terms(found: DataFrame, least_lines: int = 2, generalise: float =
     )
 
 
-def _anywhere(found: DataFrame, told: DataFrame) -> DataFrame:
-    """row, term and action wherever a document has a term that discloses any value, the strictest action for each."""
-    terms = stored(told.groupBy("term").agg(F.max("action").alias("action")), "private-anywhere")
-    own = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    words = found.select("row", F.explode(own).alias("term"))
-    return words.join(F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms, "term")
+def _own_terms() -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
 
 
-def term_spans(found: DataFrame, base: DataFrame, told: DataFrame, everywhere: bool = False) -> DataFrame:
-    """Where documents have terms that reveal a value they hold, or any value, outside the base spans."""
-    if everywhere:
-        wanted = stored(_anywhere(found, told), "private-wanted")
-    else:
-        held = base.select("row", F.concat_ws(":", "kind", "value").alias("value")).distinct()
-        wanted = held.join(told, "value").groupBy("row", "term").agg(F.max("action").alias("action"))
+def _word_spans(texts: DataFrame) -> DataFrame:
+    """row, order, kind, start, end of the words of ``text`` whose lower case is in the map ``wanted`` of terms to actions."""
     entry = "array<struct<order:int,kind:string,start:bigint,end:bigint>>"
-    per_row = wanted.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("wanted"))
-    taken = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
     gaps = F.transform(F.split("text", TERM, -1), F.length).alias("gap")
     words = F.arrays_zip(gaps, F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("word"))
-    texts = found.select("row", "text").join(per_row, "row").join(taken, "row", "left").select("row", "wanted", "taken", words.alias("words"))
 
     def step(done: Column, x: Column) -> Column:
         """One word further: where it ends, and the spans with that of the word if it is wanted."""
@@ -232,12 +222,48 @@ def term_spans(found: DataFrame, base: DataFrame, told: DataFrame, everywhere: b
         action = F.try_element_at("wanted", F.lower(x["word"]))
         order = F.when(action == "general", len(KINDS)).otherwise(len(KINDS) + 1)
         span = F.struct(order.cast("int").alias("order"), action.alias("kind"), start.alias("start"), end.alias("end"))
-        hit = action.isNotNull() & ~F.coalesce(F.exists("taken", lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(False))
-        return F.struct(end.alias("at"), F.when(hit, F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).cast(entry).alias("spans"))
+        return F.struct(end.alias("at"), F.when(action.isNotNull(), F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).cast(entry).alias("spans"))
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(entry).alias("spans"))
     spans = F.aggregate("words", start, step, lambda done: done["spans"])
-    return texts.select("row", F.explode(spans).alias("of")).select("row", "of.order", "of.kind", "of.start", "of.end")
+    return texts.select("row", "wanted", words.alias("words")).select("row", F.explode(spans).alias("of")).select("row", "of.order", "of.kind", "of.start", "of.end")
+
+
+def _spans_by_row(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Spans of the terms in ``wanted`` (row, term, action), which meet the texts by row."""
+    per_row = wanted.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("wanted"))
+    return _word_spans(found.select("row", "text").join(per_row, "row"))
+
+
+def _spans_anywhere(found: DataFrame, told: DataFrame) -> DataFrame:
+    """Spans wherever a document has a term that discloses any value, of the strictest action for each.
+
+    While the terms can be broadcast, short texts are searched where they are, once for each such term, and stay out
+    of the shuffle.  Long ones, which may hold very many, are searched once for all of theirs.
+    """
+    terms = stored(told.groupBy("term").agg(F.max("action").alias("action")), "private-anywhere")
+    if terms.count() > BROADCAST_TERMS:
+        wanted = found.select("row", F.explode(_own_terms()).alias("term")).join(terms, "term")
+        return _spans_by_row(found, stored(wanted, "private-wanted"))
+    terms, is_short = F.broadcast(terms), F.length("text") <= SHORT_TEXT
+    each = found.filter(is_short).select("row", "text", F.explode(_own_terms()).alias("term")).join(terms, "term")
+    short = _word_spans(each.select("row", "text", F.create_map("term", "action").alias("wanted")))
+    long = found.filter(~is_short)
+    wanted = long.select("row", F.explode(_own_terms()).alias("term")).join(terms, "term")
+    return short.unionByName(_spans_by_row(long, stored(wanted, "private-wanted")))
+
+
+def term_spans(found: DataFrame, base: DataFrame, told: DataFrame, everywhere: bool = False) -> DataFrame:
+    """Where documents have terms that reveal a value they hold, or any value, outside the base spans."""
+    if everywhere:
+        spans = _spans_anywhere(found, told)
+    else:
+        held = base.select("row", F.concat_ws(":", "kind", "value").alias("value")).distinct()
+        wanted = held.join(told, "value").groupBy("row", "term").agg(F.max("action").alias("action"))
+        spans = _spans_by_row(found.filter("matched"), wanted)  # base spans are of matched rows only
+    taken = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
+    covered = F.exists("taken", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    return spans.join(taken, "row", "left").filter(~F.coalesce(covered, F.lit(False))).drop("taken")
 
 
 def _joined(spans: Column) -> Column:
